@@ -27,11 +27,19 @@ def _jpath(spark: SparkSession, p: str):
     return fs, fs.makeQualified(path)
 
 
+def _uri(path) -> str:
+    """Percent-encoded URI as Spark reports it (``file:/x``, not ``file:///x``)."""
+    u = path.toUri().toString()
+    if u.startswith("file:///"):
+        u = "file:/" + u[len("file:///") :]
+    return u
+
+
 def _info(status) -> FileInfo:
     path = status.getPath()
     return FileInfo(
         path=path.toString(),
-        uri=path.toUri().toString(),
+        uri=_uri(path),
         name=path.getName(),
         is_dir=bool(status.isDirectory()),
         length=int(status.getLen()),

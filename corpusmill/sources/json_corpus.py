@@ -186,31 +186,34 @@ def read_prompt_file(
     lossless: bool = False,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """One JSONL prompt file, blank lines dropped, strict parse.
+    """One JSONL prompt file (or the folder of part files one Spark write
+    made), blank lines dropped, strict parse, no spec syntax.
 
     ``lossless=True`` also keeps each trimmed source line in ``_raw`` so a sink
     can re-emit the row with its original keys, key order and explicit nulls."""
-    exp = require_files(expand_spec(spark, [path], literal=True, directories=False, missing="error"), "prompt")
+    exp = require_files(expand_spec(spark, [path], literal=True, missing="error"), "prompt")
     if not lossless:
         return read_json_files(spark, exp.files, schema=schema, layout="lines")
-    f = exp.files[0]
     if schema is None:
-        schema = infer_schema(spark, [f], ["lines"])
-    lines = spark.read.text(escape_glob(f.path)).select(
-        F.trim(F.col("value")).alias("_raw"),
-        F.col("_metadata.file_block_start").alias("_block_ord"),
-        F.monotonically_increasing_id().alias("_row_ord"),
-    )
-    lines = lines.where(F.col("_raw") != "")
-    parsed = F.from_json(F.col("_raw"), schema, {"mode": "FAILFAST"}).alias("_row")
-    return lines.select(
-        parsed,
-        "_raw",
-        F.lit(0).cast("bigint").alias("_file_ord"),
-        F.lit(0).cast("bigint").alias("_spec_ord"),
-        "_block_ord",
-        "_row_ord",
-    ).select("_row.*", *[c for c in ("_raw",) + META_COLS if c != "_path"])
+        schema = infer_schema(spark, exp.files, ["lines"] * len(exp.files))
+    parts = []
+    for i in range(0, len(exp.files), BROADCAST_FILES):
+        chunk = exp.files[i : i + BROADCAST_FILES]
+        lines = spark.read.text([escape_glob(f.path) for f in chunk]).select(
+            F.trim(F.col("value")).alias("_raw"),
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_block_ord"),
+            F.monotonically_increasing_id().alias("_row_ord"),
+        )
+        lookup = spark.createDataFrame(
+            [(f.uri, i + j, int(f.spec_ord)) for j, f in enumerate(chunk)],
+            "_uri string, _file_ord bigint, _spec_ord bigint",
+        )
+        joined = lines.where(F.col("_raw") != "").join(F.broadcast(lookup), F.col("_path") == F.col("_uri"))
+        parsed = F.from_json(F.col("_raw"), schema, {"mode": "FAILFAST"}).alias("_row")
+        parts.append(joined.select(parsed, "_raw", "_file_ord", "_spec_ord", "_block_ord", "_row_ord", "_path"))
+    out = reduce(lambda x, y: x.unionByName(y), parts)
+    return out.select("_row.*", "_raw", *META_COLS)
 
 
 def ordered(df: DataFrame) -> list[Column]:

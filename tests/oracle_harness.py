@@ -1,0 +1,92 @@
+"""Run registered queries against their DuckDB oracle (as the driver does).
+
+    python tests/oracle_harness.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def _norm(v):
+    if isinstance(v, decimal.Decimal):
+        return float(v)
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    return v
+
+
+def canon(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    names = [cols[i] for i in order]
+    out = sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
+    return names, out
+
+
+def duck(sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.sql(f"create view {t} as select * from read_parquet('{p}')")
+    return con
+
+
+def check(spark, con, sf_dir, name, fn, sql):
+    t = time.time()
+    df = fn(spark, sf_dir)
+    rows = [tuple(r) for r in df.collect()]
+    t_spark = time.time() - t
+    s_names, s_rows = canon(df.columns, rows)
+    if sql is None:
+        return name, "rows-only", len(s_rows), None, t_spark
+    res = con.sql(sql)
+    o_names, o_rows = canon(res.columns, res.fetchall())
+    ok = s_names == o_names and s_rows == o_rows
+    detail = None
+    if not ok:
+        if s_names != o_names:
+            detail = f"columns {s_names} vs {o_names}"
+        else:
+            miss = [r for r in o_rows if r not in set(s_rows)][:2]
+            extra = [r for r in s_rows if r not in set(o_rows)][:2]
+            detail = f"rows {len(s_rows)} vs {len(o_rows)}; oracle-only {str(miss)[:600]}; spark-only {str(extra)[:600]}"
+    return name, "match" if ok else "MISMATCH", len(s_rows), detail, t_spark
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
+    names = [a for a in argv[1:] if not a.startswith("/")]
+    from __spark_entry__ import oracle_sql, queries
+
+    from corpusmill.session import build_session
+
+    spark = build_session()
+    con = duck(sf_dir)
+    qs, ors = queries(), oracle_sql()
+    bad = 0
+    for name in names or list(qs):
+        try:
+            r = check(spark, con, sf_dir, name, qs[name], ors.get(name))
+        except Exception as e:  # noqa: BLE001
+            r = (name, "ERROR", 0, f"{type(e).__name__}: {str(e)[:800]}", 0.0)
+        print(f"{r[0]:28s} {r[1]:10s} rows={r[2]:<7d} {r[4]:6.2f}s {r[3] or ''}", flush=True)
+        bad += r[1] not in ("match", "rows-only")
+    print("failures:", bad)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
