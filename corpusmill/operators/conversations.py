@@ -60,11 +60,15 @@ def conversation_messages(
     order: str = "turn",
     role: str = "role",
     content: str = "text",
+    block: int = TURN_BLOCK,
 ) -> DataFrame:
     """``messages: array<struct<content, role>>`` per conversation, sorted by
-    turn (the chat row shape a JSON reader infers)."""
-    msgs = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(content).alias("c"), F.col(role).alias("r")))),
-        lambda x: F.struct(x["c"].alias("content"), x["r"].alias("role")),
+    turn (the chat row shape a JSON reader infers). Built in the same two
+    ordered levels as ``render_turns``: sorted runs of ``block`` turns, then
+    the runs of one conversation concatenated in order."""
+    msg = F.struct(F.col(order).alias("o"), F.col(content).alias("content"), F.col(role).alias("role"))
+    first = turns.groupBy(conv, F.floor(F.col(order) / F.lit(block)).alias("_blk")).agg(
+        F.transform(F.array_sort(F.collect_list(msg)), lambda x: F.struct(x["content"], x["role"])).alias("_run")
     )
-    return turns.groupBy(conv).agg(msgs.alias("messages"))
+    runs = F.array_sort(F.collect_list(F.struct(F.col("_blk").alias("b"), F.col("_run").alias("r"))))
+    return first.groupBy(conv).agg(F.flatten(F.transform(runs, lambda x: x["r"])).alias("messages"))

@@ -9,8 +9,9 @@ then by the row's position, so identical rows are never merged). Only
 Finding the k-th smallest key is a distributed selection, not a sort: a
 histogram of the first 4 hex digits (at most 65,536 groups, partial
 aggregation before the shuffle) locates the bucket holding rank k; only that
-bucket is refined, 4 digits at a time, until it holds at most
-``exact_limit`` rows, whose top ranks are taken with a bounded top-k. The
+bucket is refined (past the prefix all its keys share, then 4 more digits)
+until it holds at most ``exact_limit`` rows, whose top ranks are taken with a
+bounded top-k. The
 labels are then a plain projection, ``sk <= boundary``: no global sort, no
 single-partition window, and a hot key only makes one bucket bigger, never a
 task.
@@ -70,12 +71,31 @@ def sort_key(df: DataFrame, key: Sequence[str] | None, seed: int, unique: bool)
     return F.concat(*parts)
 
 
-def _locate(hist: list, need: int) -> tuple[str, int, int]:
-    """(bucket, rank inside it, bucket size) of the ``need``-th row."""
+def _histogram(keyed: DataFrame, width: int) -> list[tuple[str, int, str, str]]:
+    """(prefix, rows, smallest key, largest key) per ``width``-digit prefix;
+    at most 16**4 groups per call, partially aggregated before the shuffle."""
+    rows = (
+        keyed.groupBy(F.substring("_sk", 1, width).alias("p"))
+        .agg(F.count("*").alias("n"), F.min("_sk").alias("lo"), F.max("_sk").alias("hi"))
+        .collect()
+    )
+    return [(r["p"], r["n"], r["lo"], r["hi"]) for r in rows]
+
+
+def _common_prefix(a: str, b: str) -> str:
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[:i]
+
+
+def _locate(hist: list, need: int) -> tuple[str, int, int, str, str]:
+    """(bucket, rank inside it, bucket size, its smallest and largest key) of
+    the ``need``-th row."""
     before = 0
-    for bucket, cnt in sorted(hist):
+    for bucket, cnt, lo, hi in sorted(hist):
         if before + cnt >= need:
-            return bucket, need - before, cnt
+            return bucket, need - before, cnt, lo, hi
         before += cnt
     raise AssertionError("rank beyond the row count")
 
@@ -100,22 +120,20 @@ def assign_split(
     sk = sort_key(df, key, seed, unique)
     keyed = df.select(sk.alias("_sk"))
     width = HEX_STEP
-    hist = [
-        (row[0], row[1])
-        for row in keyed.groupBy(F.substring("_sk", 1, width)).count().collect()
-    ]
-    n = sum(c for _, c in hist)
+    hist = _histogram(keyed, width)
+    n = sum(c for _, c, _, _ in hist)
     k = eval_count(r, n)
     if k == 0:
         return df.withColumn(column, F.lit("train"))
-    bucket, need, size = _locate(hist, k)
-    while size > exact_limit:
-        width += HEX_STEP
-        sub = keyed.where(F.startswith(F.col("_sk"), F.lit(bucket)))
-        hist = [(row[0], row[1]) for row in sub.groupBy(F.substring("_sk", 1, width)).count().collect()]
-        if len(hist) == 1 and len(hist[0][0]) < width:
-            break  # keys are shorter than the prefix: the bucket is one key
-        bucket, need, size = _locate(hist, need)
+    bucket, need, size, lo, hi = _locate(hist, k)
+    while size > exact_limit and lo != hi:
+        # Every row of the bucket shares the common prefix of its smallest and
+        # largest key, so a hot key value is passed in one step, not 4 digits
+        # at a time.
+        bucket = _common_prefix(lo, hi)
+        width = len(bucket) + HEX_STEP
+        hist = _histogram(keyed.where(F.startswith(F.col("_sk"), F.lit(bucket))), width)
+        bucket, need, size, lo, hi = _locate(hist, need)
     top = (
         keyed.where(F.startswith(F.col("_sk"), F.lit(bucket)))
         .orderBy("_sk")

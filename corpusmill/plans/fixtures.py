@@ -6,10 +6,11 @@ derivations follow FIXTURES.md so that DuckDB can rebuild each one in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators.conversations import conversation_messages
+from corpusmill.operators.ordered import next_in_group
 from corpusmill.session import scratch_dir
 
 
@@ -24,26 +25,23 @@ def chat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SFT instruction rows: a user turn answered by the next assistant turn;
-    aliases alternate by ``conv_id`` and ``turn`` so both names occur."""
+    aliases alternate by ``conv_id`` and ``turn`` so both names occur.
+
+    The next turn comes from ``next_in_group`` (range slices, so a very long
+    conversation is not sorted in one task); the system text is one
+    partially aggregated row per conversation, joined back on ``conv_id``."""
     c = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    p = c.select(
-        "conv_id",
-        "turn",
-        "role",
-        F.col("text").alias("ins"),
-        F.lead("text").over(w).alias("nxt"),
-        F.lead("role").over(w).alias("nr"),
-        F.max(F.when(F.col("role") == "system", F.col("text"))).over(Window.partitionBy("conv_id")).alias("sys"),
-    )
-    return p.where((F.col("role") == "user") & (F.col("nr") == "assistant")).select(
+    p = next_in_group(c.select("conv_id", "turn", "role", "text"), ["conv_id"], ["turn"], ["text", "role"])
+    sys = c.groupBy("conv_id").agg(F.max(F.when(F.col("role") == "system", F.col("text"))).alias("sys"))
+    p = p.where((F.col("role") == "user") & (F.col("next_role") == "assistant")).join(sys, "conv_id", "left")
+    return p.select(
         "conv_id",
         "turn",
-        F.when(F.col("conv_id") % 2 == 0, F.col("ins")).alias("instruction"),
-        F.when(F.col("conv_id") % 2 == 1, F.col("ins")).alias("instr"),
+        F.when(F.col("conv_id") % 2 == 0, F.col("text")).alias("instruction"),
+        F.when(F.col("conv_id") % 2 == 1, F.col("text")).alias("instr"),
         F.coalesce(F.col("sys"), F.lit("")).alias("input"),
-        F.when(F.col("turn") % 4 < 2, F.col("nxt")).alias("output"),
-        F.when(F.col("turn") % 4 >= 2, F.col("nxt")).alias("response"),
+        F.when(F.col("turn") % 4 < 2, F.col("next_text")).alias("output"),
+        F.when(F.col("turn") % 4 >= 2, F.col("next_text")).alias("response"),
     )
 
 
