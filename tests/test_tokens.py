@@ -1,0 +1,134 @@
+"""Token arrays, truncation, labels, preference budgets."""
+
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+
+from corpusmill.functions.tokens import effective_max_length, encode_codepoints, tokenize, truncate
+from corpusmill.functions.udf import batch_map, encode_with
+from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
+from corpusmill.plans.jobs import offline_preprocess
+from corpusmill.sinks.writers import read_sidecar
+
+
+def codepoints(s: str) -> list[int]:
+    return [ord(c) for c in s]
+
+
+def test_codepoints_emoji_empty_and_null(spark):
+    df = spark.createDataFrame([(1, "a🙂é"), (2, ""), (3, None)], "id int, text string")
+    got = dict(rows(df.select("id", encode_codepoints(F.col("text")).alias("ids"))))
+    assert got == {1: codepoints("a🙂é"), 2: [], 3: []}
+
+
+def test_truncate_right_and_left(spark):
+    df = spark.createDataFrame([("abcdef",), ("ab",)], "text string")
+    ids = encode_codepoints(F.col("text"))
+    got = rows(df.select(truncate(ids, 3), truncate(ids, 3, "left")))
+    assert got == [(codepoints("abc"), codepoints("def")), (codepoints("ab"), codepoints("ab"))]
+    with pytest.raises(ValueError):
+        truncate(ids, 3, "middle")
+
+
+def test_effective_length():
+    assert effective_max_length() == 8192
+    assert effective_max_length(10000, 4096) == 4096
+    assert effective_max_length(100, None) == 100
+
+
+def test_tokenize_labels_mask_and_bounds(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = tokenize(df, "text", 64, labels=True, drop_text=True)
+    assert "text" not in out.columns and {"input_ids", "attention_mask", "labels"} <= set(out.columns)
+    bad = out.where(
+        (F.size("input_ids") > 64)
+        | (F.col("labels") != F.col("input_ids"))
+        | (F.size("attention_mask") != F.size("input_ids"))
+        | ~F.forall("attention_mask", lambda x: x == 1)
+    )
+    assert bad.count() == 0
+    assert out.count() == df.count()
+
+
+def test_tokenize_expression_stays_in_the_jvm(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plan = tokenize(df, "text", 64).select("doc_id", "input_ids")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEval" not in plan and "BatchEval" not in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def utf32_tokenizer():
+    return lambda texts: {"input_ids": [np.frombuffer(t.encode("utf-32-le"), dtype="<u4").astype(np.int32) for t in texts]}
+
+
+def test_plugin_tokenizer_equals_native(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    native = truncate(encode_codepoints(F.col("text")), 100)
+    plugin = truncate(encode_with(utf32_tokenizer)(F.col("text")), 100)
+    assert df.where(native != plugin).count() == 0
+
+
+def word_count(b):
+    import pandas as pd
+
+    return pd.DataFrame({"doc_id": b["doc_id"], "n": b["text"].str.split().map(len).astype("int64")})
+
+
+def test_batch_map_projects_before_python(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = batch_map(df, word_count, "doc_id bigint, n bigint", columns=["doc_id", "text"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+    assert out.count() == df.count()
+
+
+def test_preference_budget_defaults():
+    assert PreferenceBudget().resolved() == (2048, 1024, 1024)
+    assert PreferenceBudget(1000).resolved() == (1000, 500, 500)
+    assert PreferenceBudget.job_defaults().resolved() == (2048, 512, 1536)
+    assert PreferenceBudget.job_defaults(1024).resolved() == (1024, 512, 1536)
+
+
+def test_preference_tokens_respect_total_cap(spark):
+    df = spark.createDataFrame([("p" * 900, "c" * 900, "r" * 10)], "prompt string, chosen string, rejected string")
+    out = preference_tokens(df, PreferenceBudget.job_defaults(1024))
+    r = out.select(F.size("prompt_input_ids"), F.size("chosen_input_ids"), F.size("rejected_input_ids")).first()
+    assert tuple(r) == (512, 512, 10)
+
+
+def test_preference_gate_on_train_and_eval(spark, write):
+    good = write("good.jsonl", json.dumps({"prompt": "p", "chosen": "c", "rejected": "r", "extra": 1}) + "\n")
+    bad = write("bad.jsonl", json.dumps({"prompt": "p", "chosen": "c"}) + "\n")
+    out = load_preference(spark, good)
+    assert rows(out, "prompt", "extra", "split") == [("p", 1, "train")]
+    with pytest.raises(ValueError, match="rejected"):
+        load_preference(spark, bad)
+    with pytest.raises(ValueError, match="rejected"):
+        load_preference(spark, good, eval_spec=bad)
+
+
+def test_offline_preprocess_writes_dataset_and_sidecar(spark, write, tmp_path):
+    p = write(
+        "sft.jsonl",
+        json.dumps({"instruction": "a", "output": "b"}) + "\n" + json.dumps({"messages": [{"role": "user", "content": "x"}]}) + "\n",
+    )
+    out = str(tmp_path / "out")
+    ds = offline_preprocess(spark, p, out, model_max_length=20, question_truncation_side="left")
+    assert sorted(ds.columns) == ["attention_mask", "input_ids", "labels"]
+    assert ds.where(F.size("input_ids") > 20).count() == 0
+    meta = read_sidecar(spark, out)
+    assert meta == {
+        "task": "sft",
+        "tokenizer": "codepoints",
+        "model_type": None,
+        "prompt_type": "chatml",
+        "truncation_side": "left",
+    }
+    # left truncation keeps the end of the text
+    tail = codepoints("<|im_start|>user\nx<|im_end|>\n")[-20:]
+    assert tail in [r[0] for r in ds.select("input_ids").collect()]
