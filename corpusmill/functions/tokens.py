@@ -32,6 +32,26 @@ def truncate(ids: Column, max_len: int | Column, side: str = "right") -> Column:
     raise ValueError("side must be 'right' or 'left'")
 
 
+def cut_text(text: Column, max_len: int | Column, side: str = "right") -> Column:
+    """The first (``right``) or last (``left``) ``max_len`` characters. Spark
+    strings count code points, so ``encode_codepoints(cut_text(t, n, s))``
+    equals ``truncate(encode_codepoints(t), n, s)`` without building the ids
+    of the discarded part."""
+    n = max_len if isinstance(max_len, Column) else F.lit(int(max_len))
+    if side == "right":
+        return F.substring(text, F.lit(1), n)
+    if side == "left":
+        return F.substring(text, -n, n)
+    raise ValueError("side must be 'right' or 'left'")
+
+
+def encode_truncated(text: Column, max_len: int | Column | None, side: str = "right") -> Column:
+    """Code points of ``text`` cut to ``max_len`` tokens (``None``: no cut)."""
+    if max_len is None:
+        return encode_codepoints(text)
+    return encode_codepoints(cut_text(text, max_len, side))
+
+
 def attention_mask(ids: Column) -> Column:
     return F.array_repeat(F.lit(1), F.size(ids))
 
@@ -53,10 +73,12 @@ def tokenize(
     """Add ``input_ids`` and ``attention_mask`` (and ``labels``, a plain copy of
     ``input_ids``: prompt tokens are not masked). ``encoder`` is a Column
     function ``text -> array<int>``; default is the code-point encoder."""
-    enc = encoder or encode_codepoints
-    ids = enc(F.col(text_col))
-    if max_len is not None:
-        ids = truncate(ids, max_len, side)
+    if encoder is None:
+        ids = encode_truncated(F.col(text_col), max_len, side)
+    else:
+        ids = encoder(F.col(text_col))
+        if max_len is not None:
+            ids = truncate(ids, max_len, side)
     out = df.withColumn("input_ids", ids).withColumn("attention_mask", attention_mask(F.col("input_ids")))
     if labels:
         out = out.withColumn("labels", F.col("input_ids"))

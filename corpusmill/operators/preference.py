@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.schema import require_columns
-from corpusmill.functions.tokens import encode_codepoints, truncate
+from corpusmill.functions.tokens import encode_truncated, truncate
 from corpusmill.operators.split import split_dataset
 from corpusmill.sources.json_corpus import read_json_corpus, read_json_files
 from corpusmill.sources.paths import expand_spec
@@ -67,13 +67,13 @@ def preference_tokens(
 ) -> DataFrame:
     """``prompt_input_ids`` cut to ``max_prompt``; each answer cut to
     ``least(max_target, max_len - size(prompt_input_ids))``."""
-    enc = encoder or encode_codepoints
     max_len, max_prompt, max_target = budget.resolved()
-    out = df.withColumn("prompt_input_ids", truncate(enc(F.col("prompt")), max_prompt, side))
+
+    def cut(name: str, n) -> Column:
+        if encoder is None:
+            return encode_truncated(F.col(name), n, side)
+        return truncate(encoder(F.col(name)), n, side)
+
+    out = df.withColumn("prompt_input_ids", cut("prompt", max_prompt))
     room = F.least(F.lit(max_target), F.lit(max_len) - F.size("prompt_input_ids"))
-    return out.withColumns(
-        {
-            "chosen_input_ids": truncate(enc(F.col("chosen")), room, side),
-            "rejected_input_ids": truncate(enc(F.col("rejected")), room, side),
-        }
-    )
+    return out.withColumns({"chosen_input_ids": cut("chosen", room), "rejected_input_ids": cut("rejected", room)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.tokens import encode_codepoints, truncate
+from corpusmill.functions.tokens import encode_truncated
 from corpusmill.operators.conversations import render_turns
 from corpusmill.operators.split import assign_split
 from corpusmill.plans.fixtures import table
@@ -16,7 +16,7 @@ def chat_training_set(
 ) -> DataFrame:
     """``conv_id, split, n_tokens, text`` per conversation."""
     chats = render_turns(table(spark, sf_dir, "conversations"))
-    ids = truncate(encode_codepoints(F.col("text")), max_len)
+    ids = encode_truncated(F.col("text"), max_len)
     prepared = chats.select("conv_id", "text", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
     split = assign_split(prepared, rate, key="conv_id", seed=seed, unique=True)
     return split.select("conv_id", "split", F.size("input_ids").cast("bigint").alias("n_tokens"), "text")

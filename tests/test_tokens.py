@@ -132,3 +132,16 @@ def test_offline_preprocess_writes_dataset_and_sidecar(spark, write, tmp_path):
     # left truncation keeps the end of the text
     tail = codepoints("<|im_start|>user\nx<|im_end|>\n")[-20:]
     assert tail in [r[0] for r in ds.select("input_ids").collect()]
+
+
+@pytest.mark.parametrize("side", ["right", "left"])
+def test_cut_text_then_encode_equals_encode_then_truncate(spark, side):
+    from corpusmill.functions.tokens import encode_truncated
+
+    df = spark.createDataFrame(
+        [("",), (None,), ("ab",), ("a🙂b🙂c🙂d",), ("é" * 10,), ("x" * 5000,)], "text string"
+    ).withColumn("n", F.length("text") % 4 + 1)
+    for n in (3, F.col("n")):
+        a = truncate(encode_codepoints(F.col("text")), n, side)
+        b = encode_truncated(F.col("text"), n, side)
+        assert df.where(a != b).count() == 0
