@@ -1,0 +1,16 @@
+"""Streaming use.
+
+The source has no stream operators (no watermark, window or state), so none is
+defined here. Rendering (``functions.prompts``), gates (``functions.schema``)
+and token arrays (``functions.tokens``) are stateless column expressions: they
+apply unchanged to a DataFrame from ``spark.readStream``, e.g. to prepare
+files as they land in a folder::
+
+    stream = spark.readStream.schema(schema).json(landing_dir)
+    prepared = tokenize(render(stream, "chatml", "train", keep=()), "text", 2048)
+    (prepared.writeStream.format("parquet")
+        .option("checkpointLocation", f"{shared_root}/ckpt/prepare")
+        .trigger(availableNow=True).start(out_dir))
+
+The exact split needs the row count, so it is a batch step over the output.
+"""

@@ -1,0 +1,32 @@
+"""The stateless rendering and token expressions on a streaming DataFrame."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from corpusmill.functions.prompts import render
+from corpusmill.functions.tokens import tokenize
+
+
+def test_render_and_tokenize_on_a_stream(spark, write, tmp_path):
+    rows = [{"instruction": f"q{i}", "output": f"a{i}"} for i in range(30)]
+    write("landing/part-0.jsonl", "".join(json.dumps(r) + "\n" for r in rows[:15]))
+    write("landing/part-1.jsonl", "".join(json.dumps(r) + "\n" for r in rows[15:]))
+    schema = "instruction string, output string"
+    stream = spark.readStream.schema(schema).json(str(tmp_path / "landing"))
+    prepared = tokenize(render(stream, "chatml", "train", keep=()), "text", 24, labels=True)
+    out = str(tmp_path / "out")
+    q = (
+        prepared.writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "ckpt"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    batch = tokenize(render(spark.read.schema(schema).json(str(tmp_path / "landing")), "chatml", "train", keep=()), "text", 24, labels=True)
+    assert got.count() == 30
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+    assert got.where(F.size("input_ids") > 24).count() == 0
