@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import ensure_checkpoint_dir
+from corpusmill.session import materialize
 
 SLICE = "_slice"
 
@@ -30,13 +30,12 @@ def with_slices(df: DataFrame, group: Sequence[str], order: Sequence[str], slice
 
     Range bounds come from a sample whose seed depends on the RDD, so two
     evaluations of the same plan may cut different slices. The sliced rows
-    are therefore checkpointed (reliably, under the shared checkpoint folder)
-    and every later branch reads the same slices."""
+    are therefore written once under the shared checkpoint folder and every
+    later branch reads the same slices."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *_cols(list(group) + list(order)))
-    return ranged.withColumn(SLICE, F.spark_partition_id()).checkpoint(eager=True)
+    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def running_sum(

@@ -56,7 +56,7 @@ def load_preference(
         ef = expand_spec(spark, eval_spec)
         if ef:
             eval_df = require_preference(read_json_files(spark, ef.files))
-    return split_dataset(train, eval_df, rate, key=key, seed=seed)
+    return split_dataset(train, eval_df, rate, key=key, seed=seed, materialize_keys=True)
 
 
 def preference_tokens(

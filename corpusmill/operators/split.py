@@ -26,6 +26,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import materialize
 from corpusmill.sources.json_corpus import ORDER_COLS
 
 HEX_STEP = 4
@@ -109,9 +110,15 @@ def assign_split(
     unique: bool = False,
     column: str = "split",
     exact_limit: int = EXACT_LIMIT,
+    materialize_keys: bool = False,
 ) -> DataFrame:
     """Label every row ``train`` or ``eval`` (runs small selection jobs; the
-    returned DataFrame is lazy)."""
+    returned DataFrame is lazy).
+
+    ``materialize_keys=True`` writes the sort keys once (about 80 bytes a
+    row) under the shared checkpoint folder, so the selection passes read
+    that instead of re-running an expensive source (a JSON parse, an
+    aggregation) each time."""
     if isinstance(key, str):
         key = [key]
     r = Decimal(str(rate))
@@ -119,6 +126,8 @@ def assign_split(
         return df.withColumn(column, F.lit("train"))
     sk = sort_key(df, key, seed, unique)
     keyed = df.select(sk.alias("_sk"))
+    if materialize_keys:
+        keyed = materialize(keyed, "split-keys")
     width = HEX_STEP
     hist = _histogram(keyed, width)
     n = sum(c for _, c, _, _ in hist)

@@ -112,7 +112,7 @@ def _eval_pretrain(spark: SparkSession, spec) -> DataFrame | None:
 
 def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML, custom=None) -> DataFrame:
     train = read_json_corpus(spark, s.train_data_path, what="training")
-    data = split_dataset(train, _eval_json(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed)
+    data = split_dataset(train, _eval_json(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed, materialize_keys=True)
     data2, text = render_column(data, s.prompt_type, "train", template, custom)
     keep = ["split"] + [c for c in ("_file_ord", "_block_ord", "_row_ord") if c in data.columns]
     rendered = data2.select(*keep, text.alias("text"))
@@ -127,7 +127,9 @@ def dpo_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
 
 def pretrain_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
     train = read_pretrain_corpus(spark, s.train_data_path)
-    data = split_dataset(train, _eval_pretrain(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed)
+    data = split_dataset(
+        train, _eval_pretrain(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed, materialize_keys=True
+    )
     return tokenize(data, "text", s.max_seq_len, encoder=encoder, drop_text=True)
 
 

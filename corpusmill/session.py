@@ -65,6 +65,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/corpusmill/{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: lineage is cut (a lost executor does not recompute the source),
+    later passes read only the columns they need, and nondeterministic
+    columns are fixed. One job, unlike an eager ``checkpoint()``, which
+    computes the plan and then saves it in a second job."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``DataFrame.checkpoint`` needs the SparkContext to know the folder."""
     if not spark.sparkContext.getCheckpointDir():
