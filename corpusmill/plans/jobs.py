@@ -50,6 +50,7 @@ class TrainSpec:
     max_prompt_length: int = 512
     max_target_length: int = 1536
     work_path: str | None = None
+    schema: str | None = None  # DDL of the JSON rows; skips schema inference
     extra: dict = field(default_factory=dict)
 
 
@@ -83,11 +84,11 @@ def parse_spec(spec: dict) -> TrainSpec | TestSpec:
     return _build(TrainSpec, spec)
 
 
-def _eval_json(spark: SparkSession, spec) -> DataFrame | None:
+def _eval_json(spark: SparkSession, spec, schema: str | None = None) -> DataFrame | None:
     if not spec:
         return None
     ef = expand_spec(spark, spec)
-    return read_json_files(spark, ef.files) if ef else None
+    return read_json_files(spark, ef.files, schema=schema) if ef else None
 
 
 def _eval_pretrain(spark: SparkSession, spec) -> DataFrame | None:
@@ -111,8 +112,10 @@ def _eval_pretrain(spark: SparkSession, spec) -> DataFrame | None:
 
 
 def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML, custom=None) -> DataFrame:
-    train = read_json_corpus(spark, s.train_data_path, what="training")
-    data = split_dataset(train, _eval_json(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed, materialize_keys=True)
+    train = read_json_corpus(spark, s.train_data_path, what="training", schema=s.schema)
+    data = split_dataset(
+        train, _eval_json(spark, s.dev_data_path, s.schema), s.dev_split_rate, seed=s.seed, materialize_keys=True
+    )
     data2, text = render_column(data, s.prompt_type, "train", template, custom)
     keep = ["split"] + [c for c in ("_file_ord", "_block_ord", "_row_ord") if c in data.columns]
     rendered = data2.select(*keep, text.alias("text"))
@@ -126,7 +129,7 @@ def dpo_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
 
 
 def pretrain_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
-    train = read_pretrain_corpus(spark, s.train_data_path)
+    train = read_pretrain_corpus(spark, s.train_data_path, json_kw={"schema": s.schema} if s.schema else None)
     data = split_dataset(
         train, _eval_pretrain(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed, materialize_keys=True
     )

@@ -27,6 +27,7 @@ META_COLS = ("_file_ord", "_spec_ord", "_block_ord", "_row_ord", "_path")
 # Files per read: the (path -> file_ord) table of one read is broadcast, so its
 # size is bounded by this; larger lists are read in several broadcast chunks.
 BROADCAST_FILES = 50_000
+SNIFF_THREADS = 64
 
 
 def order_cols(df: DataFrame) -> list[str]:
@@ -141,7 +142,8 @@ def read_json_files(
     if ords is None:
         ords = [ord_offset + i for i in range(len(files))]
     if layout == "auto":
-        with ThreadPoolExecutor(max_workers=16) as pool:
+        # First bytes of each .json file only; I/O bound, so a wide pool.
+        with ThreadPoolExecutor(max_workers=SNIFF_THREADS) as pool:
             layouts = list(pool.map(lambda f: sniff_layout(spark, f), files))
     else:
         layouts = [layout] * len(files)

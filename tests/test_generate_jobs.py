@@ -163,3 +163,9 @@ def test_test_job_writes_predictions(spark, write, tmp_path):
     run_job(spark, {"task": "test", "test_file": src, "test_output_file": dest, "generate_configs": {"max_new_tokens": 3}})
     preds = [json.loads(x)["prediction"] for x in part_lines(dest)]
     assert preds == ["<|im_start|>user one two", "<|im_start|>user hey you<|im_end|>"]
+
+
+def test_train_job_with_declared_schema(spark, write):
+    tr = write("typed.jsonl", jl({"instruction": "q", "output": "a", "junk": 1}))
+    out = run_job(spark, {"task": "train", "train_data_path": tr, "schema": "instruction string, output string"})
+    assert rows(out, "text") == [("<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\na<|im_end|>\n",)]
