@@ -11,6 +11,8 @@
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -19,7 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_RESOURCES: dict[str, object] = {}
+_CACHE_MODULE = "corpusmill_worker_cache"
+
+
+def _cache() -> dict:
+    """Per-process cache. This module is pickled by value into UDFs, so its
+    own globals are fresh for every task; the cache lives in a module kept in
+    ``sys.modules`` instead, which lasts as long as the worker process."""
+    mod = sys.modules.get(_CACHE_MODULE)
+    if mod is None:
+        mod = types.ModuleType(_CACHE_MODULE)
+        mod.objects = {}
+        sys.modules[_CACHE_MODULE] = mod
+    return mod.objects
 
 
 def resource_key(factory: Callable[[], object]) -> str:
@@ -32,10 +46,11 @@ def resource_key(factory: Callable[[], object]) -> str:
 def worker_resource(factory: Callable[[], object], key: str):
     """The object ``factory()`` builds, created once per Python worker process
     (workers are reused across tasks, so later tasks find it built)."""
-    obj = _RESOURCES.get(key)
+    cache = _cache()
+    obj = cache.get(key)
     if obj is None:
         obj = factory()
-        _RESOURCES[key] = obj
+        cache[key] = obj
     return obj
 
 

@@ -1,0 +1,46 @@
+"""Python workers: no copy of the package needed, resources built once each."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+from conftest import ROOT, SF_SMALL
+from pyspark.sql import functions as F
+
+from corpusmill.operators.generate import generate
+
+
+def counting_model(log_path):
+    def factory(config):
+        with open(log_path, "a") as fh:
+            fh.write(f"{os.getpid()}\n")
+        return lambda prompts: [p[:5] for p in prompts]
+
+    return factory
+
+
+def test_generator_built_once_per_worker_process(spark, tmp_path):
+    log = str(tmp_path / "builds.txt")
+    df = spark.range(256).select(F.col("id"), F.concat(F.lit("prompt "), F.col("id").cast("string")).alias("instruction"))
+    out = generate(df.repartition(32), counting_model(log), {"max_new_tokens": 4})
+    assert out.count() == 256 and out.where(F.col("prediction").isNull()).count() == 0
+    pids = open(log).read().split()
+    assert len(pids) == len(set(pids))  # never twice in one process, although 32 tasks ran
+
+
+def test_udf_queries_run_from_another_directory(tmp_path):
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from corpusmill.session import build_session\n"
+        "from __spark_entry__ import queries\n"
+        "spark = build_session(master='local[2]', shuffle_partitions=2, driver_memory='2g')\n"
+        "for name in ('generate', 'whole_text', 'custom_render', 'worker_init', 'batch_map'):\n"
+        "    n = queries()[name](spark, %r).count()\n"
+        "    assert n > 0, name\n"
+        "print('ok')\n"
+    ) % (ROOT, SF_SMALL)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0 and "ok" in res.stdout, res.stderr[-3000:]
