@@ -578,7 +578,7 @@ def _log_fixture(spark, sf_dir) -> str:
     rows = fx.run_log_rows(spark, sf_dir).select(
         "log_id",
         "event_id",
-        (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000)).alias("ts"),
+        (F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts")) / F.lit(1_000_000)).alias("ts"),
         "phase",
         F.when(F.col("phase") == "error", "fail").when(F.col("phase") == "purchase", "success").otherwise("running").alias("status"),
         "isfin",

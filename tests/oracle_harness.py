@@ -73,7 +73,8 @@ def main(argv):
 
     from corpusmill.session import build_session
 
-    spark = build_session()
+    tz = os.environ.get("ORACLE_SESSION_TZ")  # e.g. America/Los_Angeles: results must not depend on it
+    spark = build_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf_dir)
     qs, ors = queries(), oracle_sql()
     bad = 0

@@ -98,3 +98,19 @@ def test_hot_group_is_cut_into_several_slices(spark):
     df = spark.range(3000).select(F.lit(1).alias("g"), F.col("id").alias("o"))
     sliced = with_slices(df, ["g"], ["o"], slices=8)
     assert sliced.select("_slice").distinct().count() == 8
+
+
+def test_phase_duration_of_wall_clock_times_ignores_session_zone(spark):
+    import datetime
+
+    df = spark.createDataFrame(
+        [(1, 1, "train", datetime.datetime(2024, 3, 10, 1, 30), False, 1), (1, 1, "train", datetime.datetime(2024, 3, 10, 3, 30), True, 2)],
+        "log_id int, run_no int, phase string, ts timestamp_ntz, isfin boolean, event_id int",
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")  # DST starts at 02:00 that night
+    try:
+        got = rows(phase_durations(df, tiebreak=("event_id",)), "micros")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [(2 * 3600 * 1_000_000,)]
