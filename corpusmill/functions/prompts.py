@@ -111,7 +111,7 @@ def chat_text(messages: Column, template: ChatTemplate = CHATML, add_generation_
     if template.default_system is not None:
         sys_block = F.lit(f"{template.prefix}system{template.role_sep}{template.default_system}{template.suffix}")
         body = F.when(
-            F.coalesce(messages[0]["role"], F.lit("")) == "system", body
+            F.coalesce(F.get(messages, 0)["role"], F.lit("")) == "system", body
         ).otherwise(F.concat(sys_block, body))
     if add_generation_prompt:
         body = F.concat(body, F.lit(template.generation_prompt()))

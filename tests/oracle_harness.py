@@ -73,8 +73,10 @@ def main(argv):
 
     from corpusmill.session import build_session
 
-    tz = os.environ.get("ORACLE_SESSION_TZ")  # e.g. America/Los_Angeles: results must not depend on it
-    spark = build_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
+    # Results must not depend on session settings, e.g.
+    # ORACLE_SPARK_CONF="spark.sql.session.timeZone=America/Los_Angeles,spark.sql.ansi.enabled=false"
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("ORACLE_SPARK_CONF", "").split(",") if "=" in kv)
+    spark = build_session(extra=extra or None)
     con = duck(sf_dir)
     qs, ors = queries(), oracle_sql()
     bad = 0

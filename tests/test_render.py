@@ -154,3 +154,10 @@ def test_schema_gates(spark):
 def test_render_plan_stays_in_the_jvm(edge_df):
     plan = render(edge_df, "chatml", "train", keep=("id",))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_default_system_on_empty_and_null_lists(spark):
+    tpl = ChatTemplate(prefix="[", role_sep="]: ", suffix="\n", default_system="sys!")
+    df = spark.createDataFrame([(1, []), (2, None)], "id int, messages array<struct<content:string,role:string>>")
+    got = dict(rows(df.select("id", chat_text(F.col("messages"), tpl).alias("t"))))
+    assert got == {1: "[system]: sys!\n", 2: None}
