@@ -20,9 +20,7 @@ from corpusmill.functions.prompts import (
     chat_text,
     instruction_fields,
     instruction_messages,
-    plain_text,
     render,
-    render_column,
     user_turn,
 )
 from corpusmill.functions.schema import has_messages
@@ -677,4 +675,3 @@ QUERIES = {
     "run_outcomes": q_run_outcomes,
 }
 
-__all__ = ["QUERIES", "render_column", "plain_text", "fx", "read_text_files", "file_row_counts"]

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusmill.functions.prompts import CHATML, render_column
 from corpusmill.functions.tokens import effective_max_length, tokenize
@@ -206,21 +205,3 @@ def offline_preprocess(
         },
     )
     return spark.read.parquet(output_prefix)
-
-
-def source_row_counts(df: DataFrame) -> DataFrame:
-    return file_row_counts(df)
-
-
-__all__ = [
-    "TASKS",
-    "TrainSpec",
-    "TestSpec",
-    "parse_spec",
-    "run_job",
-    "offline_preprocess",
-    "sft_dataset",
-    "dpo_dataset",
-    "pretrain_dataset",
-    "F",
-]
