@@ -18,7 +18,7 @@ from corpusmill.functions.tokens import effective_max_length, tokenize
 from corpusmill.operators.generate import GenerationConfig, first_words_generator, generate
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
 from corpusmill.operators.split import split_dataset
-from corpusmill.sinks.writers import file_row_counts, write_dataset, write_manifest, write_predictions, write_sidecar
+from corpusmill.sinks.writers import write_dataset, write_manifest, write_predictions, write_sidecar
 from corpusmill.sources.corpus import read_pretrain_corpus, union_chunks
 from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file
 from corpusmill.sources.paths import expand_spec, join_spec, offline_file_list, route_by_suffix
