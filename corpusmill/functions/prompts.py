@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.schema import has_messages, truthy_string, with_optional_columns
 
@@ -156,10 +157,15 @@ def render_column(
         instr_branch = plain_text(user_turn(inst, inp), answer)
     else:
         instr_branch = chat(instruction_messages(inst, inp, answer), plain_text(user_turn(inst, inp), answer))
+    # A ``messages`` column that is not a list (e.g. all-null, inferred as a
+    # string) holds no usable chat and is treated as absent.
+    chat_rows = "messages" in df.columns and isinstance(df.schema["messages"].dataType, T.ArrayType)
     cond = has_messages(df)
-    if "messages" in df.columns and cond is not None and chat is None:
-        raise ValueError("rows with messages need a chat template")
-    if "messages" in df.columns and chat is not None:
+    if chat_rows and chat is None:
+        # Only rows that do carry messages fail (when they are computed).
+        fail = F.raise_error(F.lit("rows with messages need a chat template")).cast("string")
+        return df, F.when(cond, fail).otherwise(instr_branch)
+    if chat_rows:
         # Template failures on messages rows are not caught: no fallback text.
         msg_branch = chat(F.col("messages"), F.lit(None).cast("string"))
         return df, F.when(cond, msg_branch).otherwise(instr_branch)

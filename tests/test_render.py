@@ -76,8 +76,11 @@ def test_plain_fallback_without_template(spark, write, mode):
 
 
 def test_messages_rows_need_a_template(edge_df):
-    with pytest.raises(ValueError, match="chat template"):
-        render(edge_df, "chatml", "train", template=None)
+    with pytest.raises(Exception, match="chat template"):
+        render(edge_df, "chatml", "train", template=None).collect()
+    no_chat = edge_df.where(~has_messages(edge_df))
+    got = dict(rows(render(no_chat, "chatml", "train", template=None, keep=("id",)), "id", "text"))
+    assert got == {r["id"]: py_render(r, "chatml", "train", template=False) for r in EDGE_ROWS if not r.get("messages")}
 
 
 def test_every_row_rendered_none_dropped_none_null(edge_df):
