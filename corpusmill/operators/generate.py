@@ -102,10 +102,19 @@ def generate(
     column: str = "prediction",
     keep_prompt: bool = False,
     batch_size: int = 32,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every input column survives; ``prediction`` is appended, or overwritten
-    in place when the row already has one. Prompts are not truncated."""
+    in place when the row already has one. Prompts are not truncated.
+
+    ``partitions`` deals the prompts round-robin into that many tasks before
+    the model runs. Prompts are small rows whose cost is the model, so
+    byte-sized partitions (what AQE coalesces to) would leave most model
+    workers idle; an explicit count is kept as given. Rows keep their
+    position columns, so each output file is still in source order."""
     cfg = config if isinstance(config, GenerationConfig) else GenerationConfig.parse(config)
+    if partitions:
+        df = df.repartition(int(partitions))
     base, prompt = render_column(df, prompt_type, "prompt", template, custom)
     with_prompt = base.withColumn("_prompt", prompt)
     pred = prediction_udf(factory, cfg, batch_size)(F.col("_prompt"))

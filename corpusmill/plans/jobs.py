@@ -61,6 +61,7 @@ class TestSpec:
     prompt_type: str = "chatml"
     generate_configs: dict | str | None = None
     lossless: bool = False
+    partitions: int | None = None  # model tasks; see operators.generate.generate
     extra: dict = field(default_factory=dict)
 
 
@@ -145,7 +146,13 @@ def run_job(
     kind, backend = TASKS[parsed.task]
     if isinstance(parsed, TestSpec):
         rows = read_prompt_file(spark, parsed.test_file, lossless=parsed.lossless)
-        out = generate(rows, generator, GenerationConfig.parse(parsed.generate_configs), parsed.prompt_type)
+        out = generate(
+            rows,
+            generator,
+            GenerationConfig.parse(parsed.generate_configs),
+            parsed.prompt_type,
+            partitions=parsed.partitions,
+        )
         if parsed.test_output_file:
             write_predictions(out, parsed.test_output_file, lossless=parsed.lossless)
         return out

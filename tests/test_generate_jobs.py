@@ -169,3 +169,19 @@ def test_train_job_with_declared_schema(spark, write):
     tr = write("typed.jsonl", jl({"instruction": "q", "output": "a", "junk": 1}))
     out = run_job(spark, {"task": "train", "train_data_path": tr, "schema": "instruction string, output string"})
     assert rows(out, "text") == [("<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\na<|im_end|>\n",)]
+
+
+def test_generation_partitions_are_kept_as_given(spark, write, tmp_path):
+    src = write("many.jsonl", jl(*[{"i": i, "instruction": f"w{i} x"} for i in range(60)]))
+    rows_ = read_prompt_file(spark, src)
+    out = generate(rows_, first_words_generator, {"max_new_tokens": 1}, partitions=6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(6)" in plan
+    dest = str(tmp_path / "out")
+    write_predictions(out, dest)
+    parts = [n for n in os.listdir(dest) if n.startswith("part-")]
+    assert len(parts) == 6
+    for name in parts:  # every output file is in source order
+        with open(os.path.join(dest, name), encoding="utf-8") as fh:
+            ids = [json.loads(x)["i"] for x in fh if x.strip()]
+        assert ids == sorted(ids)
