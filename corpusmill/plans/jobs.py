@@ -170,6 +170,7 @@ def run_job(
             join_spec(parsed.train_data_path),
             backend,
             missing=exp.missing,
+            options=parsed.extra,
         )
     return out
 

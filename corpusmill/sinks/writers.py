@@ -68,11 +68,16 @@ def write_manifest(
     backend: str,
     counts: DataFrame | None = None,
     missing: Sequence[str] = (),
+    options: dict | None = None,
 ) -> str:
-    """``{train_data_path, backend, missing}`` as a one-row JSON under
-    ``path``; with ``counts``, one JSON line per source file with its row
-    count under ``path/_files`` (written by the tasks, never gathered)."""
-    head = _one_row(spark, {"train_data_path": train_data_path, "backend": backend, "missing": list(missing)})
+    """``{train_data_path, backend, missing, options}`` as a one-row JSON
+    under ``path`` (``options``: the job's trainer settings, carried unread);
+    with ``counts``, one JSON line per source file with its row count under
+    ``path/_files`` (written by the tasks, never gathered)."""
+    head = _one_row(
+        spark,
+        {"train_data_path": train_data_path, "backend": backend, "missing": list(missing), "options": options or {}},
+    )
     head.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     if counts is not None:
         counts.select(

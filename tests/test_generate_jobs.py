@@ -139,13 +139,15 @@ def test_train_job_with_manifest(spark, write, tmp_path):
     work = str(tmp_path / "work")
     out = run_job(
         spark,
-        {"task": "train", "train_data_path": f"{tr};{tmp_path}/gone.jsonl", "dev_split_rate": 0.25, "work_path": work, "max_seq_len": 16},
+        {"task": "train", "train_data_path": f"{tr};{tmp_path}/gone.jsonl", "dev_split_rate": 0.25, "work_path": work, "max_seq_len": 16,
+         "learning_rate": 2e-5, "epochs": 3},
     )
     assert dict(rows(out.groupBy("split").count())) == {"train": 15, "eval": 5}
     assert out.where(F.size("input_ids") > 16).count() == 0
     head, _ = read_manifest(spark, f"{work}/process_data/dataset_manifest.json")
     assert head["backend"] == "hf_jsonl"
     assert json.loads(head["missing"]) == [f"{tmp_path}/gone.jsonl"]
+    assert json.loads(head["options"]) == {"learning_rate": 2e-5, "epochs": 3}
 
 
 def test_pretrain_job_eval_spec_falls_through_to_rate(spark, write, tmp_path):
