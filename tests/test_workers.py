@@ -36,7 +36,8 @@ def test_udf_queries_run_from_another_directory(tmp_path):
         "from corpusmill.session import build_session\n"
         "from __spark_entry__ import queries\n"
         "spark = build_session(master='local[2]', shuffle_partitions=2, driver_memory='2g')\n"
-        "for name in ('generate', 'whole_text', 'custom_render', 'worker_init', 'batch_map'):\n"
+        "for name in ('generate', 'whole_text', 'custom_render', 'worker_init', 'batch_map', 'strip_prediction',\n"
+        "             'append_field', 'row_passthrough', 'prediction_sink_lossless', 'run_job_test', 'union_chunks'):\n"
         "    n = queries()[name](spark, %r).count()\n"
         "    assert n > 0, name\n"
         "print('ok')\n"
