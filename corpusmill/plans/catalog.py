@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.prompts import (
@@ -27,6 +27,7 @@ from corpusmill.functions.schema import has_messages
 from corpusmill.functions.tokens import encode_codepoints, tokenize, truncate
 from corpusmill.functions.udf import batch_map, custom_chat, encode_with
 from corpusmill.operators.generate import GenerationConfig, first_words_generator, generate
+from corpusmill.operators.ordered import next_in_group
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
 from corpusmill.operators.runlog import number_runs, phase_durations, read_run_logs, run_outcomes
 from corpusmill.operators.split import assign_split, split_dataset
@@ -433,14 +434,15 @@ def q_output_order(spark, sf_dir):
     out = generate(rows.withColumn("src_file", F.col("_file_ord")), first_words_generator, GEN)
     dest = fx.fixture_dir(spark, "predictions")
     write_predictions(out, dest)
-    back = read_json_corpus(spark, dest)
-    w = Window.partitionBy("_file_ord", "src_file").orderBy("_block_ord", "_row_ord")
-    prev = F.lag(F.struct("conv_id", "turn")).over(w)
-    return back.select(
+    back = read_json_corpus(spark, dest).withColumn("key", F.struct("conv_id", "turn"))
+    # Each output row is before the next row written from the same source file
+    # (next row found per range slice, so a large output file is not one task).
+    nxt = next_in_group(back, ["_file_ord", "src_file"], ["_block_ord", "_row_ord"], ["key"])
+    return nxt.select(
         "conv_id",
         "turn",
         "prediction",
-        F.coalesce(prev < F.struct("conv_id", "turn"), F.lit(True)).alias("in_order"),
+        F.coalesce(F.col("key") < F.col("next_key"), F.lit(True)).alias("in_order"),
     )
 
 
