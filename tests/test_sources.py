@@ -239,3 +239,19 @@ def test_scan_prunes_columns(spark, write):
     df = read_json_corpus(spark, a).select("x").where(F.col("x") > 0)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<x:bigint>" in plan or "struct<x:bigint>" in plan
+
+
+def test_bulk_listing_equals_per_entry_answers(spark, write, tmp_path):
+    from corpusmill.sources.files import _info, _jpath, list_children
+
+    names = ["a b.jsonl", "x[1].jsonl", "p%20q.jsonl", "ü.json", "e f.json", "emoji🙂.jsonl", "semi;c,p+e=.jsonl",
+             "hash#q.jsonl", "q'uote(1).jsonl", "tab\tx.jsonl", "plain.jsonl", "_h.jsonl", "sub.jsonl/in.jsonl"]
+    for n in names:
+        write(f"t/{n}", "{}\n")
+    d = str(tmp_path / "t")
+    fast = sorted((f.path, f.uri, f.name, f.is_dir) for f in list_children(spark, d))
+    fs, path = _jpath(spark, d)
+    slow = sorted((f.path, f.uri, f.name, f.is_dir) for f in (_info(s) for s in fs.listStatus(path)))
+    assert fast == slow and len(fast) == len(names)
+    df = read_json_corpus(spark, d)  # every listed file is read and joined to its position
+    assert df.count() == 11 and df.select("_file_ord").distinct().count() == 11
