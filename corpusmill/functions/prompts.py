@@ -158,12 +158,19 @@ def render_column(
     else:
         instr_branch = chat(instruction_messages(inst, inp, answer), plain_text(user_turn(inst, inp), answer))
     # A ``messages`` column that is not a list (e.g. all-null, inferred as a
-    # string) holds no usable chat and is treated as absent.
-    chat_rows = "messages" in df.columns and isinstance(df.schema["messages"].dataType, T.ArrayType)
+    # string) holds no usable chat and is treated as absent. A list whose items
+    # are not {role, content} objects (only ``[]`` seen: inferred as strings)
+    # is usable only when empty; a non-empty one fails its row.
+    mtype = df.schema["messages"].dataType if "messages" in df.columns else None
+    chat_rows = isinstance(mtype, T.ArrayType)
+    shaped = chat_rows and isinstance(mtype.elementType, T.StructType) and {"role", "content"} <= set(
+        mtype.elementType.fieldNames()
+    )
     cond = has_messages(df)
-    if chat_rows and chat is None:
+    if chat_rows and (chat is None or not shaped):
         # Only rows that do carry messages fail (when they are computed).
-        fail = F.raise_error(F.lit("rows with messages need a chat template")).cast("string")
+        why = "rows with messages need a chat template" if shaped else "messages must be a list of {role, content}"
+        fail = F.raise_error(F.lit(why)).cast("string")
         return df, F.when(cond, fail).otherwise(instr_branch)
     if chat_rows:
         # Template failures on messages rows are not caught: no fallback text.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import os
 from decimal import Decimal
 
 from conftest import rows
@@ -18,7 +19,8 @@ from corpusmill.functions.tokens import encode_codepoints, encode_truncated, tru
 from corpusmill.operators.split import assign_split
 from corpusmill.sources.json_corpus import read_json_corpus
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+# PROP_EXAMPLES=60 for a deeper run; each example is one small Spark job.
+SETTINGS = settings(max_examples=int(os.environ.get("PROP_EXAMPLES", "8")), deadline=None, suppress_health_check=list(HealthCheck))
 
 texts = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=40)
 

@@ -164,3 +164,14 @@ def test_default_system_on_empty_and_null_lists(spark):
     df = spark.createDataFrame([(1, []), (2, None)], "id int, messages array<struct<content:string,role:string>>")
     got = dict(rows(df.select("id", chat_text(F.col("messages"), tpl).alias("t"))))
     assert got == {1: "[system]: sys!\n", 2: None}
+
+
+def test_messages_column_of_empty_lists_only(spark, write):
+    p = write("empty_msgs.jsonl", json.dumps({"id": 1, "instruction": "q", "messages": []}) + "\n")
+    df = read_json_corpus(spark, p)
+    assert dict(df.dtypes)["messages"] == "array<string>"
+    got = rows(render(df, "chatml", "train", keep=("id",)), "id", "text")
+    assert got == [(1, py_render({"instruction": "q"}, "chatml", "train"))]
+    bad = write("str_msgs.jsonl", json.dumps({"id": 2, "messages": ["hi"]}) + "\n")
+    with pytest.raises(Exception, match="role, content"):
+        render(read_json_corpus(spark, bad), "chatml", "train").collect()
