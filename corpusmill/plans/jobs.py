@@ -18,7 +18,7 @@ from corpusmill.functions.tokens import effective_max_length, tokenize
 from corpusmill.operators.generate import GenerationConfig, first_words_generator, generate
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
 from corpusmill.operators.split import split_dataset
-from corpusmill.sinks.writers import write_dataset, write_manifest, write_predictions, write_sidecar
+from corpusmill.sinks.writers import file_row_counts, write_dataset, write_manifest, write_predictions, write_sidecar
 from corpusmill.sources.corpus import read_pretrain_corpus, union_chunks
 from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file
 from corpusmill.sources.paths import expand_spec, join_spec, offline_file_list, route_by_suffix
@@ -50,6 +50,7 @@ class TrainSpec:
     max_target_length: int = 1536
     work_path: str | None = None
     schema: str | None = None  # DDL of the JSON rows; skips schema inference
+    manifest_counts: bool = False  # per-file row counts in the manifest (one more scan)
     extra: dict = field(default_factory=dict)
 
 
@@ -164,11 +165,19 @@ def run_job(
         out = pretrain_dataset(spark, parsed, encoder)
     if parsed.work_path:
         exp = expand_spec(spark, parsed.train_data_path)
+        counts = None
+        if parsed.manifest_counts:
+            if kind == "pretrain":
+                scanned = read_pretrain_corpus(spark, parsed.train_data_path)
+            else:
+                scanned = read_json_corpus(spark, parsed.train_data_path, schema=parsed.schema)
+            counts = file_row_counts(scanned)
         write_manifest(
             spark,
             f"{parsed.work_path.rstrip('/')}/process_data/dataset_manifest.json",
             join_spec(parsed.train_data_path),
             backend,
+            counts=counts,
             missing=exp.missing,
             options=parsed.extra,
         )

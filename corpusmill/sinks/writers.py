@@ -57,7 +57,10 @@ def write_predictions(df: DataFrame, path: str, lossless: bool = False) -> str:
 
 
 def file_row_counts(df: DataFrame) -> DataFrame:
-    """Rows per source file (one row per file: bounded by the file list)."""
+    """Rows per source file (one row per file: bounded by the file list;
+    partially aggregated before the shuffle)."""
+    if "_path" not in df.columns:  # whole-text chunks carry no path column
+        df = df.withColumn("_path", F.lit(None).cast("string"))
     return df.groupBy("_file_ord", "_spec_ord", "_path").agg(F.count("*").cast("bigint").alias("rows"))
 
 

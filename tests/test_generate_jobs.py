@@ -187,3 +187,14 @@ def test_generation_partitions_are_kept_as_given(spark, write, tmp_path):
         with open(os.path.join(dest, name), encoding="utf-8") as fh:
             ids = [json.loads(x)["i"] for x in fh if x.strip()]
         assert ids == sorted(ids)
+
+
+def test_manifest_with_per_file_counts(spark, write, tmp_path):
+    a = write("c/a.jsonl", jl(*[{"text": f"a{i}"} for i in range(7)]))
+    b = write("c/b.jsonl", jl(*[{"text": f"b{i}"} for i in range(3)]))
+    t = write("c/t.txt", "whole file")
+    work = str(tmp_path / "w")
+    run_job(spark, {"task": "pretrain", "train_data_path": f"{a};{b};{t}", "work_path": work, "manifest_counts": True})
+    head, files = read_manifest(spark, f"{work}/process_data/dataset_manifest.json")
+    assert head["backend"] == "hf_text"
+    assert rows(files.select("file_ord", "rows"), order=["file_ord"]) == [(0, 7), (1, 3), (2, 1)]
