@@ -107,14 +107,18 @@ def generate(
     """Every input column survives; ``prediction`` is appended, or overwritten
     in place when the row already has one. Prompts are not truncated.
 
-    ``partitions`` deals the prompts round-robin into that many tasks before
-    the model runs. Prompts are small rows whose cost is the model, so
-    byte-sized partitions (what AQE coalesces to) would leave most model
-    workers idle; an explicit count is kept as given. Rows keep their
-    position columns, so each output file is still in source order."""
+    ``partitions`` cuts the prompts into that many tasks before the model
+    runs. Prompts are small rows whose cost is the model, so byte-sized
+    partitions (what AQE coalesces to) would leave most model workers idle;
+    an explicit count is kept as given. Rows read through ``corpusmill.sources``
+    are range-partitioned by their source position: task ``i`` holds the
+    ``i``-th stretch of the input, so the output files, in name order, are the
+    input order (the range sample reads the prompt rows, never the model's
+    output). Other rows are dealt round-robin."""
     cfg = config if isinstance(config, GenerationConfig) else GenerationConfig.parse(config)
     if partitions:
-        df = df.repartition(int(partitions))
+        oc = order_cols(df)
+        df = df.repartitionByRange(int(partitions), *oc) if oc else df.repartition(int(partitions))
     base, prompt = render_column(df, prompt_type, "prompt", template, custom)
     with_prompt = base.withColumn("_prompt", prompt)
     pred = prediction_udf(factory, cfg, batch_size)(F.col("_prompt"))

@@ -152,7 +152,9 @@ def run_job(
             generator,
             GenerationConfig.parse(parsed.generate_configs),
             parsed.prompt_type,
-            partitions=parsed.partitions,
+            # one input stretch per core by default: balanced model tasks, and
+            # output files that read back in input order
+            partitions=parsed.partitions or spark.sparkContext.defaultParallelism,
         )
         if parsed.test_output_file:
             write_predictions(out, parsed.test_output_file, lossless=parsed.lossless)

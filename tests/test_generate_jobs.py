@@ -159,6 +159,18 @@ def test_pretrain_job_eval_spec_falls_through_to_rate(spark, write, tmp_path):
     assert dict(rows(out.groupBy("split").count())) == {"train": 36, "eval": 4}
 
 
+def test_test_job_output_in_input_order_across_splits(spark, write, tmp_path):
+    src = write("order.jsonl", jl(*[{"i": i, "instruction": f"w{i} " + "z" * 60} for i in range(3000)]))
+    dest = str(tmp_path / "pred")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # many input splits, packed out of order
+    try:
+        run_job(spark, {"task": "test", "test_file": src, "test_output_file": dest, "generate_configs": {"max_new_tokens": 1}})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [json.loads(x)["i"] for x in part_lines(dest)] == list(range(3000))
+
+
 def test_test_job_writes_predictions(spark, write, tmp_path):
     src = write("prompts.jsonl", jl({"instruction": "one two three"}, {"messages": [{"role": "user", "content": "hey you"}]}))
     dest = str(tmp_path / "pred")
@@ -178,15 +190,16 @@ def test_generation_partitions_are_kept_as_given(spark, write, tmp_path):
     rows_ = read_prompt_file(spark, src)
     out = generate(rows_, first_words_generator, {"max_new_tokens": 1}, partitions=6)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning(6)" in plan
+    assert "rangepartitioning(_file_ord" in plan.lower() and ", 6)" in plan
     dest = str(tmp_path / "out")
     write_predictions(out, dest)
     parts = [n for n in os.listdir(dest) if n.startswith("part-")]
     assert len(parts) == 6
-    for name in parts:  # every output file is in source order
-        with open(os.path.join(dest, name), encoding="utf-8") as fh:
-            ids = [json.loads(x)["i"] for x in fh if x.strip()]
-        assert ids == sorted(ids)
+    # the output files, read in name order, are the input order
+    assert [json.loads(x)["i"] for x in part_lines(dest)] == list(range(60))
+    plain = spark.createDataFrame([(i, f"w{i}") for i in range(20)], "i int, instruction string")
+    rr = generate(plain, first_words_generator, {"max_new_tokens": 1}, partitions=4)
+    assert "RoundRobinPartitioning(4)" in rr._jdf.queryExecution().executedPlan().toString()
 
 
 def test_manifest_with_per_file_counts(spark, write, tmp_path):

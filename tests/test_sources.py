@@ -255,3 +255,20 @@ def test_bulk_listing_equals_per_entry_answers(spark, write, tmp_path):
     assert fast == slow and len(fast) == len(names)
     df = read_json_corpus(spark, d)  # every listed file is read and joined to its position
     assert df.count() == 11 and df.select("_file_ord").distinct().count() == 11
+
+
+def test_row_order_survives_many_splits_per_file(spark, write):
+    a = write("big/a.jsonl", jl(*[{"i": i, "pad": "x" * 40} for i in range(5000)]))
+    b = write("big/b.jsonl", jl(*[{"i": 10_000 + i, "pad": "y" * 40} for i in range(3000)]))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_json_corpus(spark, f"{b};{a}")
+        assert df.select("_block_ord").distinct().count() > 10  # really split
+        got = [r[0] for r in rows(df, "i", order=["_file_ord", "_block_ord", "_row_ord"])]
+        lossless = read_prompt_file(spark, a, lossless=True)
+        got_lossless = [r[0] for r in rows(lossless, "i", order=["_file_ord", "_block_ord", "_row_ord"])]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(range(10_000, 13_000)) + list(range(5000))
+    assert got_lossless == list(range(5000))
