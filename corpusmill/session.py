@@ -76,12 +76,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """``DataFrame.checkpoint`` needs the SparkContext to know the folder."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy row work enough tasks.
 
