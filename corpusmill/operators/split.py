@@ -3,16 +3,17 @@
 Rate split contract: ``k = ceil(rate * n)`` rows (``rate`` taken as a decimal
 from its string form, so 0.07 of 100 is 7) go to ``eval``: the rows with the
 ``k`` smallest sort keys ``md5('<seed>:<key>')`` (ties broken by the key and
-then by the row's position, so identical rows are never merged). Only
-``0 < rate < 1`` splits; any other rate gives train only.
+then by the row's position, so identical rows are never merged). Without a
+key the row's content is hashed, so the split does not move when Spark cuts
+the files into splits differently. Only ``0 < rate < 1`` splits; any other
+rate gives train only.
 
 Finding the k-th smallest key is a distributed selection, not a sort: a
 histogram of the first 4 hex digits (at most 65,536 groups, partial
 aggregation before the shuffle) locates the bucket holding rank k; only that
 bucket is refined (past the prefix all its keys share, then 4 more digits)
 until it holds at most ``exact_limit`` rows, whose top ranks are taken with a
-bounded top-k. The
-labels are then a plain projection, ``sk <= boundary``: no global sort, no
+bounded top-k. The labels are then a plain projection, ``sk <= boundary``: no global sort, no
 single-partition window, and a hot key only makes one bucket bigger, never a
 task.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.session import materialize
-from corpusmill.sources.json_corpus import ORDER_COLS
+from corpusmill.sources.json_corpus import META_COLS, ORDER_COLS
 
 HEX_STEP = 4
 EXACT_LIMIT = 50_000
@@ -56,10 +57,13 @@ def sort_key(df: DataFrame, key: Sequence[str] | None, seed: int, unique: bool)
         )
         parts = [F.md5(F.concat(F.lit(f"{seed}:"), key_str))]
     else:
-        pos = [F.col(c).cast("string") for c in ORDER_COLS if c in df.columns]
-        if not pos:
-            raise ValueError("no key given and rows carry no position columns")
-        parts = [F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws(":", *pos)))]
+        # No key: the row's content (its raw line when kept, else the JSON of
+        # its data columns), so the ranking does not depend on how Spark cut
+        # the files into splits; identical rows tie and are told apart by
+        # position below, and being identical, which copy is picked is moot.
+        data = [c for c in df.columns if c not in META_COLS and c != "_raw"]
+        content = F.col("_raw") if "_raw" in df.columns else F.to_json(F.struct(*[F.col(c) for c in data]))
+        parts = [F.md5(F.concat(F.lit(f"{seed}:"), content))]
         unique = False
     if not unique:
         pos = [c for c in ORDER_COLS if c in df.columns]

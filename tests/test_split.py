@@ -95,3 +95,27 @@ def test_split_plan_has_no_global_sort(spark):
     out = assign_split(df, 0.1, key="doc_id", unique=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Window" not in plan and "Exchange" not in plan
+
+
+def test_keyless_split_does_not_depend_on_file_splits(spark, write):
+    import json
+    from collections import Counter
+
+    from corpusmill.sources.json_corpus import read_json_corpus
+
+    lines = [json.dumps({"i": i % 2500, "t": "x" * 50}) for i in range(3000)]  # 500 exact duplicates
+    p = write("keyless.jsonl", "\n".join(lines) + "\n")
+
+    def eval_rows():
+        df = read_json_corpus(spark, p)
+        out = assign_split(df, 0.1)
+        return Counter(r[0] for r in rows(out.where(F.col("split") == "eval"), "i"))
+
+    default = eval_rows()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        fine = eval_rows()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sum(default.values()) == 300 and default == fine
