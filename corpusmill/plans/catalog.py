@@ -585,7 +585,8 @@ def _log_fixture(spark, sf_dir) -> str:
         "is_total_start",
     )
     root = fx.fixture_dir(spark, "runlogs")
-    rows.write.partitionBy("log_id").json(root)
+    # one file per log, as a run log is one appended file
+    rows.repartition("log_id").write.partitionBy("log_id").json(root)
     return root
 
 
