@@ -50,10 +50,11 @@ def sort_key(df: DataFrame, key: Sequence[str] | None, seed: int, unique: bool)
     ``md5('<seed>:<key>')`` and, unless the key is declared unique, 16 digits
     per position column."""
     if key:
+        # a null key value is hashed as NUL, so such rows are ranked too
         key_str = (
-            F.col(key[0]).cast("string")
+            F.coalesce(F.col(key[0]).cast("string"), F.lit("\u0000"))
             if len(key) == 1
-            else F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+            else F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in key])
         )
         parts = [F.md5(F.concat(F.lit(f"{seed}:"), key_str))]
     else:

@@ -119,3 +119,13 @@ def test_keyless_split_does_not_depend_on_file_splits(spark, write):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sum(default.values()) == 300 and default == fine
+
+
+def test_null_keys_are_ranked_not_dropped(spark, write):
+    import json
+
+    from corpusmill.sources.json_corpus import read_json_corpus
+
+    p = write("nullkeys.jsonl", "".join(json.dumps({"k": (None if i % 5 == 0 else i), "v": i}) + "\n" for i in range(200)))
+    out = assign_split(read_json_corpus(spark, p), 0.25, key="k")
+    assert dict(rows(out.groupBy("split").count())) == {"eval": 50, "train": 150}
