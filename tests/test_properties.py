@@ -78,3 +78,38 @@ def test_render_matches_python_on_random_rows(spark, tmp_path_factory, batch, pr
     df = read_json_corpus(spark, str(path))
     got = dict(rows(render(df, prompt_type, mode, keep=("id",)), "id", "text"))
     assert got == {i: py_render(r, prompt_type, mode) for i, r in enumerate(batch)}
+
+
+uni = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=12)
+VALUE = {"str": uni, "int": st.integers(-(2**62), 2**62), "bool": st.booleans(), "list": st.lists(uni, max_size=3)}
+
+
+@st.composite
+def jsonl_batches(draw):
+    types = draw(st.fixed_dictionaries({k: st.sampled_from(sorted(VALUE)) for k in ("a", "b", "c")}))
+    row = st.fixed_dictionaries({}, optional={k: st.one_of(st.none(), VALUE[t]) for k, t in types.items()})
+    rows_ = draw(st.lists(row, min_size=1, max_size=30))
+    blanks = draw(st.lists(st.sampled_from(["", "  ", "\t"]), min_size=len(rows_), max_size=len(rows_)))
+    return types, rows_, blanks
+
+
+@SETTINGS
+@given(jsonl_batches())
+def test_jsonl_round_trip_matches_python(spark, tmp_path_factory, batch):
+    types, rows_, blanks = batch
+    lines = []
+    for i, (r, b) in enumerate(zip(rows_, blanks)):
+        lines.append(json.dumps({"i": i, **r}, ensure_ascii=bool(i % 2)))
+        if b or i % 3 == 0:
+            lines.append(b)  # blank and whitespace-only lines between rows
+    path = tmp_path_factory.mktemp("rt") / "rows.jsonl"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    df = read_json_corpus(spark, str(path))
+    keys = [k for k in ("a", "b", "c") if k in df.columns]
+    got = [tuple(r) for r in df.orderBy("_file_ord", "_block_ord", "_row_ord").select("i", *keys).collect()]
+    want = [(i, *[r.get(k) for k in keys]) for i, r in enumerate(rows_)]
+    assert got == want
+    for k in keys:  # a key never given a value infers as string; otherwise its own type
+        seen = any(r.get(k) is not None for r in rows_)
+        expect = {"str": "string", "int": "bigint", "bool": "boolean", "list": "array<string>"}[types[k]]
+        assert dict(df.dtypes)[k] == (expect if seen else "string") or (types[k] == "list" and not seen)
