@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 GLOB_CHARS = "\\[]{}*?"
 # Characters java.net.URI leaves as they are in a path (the rest is quoted).
 URI_PLAIN = frozenset(string.ascii_letters + string.digits + "-_.!~*'();&=+$,@")
-_STATUS = re.compile(r"path=(.*?); isDirectory=(true|false)")
+_STATUS = re.compile(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?")
 
 
 @dataclass(frozen=True)
@@ -83,8 +83,9 @@ def list_children(spark: SparkSession, p: str) -> list[FileInfo]:
     for i, m in enumerate(parsed):
         full = m.group(1)
         name = full.rsplit("/", 1)[-1]
-        if name and set(name) <= URI_PLAIN:
-            out.append(FileInfo(full, f"{parent_uri}/{name}", name, m.group(2) == "true", -1))
+        if name and set(name) <= URI_PLAIN and (m.group(2) == "true" or m.group(3) is not None):
+            length = int(m.group(3)) if m.group(3) is not None else 0
+            out.append(FileInfo(full, f"{parent_uri}/{name}", name, m.group(2) == "true", length))
         else:
             out.append(_info(statuses[i]))
     return out

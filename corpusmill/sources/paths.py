@@ -26,7 +26,7 @@ class SpecFile:
     uri: str
     name: str
     spec_ord: int  # which part of the spec produced the file
-    length: int = 0
+    length: int = -1  # bytes; -1 when unknown
 
 
 @dataclass

@@ -74,6 +74,13 @@ def read_text_files(
             if with_path:
                 cols.append("_path")
             parts.append(joined.select(*cols))
+            # Spark's file scan skips zero-length files; each is still one
+            # row with empty text (sizes are known from the listing).
+            empty = [(o, f) for o, f in chunk if f.length == 0]
+            if empty:
+                rows = [("", int(o), int(f.spec_ord), 0, 0) + ((f.uri,) if with_path else ()) for o, f in empty]
+                schema = "text string, _file_ord bigint, _spec_ord bigint, _block_ord bigint, _row_ord bigint"
+                parts.append(spark.createDataFrame(rows, schema + (", _path string" if with_path else "")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

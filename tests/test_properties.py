@@ -113,3 +113,22 @@ def test_jsonl_round_trip_matches_python(spark, tmp_path_factory, batch):
         seen = any(r.get(k) is not None for r in rows_)
         expect = {"str": "string", "int": "bigint", "bool": "boolean", "list": "array<string>"}[types[k]]
         assert dict(df.dtypes)[k] == (expect if seen else "string") or (types[k] == "list" and not seen)
+
+
+@SETTINGS
+@given(st.lists(st.binary(max_size=40).map(lambda b: b.replace(b"x", b"\r").replace(b"y", b"\n")), min_size=1, max_size=6))
+def test_whole_text_decoding_matches_python_text_mode(spark, tmp_path_factory, blobs):
+    from corpusmill.sources.paths import expand_spec
+    from corpusmill.sources.text_corpus import read_text_files
+
+    d = tmp_path_factory.mktemp("txt")
+    paths = []
+    for i, b in enumerate(blobs):
+        p = d / f"f{i}.txt"
+        p.write_bytes(b"\xef\xbb\xbf" + b if i == 0 else b)
+        paths.append(str(p))
+    exp = expand_spec(spark, paths, literal=True)
+    got = dict(rows(read_text_files(spark, exp.files), "_file_ord", "text"))
+    for i, p in enumerate(paths):
+        with open(p, encoding="utf-8", errors="ignore") as fh:  # text mode: universal newlines
+            assert got[i] == fh.read()

@@ -272,3 +272,12 @@ def test_row_order_survives_many_splits_per_file(spark, write):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(range(10_000, 13_000)) + list(range(5000))
     assert got_lossless == list(range(5000))
+
+
+def test_empty_text_file_is_one_empty_row(spark, write):
+    a = write("e/empty.txt", b"")
+    b = write("e/full.txt", "x")
+    exp = expand_spec(spark, [a, b, a], literal=True)
+    assert rows(read_text_files(spark, exp.files), "_file_ord", "text", order=["_file_ord"]) == [(0, ""), (1, "x"), (2, "")]
+    df = read_pretrain_corpus(spark, f"{a};{b}")
+    assert rows(df, "text", order=["_file_ord"]) == [("",), ("x",)]
