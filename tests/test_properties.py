@@ -132,3 +132,54 @@ def test_whole_text_decoding_matches_python_text_mode(spark, tmp_path_factory, b
     for i, p in enumerate(paths):
         with open(p, encoding="utf-8", errors="ignore") as fh:  # text mode: universal newlines
             assert got[i] == fh.read()
+
+
+def _first_words(text: str, k: int) -> str:
+    import re
+
+    return " ".join([w for w in re.split(r"[ \t\n\r]+", text) if w][:k]).strip()
+
+
+@st.composite
+def prompt_lines(draw):
+    n = draw(st.integers(1, 12))
+    out = []
+    for _ in range(n):
+        row = draw(
+            st.fixed_dictionaries(
+                {},
+                optional={
+                    "instruction": st.one_of(st.none(), uni),
+                    "input": st.one_of(st.none(), uni),
+                    "x": st.one_of(st.none(), st.integers(-5, 5)),
+                    "y": st.one_of(st.none(), st.lists(uni, max_size=2)),
+                    "prediction": st.one_of(st.none(), uni),
+                },
+            )
+        )
+        order = draw(st.permutations(sorted(row)))
+        out.append(json.dumps({k: row[k] for k in order}, ensure_ascii=draw(st.booleans())))
+    return out
+
+
+@SETTINGS
+@given(prompt_lines())
+def test_lossless_predictions_match_python(spark, tmp_path_factory, lines):
+    from corpusmill.operators.generate import first_words_generator, generate
+    from corpusmill.sinks.writers import write_predictions
+    from corpusmill.sources.json_corpus import read_prompt_file
+
+    d = tmp_path_factory.mktemp("pl")
+    src = d / "p.jsonl"
+    src.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    out = generate(read_prompt_file(spark, str(src), lossless=True), first_words_generator, {"max_new_tokens": 5})
+    write_predictions(out, str(d / "out"), lossless=True)
+    got = []
+    for name in sorted(p.name for p in (d / "out").iterdir() if p.name.startswith("part-")):
+        got += [x for x in (d / "out" / name).read_text(encoding="utf-8").split("\n") if x]
+    want = []
+    for line in lines:
+        row = json.loads(line)
+        row["prediction"] = _first_words(py_render({k: v for k, v in row.items() if k != "prediction"}, "chatml", "prompt"), 5)
+        want.append(json.dumps(row, ensure_ascii=False))
+    assert got == want
