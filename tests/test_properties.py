@@ -183,3 +183,36 @@ def test_lossless_predictions_match_python(spark, tmp_path_factory, lines):
         row["prediction"] = _first_words(py_render({k: v for k, v in row.items() if k != "prediction"}, "chatml", "prompt"), 5)
         want.append(json.dumps(row, ensure_ascii=False))
     assert got == want
+
+
+@st.composite
+def conversations(draw):
+    rows_ = []
+    for conv in range(draw(st.integers(1, 5))):
+        turns = draw(st.lists(st.integers(-100, 400), min_size=1, max_size=80, unique=True))
+        for t in turns:
+            role = draw(st.sampled_from(["user", "assistant", "system"]))
+            rows_.append((conv, t, role, draw(st.one_of(st.none(), uni))))
+    return rows_
+
+
+@SETTINGS
+@given(conversations(), st.booleans())
+def test_turn_rows_assemble_like_python(spark, turn_rows, gen):
+    from corpusmill.functions.prompts import CHATML
+    from corpusmill.operators.conversations import conversation_messages, render_turns
+
+    df = spark.createDataFrame(turn_rows, "conv_id bigint, turn bigint, role string, text string")
+    got_text = dict(rows(render_turns(df, template=CHATML, add_generation_prompt=gen, block=8), "conv_id", "text"))
+    got_msgs = {
+        r[0]: [(m["role"], m["content"]) for m in r[1]]
+        for r in conversation_messages(df, block=8).select("conv_id", "messages").collect()
+    }
+    by_conv = {}
+    for c, t, role, text in turn_rows:
+        by_conv.setdefault(c, []).append((t, role, text))
+    for c, turns in by_conv.items():
+        ordered = [(role, text) for _, role, text in sorted(turns, key=lambda x: x[0])]
+        want = "".join(f"<|im_start|>{r}\n{x or ''}<|im_end|>\n" for r, x in ordered)
+        assert got_text[c] == want + ("<|im_start|>assistant\n" if gen else "")
+        assert got_msgs[c] == ordered
