@@ -216,3 +216,58 @@ def test_turn_rows_assemble_like_python(spark, turn_rows, gen):
         want = "".join(f"<|im_start|>{r}\n{x or ''}<|im_end|>\n" for r, x in ordered)
         assert got_text[c] == want + ("<|im_start|>assistant\n" if gen else "")
         assert got_msgs[c] == ordered
+
+
+@st.composite
+def run_logs(draw):
+    ev = []
+    seq = 0
+    for log in range(draw(st.integers(1, 3))):
+        n = draw(st.integers(50, 200)) if log == 0 else draw(st.integers(1, 30))  # log 0 is hot
+        for _ in range(n):
+            ev.append(
+                (
+                    log,
+                    seq,
+                    draw(st.integers(0, 40)) * 0.25,  # ties in ts are common
+                    draw(st.sampled_from(["start", "train", "inference", "end"])),
+                    draw(st.sampled_from(["running", "fail", "success"])),
+                    draw(st.booleans()),
+                    draw(st.integers(0, 9)) == 0,
+                )
+            )
+            seq += 1
+    return ev
+
+
+@SETTINGS
+@given(run_logs())
+def test_run_log_analytics_match_python(spark, events):
+    from corpusmill.operators.runlog import number_runs, phase_durations, run_outcomes
+
+    schema = "log_id int, seq bigint, ts double, phase string, status string, isfin boolean, is_total_start boolean"
+    df = spark.createDataFrame(events, schema)
+    runs = number_runs(df, tiebreak=("seq",))
+    got_runs = dict(rows(runs, "seq", "run_no"))
+    got_pairs = {r[0]: (r[1], r[2]) for r in rows(phase_durations(runs, tiebreak=("seq",)), "seq", "state", "micros")}
+    got_out = {(r[0], r[1]): (r[2], r[3]) for r in rows(run_outcomes(runs), "log_id", "run_no", "outcome", "n_events")}
+
+    want_runs, want_pairs, groups = {}, {}, {}
+    for log in {e[0] for e in events}:
+        count = 0
+        for e in sorted((e for e in events if e[0] == log), key=lambda e: (e[2], e[1])):
+            count += e[6]
+            want_runs[e[1]] = count
+            groups.setdefault((log, count, e[3]), []).append(e)
+    for evs in groups.values():
+        for a, b in zip(evs, evs[1:] + [None]):
+            if not a[5]:
+                closed = b is not None and b[5]
+                want_pairs[a[1]] = ("closed", round((b[2] - a[2]) * 1_000_000)) if closed else ("open", None)
+    want_out = {}
+    for e in events:
+        k = (e[0], want_runs[e[1]])
+        ok, bad, n = want_out.get(k, (False, False, 0))
+        want_out[k] = (ok or e[3] == "end" or e[4] == "success", bad or e[4] == "fail", n + 1)
+    want_out = {k: ("success" if ok else "fail" if bad else "incomplete", n) for k, (ok, bad, n) in want_out.items()}
+    assert got_runs == want_runs and got_pairs == want_pairs and got_out == want_out
