@@ -271,3 +271,35 @@ def test_run_log_analytics_match_python(spark, events):
         want_out[k] = (ok or e[3] == "end" or e[4] == "success", bad or e[4] == "fail", n + 1)
     want_out = {k: ("success" if ok else "fail" if bad else "incomplete", n) for k, (ok, bad, n) in want_out.items()}
     assert got_runs == want_runs and got_pairs == want_pairs and got_out == want_out
+
+
+@st.composite
+def mixtures(draw):
+    files = []
+    for f in range(draw(st.integers(1, 4))):
+        n = draw(st.integers(0, 6))
+        files.append((draw(st.sampled_from(["jsonl", "array"])), [{"f": f, "r": r, "s": draw(uni)} for r in range(n)]))
+    spec = draw(st.lists(st.integers(0, len(files) - 1), min_size=1, max_size=7))
+    return files, spec
+
+
+@SETTINGS
+@given(mixtures())
+def test_mixture_is_the_concatenation_in_spec_order(spark, tmp_path_factory, mix):
+    files, spec = mix
+    d = tmp_path_factory.mktemp("mix")
+    paths = []
+    for f, (layout, recs) in enumerate(files):
+        if layout == "jsonl":
+            p = d / f"f{f}.jsonl"
+            p.write_text("".join(json.dumps(r) + "\n" for r in recs), encoding="utf-8")
+        else:
+            p = d / f"f{f}.json"
+            p.write_text(json.dumps(recs, indent=2), encoding="utf-8")
+        paths.append(str(p))
+    if not any(files[i][1] for i in spec):
+        return  # nothing to read
+    df = read_json_corpus(spark, [paths[i] for i in spec], literal=True)
+    got = [tuple(r) for r in df.orderBy("_file_ord", "_block_ord", "_row_ord").select("_file_ord", "f", "r", "s").collect()]
+    want = [(k, rec["f"], rec["r"], rec["s"]) for k, i in enumerate(spec) for rec in files[i][1]]
+    assert got == want
