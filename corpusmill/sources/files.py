@@ -62,6 +62,31 @@ def stat(spark: SparkSession, p: str) -> FileInfo | None:
     return _info(fs.getFileStatus(path))
 
 
+def stat_many(spark: SparkSession, parts: list[str], min_group: int = 8) -> list[FileInfo | None]:
+    """``stat`` of every part (``None`` when missing), in order. Parts that
+    share a parent directory with at least ``min_group`` others are resolved
+    from one listing of that directory instead of one round trip each; any
+    part the listing does not answer plainly falls back to ``stat``."""
+    groups: dict[str, list[tuple[int, str]]] = {}
+    for i, part in enumerate(parts):
+        parent, _, name = part.rstrip("/").rpartition("/")
+        odd = not parent or name in ("", ".", "..") or "/./" in f"{parent}/" or "/../" in f"{parent}/"
+        groups.setdefault("" if odd else parent, []).append((i, name))
+    out: list[FileInfo | None] = [None] * len(parts)
+    for parent, items in groups.items():
+        listing = None
+        if parent and len(items) >= min_group:
+            info = stat(spark, parent)
+            if info is not None and info.is_dir:
+                listing = {f.name: f for f in list_children(spark, parent)}
+        for i, name in items:
+            if listing is not None:
+                out[i] = listing.get(name)
+            else:
+                out[i] = stat(spark, parts[i])
+    return out
+
+
 def list_children(spark: SparkSession, p: str) -> list[FileInfo]:
     """Entries of one directory (one listing call to the file system).
 

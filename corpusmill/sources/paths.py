@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from corpusmill.sources.files import FileInfo, list_children, stat
+from corpusmill.sources.files import FileInfo, list_children, stat_many
 
 JSON_SUFFIXES = (".json", ".jsonl")
 TEXT_SUFFIXES = (".txt",)
@@ -88,8 +88,8 @@ def expand_spec(
     else:
         parts = split_spec(spec, separators)
     out = Expansion(spec=join_spec(spec) or "")
-    for i, part in enumerate(parts):
-        info = stat(spark, part)
+    infos = stat_many(spark, parts)
+    for i, (part, info) in enumerate(zip(parts, infos)):
         if info is None:
             if missing == "error":
                 raise FileNotFoundError(f"no such file: {part}")

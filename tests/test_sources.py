@@ -281,3 +281,21 @@ def test_empty_text_file_is_one_empty_row(spark, write):
     assert rows(read_text_files(spark, exp.files), "_file_ord", "text", order=["_file_ord"]) == [(0, ""), (1, "x"), (2, "")]
     df = read_pretrain_corpus(spark, f"{a};{b}")
     assert rows(df, "text", order=["_file_ord"]) == [("",), ("x",)]
+
+
+def test_stat_many_equals_stat_per_part(spark, write, tmp_path):
+    from corpusmill.sources.files import stat, stat_many
+
+    names = [f"f{i:02d}.jsonl" for i in range(12)] + ["a b.jsonl", "x[1].jsonl", "ü.json"]
+    for n in names:
+        write(f"many/{n}", "{}\n")
+    write("many/sub/in.jsonl", "{}\n")
+    write("other/lone.jsonl", "{}\n")
+    d = str(tmp_path / "many")
+    parts = [f"{d}/{n}" for n in reversed(names)] + [f"{d}/missing.jsonl", f"{d}/sub", f"{d}/sub/", f"{d}/f03.jsonl",
+             f"{d}/./f01.jsonl", f"{d}/../other/lone.jsonl", str(tmp_path / "other/lone.jsonl")]
+    fast = stat_many(spark, parts)
+    slow = [stat(spark, p) for p in parts]
+    key = lambda f: None if f is None else (f.path, f.uri, f.name, f.is_dir)
+    assert [key(f) for f in fast] == [key(f) for f in slow]
+    assert fast[len(names)] is None and fast[len(names) + 1].is_dir
