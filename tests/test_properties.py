@@ -303,3 +303,29 @@ def test_mixture_is_the_concatenation_in_spec_order(spark, tmp_path_factory, mix
     got = [tuple(r) for r in df.orderBy("_file_ord", "_block_ord", "_row_ord").select("_file_ord", "f", "r", "s").collect()]
     want = [(k, rec["f"], rec["r"], rec["s"]) for k, i in enumerate(spec) for rec in files[i][1]]
     assert got == want
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.text("ab🙂", max_size=30), st.text("cd", max_size=30), st.text("e🙂", max_size=30)), min_size=1, max_size=20),
+    st.integers(1, 40),
+    st.one_of(st.none(), st.integers(0, 40)),
+    st.one_of(st.none(), st.integers(0, 40)),
+    st.sampled_from(["right", "left"]),
+)
+def test_preference_budgets_match_python(spark, triples, max_len, max_prompt, max_target, side):
+    from corpusmill.operators.preference import PreferenceBudget, preference_tokens
+
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(triples)], "i int, prompt string, chosen string, rejected string")
+    budget = PreferenceBudget(max_len, max_prompt, max_target)
+    got = {r[0]: (r[1], r[2], r[3]) for r in rows(preference_tokens(df, budget, side=side), "i", "prompt_input_ids", "chosen_input_ids", "rejected_input_ids")}
+    ml, mp, mt = budget.resolved()
+
+    def cut(ids, n):
+        n = max(n, 0)
+        return ids[:n] if side == "right" else ids[max(len(ids) - n, 0):]
+
+    for i, (p, c, r) in enumerate(triples):
+        pid = cut([ord(x) for x in p], mp)
+        room = min(mt, ml - len(pid))
+        assert got[i] == (pid, cut([ord(x) for x in c], room), cut([ord(x) for x in r], room))
