@@ -24,6 +24,17 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+GROUP = "_grp"
+
+
+def _keyed(sliced: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One struct column for the group: nulls inside a struct compare equal
+    and the struct itself is never null, so rows with a null group key are
+    grouped and joined like any other (a plain equi-join on the struct, which
+    also keeps the window's partitioning for the join)."""
+    return sliced.withColumn(GROUP, F.struct(*[F.col(g) for g in group]))
+
+
 def with_slices(df: DataFrame, group: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Rows range-partitioned on ``group + order``; ``_slice`` is the range
     index, so within a group a larger slice holds only later rows.
@@ -48,14 +59,14 @@ def running_sum(
 ) -> DataFrame:
     """``column`` = sum of ``value`` over the rows of the group up to and
     including this one in ``order``."""
-    s = with_slices(df.withColumn("_v", value), group, order, slices)
-    upto = Window.partitionBy(*group, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    s = _keyed(with_slices(df.withColumn("_v", value), group, order, slices), group)
+    upto = Window.partitionBy(GROUP, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     s = s.withColumn("_inner", F.sum("_v").over(upto))
-    totals = s.groupBy(*group, SLICE).agg(F.sum("_v").alias("_tot"))
-    before = Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, SLICE, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    out = s.join(offsets, [*group, SLICE], "inner")
-    return out.withColumn(column, F.col("_off") + F.col("_inner")).drop("_v", "_inner", "_off", SLICE)
+    totals = s.groupBy(GROUP, SLICE).agg(F.sum("_v").alias("_tot"))
+    before = Window.partitionBy(GROUP).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(GROUP, SLICE, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    out = s.join(offsets, [GROUP, SLICE], "inner")
+    return out.withColumn(column, F.col("_off") + F.col("_inner")).drop("_v", "_inner", "_off", SLICE, GROUP)
 
 
 def next_in_group(
@@ -70,16 +81,16 @@ def next_in_group(
     ``order`` (null on the group's last row): ``lead`` without a per-group
     sort. The last row of a slice looks up the first row of the next
     non-empty slice of its group."""
-    s = with_slices(df, group, order, slices)
-    w = Window.partitionBy(*group, SLICE).orderBy(*order)
+    s = _keyed(with_slices(df, group, order, slices), group)
+    w = Window.partitionBy(GROUP, SLICE).orderBy(*order)
     s = s.withColumns({f"_in_{c}": F.lead(c).over(w) for c in carry})
     s = s.withColumn("_tail", F.lead(F.lit(1)).over(w).isNull())
     first = F.min_by(F.struct(*[F.col(c).alias(c) for c in carry]), F.struct(*_cols(order)))
-    heads = s.groupBy(*group, SLICE).agg(first.alias("_head"))
+    heads = s.groupBy(GROUP, SLICE).agg(first.alias("_head"))
     following = heads.select(
-        *group, SLICE, F.lead("_head").over(Window.partitionBy(*group).orderBy(SLICE)).alias("_after")
+        GROUP, SLICE, F.lead("_head").over(Window.partitionBy(GROUP).orderBy(SLICE)).alias("_after")
     )
-    out = s.join(following, [*group, SLICE], "inner")
+    out = s.join(following, [GROUP, SLICE], "inner")
     return out.withColumns(
         {f"{prefix}{c}": F.when(F.col("_tail"), F.col("_after")[c]).otherwise(F.col(f"_in_{c}")) for c in carry}
-    ).drop(*[f"_in_{c}" for c in carry], "_tail", "_after", SLICE)
+    ).drop(*[f"_in_{c}" for c in carry], "_tail", "_after", SLICE, GROUP)

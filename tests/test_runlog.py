@@ -114,3 +114,14 @@ def test_phase_duration_of_wall_clock_times_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [(2 * 3600 * 1_000_000,)]
+
+
+def test_null_group_keys_keep_their_rows(spark):
+    df = spark.createDataFrame(
+        [(None, 1, 0.0, None, False), (None, 2, 1.0, None, True), ("a", 3, 0.0, None, False), ("a", 4, 2.0, "p", False)],
+        "g string, seq int, ts double, phase string, isfin boolean",
+    )
+    rs = running_sum(df, ["g"], ["ts", "seq"], F.lit(1), "n", slices=3)
+    assert rows(rs, "seq", "n", order=["seq"]) == [(1, 1), (2, 2), (3, 1), (4, 2)]
+    nx = next_in_group(df, ["g", "phase"], ["ts", "seq"], ["isfin"], slices=3)
+    assert rows(nx, "seq", "next_isfin", order=["seq"]) == [(1, True), (2, None), (3, None), (4, None)]
