@@ -50,6 +50,7 @@ class TrainSpec:
     max_target_length: int = 1536
     work_path: str | None = None
     schema: str | None = None  # DDL of the JSON rows; skips schema inference
+    json_layout: str = "auto"  # "lines" or "array" for every .json file; skips sniffing
     manifest_counts: bool = False  # per-file row counts in the manifest (one more scan)
     extra: dict = field(default_factory=dict)
 
@@ -113,7 +114,7 @@ def _eval_pretrain(spark: SparkSession, spec) -> DataFrame | None:
 
 
 def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML, custom=None) -> DataFrame:
-    train = read_json_corpus(spark, s.train_data_path, what="training", schema=s.schema)
+    train = read_json_corpus(spark, s.train_data_path, what="training", schema=s.schema, layout=s.json_layout)
     data = split_dataset(
         train, _eval_json(spark, s.dev_data_path, s.schema), s.dev_split_rate, seed=s.seed, materialize_keys=True
     )
@@ -130,7 +131,7 @@ def dpo_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
 
 
 def pretrain_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
-    train = read_pretrain_corpus(spark, s.train_data_path, json_kw={"schema": s.schema} if s.schema else None)
+    train = read_pretrain_corpus(spark, s.train_data_path, json_kw={"schema": s.schema, "layout": s.json_layout})
     data = split_dataset(
         train, _eval_pretrain(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed, materialize_keys=True
     )

@@ -43,7 +43,7 @@ def sniff_layout(spark: SparkSession, f: SpecFile) -> str:
     ``[``, else ``lines``. ``.jsonl`` files are always line-delimited."""
     if not f.name.lower().endswith(".json"):
         return "lines"
-    head = read_head(spark, f.path, 64).lstrip(b" \t\r\n\xef\xbb\xbf")
+    head = read_head(spark, f.path).lstrip(b" \t\r\n\xef\xbb\xbf")
     return "array" if head[:1] == b"[" else "lines"
 
 

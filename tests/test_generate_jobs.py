@@ -211,3 +211,9 @@ def test_manifest_with_per_file_counts(spark, write, tmp_path):
     head, files = read_manifest(spark, f"{work}/process_data/dataset_manifest.json")
     assert head["backend"] == "hf_text"
     assert rows(files.select("file_ord", "rows"), order=["file_ord"]) == [(0, 7), (1, 3), (2, 1)]
+
+
+def test_declared_json_layout_skips_sniffing(spark, write):
+    a = write("lay/a.json", json.dumps([{"text": "x"}, {"text": "y"}]))
+    out = run_job(spark, {"task": "pretrain", "train_data_path": a, "json_layout": "array"})
+    assert out.count() == 2
