@@ -7,6 +7,7 @@ import re
 import string
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Characters Spark treats as glob syntax in a read path.
@@ -72,10 +73,15 @@ def _info(status) -> FileInfo:
 
 
 def stat(spark: SparkSession, p: str) -> FileInfo | None:
+    """Status of one path, ``None`` when it does not exist."""
     fs, path = _jpath(spark, p)
-    if not fs.exists(path):
-        return None
-    return _info(fs.getFileStatus(path))
+    try:
+        status = fs.getFileStatus(path)
+    except Py4JJavaError as e:
+        if "java.io.FileNotFoundException" in str(e.java_exception.getClass().getName()):
+            return None
+        raise
+    return _info(status)
 
 
 def stat_many(spark: SparkSession, parts: list[str], min_group: int = 8) -> list[FileInfo | None]:
