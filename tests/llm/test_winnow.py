@@ -1,0 +1,93 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from corpusmill.llm import winnow
+from corpusmill.llm.packed import Words, pack
+
+WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(t):
+    low = bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode())
+    return WORD.findall(low)
+
+
+def brute(docs, items, window=10):
+    out = []
+    for d, t in docs:
+        w, hit, found = words(t), set(), set()
+        for i, item in items:
+            v = words(item)
+            n = min(window, len(v))
+            grams = {tuple(v[j : j + n]) for j in range(len(v) - n + 1)} if n else set()
+            for j in range(len(w) - n + 1 if n else 0):
+                if tuple(w[j : j + n]) in grams:
+                    hit |= set(range(j, j + n))
+                    found.add("" if i is None else str(i))
+        out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+ITEM = " ".join(f"w{i}" for i in range(25))
+ITEMS = [(1, ITEM), (2, "Short one"), (3, None), (4, "..."), (None, "a b c d e f g h i j"), (10, "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 zz"), (10, "same id again here")]
+DOCS = [(1, f"x y {ITEM} z"), (2, "a short ONE, short one"), (3, None), (4, ""), (5, "w0 w1 w2 w3 w4 w5 w6 w7 w8"), (None, "É a b c d e f g h i j " + ITEM), (6, "w3,w4;w5 W6 w7 w8 w9 w10 w11 w12"), (6, "w3,w4;w5 W6 w7 w8 w9 w10 w11 w12"), (7, ("q " * 3000) + ITEM), (8, "!!! ")]
+
+
+def run(spark, docs, items, **how):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    return sorted((tuple(r)[:1] + tuple(r)[2:] for r in winnow.contamination(d, b, **how).collect()), key=repr)
+
+
+def test_against_plain_python(spark):
+    assert run(spark, DOCS, ITEMS) == brute(DOCS, ITEMS)
+
+
+def test_blocks_of_the_benchmark_give_the_same(spark):
+    assert run(spark, DOCS, ITEMS, broadcast_bytes=120) == brute(DOCS, ITEMS)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=60), max_size=6), st.lists(st.lists(st.sampled_from("abc"), max_size=20), max_size=4))
+def test_spans_of_few_words(docs, items):
+    bench = winnow.Benchmark([str(i) for i in range(len(items))], [" ".join(x) for x in items], 10, 5)
+    import pyarrow as pa
+
+    texts = [" ".join(x) for x in docs]
+    w = Words(*pack(pa.array(texts, pa.string())), winnow.WORD_BYTES)
+    marked, found = bench.hits(w)
+    for i, want in enumerate(sorted(brute(list(enumerate(texts)), list(enumerate(" ".join(x) for x in items))), key=lambda r: r[0])):
+        assert int(marked[w.first[i] : w.first[i + 1]].sum()) == want[2]
+        assert len(found.get(i, ())) == want[3]
+
+
+def test_empty_and_clashing(spark):
+    d = spark.createDataFrame(DOCS, "doc_id long, text string").selectExpr("*", "'k' n_hit", "1 _spans")
+    b = spark.createDataFrame(ITEMS, "item_id long, text string")
+    out = winnow.contamination(d, b)
+    assert out.columns == ["doc_id", "text", "_spans", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert out.count() == len(DOCS)
+    assert winnow.contamination(d, b.limit(0)).filter("contaminated").count() == 0
+    assert winnow.contamination(d.limit(0), b).count() == 0
+    kept = winnow.decontaminate(d, b)
+    assert kept.columns == d.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 8]
+
+
+@pytest.mark.parametrize("w", [1, 3, 6])
+def test_winnowing_keeps_one_of_every_window(w):
+    import numpy as np
+
+    rng = np.random.default_rng(w)
+    doc = np.repeat([0, 1, 2, 5], [1, 4, 50, 9])
+    h = rng.integers(0, 6, len(doc)).astype(np.uint64)
+    kept = set(winnow.winnowed(h, doc, w).tolist())
+    for d in set(doc.tolist()):
+        at = np.flatnonzero(doc == d)
+        for a in range(max(1, len(at) - w + 1)):
+            part = at[a : a + w]
+            assert int(part[h[part].argmin()]) in kept
