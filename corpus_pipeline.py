@@ -11,7 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import bpe, exact, langid, winnow
+from corpusmill.llm import bpe, exact, langid, partenum, winnow
 from corpusmill.session import scratch_dir
 
 
@@ -26,6 +26,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact(docs, keep="largest")
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies (word 5-grams, similarity 0.75) the
+    document with the smallest id."""
+    return partenum.drop_similar(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     return winnow.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -40,6 +46,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("jaccard_join", jaccard_join),
     ("decontamination", decontamination),
     ("byte_bpe", byte_bpe),
 ]

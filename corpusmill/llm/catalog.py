@@ -6,9 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, exact, langid, winnow
+from corpusmill.llm import bpe, chat_snapshots, exact, html_text, langid, partenum, suffix, url_templates, weak_quality, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +28,27 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix.remove_repeats(docs, contents=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "page_text")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.encode_decode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=False)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_templates.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "labels", "purity")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = winnow.contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -40,4 +62,32 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_byte_bpe, op6_decontamination, op7_language_id)}
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return partenum.similarity_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return weak_quality.quality(docs).select("doc_id", "votes", "weak_label", "score", "good")
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_snapshots.format_conversations(_table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_suffix_dedup,
+        op3_html_extraction,
+        op4_byte_bpe,
+        op5_url_filter,
+        op6_decontamination,
+        op7_language_id,
+        op8_jaccard_join,
+        op9_quality,
+        op10_chat_format,
+    )
+}

@@ -10,6 +10,35 @@ ORACLE = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    "op2_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (
+            SELECT doc_id, i, md5(substring(h, 2 * i + 1, 400)) AS s
+            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400)
+        ), often AS (
+            SELECT s FROM w GROUP BY s HAVING count(*) > 1
+        ), starts AS (
+            SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM w SEMI JOIN often USING (s)
+        ), marked AS (
+            SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+            FROM starts
+        ), spans AS (
+            SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM marked GROUP BY ALL
+        ), per_doc AS (
+            SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(struct_pack(a := a, b := b) ORDER BY a) AS cuts
+            FROM spans GROUP BY doc_id
+        ), kept AS (
+            SELECT d.doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+                   CASE WHEN cuts IS NULL THEN h ELSE
+                       list_reduce(list_prepend('', list_transform(range(0, len(cuts) + 1), lambda k:
+                           substring(h, (CASE WHEN k = 0 THEN 0 ELSE 2 * cuts[k].b END) + 1,
+                                     (CASE WHEN k = len(cuts) THEN len(h) ELSE 2 * cuts[k + 1].a END)
+                                     - (CASE WHEN k = 0 THEN 0 ELSE 2 * cuts[k].b END)))), lambda x, y: x || y)
+                   END AS rest
+            FROM d LEFT JOIN per_doc USING (doc_id)
+        )
+        SELECT doc_id, n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(rest)) AS kept_sha256 FROM kept
+    """,
     "op6_decontamination": """
         WITH dw AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -40,4 +69,48 @@ ORACLE = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
+    "op8_jaccard_join": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), sh AS (
+            SELECT DISTINCT doc_id, s FROM (
+                SELECT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+                FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+            )
+        ), n AS (
+            SELECT doc_id, count(*) AS c FROM sh GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), link AS (
+            SELECT common.a, common.b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * common.c >= 75 * (x.c + y.c - common.c)
+        ), e AS (
+            SELECT a, b FROM link UNION SELECT b, a FROM link
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM d
+            UNION
+            SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b
+        )
+        SELECT d.doc_id, coalesce(any_value(n.c), 0) AS n_shingles, min(reach.b) AS component_id
+        FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+        GROUP BY d.doc_id
+    """,
+    "op10_chat_format": """
+        WITH c AS (
+            SELECT conv_id, list(md5(role || chr(1) || text) ORDER BY turn) AS w, count(*) AS n_turns,
+                   string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS body
+            FROM conversations GROUP BY conv_id
+        ), p AS (
+            SELECT DISTINCT array_to_string(list_slice(w, 1, i), ',') AS s
+            FROM (SELECT w, unnest(range(1, n_turns)) AS i FROM c)
+        ), k AS (
+            SELECT c.*, conv_id = min(conv_id) OVER (PARTITION BY array_to_string(w, ','))
+                   AND array_to_string(w, ',') NOT IN (SELECT s FROM p) AS kept
+            FROM c
+        )
+        SELECT conv_id, n_turns, kept, CASE WHEN kept THEN body END AS chat FROM k
+    """,
 }
