@@ -1,9 +1,10 @@
 """Exact duplicates by a sort of the contents.
 
-Rows are range-partitioned on their (normalised) text by Spark's sampled
-splitters and sorted inside each partition by Spark's external sorter, which
-compares whole texts; equal texts are then neighbours, and one pass over the
-sorted rows compares each text with its neighbour in full. No Python runs.
+Rows are range-partitioned by Spark's sampled splitters on the first characters
+of their (normalised) text and a hash of the whole, and sorted inside each
+partition by Spark's external sorter on those and the whole text; equal texts
+are then neighbours, and one pass over the sorted rows compares each text with
+its neighbour in full. No Python runs.
 
 A text held by a large part of all rows would fill one range. Such texts are
 found by counting every row by a 64-bit content hash (partially aggregated);
@@ -26,6 +27,7 @@ from corpusmill.llm.frames import Shielded, text_or_empty
 HOT_TEXTS = 1024  # a text is hot when it has more than 1 / HOT_TEXTS of the rows ...
 HOT_ROWS = 1000  # ... and more rows than this
 SALTS = 256
+LEAD = 32  # characters of the text that range keys begin with
 
 
 def exact_groups(
@@ -51,15 +53,17 @@ def exact_groups(
     rid = side.col(row_id)
     content = text_or_empty(side.col(text))
     rows = side.df.withColumn("_content", normalise(content) if normalise else content)
-    key = ["_content"]
+    # equal texts agree in both; Spark's splitter sample holds these few bytes, not whole texts
+    rows = rows.withColumn("_lead", F.substring("_content", 1, LEAD)).withColumn("_hash", F.xxhash64("_content"))
+    key = ["_lead", "_hash"]
     hot = _hot_hashes(rows, hot_rows)
     if hot:
-        is_hot = F.xxhash64("_content").isin(hot)
+        is_hot = F.col("_hash").isin(hot)
         salt = F.pmod(F.xxhash64(F.lit("salt"), F.col(rid)), F.lit(SALTS)).cast("int")
         rows = rows.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-        key = ["_content", "_salt"]
+        key = [*key, "_salt"]
     order = F.col(rid).asc_nulls_last() if keep == "smallest" else F.col(rid).desc_nulls_last()
-    run = Window.partitionBy(*key)
+    run = Window.partitionBy(*key, "_content")
     out = rows.repartitionByRange(*key).select(
         *side.columns,
         F.row_number().over(run.orderBy(order)).alias("_at"),
@@ -91,7 +95,7 @@ def drop_exact(df: DataFrame, text: str = "text", row_id: str = "doc_id", **how)
 
 
 def _hot_hashes(rows: DataFrame, hot_rows: int) -> list[int]:
-    counted = rows.groupBy(F.xxhash64("_content").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.groupBy(F.col("_hash").alias("h")).agg(F.count(F.lit(1)).alias("n"))
     counted = counted.filter(F.col("n") > hot_rows)
     total = rows.count()
     return [r.h for r in counted.filter(F.col("n") * HOT_TEXTS > total).select("h").collect()]
