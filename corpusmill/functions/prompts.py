@@ -158,7 +158,7 @@ def render_column(
     else:
         instr_branch = chat(instruction_messages(inst, inp, answer), plain_text(user_turn(inst, inp), answer))
     # A ``messages`` column that is not a list (e.g. all-null, inferred as a
-    # string) holds no usable chat and is treated as absent. A list whose items
+    # string) holds no usable chat: empty values are absent, others fail. A list whose items
     # are not {role, content} objects (only ``[]`` seen: inferred as strings)
     # is usable only when empty; a non-empty one fails its row.
     mtype = df.schema["messages"].dataType if "messages" in df.columns else None
@@ -176,6 +176,8 @@ def render_column(
         # Template failures on messages rows are not caught: no fallback text.
         msg_branch = chat(F.col("messages"), F.lit(None).cast("string"))
         return df, F.when(cond, msg_branch).otherwise(instr_branch)
+    if mtype is not None:
+        return df, F.when(cond, F.lit(None).cast("string")).otherwise(instr_branch)
     return df, instr_branch
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 def require_columns(df: DataFrame, *names: str, what: str = "dataset") -> DataFrame:
     for n in names:
         if n not in df.columns:
-            raise ValueError(f"{what} must contain column '{n}'")
+            raise ValueError(f"{what}: no column {n!r} among {df.columns}")
     return df
 
 
@@ -31,12 +31,12 @@ def truthy_string(col: Column) -> Column:
 
 def has_messages(df: DataFrame, name: str = "messages") -> Column:
     """Row has a usable chat list: the column exists and the list is non-empty
-    (null and ``[]`` both count as absent)."""
-    if name not in df.columns or not isinstance(df.schema[name].dataType, T.ArrayType):
+    (null, ``""`` and ``[]`` count as absent). Any other value in a column that is
+    not a list fails its row, as no chat can be made of it."""
+    if name not in df.columns:
         return F.lit(False)
+    if not isinstance(df.schema[name].dataType, T.ArrayType):
+        value = F.col(name).cast("string")
+        bad = F.raise_error(F.concat(F.lit(f"{name} is not a list of messages: "), F.substring(value, 1, 80)))
+        return F.when(F.coalesce(value, F.lit("")).isin("", "[]"), F.lit(False)).otherwise(bad.cast("boolean"))
     return F.coalesce(F.size(F.col(name)), F.lit(0)) > 0
-
-
-def project_only(df: DataFrame, cols: dict[str, Column], keep: Iterable[str] = ()) -> DataFrame:
-    """Replace every source column by the computed ones (plus ``keep``)."""
-    return df.select(*[F.col(k) for k in keep if k in df.columns], *[c.alias(n) for n, c in cols.items()])

@@ -42,13 +42,19 @@ def render_turns(
         F.lit(template.suffix),
     )
     first = (
-        turns.select(F.col(conv), F.col(order).alias("_o"), piece.alias("_piece"))
+        turns.select(F.col(conv), F.col(order).alias("_o"), F.col(role).alias("_r"), piece.alias("_piece"))
         .groupBy(conv, F.floor(F.col("_o") / F.lit(block)).alias("_blk"))
-        .agg(_ordered_concat(F.col("_o"), F.col("_piece")).alias("_chunk"), F.count("*").alias("_n"))
+        .agg(
+            _ordered_concat(F.col("_o"), F.col("_piece")).alias("_chunk"),
+            F.min(F.struct("_o", "_r")).alias("_first"),
+            F.count("*").alias("_n"),
+        )
     )
     text = _ordered_concat(F.col("_blk"), F.col("_chunk"))
     if template.default_system is not None:
-        raise NotImplementedError("default system turns need the message list; use prompts.chat_text")
+        system = f"{template.prefix}system{template.role_sep}{template.default_system}{template.suffix}"
+        opened = F.coalesce(F.min("_first")["_r"], F.lit("")) == "system"
+        text = F.concat(F.when(opened, F.lit("")).otherwise(F.lit(system)), text)
     if add_generation_prompt:
         text = F.concat(text, F.lit(template.generation_prompt()))
     return first.groupBy(conv).agg(text.alias("text"), F.sum("_n").alias("n_turns"))

@@ -89,7 +89,9 @@ def prediction_udf(factory, config: GenerationConfig, batch_size: int = 32):
                 out.extend("" if r is None else str(r).strip() for r in res)
             yield pd.Series(out, dtype=object)
 
-    return _predict
+    # a sampling model gives another text each time: Spark must neither run it
+    # twice nor push a filter on its output below it
+    return _predict.asNondeterministic()
 
 
 def generate(
@@ -103,19 +105,21 @@ def generate(
     keep_prompt: bool = False,
     batch_size: int = 32,
     partitions: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Every input column survives; ``prediction`` is appended, or overwritten
     in place when the row already has one. Prompts are not truncated.
 
-    ``partitions`` cuts the prompts into that many tasks before the model
-    runs. Prompts are small rows whose cost is the model, so byte-sized
-    partitions (what AQE coalesces to) would leave most model workers idle;
-    an explicit count is kept as given. Rows read through ``corpusmill.sources``
-    are range-partitioned by their source position: task ``i`` holds the
-    ``i``-th stretch of the input, so the output files, in name order, are the
-    input order (the range sample reads the prompt rows, never the model's
-    output). Other rows are dealt round-robin."""
+    The model runs in the tasks of the scan unless told otherwise. Prompts are
+    small rows whose cost is the model, so ``rows_per_task`` cuts them into as many
+    tasks as that takes (their number is counted first), and ``partitions`` into a
+    fixed number. Rows read through ``corpusmill.sources`` are range-partitioned by
+    their source position: task ``i`` holds the ``i``-th stretch of the input, so
+    the output files, in name order, are the input order (the range sample reads
+    the prompt rows, never the model's output). Other rows are dealt round-robin."""
     cfg = config if isinstance(config, GenerationConfig) else GenerationConfig.parse(config)
+    if rows_per_task and not partitions:
+        partitions = max(1, -(-df.count() // int(rows_per_task)))
     if partitions:
         oc = order_cols(df)
         df = df.repartitionByRange(int(partitions), *oc) if oc else df.repartition(int(partitions))

@@ -2,10 +2,12 @@
 
 A window ``partitionBy(g).orderBy(o)`` sorts every row of a group in one task,
 so one hot group (a log written by thousands of runs, a conversation with
-millions of turns) becomes one huge task. Here the rows are range-partitioned
-on ``(g, o)`` instead: a hot group is cut into contiguous *slices* that land
-in different tasks, each slice is handled on its own, and only one small row
-per slice (its total, or its first row) travels between slices.
+millions of turns) becomes one huge task. Here a group is cut into contiguous
+*slices* of its order: the slice of a row is where its first order value falls
+among the quantiles of all rows' values, a function of the value alone, so every
+branch of a plan and every retry of a task sees the same slices and nothing is
+written. Each slice is handled on its own, and only one small row per slice (its
+total, or its first row) travels between slices.
 """
 
 from __future__ import annotations
@@ -15,15 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import materialize
+MAX_SLICES = 1024
 
 SLICE = "_slice"
 
 
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in names]
-
-
 GROUP = "_grp"
 
 
@@ -35,18 +33,28 @@ def _keyed(sliced: DataFrame, group: Sequence[str]) -> DataFrame:
     return sliced.withColumn(GROUP, F.struct(*[F.col(g) for g in group]))
 
 
-def with_slices(df: DataFrame, group: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Rows range-partitioned on ``group + order``; ``_slice`` is the range
-    index, so within a group a larger slice holds only later rows.
-
-    Range bounds come from a sample whose seed depends on the RDD, so two
-    evaluations of the same plan may cut different slices. The sliced rows
-    are therefore written once under the shared checkpoint folder and every
-    later branch reads the same slices."""
+def with_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """``_slice``: the number of quantile bounds of the first order column that the
+    row's value has reached (0 for a null, which sorts first). The bounds, at most
+    ``MAX_SLICES``, come from one aggregation that runs here; rows that tie on the
+    first column share a slice. A frame that has ``_slice`` already keeps it."""
+    if SLICE in df.columns:
+        return df
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *_cols(list(group) + list(order)))
-    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+    n = min(MAX_SLICES, slices or max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    kind = df.schema[order[0]].dataType.simpleString()
+    quantiles = F.percentile_approx(F.col(order[0]), [i / n for i in range(1, n)], 10_000)
+    found = df.agg(quantiles.cast("array<string>").alias("b")).first()["b"] or []
+    bounds = [F.lit(x).cast(kind) for x in dict.fromkeys(found)]  # ascending, each once
+
+    def reached(low: int, high: int) -> Column:
+        """Binary search among ``bounds[low:high]``, the ones before being reached."""
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(F.col(order[0]) >= bounds[mid], reached(mid + 1, high)).otherwise(reached(low, mid))
+
+    return df.withColumn(SLICE, reached(0, len(bounds)))
 
 
 def running_sum(
@@ -58,15 +66,16 @@ def running_sum(
     slices: int | None = None,
 ) -> DataFrame:
     """``column`` = sum of ``value`` over the rows of the group up to and
-    including this one in ``order``."""
-    s = _keyed(with_slices(df.withColumn("_v", value), group, order, slices), group)
+    including this one in ``order``. ``_slice`` stays in the result, so that a
+    later step in the same order need not cut again."""
+    s = _keyed(with_slices(df, order, slices).withColumn("_v", value), group)
     upto = Window.partitionBy(GROUP, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     s = s.withColumn("_inner", F.sum("_v").over(upto))
     totals = s.groupBy(GROUP, SLICE).agg(F.sum("_v").alias("_tot"))
     before = Window.partitionBy(GROUP).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(GROUP, SLICE, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
     out = s.join(offsets, [GROUP, SLICE], "inner")
-    return out.withColumn(column, F.col("_off") + F.col("_inner")).drop("_v", "_inner", "_off", SLICE, GROUP)
+    return out.withColumn(column, F.col("_off") + F.col("_inner")).drop("_v", "_inner", "_off", GROUP)
 
 
 def next_in_group(
@@ -81,16 +90,15 @@ def next_in_group(
     ``order`` (null on the group's last row): ``lead`` without a per-group
     sort. The last row of a slice looks up the first row of the next
     non-empty slice of its group."""
-    s = _keyed(with_slices(df, group, order, slices), group)
+    s = _keyed(with_slices(df, order, slices), group)
     w = Window.partitionBy(GROUP, SLICE).orderBy(*order)
     s = s.withColumns({f"_in_{c}": F.lead(c).over(w) for c in carry})
-    s = s.withColumn("_tail", F.lead(F.lit(1)).over(w).isNull())
-    first = F.min_by(F.struct(*[F.col(c).alias(c) for c in carry]), F.struct(*_cols(order)))
-    heads = s.groupBy(GROUP, SLICE).agg(first.alias("_head"))
+    s = s.withColumn("_tail", F.lead(F.lit(1)).over(w).isNull()).withColumn("_at", F.row_number().over(w))
+    heads = s.where(F.col("_at") == 1).select(GROUP, SLICE, F.struct(*carry).alias("_head"))
     following = heads.select(
         GROUP, SLICE, F.lead("_head").over(Window.partitionBy(GROUP).orderBy(SLICE)).alias("_after")
     )
     out = s.join(following, [GROUP, SLICE], "inner")
     return out.withColumns(
         {f"{prefix}{c}": F.when(F.col("_tail"), F.col("_after")[c]).otherwise(F.col(f"_in_{c}")) for c in carry}
-    ).drop(*[f"_in_{c}" for c in carry], "_tail", "_after", SLICE, GROUP)
+    ).drop(*[f"_in_{c}" for c in carry], "_tail", "_at", "_after", SLICE, GROUP)

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.schema import require_columns
 from corpusmill.functions.tokens import encode_truncated, truncate
 from corpusmill.operators.split import split_dataset
-from corpusmill.sources.json_corpus import read_json_corpus, read_json_files
-from corpusmill.sources.paths import expand_spec
+from corpusmill.sources.json_corpus import read_train_eval
 
 PREFERENCE_COLUMNS = ("prompt", "chosen", "rejected")
 
@@ -47,15 +46,16 @@ def load_preference(
     rate: float | str = 0.0,
     seed: int = 42,
     key: Sequence[str] | None = None,
+    schema: str | None = None,
+    layout: str = "auto",
 ) -> DataFrame:
     """Train (and eval) triples with a ``split`` column; all columns pass
-    through untouched, no prompt formatting is applied. Both sides are gated."""
-    train = require_preference(read_json_corpus(spark, train_spec, what="DPO training"))
-    eval_df = None
-    if eval_spec:
-        ef = expand_spec(spark, eval_spec)
-        if ef:
-            eval_df = require_preference(read_json_files(spark, ef.files))
+    through untouched, no prompt formatting is applied. Both sides are read with
+    one schema (``schema``, or the one inferred over both) and gated."""
+    train, eval_df = read_train_eval(spark, train_spec, eval_spec, schema=schema, layout=layout, what="DPO training")
+    require_preference(train)
+    if eval_df is not None:
+        require_preference(eval_df)
     return split_dataset(train, eval_df, rate, key=key, seed=seed, materialize_keys=True)
 
 
@@ -65,8 +65,9 @@ def preference_tokens(
     encoder: Callable[[Column], Column] | None = None,
     side: str = "right",
 ) -> DataFrame:
-    """``prompt_input_ids`` cut to ``max_prompt``; each answer cut to
-    ``least(max_target, max_len - size(prompt_input_ids))``."""
+    """``prompt_input_ids`` cut to ``max_prompt``, and to ``max_len`` if that is
+    less; each answer cut to ``max_target`` and to what the prompt leaves of
+    ``max_len``, so a prompt and an answer never exceed ``max_len``."""
     max_len, max_prompt, max_target = budget.resolved()
 
     def cut(name: str, n) -> Column:
@@ -74,6 +75,6 @@ def preference_tokens(
             return encode_truncated(F.col(name), n, side)
         return truncate(encoder(F.col(name)), n, side)
 
-    out = df.withColumn("prompt_input_ids", cut("prompt", max_prompt))
-    room = F.least(F.lit(max_target), F.lit(max_len) - F.size("prompt_input_ids"))
+    out = df.withColumn("prompt_input_ids", cut("prompt", min(max_prompt, max_len)))
+    room = F.greatest(F.lit(0), F.least(F.lit(max_target), F.lit(max_len) - F.size("prompt_input_ids")))
     return out.withColumns({"chosen_input_ids": cut("chosen", room), "rejected_input_ids": cut("rejected", room)})

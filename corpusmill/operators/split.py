@@ -2,20 +2,23 @@
 
 Rate split contract: ``k = ceil(rate * n)`` rows (``rate`` taken as a decimal
 from its string form, so 0.07 of 100 is 7) go to ``eval``: the rows with the
-``k`` smallest sort keys ``md5('<seed>:<key>')`` (ties broken by the key and
-then by the row's position, so identical rows are never merged). Without a
-key the row's content is hashed, so the split does not move when Spark cuts
-the files into splits differently. Only ``0 < rate < 1`` splits; any other
-rate gives train only.
+``k`` smallest sort keys, ``md5('<seed>:<key>')`` and after it the md5 of the
+row's content (without a key the content alone). A sort key depends on the row's
+values only, so the split does not move when Spark cuts the files differently.
+Only ``0 < rate < 1`` splits; any other rate gives train only.
+
+Rows with one sort key are identical. If the boundary falls among them, they are
+counted off inside the plan that labels them (in salted groups, whose sizes give
+each group its share), so the number is exact however they are read.
 
 Finding the k-th smallest key is a distributed selection, not a sort: a
 histogram of the first 4 hex digits (at most 65,536 groups, partial
 aggregation before the shuffle) locates the bucket holding rank k; only that
 bucket is refined (past the prefix all its keys share, then 4 more digits)
-until it holds at most ``exact_limit`` rows, whose top ranks are taken with a
-bounded top-k. The labels are then a plain projection, ``sk <= boundary``: no global sort, no
-single-partition window, and a hot key only makes one bucket bigger, never a
-task.
+until it holds at most ``exact_limit`` rows or one key, and of few rows the top
+ranks are taken with a bounded top-k. The labels are then a plain projection,
+``sk <= boundary``: no global sort, no single-partition window, and a hot key
+only makes one bucket bigger, never a task.
 """
 
 from __future__ import annotations
@@ -24,14 +27,15 @@ import math
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.session import materialize
-from corpusmill.sources.json_corpus import META_COLS, ORDER_COLS
+from corpusmill.sources.json_corpus import META_COLS
 
 HEX_STEP = 4
 EXACT_LIMIT = 50_000
+TIE_GROUP = 100_000
 
 
 def eval_count(rate: float | str | Decimal, n: int) -> int:
@@ -41,14 +45,11 @@ def eval_count(rate: float | str | Decimal, n: int) -> int:
     return int(math.ceil(r * n))
 
 
-def _hex(col: Column, width: int) -> Column:
-    return F.lpad(F.lower(F.hex(col)), width, "0")
-
-
 def sort_key(df: DataFrame, key: Sequence[str] | None, seed: int, unique: bool) -> Column:
-    """Fixed-width hex string whose order is the split order: 32 digits of
-    ``md5('<seed>:<key>')`` and, unless the key is declared unique, 16 digits
-    per position column."""
+    """Hex string whose order is the split order: 32 digits of
+    ``md5('<seed>:<key>')`` and, unless the key is declared unique, 32 digits of
+    the row's content (its raw line when kept, else the JSON of its data columns)."""
+    parts = []
     if key:
         # a null key value is hashed as NUL, so such rows are ranked too
         key_str = (
@@ -56,24 +57,11 @@ def sort_key(df: DataFrame, key: Sequence[str] | None, seed: int, unique: bool)
             if len(key) == 1
             else F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in key])
         )
-        parts = [F.md5(F.concat(F.lit(f"{seed}:"), key_str))]
-    else:
-        # No key: the row's content (its raw line when kept, else the JSON of
-        # its data columns), so the ranking does not depend on how Spark cut
-        # the files into splits; identical rows tie and are told apart by
-        # position below, and being identical, which copy is picked is moot.
+        parts.append(F.md5(F.concat(F.lit(f"{seed}:"), key_str)))
+    if not key or not unique:
         data = [c for c in df.columns if c not in META_COLS and c != "_raw"]
         content = F.col("_raw") if "_raw" in df.columns else F.to_json(F.struct(*[F.col(c) for c in data]))
-        parts = [F.md5(F.concat(F.lit(f"{seed}:"), content))]
-        unique = False
-    if not unique:
-        pos = [c for c in ORDER_COLS if c in df.columns]
-        if not pos:
-            raise ValueError(
-                "rows have no position columns and the key is not declared unique; "
-                "read through corpusmill.sources or pass unique=True"
-            )
-        parts += [_hex(F.col(c), 16) for c in pos]
+        parts.append(F.md5(F.concat(F.lit(f"{seed}:"), content)))
     return F.concat(*parts)
 
 
@@ -120,6 +108,8 @@ def assign_split(
     """Label every row ``train`` or ``eval`` (runs small selection jobs; the
     returned DataFrame is lazy).
 
+    ``unique=True`` says that no two rows share a key value, which saves hashing
+    the content; if rows at the boundary do share one, this raises.
     ``materialize_keys=True`` writes the sort keys once (about 80 bytes a
     row) under the shared checkpoint folder, so the selection passes read
     that instead of re-running an expensive source (a JSON parse, an
@@ -148,18 +138,43 @@ def assign_split(
         width = len(bucket) + HEX_STEP
         hist = _histogram(keyed.where(F.startswith(F.col("_sk"), F.lit(bucket))), width)
         bucket, need, size, lo, hi = _locate(hist, need)
-    top = (
-        keyed.where(F.startswith(F.col("_sk"), F.lit(bucket)))
-        .orderBy("_sk")
-        .limit(need)
-        .agg(F.max("_sk"))
-        .collect()[0][0]
-    )
-    return df.withColumn(column, F.when(sk <= F.lit(top), F.lit("eval")).otherwise(F.lit("train")))
+    inside = keyed.where(F.startswith(F.col("_sk"), F.lit(bucket)))
+    if lo == hi:
+        top, below, tied = lo, 0, size
+    else:
+        # at most exact_limit rows
+        top = inside.orderBy("_sk").limit(need).agg(F.max("_sk")).collect()[0][0]
+        counts = inside.agg(
+            F.count(F.when(F.col("_sk") < top, 1)).alias("below"), F.count(F.when(F.col("_sk") == top, 1)).alias("tied")
+        ).collect()[0]
+        below, tied = counts["below"], counts["tied"]
+    wanted = need - below  # of the rows with the boundary key
+    if key and unique and tied > 1:
+        raise ValueError(f"key {key} is declared unique, but {tied} rows share the boundary key")
+    if wanted == tied:
+        return df.withColumn(column, F.when(sk <= F.lit(top), F.lit("eval")).otherwise(F.lit("train")))
+    return _count_off(df.withColumn("_sk", sk), top, wanted, tied, column)
+
+
+def _count_off(df: DataFrame, top: str, wanted: int, tied: int, column: str) -> DataFrame:
+    """Labels rows by ``_sk``, exactly ``wanted`` of the ``tied`` identical rows at
+    ``top`` as eval. The rows are numbered in salted groups of about ``TIE_GROUP``;
+    how many come before a group is summed from the groups' sizes in the same plan."""
+    plain = df.where(F.col("_sk") != top).withColumn(column, F.when(F.col("_sk") < top, F.lit("eval")).otherwise(F.lit("train")))
+    ties = df.where(F.col("_sk") == top).withColumn("_place", F.monotonically_increasing_id())
+    ties = ties.withColumn("_salt", F.pmod(F.xxhash64("_place"), F.lit(tied // TIE_GROUP + 1)))
+    before = Window.orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)  # a row for each group
+    sizes = ties.groupBy("_salt").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    ties = ties.withColumn("_rn", F.row_number().over(Window.partitionBy("_salt").orderBy("_place")))
+    ties = ties.join(sizes, "_salt")
+    label = F.when(F.col("_before") + F.col("_rn") <= wanted, F.lit("eval")).otherwise(F.lit("train"))
+    return plain.unionByName(ties.withColumn(column, label).select(plain.columns)).drop("_sk")
 
 
 def with_eval_source(train: DataFrame, eval_df: DataFrame, column: str = "split") -> DataFrame:
-    """Explicit eval data wins: tag both sides and concatenate by name."""
+    """Explicit eval data wins: tag both sides and concatenate by name (read both
+    with ``json_corpus.read_train_eval``, so that columns agree in type)."""
     return train.withColumn(column, F.lit("train")).unionByName(
         eval_df.withColumn(column, F.lit("eval")), allowMissingColumns=True
     )

@@ -35,15 +35,17 @@ from corpusmill.plans import fixtures as fx
 from corpusmill.plans.flagship import chat_training_set
 from corpusmill.plans.jobs import offline_preprocess, run_job
 from corpusmill.sinks.writers import (
+    SIDECAR_FIELDS,
     file_row_counts,
     read_manifest,
+    read_sidecar,
     write_dataset,
     write_manifest,
     write_predictions,
 )
 from corpusmill.sources.corpus import read_pretrain_corpus
 from corpusmill.sources.files import list_files_recursive, rename
-from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file
+from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file, read_train_eval
 from corpusmill.sources.paths import expand_spec
 from corpusmill.sources.text_corpus import read_text_files
 
@@ -62,12 +64,13 @@ def _n(ids: Column) -> Column:
     return F.size(ids).cast("bigint")
 
 
-def _sum(ids: Column) -> Column:
-    return F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, x: a + x)
+def _digest(ids: Column) -> Column:
+    """Every id in its place: md5 of the ids joined by spaces."""
+    return F.md5(F.array_join(ids.cast("array<string>"), " "))
 
 
-def _head(ids: Column, k: int = 16) -> Column:
-    return F.array_join(F.slice(ids, 1, k).cast("array<string>"), " ")
+def _ids_cols(name: str) -> list[Column]:
+    return [_n(F.col(name)).alias("n"), _digest(F.col(name)).alias("ids_md5")]
 
 
 def _msg_count(name: str = "messages") -> Column:
@@ -157,7 +160,7 @@ def q_whole_text(spark, sf_dir):
 def q_union_chunks(spark, sf_dir):
     d = _jsonl(spark, _docs(spark, sf_dir).select("doc_id", "text"), "docs-jsonl")
     files = _text_files(spark, sf_dir)
-    df = read_pretrain_corpus(spark, [d] + [f.path for f in files])
+    df, _ = read_pretrain_corpus(spark, [d] + [f.path for f in files])
     return df.select(F.md5("text").alias("h"), "doc_id")
 
 
@@ -177,7 +180,7 @@ def q_prompt_file(spark, sf_dir):
         "turn",
         _msg_count().alias("n_msgs"),
         inst.alias("inst"),
-        F.md5("_raw").isNotNull().alias("has_raw"),
+        F.array_join(F.json_object_keys("_raw"), ",").alias("keys"),
     )
 
 
@@ -220,9 +223,7 @@ def q_append_field(spark, sf_dir):
 def q_eval_source(spark, sf_dir):
     tr = _jsonl(spark, _docs(spark, sf_dir).select("doc_id", "text"), "train")
     ev = _jsonl(spark, fx.table(spark, sf_dir, "benchmark"), "eval")
-    train = read_json_corpus(spark, tr)
-    eval_df = read_json_files(spark, expand_spec(spark, ev).files)
-    df = split_dataset(train, eval_df, 0.5, key="doc_id")
+    df = split_dataset(*read_train_eval(spark, tr, ev), 0.5, key="doc_id")
     return df.select("split", "doc_id", "item_id", F.md5("text").alias("h"))
 
 
@@ -230,6 +231,13 @@ def q_rate_split(spark, sf_dir):
     return assign_split(_docs(spark, sf_dir), 0.1, key="doc_id", seed=42, unique=True).select("doc_id", "split")
 
 
+def q_rate_split_by_lang(spark, sf_dir):
+    """A key of a few values: rows of the boundary language are told apart by content."""
+    docs = _docs(spark, sf_dir).select("lang", "text")
+    out = assign_split(docs, 0.1, key="lang", seed=42)
+    return out.select("lang", F.md5("text").alias("h"), "split")
+
+
 def q_split_fallthrough(spark, sf_dir):
     tr = _jsonl(spark, _docs(spark, sf_dir).select("doc_id", "text"), "train")
     train = read_json_corpus(spark, tr)
@@ -316,20 +324,20 @@ def q_plain_prompt(spark, sf_dir):
 
 
 def q_tokenize(spark, sf_dir):
-    ids = encode_codepoints(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", _n(ids).alias("n"), _head(ids).alias("head"), _sum(ids).alias("sm"))
+    ids = _docs(spark, sf_dir).select("doc_id", encode_codepoints(F.col("text")).alias("ids"))
+    return ids.select("doc_id", *_ids_cols("ids"))
 
 
 def q_truncate(spark, sf_dir):
-    ids = encode_codepoints(F.col("text"))
-    left = truncate(ids, 16, "left")
-    right = truncate(ids, 2048, "right")
-    return _docs(spark, sf_dir).select(
+    ids = _docs(spark, sf_dir).select("doc_id", encode_codepoints(F.col("text")).alias("ids"))
+    left = truncate(F.col("ids"), 16, "left")
+    right = truncate(F.col("ids"), 2048, "right")
+    return ids.select(
         "doc_id",
         _n(left).alias("n_left"),
-        _head(left).alias("left_ids"),
+        _digest(left).alias("left_ids"),
         _n(right).alias("n_right"),
-        _sum(right).alias("sum_right"),
+        _digest(right).alias("right_ids"),
     )
 
 
@@ -338,22 +346,20 @@ def q_labels_copy(spark, sf_dir):
     return out.select(
         "doc_id",
         (F.col("labels") == F.col("input_ids")).alias("same"),
-        _n(F.col("labels")).alias("n"),
+        *_ids_cols("labels"),
         _n(F.filter("attention_mask", lambda x: x == 1)).alias("mask_ones"),
     )
 
 
 def q_pretrain_tokens(spark, sf_dir):
     d = _jsonl(spark, _docs(spark, sf_dir).select("doc_id", "lang", "text"), "pretrain")
-    df = read_pretrain_corpus(spark, d)
+    df, _ = read_pretrain_corpus(spark, d)
     out = tokenize(df, "text", 2048, drop_text=True)
-    return out.select("doc_id", "lang", _n(F.col("input_ids")).alias("n_tokens"), _sum(F.col("input_ids")).alias("sm"))
+    return out.select("doc_id", "lang", *_ids_cols("input_ids"))
 
 
 def _mixed_text_oracle_cols(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.md5("text").alias("h"), _n(F.col("input_ids")).alias("n_tokens"), _sum(F.col("input_ids")).alias("sm")
-    )
+    return df.select(F.md5("text").alias("h"), *_ids_cols("input_ids"))
 
 
 def q_sft_tokens(spark, sf_dir):
@@ -367,11 +373,12 @@ def q_offline_sft(spark, sf_dir):
     parts = [f.path for f in list_files_recursive(spark, d) if f.name.endswith(".json") and not f.name.startswith((".", "_"))]
     out_dir = fx.fixture_dir(spark, "offline")
     ds = offline_preprocess(spark, ";".join(parts), out_dir, model_max_length=None)
+    side = read_sidecar(spark, out_dir)
     return ds.select(
-        _n(F.col("input_ids")).alias("n"),
-        _sum(F.col("input_ids")).alias("sm"),
+        *_ids_cols("input_ids"),
         (F.col("labels") == F.col("input_ids")).alias("same_labels"),
         (F.size("attention_mask") == F.size("input_ids")).alias("mask_ok"),
+        *[F.lit(side[k]).cast("string").alias(k) for k in SIDECAR_FIELDS],
     )
 
 
@@ -385,14 +392,23 @@ def q_pref_load(spark, sf_dir):
 
 
 def q_pref_tokens(spark, sf_dir):
-    df = fx.preference_rows(spark, sf_dir)
-    out = preference_tokens(df, PreferenceBudget.job_defaults())
-    return out.select(
-        "conv_id",
-        _n(F.col("prompt_input_ids")).alias("np"),
-        _n(F.col("chosen_input_ids")).alias("nc"),
-        _n(F.col("rejected_input_ids")).alias("nr"),
-    )
+    return _pref_cols(preference_tokens(fx.preference_rows(spark, sf_dir), PreferenceBudget.job_defaults()))
+
+
+def _pref_cols(out: DataFrame, *more: str) -> DataFrame:
+    names = {"p": "prompt_input_ids", "c": "chosen_input_ids", "r": "rejected_input_ids"}
+    return out.select("conv_id", *more, *[f(F.col(c)).alias(f"{n}{k}") for k, c in names.items() for n, f in (("n", _n), ("h", _digest))])
+
+
+def q_pref_budget(spark, sf_dir):
+    """Direct defaults (half and half) of a small budget, cut on the left."""
+    return _pref_cols(preference_tokens(fx.preference_rows(spark, sf_dir), PreferenceBudget(257), side="left"))
+
+
+def q_pref_tokens_tight(spark, sf_dir):
+    """A prompt budget above the whole one, through a plug-in tokenizer."""
+    encoder = encode_with(codepoint_tokenizer)
+    return _pref_cols(preference_tokens(fx.preference_rows(spark, sf_dir), PreferenceBudget.job_defaults(256), encoder))
 
 
 # ---------------------------------------------------------------- generation
@@ -513,8 +529,8 @@ def codepoint_tokenizer():
 
 
 def q_worker_init(spark, sf_dir):
-    ids = encode_with(codepoint_tokenizer)(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", _n(ids).alias("n"), _head(ids).alias("head"), _sum(ids).alias("sm"))
+    ids = _docs(spark, sf_dir).select("doc_id", encode_with(codepoint_tokenizer)(F.col("text")).alias("ids"))
+    return ids.select("doc_id", *_ids_cols("ids"))
 
 
 def python_chatml(messages: list[dict], add_generation_prompt: bool) -> str:
@@ -543,22 +559,43 @@ def q_run_job(spark, sf_dir):
     return out.select("split", F.md5("text").alias("h"), _n(F.col("input_ids")).alias("n_tokens"))
 
 
+def q_run_job_custom(spark, sf_dir):
+    """A custom chat renderer, and eval data of another shape than the training data."""
+    tr = _jsonl(spark, fx.chat_rows(spark, sf_dir), "chat")
+    dv = _jsonl(spark, fx.instruction_rows(spark, sf_dir).withColumn("messages", F.array().cast("array<string>")), "inst")
+    out = run_job(spark, {"task": "train", "train_data_path": tr, "dev_data_path": dv}, custom=python_chatml)
+    return out.select("split", F.md5("text").alias("h"), *_ids_cols("input_ids"))
+
+
+def q_mixed_layouts(spark, sf_dir):
+    """Chats in one file, and null, empty and ``""`` messages in others of both layouts."""
+    chat = _jsonl(spark, fx.chat_rows(spark, sf_dir).withColumn("item_id", F.lit("").cast("string")), "chat")
+    bench = fx.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("instruction"))
+    empty = bench.withColumn("messages", F.when(F.col("item_id") % 2 == 0, F.lit("")))
+    lines = fx.fixture_dir(spark, "empty-messages")
+    empty.select(F.to_json(F.struct("item_id", "instruction", "messages"), {"ignoreNullFields": "false"}).alias("value")).write.text(lines)
+    for f in list_files_recursive(spark, lines):
+        if f.name.endswith(".txt") and not f.name.startswith("."):
+            rename(spark, f.path, f.path[: -len(".txt")] + ".jsonl")
+    nulls = bench.withColumn("messages", F.array().cast("array<string>"))
+    arrays = _write_array_files(spark, nulls, "item_id", 64, "null-messages")
+    dirs = sorted({f.path.rsplit("/", 1)[0] for f in list_files_recursive(spark, arrays) if f.name.endswith(".json")})
+    df = read_json_corpus(spark, [chat, lines, *dirs])
+    text = render(df, "alpaca", "train", keep=("conv_id", "item_id", "_spec_ord"))
+    return text.select("conv_id", F.col("item_id").cast("bigint").alias("item_id"), F.least("_spec_ord", F.lit(2).cast("bigint")).alias("part"), F.md5("text").alias("h"))
+
+
 def q_run_job_dpo(spark, sf_dir):
     tr = _jsonl(spark, fx.preference_rows(spark, sf_dir), "pref")
-    out = run_job(spark, {"task": "dpo_train", "train_data_path": tr, "max_seq_len": 1024})
-    return out.select(
-        "conv_id",
-        "split",
-        _n(F.col("prompt_input_ids")).alias("np"),
-        _n(F.col("chosen_input_ids")).alias("nc"),
-        _n(F.col("rejected_input_ids")).alias("nr"),
-    )
+    schema = "conv_id bigint, prompt string, chosen string, rejected string"
+    out = run_job(spark, {"task": "dpo_train", "train_data_path": tr, "max_seq_len": 1024, "schema": schema, "json_layout": "lines"})
+    return _pref_cols(out, "split")
 
 
 def q_run_job_pretrain(spark, sf_dir):
     tr = _jsonl(spark, _docs(spark, sf_dir).select("doc_id", "text"), "pretrain")
     out = run_job(spark, {"task": "pretrain", "train_data_path": tr, "max_seq_len": 512})
-    return out.select("doc_id", "split", _n(F.col("input_ids")).alias("n_tokens"), _sum(F.col("input_ids")).alias("sm"))
+    return out.select("doc_id", "split", *_ids_cols("input_ids"))
 
 
 def q_run_job_test(spark, sf_dir):
@@ -585,8 +622,8 @@ def _log_fixture(spark, sf_dir) -> str:
         "is_total_start",
     )
     root = fx.fixture_dir(spark, "runlogs")
-    # one file per log, as a run log is one appended file
-    rows.repartition("log_id").write.partitionBy("log_id").json(root)
+    # a log's rows are spread over a few files, so that no log fills one task
+    rows.repartition("log_id", F.pmod("event_id", F.lit(8))).write.partitionBy("log_id").json(root)
     return root
 
 
@@ -637,6 +674,7 @@ QUERIES = {
     "append_field": q_append_field,
     "eval_source": q_eval_source,
     "rate_split": q_rate_split,
+    "rate_split_by_lang": q_rate_split_by_lang,
     "split_fallthrough": q_split_fallthrough,
     "split_train_only": q_split_train_only,
     "alias_coalesce": q_alias_coalesce,
@@ -657,6 +695,8 @@ QUERIES = {
     "offline_sft": q_offline_sft,
     "pref_load": q_pref_load,
     "pref_tokens": q_pref_tokens,
+    "pref_budget": q_pref_budget,
+    "pref_tokens_tight": q_pref_tokens_tight,
     "generate": q_generate,
     "strip_prediction": q_strip_prediction,
     "row_passthrough": q_row_passthrough,
@@ -669,6 +709,8 @@ QUERIES = {
     "worker_init": q_worker_init,
     "custom_render": q_custom_render,
     "run_job": q_run_job,
+    "run_job_custom": q_run_job_custom,
+    "mixed_layouts": q_mixed_layouts,
     "run_job_dpo": q_run_job_dpo,
     "run_job_pretrain": q_run_job_pretrain,
     "run_job_test": q_run_job_test,

@@ -15,8 +15,10 @@ def chat_training_set(
     spark: SparkSession, sf_dir: str, max_len: int = 2048, rate: float = 0.1, seed: int = 42
 ) -> DataFrame:
     """``conv_id, split, n_tokens, text`` per conversation."""
-    chats = render_turns(table(spark, sf_dir, "conversations"))
+    turns = table(spark, sf_dir, "conversations")
     ids = encode_truncated(F.col("text"), max_len)
-    prepared = chats.select("conv_id", "text", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
-    split = assign_split(prepared, rate, key="conv_id", seed=seed, unique=True)
-    return split.select("conv_id", "split", F.size("input_ids").cast("bigint").alias("n_tokens"), "text")
+    prepared = render_turns(turns).select("conv_id", "text", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
+    # the split needs the ids of the conversations only, not their texts
+    split = assign_split(turns.select("conv_id").distinct(), rate, key="conv_id", seed=seed, unique=True)
+    out = prepared.join(split.withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv")))
+    return out.select("conv_id", "split", F.size("input_ids").cast("bigint").alias("n_tokens"), "text")

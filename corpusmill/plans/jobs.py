@@ -1,9 +1,10 @@
 """Job surface: one ``run_job(spark, spec)`` for every task name.
 
 Train tasks return the prepared dataset (lazy) with a ``split`` column; test
-tasks return the prediction rows. Trainer-only settings (learning rate,
-epochs, ...) are accepted and carried, never read here: model training runs in
-the user's trainer on the prepared data.
+tasks return the prediction rows, read back from the file when one is written,
+so that the model runs once. Trainer-only settings (learning rate, epochs, ...)
+are accepted and carried, never read here: model training runs in the user's
+trainer on the prepared data. A setting of ours that the task cannot use raises.
 """
 
 from __future__ import annotations
@@ -12,28 +13,28 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from corpusmill.functions.prompts import CHATML, render_column
+from corpusmill.functions.prompts import CHATML, ChatTemplate, render_column
 from corpusmill.functions.tokens import effective_max_length, tokenize
 from corpusmill.operators.generate import GenerationConfig, first_words_generator, generate
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
 from corpusmill.operators.split import split_dataset
 from corpusmill.sinks.writers import file_row_counts, write_dataset, write_manifest, write_predictions, write_sidecar
-from corpusmill.sources.corpus import read_pretrain_corpus, union_chunks
-from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file
-from corpusmill.sources.paths import expand_spec, join_spec, offline_file_list, route_by_suffix
-from corpusmill.sources.text_corpus import read_text_files
+from corpusmill.sources.corpus import read_pretrain_corpus
+from corpusmill.sources.json_corpus import META_COLS, read_json_corpus, read_json_files, read_prompt_file, read_train_eval
+from corpusmill.sources.paths import expand_spec, join_spec, offline_file_list
 
-# Task names and their manifest backends.
+# Task names, their manifest backends and manifest file names.
 TASKS = {
-    "train": ("sft", "hf_jsonl"),
-    "test": ("sft", "hf_jsonl"),
-    "lora_train": ("sft", "hf_jsonl_lora"),
-    "lora_test": ("sft", "hf_jsonl_lora"),
-    "dpo_train": ("dpo", "hf_jsonl_dpo"),
-    "dpo_test": ("dpo", "hf_jsonl_dpo"),
-    "pretrain": ("pretrain", "hf_text"),
-    "pretrain_test": ("pretrain", "hf_text"),
+    "train": ("sft", "hf_jsonl", "dataset_manifest.json"),
+    "test": ("sft", "hf_jsonl", None),
+    "lora_train": ("sft", "hf_jsonl_lora", "dataset_manifest.json"),
+    "lora_test": ("sft", "hf_jsonl_lora", None),
+    "dpo_train": ("dpo", "hf_jsonl_dpo", "dpo_dataset_manifest.json"),
+    "dpo_test": ("dpo", "hf_jsonl_dpo", None),
+    "pretrain": ("pretrain", "hf_text", "pretrain_manifest.json"),
+    "pretrain_test": ("pretrain", "hf_text", None),
 }
 
 
@@ -64,13 +65,29 @@ class TestSpec:
     generate_configs: dict | str | None = None
     lossless: bool = False
     partitions: int | None = None  # model tasks; see operators.generate.generate
+    rows_per_task: int | None = None  # or prompts for each of them
+    schema: str | None = None  # DDL of the prompt rows; skips schema inference
+    json_layout: str = "lines"  # of the prompt file
     extra: dict = field(default_factory=dict)
 
 
+PROMPTS_PER_TASK = 2048  # a lost model task repeats at most this many
+
+# Settings of ours that some tasks cannot use.
+UNUSED = {
+    "sft": ("max_prompt_length", "max_target_length"),
+    "dpo": ("prompt_type",),
+    "pretrain": ("prompt_type", "max_prompt_length", "max_target_length"),
+}
+
+
 def _build(cls, spec: dict):
-    names = {f.name for f in fields(cls)}
-    known = {k: v for k, v in spec.items() if k in names and k != "extra"}
-    return cls(**known, extra={k: v for k, v in spec.items() if k not in names})
+    names = {f.name for f in fields(cls)} - {"extra"}
+    other = {f.name for f in fields(TrainSpec if cls is TestSpec else TestSpec)} - {"extra"} - names
+    unused = other if cls is TestSpec else other | set(UNUSED[TASKS[spec["task"]][0]])
+    if useless := sorted(unused & spec.keys()):
+        raise ValueError(f"task {spec['task']!r} cannot use the settings {useless}")
+    return cls(**{k: v for k, v in spec.items() if k in names}, extra={k: v for k, v in spec.items() if k not in names})
 
 
 def parse_spec(spec: dict) -> TrainSpec | TestSpec:
@@ -86,38 +103,9 @@ def parse_spec(spec: dict) -> TrainSpec | TestSpec:
     return _build(TrainSpec, spec)
 
 
-def _eval_json(spark: SparkSession, spec, schema: str | None = None) -> DataFrame | None:
-    if not spec:
-        return None
-    ef = expand_spec(spark, spec)
-    return read_json_files(spark, ef.files, schema=schema) if ef else None
-
-
-def _eval_pretrain(spark: SparkSession, spec) -> DataFrame | None:
-    if not spec:
-        return None
-    ef = expand_spec(spark, spec)
-    if not ef:
-        return None
-    js, tx, _ = route_by_suffix(ef.files)
-    chunks = []
-    if js:
-        chunks.append(read_json_files(spark, js))
-    if tx:
-        chunks.append(read_text_files(spark, tx, ords=[len(js) + i for i in range(len(tx))]))
-    if not chunks:
-        raise ValueError("Pretrain eval expects .json/.jsonl (with a `text` field) or .txt files.")
-    df = union_chunks(chunks)
-    if "text" not in df.columns:
-        raise ValueError("Pretrain JSON must include a `text` column.")
-    return df
-
-
 def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML, custom=None) -> DataFrame:
-    train = read_json_corpus(spark, s.train_data_path, what="training", schema=s.schema, layout=s.json_layout)
-    data = split_dataset(
-        train, _eval_json(spark, s.dev_data_path, s.schema), s.dev_split_rate, seed=s.seed, materialize_keys=True
-    )
+    train, held_out = read_train_eval(spark, s.train_data_path, s.dev_data_path, schema=s.schema, layout=s.json_layout)
+    data = split_dataset(train, held_out, s.dev_split_rate, seed=s.seed, materialize_keys=True)
     data2, text = render_column(data, s.prompt_type, "train", template, custom)
     keep = ["split"] + [c for c in ("_file_ord", "_block_ord", "_row_ord") if c in data.columns]
     rendered = data2.select(*keep, text.alias("text"))
@@ -125,16 +113,17 @@ def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML
 
 
 def dpo_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
-    data = load_preference(spark, s.train_data_path, s.dev_data_path, s.dev_split_rate, seed=s.seed)
+    data = load_preference(
+        spark, s.train_data_path, s.dev_data_path, s.dev_split_rate, seed=s.seed, schema=s.schema, layout=s.json_layout
+    )
     budget = PreferenceBudget.job_defaults(s.max_seq_len, s.max_prompt_length, s.max_target_length)
     return preference_tokens(data, budget, encoder)
 
 
 def pretrain_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
-    train = read_pretrain_corpus(spark, s.train_data_path, json_kw={"schema": s.schema, "layout": s.json_layout})
-    data = split_dataset(
-        train, _eval_pretrain(spark, s.dev_data_path), s.dev_split_rate, seed=s.seed, materialize_keys=True
-    )
+    json_kw = {"schema": s.schema, "layout": s.json_layout}
+    train, held_out = read_pretrain_corpus(spark, s.train_data_path, s.dev_data_path, json_kw=json_kw)
+    data = split_dataset(train, held_out, s.dev_split_rate, seed=s.seed, materialize_keys=True)
     return tokenize(data, "text", s.max_seq_len, encoder=encoder, drop_text=True)
 
 
@@ -143,25 +132,20 @@ def run_job(
     spec: dict,
     encoder=None,
     generator: Callable = first_words_generator,
+    template: ChatTemplate | None = CHATML,
+    custom=None,
 ) -> DataFrame:
+    """``encoder`` is the plug-in tokenizer (``functions.udf.encode_with``),
+    ``generator`` the model; chats are rendered with ``template``, or by a
+    function ``(messages, add_generation_prompt) -> text`` given as ``custom``."""
     parsed = parse_spec(spec)
-    kind, backend = TASKS[parsed.task]
+    kind, backend, manifest = TASKS[parsed.task]
+    if kind != "sft" and not isinstance(parsed, TestSpec) and custom is not None:
+        raise ValueError(f"task {parsed.task!r} renders no chats: custom= cannot be used")
     if isinstance(parsed, TestSpec):
-        rows = read_prompt_file(spark, parsed.test_file, lossless=parsed.lossless)
-        out = generate(
-            rows,
-            generator,
-            GenerationConfig.parse(parsed.generate_configs),
-            parsed.prompt_type,
-            # one input stretch per core by default: balanced model tasks, and
-            # output files that read back in input order
-            partitions=parsed.partitions or spark.sparkContext.defaultParallelism,
-        )
-        if parsed.test_output_file:
-            write_predictions(out, parsed.test_output_file, lossless=parsed.lossless)
-        return out
+        return _test_job(spark, parsed, generator, template, custom)
     if kind == "sft":
-        out = sft_dataset(spark, parsed, encoder)
+        out = sft_dataset(spark, parsed, encoder, template, custom)
     elif kind == "dpo":
         out = dpo_dataset(spark, parsed, encoder)
     else:
@@ -170,14 +154,15 @@ def run_job(
         exp = expand_spec(spark, parsed.train_data_path)
         counts = None
         if parsed.manifest_counts:
+            how = {"schema": parsed.schema, "layout": parsed.json_layout}
             if kind == "pretrain":
-                scanned = read_pretrain_corpus(spark, parsed.train_data_path)
+                scanned = read_pretrain_corpus(spark, parsed.train_data_path, json_kw=how)[0]
             else:
-                scanned = read_json_corpus(spark, parsed.train_data_path, schema=parsed.schema)
+                scanned = read_json_corpus(spark, parsed.train_data_path, **how)
             counts = file_row_counts(scanned)
         write_manifest(
             spark,
-            f"{parsed.work_path.rstrip('/')}/process_data/dataset_manifest.json",
+            f"{parsed.work_path.rstrip('/')}/process_data/{manifest}",
             join_spec(parsed.train_data_path),
             backend,
             counts=counts,
@@ -187,6 +172,27 @@ def run_job(
     return out
 
 
+def _test_job(spark: SparkSession, s: TestSpec, generator: Callable, template, custom) -> DataFrame:
+    rows = read_prompt_file(spark, s.test_file, lossless=s.lossless, schema=s.schema, layout=s.json_layout)
+    config = GenerationConfig.parse(s.generate_configs)
+    out = generate(
+        rows,
+        generator,
+        config,
+        s.prompt_type,
+        template,
+        custom,
+        partitions=s.partitions,
+        # contiguous stretches of the input: the output files read back in its order
+        rows_per_task=s.rows_per_task or PROMPTS_PER_TASK,
+    )
+    if not s.test_output_file:
+        return out
+    write_predictions(out, s.test_output_file, lossless=s.lossless)
+    kept = [f for f in out.schema.fields if f.name not in META_COLS + ("_raw",)]
+    return spark.read.schema(T.StructType(kept)).json(s.test_output_file)
+
+
 def offline_preprocess(
     spark: SparkSession,
     input_spec: str,
@@ -201,15 +207,18 @@ def offline_preprocess(
     model_type: str | None = None,
     prompt_type: str = "chatml",
     template=CHATML,
+    custom=None,
+    schema: str | None = None,
+    json_layout: str = "auto",
     partition_by: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Offline tool: literal file list, render, tokenize with labels, keep only
     the token columns, write the dataset and its sidecar; returns the written
     dataset read back."""
     files = offline_file_list(spark, input_spec)
-    data = read_json_files(spark, files.files)
+    data = read_json_files(spark, files.files, schema=schema, layout=json_layout)
     max_len = effective_max_length(question_max_length, model_max_length)
-    data2, text = render_column(data, prompt_type, "train", template)
+    data2, text = render_column(data, prompt_type, "train", template, custom)
     rendered = data2.select(text.alias("text"))
     out = tokenize(rendered, "text", max_len, question_truncation_side, encoder=encoder, labels=True, drop_text=True)
     write_dataset(out, output_prefix, partition_by)

@@ -95,6 +95,27 @@ def ids(x: str) -> str:
     return f"(case when {x} = '' then []::integer[] else list_transform(string_split({x}, ''), lambda ch: unicode(ch)) end)"
 
 
+def digest(x: str) -> str:
+    """md5 of an id list, the ids joined by spaces."""
+    return f"md5(array_to_string({x}, ' '))"
+
+
+def cut_ids(x: str, n: str) -> str:
+    """Columns ``n`` and ``ids_md5`` of the first ``n`` ids of a text."""
+    return f"least(length({x}), {n})::bigint as n, {digest(f'({ids(x)})[1:{n}]')} as ids_md5"
+
+
+def pref_ids(max_len: int, max_prompt: int, max_target: int, left: bool = False) -> str:
+    """Columns of the three id lists of ``d`` under a budget."""
+    size = f"least(length(prompt), {min(max_prompt, max_len)})"
+    room = f"greatest(0, least({max_target}, {max_len} - {size}))"
+    out = []
+    for k, name, n in (("p", "prompt", size), ("c", "chosen", room), ("r", "rejected", room)):
+        part = f"({ids(name)})[greatest(length({name}) - {n}, 0) + 1:]" if left else f"({ids(name)})[1:{n}]"
+        out.append(f"least(length({name}), {n})::bigint as n{k}, {digest(part)} as h{k}")
+    return ", ".join(out)
+
+
 def rate_split(table: str, key: str, rate: str, where: str = "") -> str:
     return f"""
 h as (select {key}, row_number() over (order by md5('42:' || {key}::varchar), {key}) as rn,
@@ -127,9 +148,11 @@ select doc_id, length(text)::bigint as n, 4::bigint as spec_ord from documents w
     "whole_text": f"select item_id, md5(regexp_replace(text || {N}, chr(13) || {N} || '?', {N}, 'g')) as h from benchmark",
     "prompt_file": f"""
 with {R_CTE}, {C_CTE}
-select conv_id, -1::bigint as turn, n_msgs::bigint as n_msgs, '' as inst, true as has_raw from c where last_role = 'user'
+select conv_id, -1::bigint as turn, n_msgs::bigint as n_msgs, '' as inst, 'conv_id,messages,turn' as keys from c where last_role = 'user'
 union all
-select conv_id, turn, 0::bigint as n_msgs, inst, true as has_raw from f
+select f.conv_id, f.turn, 0::bigint as n_msgs, f.inst,
+       case when r.instruction is not null then 'conv_id,turn,instruction,input' else 'conv_id,turn,instr,input' end as keys
+from f join r using (conv_id, turn)
 """,
     "union_chunks": f"""
 select md5(text) as h, doc_id from documents
@@ -155,6 +178,11 @@ union all
 select 'eval' as split, null::bigint as doc_id, item_id, md5(text) as h from benchmark
 """,
     "rate_split": "with " + rate_split("documents", "doc_id", "0.1"),
+    "rate_split_by_lang": """
+with h as (select lang, text, row_number() over (order by md5('42:' || lang), md5('42:' || to_json({'lang': lang, 'text': text})::varchar)) as rn,
+        count(*) over () as n from documents)
+select lang, md5(text) as h, case when rn <= ceil(0.1::decimal(10,6) * n) then 'eval' else 'train' end as split from h
+""",
     "split_fallthrough": "with " + rate_split("documents", "doc_id", "0.07"),
     "split_train_only": "select doc_id, 'train' as split from documents",
     "alias_coalesce": f"with {R_CTE} select conv_id, turn, inst, inp, outp as out from f",
@@ -172,45 +200,29 @@ select conv_id, turn, {alpaca('inst', 'inp', 'outp')} as text from f
     "chat_prompt": f"with {C_CTE} select conv_id, txt || {GEN_HEADER} as text from c",
     "plain_train": f"with {R_CTE} select conv_id, turn, {plain('usr', 'outp')} as text from u",
     "plain_prompt": f"with {R_CTE} select conv_id, turn, {plain('usr', None)} as text from u",
-    "tokenize": f"""
-select doc_id, len(ids)::bigint as n, array_to_string(ids[1:16], ' ') as head, coalesce(list_sum(ids), 0)::bigint as sm
-from (select doc_id, {ids('text')} as ids from documents)
-""",
+    "tokenize": f"select doc_id, {cut_ids('text', '1000000000')} from documents",
     "truncate": f"""
-select doc_id, least(len(ids), 16)::bigint as n_left,
-       array_to_string(ids[greatest(len(ids) - 16, 0) + 1:], ' ') as left_ids,
-       least(len(ids), 2048)::bigint as n_right, coalesce(list_sum(ids[1:2048]), 0)::bigint as sum_right
+select doc_id, least(len(ids), 16)::bigint as n_left, {digest('ids[greatest(len(ids) - 16, 0) + 1:]')} as left_ids,
+       least(len(ids), 2048)::bigint as n_right, {digest('ids[1:2048]')} as right_ids
 from (select doc_id, {ids('text')} as ids from documents)
 """,
-    "labels_copy": """
-select doc_id, true as same, least(length(text), 2048)::bigint as n, least(length(text), 2048)::bigint as mask_ones
-from documents
-""",
-    "pretrain_tokens": f"""
-select doc_id, lang, least(len(ids), 2048)::bigint as n_tokens, coalesce(list_sum(ids[1:2048]), 0)::bigint as sm
-from (select doc_id, lang, {ids('text')} as ids from documents)
-""",
+    "labels_copy": f"select doc_id, true as same, {cut_ids('text', '2048')}, least(length(text), 2048)::bigint as mask_ones from documents",
+    "pretrain_tokens": f"select doc_id, lang, {cut_ids('text', '2048')} from documents",
     "sft_tokens": f"""
 with {R_CTE}, {C_CTE},
 t as (select txt as text from c union all select {chat_inst('usr', 'outp')} as text from u)
-select md5(text) as h, least(length(text), 2048)::bigint as n_tokens,
-       coalesce(list_sum({ids('text')}[1:2048]), 0)::bigint as sm
-from t
+select md5(text) as h, {cut_ids('text', '2048')} from t
 """,
     "offline_sft": f"""
 with {R_CTE}, t as (select {chat_inst('usr', 'outp')} as text from u)
-select least(length(text), 8192)::bigint as n, coalesce(list_sum({ids('text')}[1:8192]), 0)::bigint as sm,
-       true as same_labels, true as mask_ok
+select {cut_ids('text', '8192')}, true as same_labels, true as mask_ok,
+       'sft' as task, 'codepoints' as tokenizer, null::varchar as model_type, 'chatml' as prompt_type, 'right' as truncation_side
 from t
 """,
     "pref_load": f"with {D_CTE}, " + rate_split("d", "conv_id", "0.2"),
-    "pref_tokens": f"""
-with {D_CTE}
-select conv_id, least(length(prompt), 512)::bigint as np,
-       least(length(chosen), 1536, 2048 - least(length(prompt), 512))::bigint as nc,
-       least(length(rejected), 1536, 2048 - least(length(prompt), 512))::bigint as nr
-from d
-""",
+    "pref_tokens": f"with {D_CTE} select conv_id, {pref_ids(2048, 512, 1536)} from d",
+    "pref_budget": f"with {D_CTE} select conv_id, {pref_ids(257, 128, 129, left=True)} from d",
+    "pref_tokens_tight": f"with {D_CTE} select conv_id, {pref_ids(256, 512, 1536)} from d",
     "generate": f"with {R_CTE} select conv_id, turn, {first_words(chat_inst('usr', None))} as prediction from u",
     "strip_prediction": f"with {R_CTE} select conv_id, turn, {first_words(chat_inst('usr', None))} as prediction from u",
     "row_passthrough": f"""
@@ -252,10 +264,7 @@ from documents where lang = 'de'
 select doc_id, len(list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda w: w <> ''))::bigint as n_words
 from documents
 """,
-    "worker_init": f"""
-select doc_id, len(ids)::bigint as n, array_to_string(ids[1:16], ' ') as head, coalesce(list_sum(ids), 0)::bigint as sm
-from (select doc_id, {ids('text')} as ids from documents)
-""",
+    "worker_init": f"select doc_id, {cut_ids('text', '1000000000')} from documents",
     "custom_render": f"with {C_CTE} select conv_id, txt as text from c",
     "run_job": f"""
 with {R_CTE}, {C_CTE},
@@ -263,17 +272,21 @@ t as (select 'train' as split, {chat_inst('usr', 'outp')} as text from u
       union all select 'eval' as split, txt as text from c)
 select split, md5(text) as h, least(length(text), 2048)::bigint as n_tokens from t
 """,
-    "run_job_dpo": f"""
-with {D_CTE}
-select conv_id, 'train' as split, least(length(prompt), 512)::bigint as np,
-       least(length(chosen), 1536, 1024 - least(length(prompt), 512))::bigint as nc,
-       least(length(rejected), 1536, 1024 - least(length(prompt), 512))::bigint as nr
-from d
+    "run_job_custom": f"""
+with {R_CTE}, {C_CTE},
+t as (select 'eval' as split, {chat_inst('usr', 'outp')} as text from u
+      union all select 'train' as split, txt as text from c)
+select split, md5(text) as h, {cut_ids('text', '2048')} from t
 """,
-    "run_job_pretrain": f"""
-select doc_id, 'train' as split, least(len(ids), 512)::bigint as n_tokens, coalesce(list_sum(ids[1:512]), 0)::bigint as sm
-from (select doc_id, {ids('text')} as ids from documents)
+    "mixed_layouts": f"""
+with {C_CTE}
+select conv_id, null::bigint as item_id, 0::bigint as part, md5(txt) as h from c
+union all
+select null::bigint as conv_id, item_id, part, md5({alpaca('text', "''", "''")}) as h
+from benchmark, (select unnest([1, 2])::bigint as part)
 """,
+    "run_job_dpo": f"with {D_CTE} select conv_id, 'train' as split, {pref_ids(1024, 512, 1536)} from d",
+    "run_job_pretrain": f"select doc_id, 'train' as split, {cut_ids('text', '512')} from documents",
     "run_job_test": f"""
 with {R_CTE}, {C_CTE}
 select conv_id, -1::bigint as turn, {first_words(f"txt || {GEN_HEADER}")} as prediction from c where last_role = 'user'

@@ -74,18 +74,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy row work enough tasks.
-
-    A scan yields one task per file split (a parquet row group cannot be split),
-    so a small table may arrive in a single task. When the plan has fewer
-    partitions than the cluster has cores the rows are dealt round-robin; on
-    large inputs (many more splits than cores) this is a no-op and adds no
-    shuffle."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.operators.generate import drop_positions, in_input_order, lossless_lines
+from corpusmill.sources.files import stat
 
 META_NAME = "_meta"  # Spark readers skip '_' names, so metadata sits beside the data
 SIDECAR_FIELDS = ("task", "tokenizer", "model_type", "prompt_type", "truncation_side")
@@ -93,8 +94,7 @@ def write_manifest(
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[dict, DataFrame | None]:
     head = spark.read.json(path).collect()[0].asDict()
-    try:
-        files = spark.read.json(f"{path.rstrip('/')}/_files")
-    except Exception:  # noqa: BLE001 - no per-file counts were written
-        files = None
-    return head, files
+    counts = f"{path.rstrip('/')}/_files"
+    if stat(spark, counts) is None:  # no per-file counts were written
+        return head, None
+    return head, spark.read.schema("file_ord bigint, spec_ord bigint, path string, rows bigint").json(counts)

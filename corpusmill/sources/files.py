@@ -102,9 +102,8 @@ def stat_many(spark: SparkSession, parts: list[str], min_group: int = 8) -> list
             if info is not None and info.is_dir:
                 listing = {f.name: f for f in list_children(spark, parent)}
         for i, name in items:
-            if listing is not None:
-                out[i] = listing.get(name)
-            else:
+            out[i] = listing.get(name) if listing is not None else None
+            if out[i] is None:  # not listed plainly (or missing): ask for it by name
                 out[i] = stat(spark, parts[i])
     return out
 
@@ -173,18 +172,17 @@ def _open(spark: SparkSession, p: str):
     return fs.open(path)
 
 
-def read_head(spark: SparkSession, p: str, nbytes: int = 1 << 20, chunk: int = 256) -> bytes:
-    """The file's leading bytes up to its first non-blank byte (at most
-    ``nbytes``; layout sniffing only), read ``chunk`` bytes per round trip."""
+def first_byte(spark: SparkSession, p: str, chunk: int = 256) -> bytes:
+    """The file's first byte that is not blank, empty if there is none (layout
+    sniffing only). Reads on in growing pieces past any number of blanks."""
     stream = _open(spark, p)
     try:
-        got = b""
-        while len(got) < nbytes:
+        while True:
             part = bytes(stream.readNBytes(chunk))
-            got += part
-            if len(part) < chunk or part.strip(_BLANK):
-                break
-        return got
+            rest = part.lstrip(_BLANK)
+            if rest or len(part) < chunk:
+                return rest[:1]
+            chunk = min(2 * chunk, 1 << 20)
     finally:
         stream.close()
 

@@ -9,7 +9,6 @@ of the files. ``_spec_ord`` says which part of the spec named the file.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.sources.files import escape_glob, read_head
+from corpusmill.sources.files import escape_glob, first_byte
 from corpusmill.sources.paths import SpecFile, expand_spec, require_files
 
 ORDER_COLS = ("_file_ord", "_block_ord", "_row_ord")
@@ -34,52 +33,101 @@ def order_cols(df: DataFrame) -> list[str]:
     return [c for c in ORDER_COLS if c in df.columns]
 
 
-def drop_meta(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in META_COLS if c in df.columns])
-
-
 def sniff_layout(spark: SparkSession, f: SpecFile) -> str:
     """``array`` when the first non-blank character of a ``.json`` file is
     ``[``, else ``lines``. ``.jsonl`` files are always line-delimited."""
     if not f.name.lower().endswith(".json"):
         return "lines"
-    head = read_head(spark, f.path).lstrip(b" \t\r\n\xef\xbb\xbf")
-    return "array" if head[:1] == b"[" else "lines"
+    return "array" if first_byte(spark, f.path) == b"[" else "lines"
 
 
-def _widen(a: T.DataType, b: T.DataType) -> T.DataType:
+def _widen(a: T.DataType, b: T.DataType, name: str) -> T.DataType:
     if a == b or isinstance(b, T.NullType):
         return a
     if isinstance(a, T.NullType):
         return b
     if isinstance(a, T.StructType) and isinstance(b, T.StructType):
-        return merge_schemas(a, b)
+        return merge_schemas(a, b, f"{name}.")
     if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
-        return T.ArrayType(_widen(a.elementType, b.elementType), True)
+        return T.ArrayType(_widen(a.elementType, b.elementType, f"{name}[]"), True)
+    if isinstance(a, _NESTED) or isinstance(b, _NESTED):
+        raise ValueError(
+            f"column {name!r} is {a.simpleString()} in some files and {b.simpleString()} in others; "
+            "a list or object is never read as text: pass schema= or mend the files"
+        )
     num = (T.LongType, T.IntegerType, T.DoubleType)
     if isinstance(a, num) and isinstance(b, num):
         return T.DoubleType()
     return T.StringType()
 
 
-def merge_schemas(a: T.StructType, b: T.StructType) -> T.StructType:
-    """Superset of two inferred schemas; conflicting scalars widen to string."""
+_NESTED = (T.ArrayType, T.StructType)
+
+
+def merge_schemas(a: T.StructType, b: T.StructType, within: str = "") -> T.StructType:
+    """Superset of two inferred schemas; conflicting scalars widen to string, a
+    null type gives way, and a list or object against a scalar raises."""
     fields = {f.name: f for f in a.fields}
     order = [f.name for f in a.fields]
     for f in b.fields:
         if f.name in fields:
-            fields[f.name] = T.StructField(f.name, _widen(fields[f.name].dataType, f.dataType), True)
+            fields[f.name] = T.StructField(f.name, _widen(fields[f.name].dataType, f.dataType, within + f.name), True)
         else:
             fields[f.name] = T.StructField(f.name, f.dataType, True)
             order.append(f.name)
     return T.StructType([fields[n] for n in order])
 
 
-def _reader(spark: SparkSession, layout: str, mode: str, sampling_ratio: float | None):
-    r = spark.read.option("mode", mode).option("multiLine", "true" if layout == "array" else "false")
-    if sampling_ratio is not None:
-        r = r.option("samplingRatio", str(sampling_ratio))
-    return r
+def _reader(spark: SparkSession, layout: str, mode: str):
+    return spark.read.option("mode", mode).option("multiLine", "true" if layout == "array" else "false")
+
+
+def _wire(schema: T.StructType) -> tuple[T.StructType, list[Column]]:
+    """What the parser reads for an inferred schema, and the columns made of it.
+
+    Inference takes ``""`` for null, but the parser rejects it for anything but
+    text, so other columns are read as their JSON text and converted, ``""`` to
+    null."""
+    wire, out = [], []
+    for f in schema.fields:
+        col = F.col(f"`{f.name.replace('`', '``')}`")
+        text = F.nullif(col, F.lit(""))
+        if isinstance(f.dataType, T.StringType):
+            out.append(col)
+        elif isinstance(f.dataType, _NESTED):
+            out.append(F.from_json(text, f.dataType, {"mode": "FAILFAST"}).alias(f.name))
+        else:
+            out.append(text.cast(f.dataType).alias(f.name))
+        wire.append(T.StructField(f.name, T.StringType(), True))
+    return T.StructType(wire), out
+
+
+def path_positions(spark: SparkSession, scanned: DataFrame, items: Sequence[tuple[int, SpecFile]]) -> DataFrame:
+    """``scanned`` (with ``_path``) plus ``_file_ord`` and ``_spec_ord``, a row for
+    each time its file is listed. A scanned file that the list does not name (its
+    URI written in another way) raises instead of vanishing.
+
+    The list is bounded by the caller: a proven size, so the scan never shuffles."""
+    lookup = spark.createDataFrame(
+        [(f.uri, int(o), int(f.spec_ord)) for o, f in items],
+        "_uri string, _found bigint, _spec_ord bigint",
+    )
+    unknown = F.raise_error(F.concat(F.lit("file is not in the expanded spec: "), F.col("_path"))).cast("bigint")
+    joined = scanned.join(F.broadcast(lookup), scanned["_path"] == lookup["_uri"], "left")
+    return joined.withColumn("_file_ord", F.coalesce("_found", unknown)).drop("_uri", "_found")
+
+
+def listed_in_chunks(items: Sequence[tuple[int, SpecFile]]) -> list[list[tuple[int, SpecFile]]]:
+    """Items in chunks of about ``BROADCAST_FILES``, all listings of a path together."""
+    by_uri: dict[str, list[tuple[int, SpecFile]]] = {}
+    for o, f in items:
+        by_uri.setdefault(f.uri, []).append((o, f))
+    chunks: list[list[tuple[int, SpecFile]]] = [[]]
+    for listings in by_uri.values():
+        if chunks[-1] and len(chunks[-1]) + len(listings) > BROADCAST_FILES:
+            chunks.append([])
+        chunks[-1] += listings
+    return chunks
 
 
 def _read_group(
@@ -88,38 +136,76 @@ def _read_group(
     layout: str,
     schema: T.StructType | str,
     mode: str,
+    inferred: bool,
 ) -> DataFrame:
-    paths = [escape_glob(f.path) for _, f in items]
-    raw = _reader(spark, layout, mode, None).schema(schema).json(paths)
+    paths = list(dict.fromkeys(escape_glob(f.path) for _, f in items))
+    columns: list = ["*"]
+    if inferred:
+        schema, columns = _wire(schema)
+    raw = _reader(spark, layout, mode).schema(schema).json(paths)
     scanned = raw.select(
-        "*",
+        *columns,
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block_ord"),
         F.monotonically_increasing_id().alias("_row_ord"),
     )
-    lookup = spark.createDataFrame(
-        [(f.uri, int(o), int(f.spec_ord)) for o, f in items],
-        "_uri string, _file_ord bigint, _spec_ord bigint",
-    )
-    # Bounded by BROADCAST_FILES rows: a proven size, so the scan never shuffles.
-    joined = scanned.join(F.broadcast(lookup), scanned["_path"] == lookup["_uri"], "inner")
-    return joined.drop("_uri")
-
-
-def infer_schema(
-    spark: SparkSession,
-    files: Sequence[SpecFile],
-    layouts: Sequence[str],
-    sampling_ratio: float | None = None,
-) -> T.StructType:
-    merged: T.StructType | None = None
-    for layout in ("lines", "array"):
-        paths = sorted({escape_glob(f.path) for f, lay in zip(files, layouts) if lay == layout})
-        if not paths:
-            continue
-        s = _reader(spark, layout, "FAILFAST", sampling_ratio).json(paths).schema
-        merged = s if merged is None else merge_schemas(merged, s)
-    return merged or T.StructType([])
+    return path_positions(spark, scanned, items)
+
+
+def _layouts(spark: SparkSession, files: Sequence[SpecFile], layout: str) -> list[str]:
+    if layout != "auto":
+        return [layout] * len(files)
+    # First bytes of each .json file only; I/O bound, so a wide pool.
+    with ThreadPoolExecutor(max_workers=SNIFF_THREADS) as pool:
+        return list(pool.map(lambda f: sniff_layout(spark, f), files))
+
+
+def _infer_groups(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]]) -> list[tuple[int, T.StructType]]:
+    """(side, schema) of each side's files of one layout. A column that one group
+    has as text and another as a list or object is looked at again: if it holds
+    nothing but nulls and empty lists, it is of null type there."""
+    found = []
+    for k, (files, layouts) in enumerate(sides):
+        for layout in ("lines", "array"):
+            paths = sorted({escape_glob(f.path) for f, lay in zip(files, layouts) if lay == layout})
+            if paths:
+                found.append((k, layout, paths, _reader(spark, layout, "FAILFAST").json(paths).schema))
+    kinds: dict[str, set[str]] = {}
+    for _, _, _, schema in found:
+        for f in schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    out = []
+    for k, layout, paths, schema in found:
+        doubtful = [f for f in schema.fields if f.dataType.simpleString() in ("string", "array<string>") and len(kinds[f.name]) > 1]
+        nested = [f for f in doubtful if any(x.startswith(("array", "struct")) for x in kinds[f.name])]
+        if nested:
+            held = set(_reader(spark, layout, "FAILFAST").option("dropFieldIfAllNull", "true").json(paths).columns)
+            empty = {f.name for f in nested} - held
+            schema = T.StructType([T.StructField(f.name, T.NullType() if f.name in empty else f.dataType, True) for f in schema.fields])
+        out.append((k, schema))
+    return out
+
+
+def infer_schemas(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]]) -> list[T.StructType]:
+    """One schema for each side ((files, layouts)): the columns that its own files
+    have, each with the type it has over all sides."""
+    groups = _infer_groups(spark, sides)
+    merged = T.StructType([])
+    for _, schema in groups:
+        merged = merge_schemas(merged, schema)
+    types = {f.name: T.StringType() if isinstance(f.dataType, T.NullType) else f.dataType for f in merged.fields}
+    out = []
+    for k in range(len(sides)):
+        own = T.StructType([])
+        for g, schema in groups:
+            if g == k:
+                own = merge_schemas(own, schema)
+        out.append(T.StructType([T.StructField(n, types[n], True) for n in own.fieldNames()]))
+    return out
+
+
+def infer_schema(spark: SparkSession, files: Sequence[SpecFile], layouts: Sequence[str]) -> T.StructType:
+    return infer_schemas(spark, [(files, layouts)])[0]
 
 
 def read_json_files(
@@ -129,42 +215,42 @@ def read_json_files(
     schema: T.StructType | str | None = None,
     layout: str = "auto",
     mode: str = "FAILFAST",
-    sampling_ratio: float | None = None,
     ord_offset: int = 0,
     ords: Sequence[int] | None = None,
 ) -> DataFrame:
     """Read JSON / JSONL files (strict by default: a malformed line raises).
 
-    Blank lines yield no row. A path listed twice is read twice and gets two
-    ``_file_ord`` values, as a concatenation of the files would."""
+    Blank lines yield no row. Each file is scanned once; a path listed twice gives
+    its rows twice with two ``_file_ord`` values, as a concatenation of the files
+    would."""
     if not files:
         raise FileNotFoundError("no JSON files to read")
+    layouts = _layouts(spark, files, layout)
+    inferred = schema is None
+    if inferred:
+        schema = infer_schema(spark, files, layouts)
+    return _read(spark, files, layouts, schema, mode, inferred, ord_offset, ords)
+
+
+def _read(spark, files, layouts, schema, mode, inferred, ord_offset=0, ords=None) -> DataFrame:
     if ords is None:
         ords = [ord_offset + i for i in range(len(files))]
-    if layout == "auto":
-        # First bytes of each .json file only; I/O bound, so a wide pool.
-        with ThreadPoolExecutor(max_workers=SNIFF_THREADS) as pool:
-            layouts = list(pool.map(lambda f: sniff_layout(spark, f), files))
-    else:
-        layouts = [layout] * len(files)
-    if schema is None:
-        schema = infer_schema(spark, files, layouts, sampling_ratio)
-    # Occurrence rounds: the k-th listing of a path goes to round k, so a
-    # duplicated path is read once per listing.
-    seen: Counter = Counter()
-    rounds: dict[tuple[int, str], list[tuple[int, SpecFile]]] = {}
-    for o, f, lay in zip(ords, files, layouts):
-        rounds.setdefault((seen[f.uri], lay), []).append((o, f))
-        seen[f.uri] += 1
-    groups = [
-        (lay, items[i : i + BROADCAST_FILES])
-        for (_, lay), items in sorted(rounds.items())
-        for i in range(0, len(items), BROADCAST_FILES)
-    ]
-    parts = [_read_group(spark, items, lay, schema, mode) for lay, items in groups]
+    parts = []
+    for layout in ("lines", "array"):
+        items = [(o, f) for o, f, lay in zip(ords, files, layouts) if lay == layout]
+        if items:
+            parts += [_read_group(spark, chunk, layout, schema, mode, inferred) for chunk in listed_in_chunks(items)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _json_files(spark: SparkSession, spec, what: str, literal: bool = False) -> list[SpecFile]:
+    exp = require_files(expand_spec(spark, spec, literal=literal), what)
+    for f in exp.files:
+        if f.name.lower().endswith(".txt"):
+            raise ValueError(f"{f.path}: a .txt file is not JSON; use the pre-training reader")
+    return exp.files
+
+
 def read_json_corpus(
     spark: SparkSession,
     spec: str | Sequence[str],
@@ -174,11 +260,37 @@ def read_json_corpus(
     **kw,
 ) -> DataFrame:
     """Path spec to a JSON DataFrame; no file raises ``FileNotFoundError``."""
-    exp = require_files(expand_spec(spark, spec, literal=literal), what)
-    for f in exp.files:
-        if f.name.lower().endswith(".txt"):
-            raise ValueError(f"{f.path}: a .txt file is not JSON; use the pre-training reader")
-    return read_json_files(spark, exp.files, **kw)
+    return read_json_files(spark, _json_files(spark, spec, what, literal), **kw)
+
+
+def read_sides(
+    spark: SparkSession,
+    sides: Sequence[Sequence[SpecFile]],
+    *,
+    schema: T.StructType | str | None = None,
+    layout: str = "auto",
+    mode: str = "FAILFAST",
+) -> list[DataFrame | None]:
+    """A DataFrame for each file list (``None`` for an empty one), columns of one
+    name having one type on all sides."""
+    layouts = [_layouts(spark, files, layout) for files in sides]
+    inferred = schema is None
+    schemas = infer_schemas(spark, list(zip(sides, layouts))) if inferred else [schema] * len(sides)
+    return [_read(spark, f, lay, s, mode, inferred) if f else None for f, lay, s in zip(sides, layouts, schemas)]
+
+
+def read_train_eval(
+    spark: SparkSession,
+    train_spec: str | Sequence[str],
+    eval_spec: str | Sequence[str] | None,
+    *,
+    what: str = "training",
+    **kw,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Training rows, and eval rows if a spec names any; read with common types."""
+    train = _json_files(spark, train_spec, what)
+    held_out = expand_spec(spark, eval_spec).files if eval_spec else []
+    return tuple(read_sides(spark, [train, held_out], **kw))
 
 
 def read_prompt_file(
@@ -186,7 +298,8 @@ def read_prompt_file(
     path: str,
     *,
     lossless: bool = False,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
+    layout: str = "lines",
 ) -> DataFrame:
     """One JSONL prompt file (or the folder of part files one Spark write
     made), blank lines dropped, strict parse, no spec syntax.
@@ -195,28 +308,26 @@ def read_prompt_file(
     can re-emit the row with its original keys, key order and explicit nulls."""
     exp = require_files(expand_spec(spark, [path], literal=True, missing="error"), "prompt")
     if not lossless:
-        return read_json_files(spark, exp.files, schema=schema, layout="lines")
-    if schema is None:
+        return read_json_files(spark, exp.files, schema=schema, layout=layout)
+    if layout != "lines":
+        raise ValueError("lossless prompts are JSON lines")
+    inferred = schema is None
+    if inferred:
         schema = infer_schema(spark, exp.files, ["lines"] * len(exp.files))
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    wire, columns = _wire(schema) if inferred else (schema, ["*"])
     parts = []
-    for i in range(0, len(exp.files), BROADCAST_FILES):
-        chunk = exp.files[i : i + BROADCAST_FILES]
-        lines = spark.read.text([escape_glob(f.path) for f in chunk]).select(
-            F.trim(F.col("value")).alias("_raw"),
+    for chunk in listed_in_chunks(list(enumerate(exp.files))):
+        lines = spark.read.text([escape_glob(f.path) for _, f in chunk]).select(
+            F.btrim(F.col("value"), F.lit(" \t\r\n")).alias("_raw"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_block_ord"),
             F.monotonically_increasing_id().alias("_row_ord"),
         )
-        lookup = spark.createDataFrame(
-            [(f.uri, i + j, int(f.spec_ord)) for j, f in enumerate(chunk)],
-            "_uri string, _file_ord bigint, _spec_ord bigint",
-        )
-        joined = lines.where(F.col("_raw") != "").join(F.broadcast(lookup), F.col("_path") == F.col("_uri"))
-        parsed = F.from_json(F.col("_raw"), schema, {"mode": "FAILFAST"}).alias("_row")
-        parts.append(joined.select(parsed, "_raw", "_file_ord", "_spec_ord", "_block_ord", "_row_ord", "_path"))
+        parsed = F.from_json(F.col("_raw"), wire, {"mode": "FAILFAST"}).alias("_row")
+        rows = path_positions(spark, lines.where(F.col("_raw") != ""), chunk)
+        parts.append(rows.select(parsed, "_raw", *META_COLS))
     out = reduce(lambda x, y: x.unionByName(y), parts)
-    return out.select("_row.*", "_raw", *META_COLS)
-
-
-def ordered(df: DataFrame) -> list[Column]:
-    return [F.col(c) for c in order_cols(df)]
+    out = out.select("_row.*", "_raw", *META_COLS)
+    return out.select(*columns, "_raw", *META_COLS) if inferred else out

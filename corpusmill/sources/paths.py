@@ -119,7 +119,7 @@ def offline_file_list(spark: SparkSession, spec: str) -> Expansion:
 
 def require_files(expansion: Expansion, what: str = "training") -> Expansion:
     if not expansion.files:
-        raise FileNotFoundError(f"No {what} files for spec: {expansion.spec}")
+        raise FileNotFoundError(f"{what}: the path spec {expansion.spec!r} names no existing file")
     return expansion
 
 

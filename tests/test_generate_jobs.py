@@ -208,7 +208,7 @@ def test_manifest_with_per_file_counts(spark, write, tmp_path):
     t = write("c/t.txt", "whole file")
     work = str(tmp_path / "w")
     run_job(spark, {"task": "pretrain", "train_data_path": f"{a};{b};{t}", "work_path": work, "manifest_counts": True})
-    head, files = read_manifest(spark, f"{work}/process_data/dataset_manifest.json")
+    head, files = read_manifest(spark, f"{work}/process_data/pretrain_manifest.json")
     assert head["backend"] == "hf_text"
     assert rows(files.select("file_ord", "rows"), order=["file_ord"]) == [(0, 7), (1, 3), (2, 1)]
 
@@ -217,3 +217,66 @@ def test_declared_json_layout_skips_sniffing(spark, write):
     a = write("lay/a.json", json.dumps([{"text": "x"}, {"text": "y"}]))
     out = run_job(spark, {"task": "pretrain", "train_data_path": a, "json_layout": "array"})
     assert out.count() == 2
+
+
+def test_settings_a_task_cannot_use_raise():
+    for spec, name in (
+        ({"task": "pretrain", "train_data_path": "a", "prompt_type": "alpaca"}, "prompt_type"),
+        ({"task": "train", "train_data_path": "a", "max_target_length": 3}, "max_target_length"),
+        ({"task": "train", "train_data_path": "a", "lossless": True}, "lossless"),
+        ({"task": "test", "test_file": "a", "dev_split_rate": 0.1}, "dev_split_rate"),
+    ):
+        with pytest.raises(ValueError, match=name):
+            parse_spec(spec)
+
+
+def test_filter_on_predictions_runs_the_model_once(spark):
+    df = spark.createDataFrame([(i, f"w{i}") for i in range(20)], "i int, instruction string")
+    out = generate(df, first_words_generator, {"max_new_tokens": 3}).where(F.col("prediction").contains("w1"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def counting(path):
+    def factory(config):
+        def gen(prompts):
+            with open(path, "a") as f:
+                f.write("x" * len(prompts))
+            return [f"{len(prompts)}" for _ in prompts]
+
+        return gen
+
+    return factory
+
+
+def test_job_returns_what_it_wrote_without_running_the_model_again(spark, write, tmp_path):
+    calls = tmp_path / "calls"
+    src = write("ten.jsonl", jl(*[{"i": i, "instruction": f"w{i}"} for i in range(10)]))
+    for lossless in (False, True):
+        calls.write_text("")
+        dest = str(tmp_path / f"out{lossless}")
+        out = run_job(spark, {"task": "test", "test_file": src, "test_output_file": dest, "lossless": lossless}, generator=counting(str(calls)))
+        assert out.count() == 10 and out.columns == ["i", "instruction", "prediction"]
+        assert out.where("prediction is null").count() == 0
+        assert len(calls.read_text()) == 10
+
+
+def test_job_with_a_custom_renderer_and_eval_of_another_shape(spark, write):
+    tr = write("tr.jsonl", jl({"messages": [{"role": "user", "content": "hi"}], "n": 1}))
+    dv = write("dv.jsonl", jl({"messages": [], "instruction": "q", "output": "a"}, {"messages": None, "instruction": "r", "output": "b"}))
+    render = lambda msgs, gen: "|".join(m["content"] for m in msgs)
+    out = run_job(spark, {"task": "train", "train_data_path": tr, "dev_data_path": dv}, custom=render)
+    assert rows(out, "split", "text", order=["split", "text"]) == [("eval", "q|a"), ("eval", "r|b"), ("train", "hi")]
+    out = run_job(spark, {"task": "test", "test_file": dv}, custom=render, generator=lambda c: lambda ps: ps)
+    assert rows(out, "prediction", order=["prediction"]) == [("q",), ("r",)]
+
+
+def test_dpo_job_reads_the_declared_schema_only(spark, write, tmp_path):
+    tr = write("p.jsonl", jl({"prompt": "p" * 600, "chosen": "c", "rejected": "r", "n": 3}))
+    work = str(tmp_path / "dpo")
+    out = run_job(spark, {"task": "dpo_train", "train_data_path": tr, "max_seq_len": 256, "schema": "prompt string, chosen string, rejected string",
+                          "json_layout": "lines", "work_path": work})
+    assert "n" not in out.columns
+    r = out.first()
+    assert len(r["prompt_input_ids"]) == 256 and r["chosen_input_ids"] == [] and r["rejected_input_ids"] == []
+    assert read_manifest(spark, f"{work}/process_data/dpo_dataset_manifest.json")[0]["backend"] == "hf_jsonl_dpo"

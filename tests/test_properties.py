@@ -12,7 +12,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from test_render import py_render
+from render_cases import expected
 
 from corpusmill.functions.prompts import render
 from corpusmill.functions.tokens import encode_codepoints, encode_truncated, truncate
@@ -77,7 +77,7 @@ def test_render_matches_python_on_random_rows(spark, tmp_path_factory, batch, pr
     path.write_text("".join(json.dumps({"id": i, **r}) + "\n" for i, r in enumerate(batch)), encoding="utf-8")
     df = read_json_corpus(spark, str(path))
     got = dict(rows(render(df, prompt_type, mode, keep=("id",)), "id", "text"))
-    assert got == {i: py_render(r, prompt_type, mode) for i, r in enumerate(batch)}
+    assert got == {i: expected(r, prompt_type == "alpaca", mode == "prompt") for i, r in enumerate(batch)}
 
 
 uni = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=12)
@@ -180,7 +180,7 @@ def test_lossless_predictions_match_python(spark, tmp_path_factory, lines):
     want = []
     for line in lines:
         row = json.loads(line)
-        row["prediction"] = _first_words(py_render({k: v for k, v in row.items() if k != "prediction"}, "chatml", "prompt"), 5)
+        row["prediction"] = _first_words(expected(row, False, True), 5)
         want.append(json.dumps(row, ensure_ascii=False))
     assert got == want
 
@@ -322,10 +322,11 @@ def test_preference_budgets_match_python(spark, triples, max_len, max_prompt, ma
     ml, mp, mt = budget.resolved()
 
     def cut(ids, n):
-        n = max(n, 0)
         return ids[:n] if side == "right" else ids[max(len(ids) - n, 0):]
 
     for i, (p, c, r) in enumerate(triples):
-        pid = cut([ord(x) for x in p], mp)
+        pid = [ord(x) for x in p]
+        pid = pid[: min(mp, ml)] if side == "right" else pid[max(len(pid) - min(mp, ml), 0) :]
         room = min(mt, ml - len(pid))
+        assert len(pid) + room <= ml and room >= 0
         assert got[i] == (pid, cut([ord(x) for x in c], room), cut([ord(x) for x in r], room))

@@ -49,6 +49,8 @@ def log_dir(spark, write, tmp_path):
 def test_log_scan_extras_and_runs(spark, log_dir):
     logs = read_run_logs(spark, log_dir)
     assert "rank" in logs.columns
+    order = rows(logs.where(F.col("log_id").endswith("a.jsonl")), "seq", "ts", order=["seq"])
+    assert [t for _, t in order] == sorted(t for _, t in order)
     runs = number_runs(logs)
     got = rows(runs.groupBy(F.substring_index("log_id", "/", -1).alias("f"), "run_no").count(), order=["f", "run_no"])
     assert got == [("a.jsonl", 1, 10), ("a.jsonl", 2, 5), ("a.jsonl", 3, 6), ("b.jsonl", 1, 5)]
@@ -96,8 +98,22 @@ def test_hot_group_is_cut_into_several_slices(spark):
     from corpusmill.operators.ordered import with_slices
 
     df = spark.range(3000).select(F.lit(1).alias("g"), F.col("id").alias("o"))
-    sliced = with_slices(df, ["g"], ["o"], slices=8)
+    sliced = with_slices(df, ["o"], slices=8)
     assert sliced.select("_slice").distinct().count() == 8
+    many = with_slices(df, ["o"], slices=300)  
+    assert many.select("_slice").distinct().count() == 300
+    assert many.groupBy("_slice").agg(F.min("o").alias("a"), F.max("o").alias("b")).where("b - a > 20").count() == 0
+
+
+def test_phase_durations_write_nothing(spark, log_dir):
+    import os
+
+    from corpusmill.session import checkpoint_root
+
+    before = set(os.listdir(f"{checkpoint_root(spark)}/corpusmill")) if os.path.isdir(f"{checkpoint_root(spark)}/corpusmill") else set()
+    phase_durations(number_runs(read_run_logs(spark, log_dir))).count()
+    root = f"{checkpoint_root(spark)}/corpusmill"
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
 
 
 def test_phase_duration_of_wall_clock_times_ignores_session_zone(spark):

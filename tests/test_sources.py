@@ -131,6 +131,8 @@ def test_prompt_file_lossless_keeps_raw_line(spark, write):
     p = write("p.jsonl", '{"b": 1, "a": null}\n\n{"a": "x"}\n')
     df = read_prompt_file(spark, p, lossless=True)
     assert rows(df, "_raw", order=["_row_ord"]) == [('{"b": 1, "a": null}',), ('{"a": "x"}',)]
+    tabs = write("tabs.jsonl", '{"a": ""}\n\t\n \t {"a": "x"}\t\r\n\r\n')
+    assert rows(read_prompt_file(spark, tabs, lossless=True), "_raw", "a", order=["_row_ord"]) == [('{"a": ""}', ""), ('{"a": "x"}', "x")]
 
 
 def test_prompt_file_missing_raises(spark, tmp_path):
@@ -166,14 +168,15 @@ def test_route_by_suffix_case_insensitive(spark, write):
 def test_pretrain_corpus_json_then_text_chunks(spark, write):
     t = write("doc.txt", "from text")
     j = write("doc.jsonl", jl({"text": "from json", "doc_id": 1}))
-    df = read_pretrain_corpus(spark, f"{t};{j}")
+    df, held_out = read_pretrain_corpus(spark, f"{t};{j}")
+    assert held_out is None
     got = rows(df, "text", "doc_id", order=["_file_ord"])
     assert got == [("from json", 1), ("from text", None)]
 
 
 def test_pretrain_only_unusable_suffixes_raises(spark, write):
     p = write("x.csv", "c")
-    with pytest.raises(ValueError, match="Pretrain expects"):
+    with pytest.raises(ValueError, match="none of the files"):
         read_pretrain_corpus(spark, p)
 
 
@@ -238,7 +241,81 @@ def test_scan_prunes_columns(spark, write):
     a = write("wide.jsonl", jl({"x": 1, "y": "a", "z": 2.5}))
     df = read_json_corpus(spark, a).select("x").where(F.col("x") > 0)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<x:bigint>" in plan or "struct<x:bigint>" in plan
+    assert "ReadSchema: struct<x:string>" in plan  # inferred columns are parsed from their JSON text
+    df = read_json_corpus(spark, a, schema="x bigint, y string, z double").select("x").where(F.col("x") > 0)
+    assert "ReadSchema: struct<x:bigint>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_scan_for_a_path_listed_three_times(spark, write):
+    a = write("thrice.jsonl", jl({"x": 1}))
+    df = read_json_corpus(spark, f"{a};{a};{a}")
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+    assert rows(df, "x", "_file_ord", order=["_file_ord"]) == [(1, 0), (1, 1), (1, 2)]
+
+
+def test_file_that_the_list_does_not_name_raises(spark, write):
+    from dataclasses import replace
+
+    exp = expand_spec(spark, write("odd.jsonl", jl({"x": 1})))
+    moved = [replace(f, uri=f.uri + "?") for f in exp.files]
+    with pytest.raises(Exception, match="not in the expanded spec"):
+        read_json_files(spark, moved, schema="x bigint").collect()
+
+
+def test_chats_survive_null_empty_and_blank_messages_elsewhere(spark, write):
+    chat = [{"role": "user", "content": "hi"}]
+    a = write("c/chat.jsonl", jl({"messages": chat, "n": 1}, {"messages": "", "n": ""}, {"messages": []}))
+    b = write("c/null.json", json.dumps([{"messages": None, "n": 2}, {"messages": None, "n": None}]))
+    c = write("c/empty.jsonl", jl({"messages": []}))
+    df = read_json_corpus(spark, f"{b};{a};{c}")
+    assert dict(df.dtypes)["messages"] == "array<struct<content:string,role:string>>"
+    got = [(None if m is None else len(m), n) for m, n in rows(df, "messages", "n", order=["_file_ord", "_block_ord", "_row_ord"])]
+    assert got == [(None, 2), (None, None), (1, 1), (None, None), (0, None), (0, None)]
+    from corpusmill.functions.schema import has_messages
+
+    assert df.where(has_messages(df)).count() == 1
+
+
+def test_list_against_text_raises_naming_the_column(spark, write):
+    a = write("k/a.jsonl", jl({"messages": [{"role": "user", "content": "hi"}]}))
+    b = write("k/b.json", json.dumps([{"messages": "some text"}]))
+    with pytest.raises(ValueError, match="messages"):
+        read_json_corpus(spark, f"{a};{b}")
+
+
+def test_text_in_a_messages_column_fails_its_row(spark, write):
+    from corpusmill.functions.prompts import render
+
+    df = read_json_corpus(spark, write("t.jsonl", jl({"instruction": "q", "messages": "hello"})))
+    with pytest.raises(Exception, match="not a list of messages"):
+        render(df, "chatml", "train", keep=()).collect()
+
+
+def test_field_seen_in_one_late_row_only(spark, write):
+    p = write("late.jsonl", jl(*[{"x": i} for i in range(5000)], {"x": 1, "rare": "r"}))
+    assert read_json_corpus(spark, p).where("rare = 'r'").count() == 1
+
+
+def test_layout_behind_a_megabyte_of_blanks(spark, write):
+    p = write("blank.json", " \n" * (600 << 10) + json.dumps([{"x": 1}, {"x": 2}]))
+    assert rows(read_json_corpus(spark, p), "x", order=["x"]) == [(1,), (2,)]
+
+
+def test_part_missing_from_a_listing_is_asked_for_by_name(spark, write, tmp_path, monkeypatch):
+    from corpusmill.sources import files
+
+    names = [f"f{i}.jsonl" for i in range(12)]
+    for n in names:
+        write(f"list/{n}", "{}\n")
+    whole = files.list_children
+    monkeypatch.setattr(files, "list_children", lambda spark, p: whole(spark, p)[:-3])
+    found = files.stat_many(spark, [f"{tmp_path}/list/{n}" for n in names])
+    assert [f.name for f in found] == names
+
+
+def test_valid_text_is_decoded_without_python(spark, write):
+    exp = expand_spec(spark, [write("v.txt", "ünï\r\nx"), write("w.txt", b"a\xffb")], literal=True)
+    assert rows(read_text_files(spark, exp.files), "text", order=["_file_ord"]) == [("ünï\nx",), ("ab",)]
 
 
 def test_bulk_listing_equals_per_entry_answers(spark, write, tmp_path):
@@ -279,7 +356,7 @@ def test_empty_text_file_is_one_empty_row(spark, write):
     b = write("e/full.txt", "x")
     exp = expand_spec(spark, [a, b, a], literal=True)
     assert rows(read_text_files(spark, exp.files), "_file_ord", "text", order=["_file_ord"]) == [(0, ""), (1, "x"), (2, "")]
-    df = read_pretrain_corpus(spark, f"{a};{b}")
+    df, _ = read_pretrain_corpus(spark, f"{a};{b}")
     assert rows(df, "text", order=["_file_ord"]) == [("",), ("x",)]
 
 

@@ -70,15 +70,47 @@ def test_hot_key_rows_are_not_merged(spark, write):
     counts = dict(rows(out.groupBy("split").count()))
     assert counts == {"eval": 225, "train": 675}
     again = assign_split(df, 0.25, key="g", exact_limit=100_000)
-    assert rows(out.where(F.col("split") == "eval"), "_row_ord", order=["_row_ord"]) == rows(
-        again.where(F.col("split") == "eval"), "_row_ord", order=["_row_ord"]
+    assert rows(out.where(F.col("split") == "eval"), "g", "v", order=["g", "v"]) == rows(
+        again.where(F.col("split") == "eval"), "g", "v", order=["g", "v"]
     )
 
 
-def test_split_needs_key_or_positions(spark):
-    df = spark.range(10)
-    with pytest.raises(ValueError):
-        assign_split(df, 0.5)
+def test_same_rows_of_one_frame_however_the_files_are_cut(spark, write):
+    import json
+    from collections import Counter
+
+    from corpusmill.sources.json_corpus import read_json_corpus
+
+    p = write("cut.jsonl", "".join(json.dumps({"g": "one", "v": i % 1500}) + "\n" for i in range(6000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for rate, key in ((0.1, "g"), (0.1003, "g"), (0.1003, None)):
+        out = assign_split(read_json_corpus(spark, p), rate, key=key)
+        seen = []
+        try:
+            for size in (old, "16k", "7k"):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+                again = out.select("*")  # planned anew under the setting
+                seen.append(Counter(r[0] for r in rows(again.where(F.col("split") == "eval"), "v")))
+                assert again.count() == 6000
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert seen[0] == seen[1] == seen[2] and sum(seen[0].values()) == math.ceil(Decimal(str(rate)) * 6000)
+
+
+def test_a_boundary_among_identical_rows_is_exact(spark, monkeypatch):
+    from corpusmill.operators import split
+
+    monkeypatch.setattr(split, "TIE_GROUP", 50)
+    df = spark.range(1000).selectExpr("'same' text")
+    for limit in (10, 100_000):
+        out = assign_split(df, 0.123, exact_limit=limit)
+        assert dict(rows(out.groupBy("split").count())) == {"eval": 123, "train": 877}
+
+
+def test_a_key_that_is_not_unique_raises(spark):
+    df = spark.range(1000).selectExpr("1 k", "id")
+    with pytest.raises(ValueError, match="declared unique"):
+        assign_split(df, 0.1, key="k", unique=True)
 
 
 def test_eval_source_wins(spark):
