@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-CHUNK = 2 << 20  # bytes of text worked on at once; a longer text is a chunk of its own
+CHUNK = 1 << 19  # bytes of text worked on at once; a longer text is a chunk of its own
 
 
 def pack(column) -> tuple[np.ndarray, np.ndarray]:

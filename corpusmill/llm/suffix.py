@@ -11,8 +11,9 @@ goes, wherever it occurs.
 2. Shards. For each repeated anchor the bytes of its windows (a segment) go to the
    shard of its hash, so windows that can be equal meet in one shard. A hash with
    more than ``SHARD_SEGMENTS`` segments is dealt over several shards.
-3. In a shard, equal segments are laid together; the segments of a hash that
-   differ are sorted by all their suffixes (Larsson-Sadakane: ranks refined by
+3. In a shard, equal segments are laid together. Of the segments of a hash that
+   differ, those that share too little with any other on the two sides of the
+   anchor are out, and the rest is sorted by all its suffixes (Larsson-Sadakane: ranks refined by
    doubling, only groups that are still tied are sorted again, numpy), Kasai's
    algorithm gives the common prefixes of neighbours, and a window whose common
    prefix with a neighbour reaches ``LENGTH`` is repeated.
@@ -42,18 +43,18 @@ from corpusmill.session import materialize
 LENGTH = 200
 GRAM = 48
 SHARD_SEGMENTS = 4096
-TASK_SEGMENTS = 16384  # segments of unsplit hashes in one group
+TASK_SEGMENTS = 8192  # segments of unsplit hashes in one group
 RUN_WINDOWS = 500_000  # fingerprints in one group of the merge
 BROADCAST_ROWS = 200_000
 BROADCAST_SPANS = 1_000_000
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of one byte array: each anchor's hash, the first window start it holds for,
-    and the number of windows in a row that it holds for."""
+    its place in that window, and the number of windows in a row that it holds for."""
     n = len(data) - length + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
     h = gram_hashes(data, gram)
     # 40 bits of hash and the place: the smallest of a window is its leftmost smallest hash
     low = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
@@ -66,7 +67,7 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
         least = np.minimum(least[: len(least) - (width - have)], least[width - have :])
     at = (least & np.uint64(0xFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return h[at[first]], first, np.diff(np.r_[first, n])
+    return h[at[first]], first, at[first] - first, np.diff(np.r_[first, n])
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -77,14 +78,14 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return mix((sums[gram:] - sums[:-gram]) * down[: len(data) - gram + 1])
 
 
-def text_anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def text_anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """``anchors`` of a text of any size, worked on in pieces that overlap."""
     if len(data) <= CHUNK:
         return anchors(data, length, gram)
     parts = []
     for a in range(0, len(data) - length + 1, CHUNK):
-        h, first, run = anchors(data[a : a + CHUNK + length - 1], length, gram)
-        parts.append((h, first + a, run))
+        h, first, place, run = anchors(data[a : a + CHUNK + length - 1], length, gram)
+        parts.append((h, first + a, place, run))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -185,12 +186,29 @@ def fingerprints(segment: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
 SPANS = "_ka long, _kb long, start long, stop long, f1 long, f2 long, shard long"
 
 
-def _shard(table: pa.Table, length: int) -> pa.Table:
+def _reach(contexts: list[bytes], h: np.ndarray, width: int) -> np.ndarray:
+    """For each context the longest prefix it shares with another one of its hash."""
+    n = len(contexts)
+    text = b"".join(c[:width].replace(b"\0", b"\xff").ljust(width, b"\0") for c in contexts)  # UTF-8 has no byte 255
+    group = np.unique(h, return_inverse=True)[1]
+    digits = np.stack([group // 255**j % 255 + 1 for j in (3, 2, 1, 0)], 1).astype(np.uint8)  # no zero: it would end a key
+    rows = np.concatenate([digits, np.frombuffer(text, np.uint8).reshape(n, width)], 1)
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{width + 4}").ravel(), kind="stable")
+    rows, sorted_h = rows[order, 4:], h[order]
+    same = (rows[1:] == rows[:-1]) & (rows[1:] != 0)
+    shared = np.where(same.all(1), width, same.argmin(1)) * (sorted_h[1:] == sorted_h[:-1])
+    best = np.maximum(np.r_[shared, 0], np.r_[0, shared])
+    out = np.empty(n, np.int64)
+    out[order] = best
+    return out
+
+
+def _shard(table: pa.Table, length: int, gram: int) -> pa.Table:
     """Repeated spans of a shard's windows; for a split hash also the fingerprints
     that the merge needs (start -1 for a window that is settled here)."""
     h = table.column("h").to_numpy()
     order = np.argsort(h, kind="stable")
-    ka, kb, at, split, shard = (table.column(c).to_numpy()[order] for c in ("_ka", "_kb", "at", "split", "shard"))
+    ka, kb, at, place, split, shard = (table.column(c).to_numpy()[order] for c in ("_ka", "_kb", "at", "place", "split", "shard"))
     h = h[order]
     body = table.column("segment").to_pylist()
     bodies = [body[i] for i in order]
@@ -216,8 +234,17 @@ def _shard(table: pa.Table, length: int) -> pa.Table:
             mixed.append(segment)
             members.append(rows)
     settled: list[tuple[np.ndarray, np.ndarray]] = []
-    for segment, rows, found in zip(mixed, members, repeated_windows(mixed, length) if mixed else []):
-        flags = found | (len(rows) > 1)
+    hits: dict[int, np.ndarray] = {}
+    if mixed:
+        # what a segment shares with others on both sides of the anchor must make up a window
+        lead = np.array([rows[0] for rows in members])
+        width = length - gram
+        left = _reach([m[: place[i]][::-1] for m, i in zip(mixed, lead)], h[lead], width)
+        right = _reach([m[place[i] + gram :] for m, i in zip(mixed, lead)], h[lead], width)
+        able = np.flatnonzero(left + right >= width)
+        hits = dict(zip(able.tolist(), repeated_windows([mixed[i] for i in able], length) if len(able) else []))
+    for k, (segment, rows) in enumerate(zip(mixed, members)):
+        flags = hits.get(k, np.zeros(len(segment) - length + 1, bool)) | (len(rows) > 1)
         rows = np.array(rows)
         starts, stops = _runs(flags)
         for s, e in zip(starts, stops):
@@ -277,10 +304,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             parts = [text_anchors(data[off[i] : off[i + 1]], length, gram) for i in range(batch.num_rows)]
             counts = [len(p[0]) for p in parts]
             ka, kb = (np.repeat(batch.column(j).to_numpy(), counts) for j in (0, 1))
-            h, first, run = (np.concatenate([p[j] for p in parts]) for j in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(ka), pa.array(kb), pa.array(h.view(np.int64)), pa.array(first * 256 + run)], names=["_ka", "_kb", "h", "at"])
+            h, first, place, run = (np.concatenate([p[j] for p in parts]) for j in range(4))
+            yield pa.RecordBatch.from_arrays([pa.array(ka), pa.array(kb), pa.array(h.view(np.int64)), pa.array(first << 16 | place << 8 | run)], names=["_ka", "_kb", "h", "at"])
 
-    assert length - gram + 1 < 256  # windows of an anchor fit the low byte of ``at``
+    assert length - gram + 1 < 256  # an anchor's place and its number of windows fit a byte each
     found = rows.filter(F.octet_length("_body") >= length).mapInArrow(find, "_ka long, _kb long, h long, at long")
     found = materialize(found, "suffix-anchors")
     often = found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -300,7 +327,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             h, at, parts = (flat.field(j).to_numpy() for j in range(3))
             edge = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
             owner = np.repeat(np.arange(batch.num_rows), np.diff(edge))
-            first, run = at >> 8, at & 255
+            first, place, run = at >> 16, at >> 8 & 255, at & 255
             salt = (mix((batch.column(0).to_numpy()[owner] ^ at).view(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
             plain = (mix(h.view(np.uint64)) % np.uint64(shards)).view(np.int64)
             own = -1 - (mix(h.view(np.uint64) + salt.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(2)).view(np.int64)
@@ -311,13 +338,13 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
                 b = min(a + 8192, len(h))
                 bodies = [data[s : s + n].tobytes() for s, n in zip(begin[a:b].tolist(), size[a:b].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x[a:b]) for x in (batch.column(0).to_numpy()[owner], batch.column(1).to_numpy()[owner], h, first, shard)], pa.array(parts[a:b] > 1), pa.array(bodies, pa.binary())],
-                    names=["_ka", "_kb", "h", "at", "shard", "split", "segment"],
+                    [*[pa.array(x[a:b]) for x in (batch.column(0).to_numpy()[owner], batch.column(1).to_numpy()[owner], h, first, place, shard)], pa.array(parts[a:b] > 1), pa.array(bodies, pa.binary())],
+                    names=["_ka", "_kb", "h", "at", "place", "shard", "split", "segment"],
                 )
 
     carried = rows.join(marks.select("_ka", "_kb", "marks"), ["_ka", "_kb"]).select("_ka", "_kb", "_body", "marks")
-    segments = carried.mapInArrow(cut, "_ka long, _kb long, h long, at long, shard long, split boolean, segment binary")
-    spans = materialize(segments.groupBy("shard").applyInArrow(lambda t: _shard(t, length), SPANS), "suffix-spans")
+    segments = carried.mapInArrow(cut, "_ka long, _kb long, h long, at long, place long, shard long, split boolean, segment binary")
+    spans = materialize(segments.groupBy("shard").applyInArrow(lambda t: _shard(t, length, gram), SPANS), "suffix-spans")
     own = spans.filter("f1 = 0 and f2 = 0").select("_ka", "_kb", "start", "stop")
     if not sums.hot:
         return own
@@ -327,6 +354,28 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     return own.union(merged)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's spans as maximal runs: their starts and stops in order."""
+    for batch in batches:
+        lists = batch.column(2)
+        flat = lists.flatten()
+        start, stop = (flat.field(j).to_numpy() for j in (0, 1))
+        owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+        order = np.lexsort((start, owner))
+        owner, start, stop = owner[order], start[order], stop[order]
+        width = int(stop.max(initial=0)) + 2  # texts end to end, apart from each other
+        reach = np.maximum.accumulate(stop + owner * width) if len(owner) else stop
+        new = np.r_[True, start[1:] + owner[1:] * width > reach[:-1]] if len(owner) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.r_[first[1:], len(owner)] - 1
+        edge = pa.array(np.searchsorted(owner[first], np.arange(batch.num_rows + 1)).astype(np.int32))
+        starts, stops = start[first], (reach - owner * width)[last] if len(owner) else stop
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *[pa.ListArray.from_arrays(edge, pa.array(x.astype(np.int64))) for x in (starts, stops)]],
+            names=["_sa", "_sb", "starts", "stops"],
+        )
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", row_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, shard_segments: int = SHARD_SEGMENTS, contents: bool = True) -> DataFrame:
     """``docs`` plus ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs),
     ``kept_bytes`` (what remains, which may cut a character; left out with
@@ -340,11 +389,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     checkpoint folder; the removal is lazy."""
     side = Shielded(docs)
     rid, body = side.col(row_id), side.col(text)
-    keyed = side.df.select(*side.columns, *row_key(rid, body), F.coalesce(F.col(body).cast("string"), F.lit("")).cast("binary").alias("_body"))
-    spans = repeated_spans(keyed.select("_ka", "_kb", "_body"), length, gram, shard_segments)
-    spans = spans.groupBy("_ka", "_kb").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    spans = materialize(spans.select(F.col("_ka").alias("_sa"), F.col("_kb").alias("_sb"), "spans"), "suffix-removed")
-    size = spans.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("spans")).alias("spans")).first()
+    keyed = side.df.withColumn(body, F.col(body).cast("string")).select(*side.columns, *row_key(rid, body))
+    texts = keyed.select("_ka", "_kb", F.coalesce(F.col(body), F.lit("")).cast("binary").alias("_body"))
+    spans = repeated_spans(texts, length, gram, shard_segments)
+    spans = spans.groupBy("_ka", "_kb").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans = materialize(spans.mapInArrow(_merged, "_sa long, _sb long, starts array<long>, stops array<long>"), "suffix-removed")
+    size = spans.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("starts")).alias("spans")).first()
     if size.rows <= BROADCAST_ROWS and (size.spans or 0) <= BROADCAST_SPANS:
         spans = F.broadcast(spans)
     joined = keyed.join(spans, (F.col("_ka") == F.col("_sa")) & (F.col("_kb") == F.col("_sb")), "left")
@@ -352,34 +402,28 @@ def remove_repeats(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     if contents:
         new["kept_bytes"] = T.BinaryType()
 
-    own = len(side.columns)
+    own, side_at = len(side.columns), side.columns.index(body)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, off = pack(batch.column(batch.num_columns - 2))
-            spans = batch.column(batch.num_columns - 1)
-            flat = spans.flatten()
-            start, stop = (flat.field(j).to_numpy() for j in (0, 1))
-            edge = np.r_[0, np.cumsum(spans.value_lengths().fill_null(0).to_numpy())]
-            out: list[list] = [[] for _ in new]
+            data, off = pack(batch.column(side_at))
+            starts, stops = batch.column(own), batch.column(own + 1)
+            edge = np.r_[0, np.cumsum(starts.value_lengths().fill_null(0).to_numpy())]
+            start, stop = starts.flatten().to_numpy(), stops.flatten().to_numpy()
+            out: list[list] = [[] for _ in range(5)]
             for i in range(batch.num_rows):
                 mine = data[off[i] : off[i + 1]]
                 a, b = edge[i], edge[i + 1]
-                removed = runs = 0
+                removed = int((stop[a:b] - start[a:b]).sum())
                 kept = mine.tobytes()
-                if b > a:
-                    change = np.zeros(len(mine) + 1, np.int64)
-                    np.add.at(change, start[a:b], 1)
-                    np.add.at(change, stop[a:b], -1)
-                    gone = np.cumsum(change[:-1]) > 0
-                    removed, runs = int(gone.sum()), len(_runs(gone)[0])
-                    kept = mine[~gone].tobytes()
-                for column, value in zip(out, (len(mine), removed, runs, hashlib.sha256(kept).hexdigest(), kept)):
+                if removed:
+                    kept = b"".join(kept[x:y] for x, y in zip([0, *stop[a:b].tolist()], [*start[a:b].tolist(), len(kept)]))
+                for column, value in zip(out, (len(mine), removed, int(b - a), hashlib.sha256(kept).hexdigest(), kept)):
                     column.append(value)
             columns = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:own], *columns], names=[*batch.schema.names[:own], *new])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:own], *columns[: len(new)]], names=[*batch.schema.names[:own], *new])
 
-    schema = T.StructType([*side.df.schema.fields, *[T.StructField(n, t) for n, t in new.items()]])
-    done = joined.select(*side.columns, "_body", "spans").mapInArrow(cut, schema)
+    schema = T.StructType([*keyed.select(*side.columns).schema.fields, *[T.StructField(n, t) for n, t in new.items()]])
+    done = joined.select(*side.columns, "starts", "stops").mapInArrow(cut, schema)
     kept = [F.col(c).alias(n) for c, n in zip(side.columns, side.names) if n not in new]
     return done.select(*kept, *new)

@@ -71,8 +71,8 @@ def test_long_text_is_worked_on_in_pieces(spark, monkeypatch):
     whole = suffix.text_anchors(np.frombuffer(long.encode(), np.uint8), 200, 48)
     monkeypatch.setattr(suffix, "CHUNK", 1000)
     parts = suffix.text_anchors(np.frombuffer(long.encode(), np.uint8), 200, 48)
-    assert sum(parts[2]) == sum(whole[2]) == len(long) - 199
-    assert np.array_equal(np.repeat(parts[0], parts[2]), np.repeat(whole[0], whole[2]))
+    assert sum(parts[3]) == sum(whole[3]) == len(long) - 199
+    assert np.array_equal(np.repeat(parts[0], parts[3]), np.repeat(whole[0], whole[3]))
 
 
 def test_rows(spark):
