@@ -18,8 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     the number of changes comes to the driver. Sums over neighbours combine before
     they are shuffled, so a node with very many links costs no task more than its
     own rows."""
-    both = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other")
-    both = materialize(both.filter("node <> other"), "links")
+    links = materialize(links.select("a", "b").filter("a <> b"), "links")
+    both = links.union(links.select("b", "a")).toDF("node", "other")
     labels = materialize(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))

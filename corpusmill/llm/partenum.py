@@ -28,14 +28,23 @@ The work, none of which gathers a group in one task or on the driver:
    class from here on, so copies cost nothing more;
 2. signatures go to buckets, packed (about 6 bytes each), and each bucket, whose
    number follows the data, reports the groups of classes that share one;
-3. each class is verified against the class it shares most signatures with, and
-   the links found are contracted to components;
-4. pairs that share a signature but not yet a component are verified too, and
-   the components of all links are the result.
+3. each class is compared with the class it shares most signatures with, and
+   what that links is named after the centre;
+4. pairs that share a signature but not yet a name are compared too, and the
+   components of all links are the result. Pairs of the rarer signatures are
+   listed (a signature has at most ``FREQUENT`` sets there). Sets that only meet in
+   frequent ones are gathered into clusters, dealt into blocks of ``BLOCK`` by size,
+   and compared block against block in numpy; only pairs that may be similar come
+   out, so no group's pairs are listed. That work is quadratic in the number of
+   sets of a cluster that are not similar to its centre, which no exact join avoids.
+
+A comparison first looks at the sizes and at count sketches of the two sets, whose
+differences cannot exceed the sets' own; what passes is verified on the texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,10 +61,13 @@ SHINGLE = 5
 ALIKE = (75, 100)  # similarity of at least 75 / 100
 RATIO = 1.6  # between the largest sizes of neighbouring bands
 LOAD = 2.7  # features in a partition, for the largest set of a band
-FREQUENT = 24
-BUCKET_SHINGLES = 2_500_000
-HELD_SIGNATURES = 2_000_000
+FREQUENT = 6
+BUCKET_SHINGLES = 1_000_000
+HELD_SIGNATURES = 600_000
 BROADCAST_ROWS = 300_000
+CELLS = 256  # of a set's count sketch
+BLOCK = 512  # sets compared with as many others in one step
+STEP = 1.07  # ratio of the sizes in a block
 
 #: Words are runs of anything but space and the control characters 9 to 13.
 NOT_SPACE = ~table(bytes([0x20, *range(0x09, 0x0E)]))
@@ -109,6 +121,12 @@ def set_hash(features: np.ndarray) -> tuple[int, int]:
     return tuple(mix(np.array([a, b], np.uint64)).view(np.int64).tolist())
 
 
+def sketch(features: np.ndarray) -> bytes:
+    """How many features fall into each of ``CELLS`` cells, up to 255. The sum of two
+    sketches' differences is at most the number of features that the sets differ in."""
+    return np.minimum(np.bincount((features & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
 def signatures(features: np.ndarray, bands: Bands) -> Iterator[tuple[int, np.ndarray]]:
     """(band, signatures) of one set given as sorted hashes."""
     spread = mix(features)
@@ -150,7 +168,7 @@ def similarity_components(
     rid, body = side.col(row_id), side.col(text)
     rows = side.df.select(*row_key(rid, body), F.col(rid).alias("_id"), F.col(body).cast("string").alias("_body"))
     sets = materialize(_sets(rows, shingle), "partenum-sets")
-    links = similar_pairs(rows, sets, shingle, alike, frequent)
+    links = materialize(similar_pairs(rows, sets, shingle, alike, frequent), "partenum-links")
     label = components(links).select(F.col("node").alias("h1"), "label")
     least = sets.filter("n > 0").groupBy("h1").agg(F.min("_id").alias("least"))
     label = least.join(label, "h1", "left").withColumn("label", F.coalesce("label", "h1"))
@@ -191,20 +209,21 @@ def _sets(rows: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = pack(batch.column(3))
-            sizes, ones, twos = [], [], []
+            sizes, ones, twos, cells = [], [], [], []
             for a, b in chunks(off):
                 for features in shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a], shingle):
                     one, two = set_hash(features)
                     sizes.append(len(features))
                     ones.append(one)
                     twos.append(two)
+                    cells.append(sketch(features))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64())],
-                names=["_ka", "_kb", "_id", "n", "h1", "h2"],
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array(cells, pa.binary())],
+                names=["_ka", "_kb", "_id", "n", "h1", "h2", "cells"],
             )
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_ka long, _kb long, _id {id_type}, n long, h1 long, h2 long")
+    return rows.mapInArrow(run, f"_ka long, _kb long, _id {id_type}, n long, h1 long, h2 long, cells binary")
 
 
 def _payloads(sigs: np.ndarray, entry: np.ndarray, h1: np.ndarray, size: np.ndarray, band: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
@@ -278,7 +297,7 @@ def _packed_signatures(rows: DataFrame, shingle: int, bands: Bands, buckets: int
 def _groups_of(payloads: list[bytes]) -> pa.Table:
     """The distinct sets of two or more classes that share a signature of a bucket:
     a row for each member, with the number of signatures they share, the members'
-    number and the least of them."""
+    number and a pivot, the member that shares most signatures of the bucket."""
     parts = [_unpack(p) for p in payloads]
     sig, h1, size, band = (np.concatenate([p[j] for p in parts]) for j in range(4))
     key = (sig << np.uint64(8)) | band.astype(np.uint64)
@@ -303,8 +322,12 @@ def _groups_of(payloads: list[bytes]) -> pa.Table:
         group, first, times = np.unique(group, return_index=True, return_counts=True)
         start, number = start[first], number[first]
         rep = lambda x: np.repeat(x, number)
-        take = rep(start) + np.arange(int(number.sum())) - rep(np.cumsum(np.r_[0, number[:-1]]))
-        columns = [rep(group.view(np.int64)), rep(times), rep(number), h1[take], size[take].astype(np.int64), rep((key[start] & np.uint64(255)).astype(np.int64)), rep(h1[start])]
+        bound = np.cumsum(np.r_[0, number[:-1]])
+        take = rep(start) + np.arange(int(number.sum())) - rep(bound)
+        member = np.unique(h1[take], return_inverse=True)[1]
+        met = np.bincount(member, (rep(number) - 1.0) * rep(times))[member]
+        pivot = h1[take][np.lexsort((h1[take], -met, rep(np.arange(len(start)))))[bound]]
+        columns = [rep(group.view(np.int64)), rep(times), rep(number), h1[take], size[take].astype(np.int64), rep((key[start] & np.uint64(255)).astype(np.int64)), rep(pivot)]
     else:
         columns = [np.zeros(0, np.int64)] * 7
     names = ["g", "times", "m", "h1", "n", "band", "pivot"]
@@ -323,45 +346,128 @@ def similar_pairs(rows: DataFrame, sets: DataFrame, shingle: int, alike: tuple[i
     shared = packed.groupBy("bucket").applyInArrow(lambda t: _groups_of(t.column("payload").to_pylist()), schema)
     shared = materialize(shared, "partenum-shared")
 
-    # each class with the class it shares most signatures with, among least members of groups
+    # each class with the class it shares most signatures with, among pivots of groups
     first = shared.filter("h1 <> pivot").groupBy("h1", "pivot").agg(F.sum("times").alias("times"))
     first = first.groupBy("h1").agg(F.max(F.struct("times", "pivot")).alias("best")).filter("best.times > 1")
-    first = materialize(first.select(F.col("h1").alias("a"), F.col("best.pivot").alias("b")), "partenum-pairs")
-    links = materialize(verified(first, rows, sets, shingle, alike), "partenum-links")
+    first = first.select(F.col("h1").alias("a"), F.col("best.pivot").alias("b"))
+    classes = sets.join(shared.select("h1").distinct(), "h1", "left_semi").groupBy("h1").agg(F.first("n").alias("n"), F.first("cells").alias("cells"), F.min(F.struct("_ka", "_kb")).alias("k"))
+    classes = materialize(classes, "partenum-classes")
+    links = materialize(verified(first, rows, classes, shingle, alike), "partenum-links")
+    # a name for what is linked so far: the pivot, or the pivot's pivot
+    hop = links.select(F.col("a").alias("b"), F.col("b").alias("far"))
+    label = links.join(hop, "b", "left").select(F.col("a").alias("h1"), F.coalesce("far", "b").alias("label"))
+
+    # what shares a signature but not yet a name
+    pairs = _rare_pairs(shared.filter(F.col("m") <= frequent), label, alike).union(
+        _cluster_pairs(_without_most_frequent(shared.filter(F.col("m") > frequent), bands), label, classes, alike)
+    )
+    return links.select("a", "b").union(verified(pairs.distinct(), rows, classes, shingle, alike))
 
-    # what shares a signature but not yet a component
-    label = components(links).select(F.col("node").alias("h1"), "label")
-    rest = _without_most_frequent(shared, bands, frequent).select("g", "h1", "n").distinct()
-    rest = rest.join(label, "h1", "left").withColumn("label", F.coalesce("label", "h1"))
-    rest = materialize(rest, "partenum-rest")
+
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+    return members.join(label, "h1", "left").withColumn("label", F.coalesce("label", "h1"))
+
+
+def _rare_pairs(shared: DataFrame, label: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """Pairs of different names in one group, for groups of bounded size."""
+    rest = materialize(_labelled(shared.select("g", "h1", "n").distinct(), label), "partenum-rest")
     mixed = rest.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("g")
     rest = rest.join(mixed, "g")
     one, two = (rest.select("g", *[F.col(c).alias(f"{c}_{x}") for c in ("h1", "n", "label")]) for x in "ab")
     near = F.greatest("n_a", "n_b") * F.lit(alike[0]) <= F.least("n_a", "n_b") * F.lit(alike[1])
     pairs = one.join(two, "g").filter((F.col("label_a") != F.col("label_b")) & (F.col("h1_a") < F.col("h1_b")) & near)
-    pairs = materialize(pairs.select(F.col("h1_a").alias("a"), F.col("h1_b").alias("b")).distinct(), "partenum-pairs")
-    return links.select("a", "b").union(verified(pairs, rows, sets, shingle, alike))
+    return pairs.select(F.col("h1_a").alias("a"), F.col("h1_b").alias("b"))
 
 
-def _without_most_frequent(shared: DataFrame, bands: Bands, frequent: int) -> DataFrame:
-    """``shared`` without those frequent signatures of each class and band that its
-    spare ones pay for. (Sets that emit single features share at least as many of
-    those as their overlap, which is more than the spare ones of their band.)"""
+def _cluster_pairs(hot: DataFrame, label: DataFrame, classes: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """Pairs of different names that share a frequent signature (or a cluster of
+    them) and that sizes and sketches do not rule out."""
+    p, q = alike
+    hot = materialize(hot.select("g", "h1", "n", F.xxhash64("h1", "band").alias("node")).distinct(), "partenum-hot")
+    # a group's cluster is the least node among its members' groups' least members, so
+    # the groups around one centre have one cluster; a set may be in several
+    least = hot.groupBy("g").agg(F.min("node").alias("least"))
+    reach = hot.join(least, "g").groupBy("node").agg(F.min("least").alias("least"))
+    cluster = hot.join(reach, "node").groupBy("g").agg(F.min("least").alias("c"))
+    members = _labelled(hot.join(cluster, "g").select("h1", "n", "c").distinct(), label)
+    mixed = members.groupBy("c").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("c")
+    members = members.join(mixed, "c").withColumn("step", F.floor(F.log("n") / math.log(STEP)))
+    parts = members.groupBy("c", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    members = members.join(parts, ["c", "step"]).withColumn("block", F.xxhash64("c", "step", F.pmod(F.xxhash64("h1"), F.col("parts"))))
+    members = materialize(members.join(classes.select("h1", "cells"), "h1"), "partenum-members")
+    blocks = members.groupBy("c", "step", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    one, two = (blocks.select("c", *[F.col(x).alias(f"{x}_{end}") for x in ("step", "block", "low", "high")]) for end in "ab")
+    apart = F.col("step_b") - F.col("step_a")
+    once = ((apart > 0) & (apart <= math.ceil(math.log(q / p) / math.log(STEP)))) | ((apart == 0) & (F.col("block_a") <= F.col("block_b")))
+    alone = (F.col("low_a") == F.col("high_a")) & (F.col("low_b") == F.col("high_b")) & (F.col("low_a") == F.col("low_b"))
+    meet = one.join(two, "c").filter(once & ~alone).select("block_a", "block_b")
+    sides = [
+        meet.select("block_a", "block_b", F.col(f"block_{end}").alias("block"), F.lit(k).alias("side")).join(members.select("block", "h1", "n", "label", "cells"), "block")
+        for k, end in enumerate("ab")
+    ]
+    compared = sides[0].union(sides[1].filter("block_a <> block_b")).drop("block")
+    return compared.groupBy("block_a", "block_b").applyInArrow(lambda t: _compare(t, p, q), "a long, b long")
+
+
+def _compare(table: pa.Table, p: int, q: int) -> pa.Table:
+    """Of two blocks (or one with itself): the pairs that may be similar."""
+    side = table.column("side").to_numpy()
+    h1, n, label = (table.column(c).to_numpy() for c in ("h1", "n", "label"))
+    cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+    x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    alone = not len(y)
+    y = x if alone else y
+    found = []
+    for i in range(0, len(x), 64):
+        part = x[i : i + 64]
+        both = n[part][:, None] + n[y][None]
+        able = (label[part][:, None] != label[y][None]) & (np.maximum(n[part][:, None], n[y][None]) * p <= np.minimum(n[part][:, None], n[y][None]) * q)
+        if alone:
+            able &= h1[part][:, None] < h1[y][None]
+        a, b = np.nonzero(able)
+        for j in range(0, len(a), 16384):
+            r, c = part[a[j : j + 16384]], y[b[j : j + 16384]]
+            near = np.abs(cells[r] - cells[c]).sum(1, dtype=np.int64) * (q + p) <= both[a[j : j + 16384], b[j : j + 16384]] * (q - p)
+            found.append(np.stack([h1[r[near]], h1[c[near]]], 1))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pa.table({"a": pa.array(pairs.min(1)), "b": pa.array(pairs.max(1))}) if len(pairs) else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+
+def _without_most_frequent(hot: DataFrame, bands: Bands) -> DataFrame:
+    """Frequent signatures without those of each class and band that its spare ones
+    pay for. (Sets that emit single features share at least as many of those as
+    their overlap, which is more than the spare ones of their band.)"""
     spare = F.element_at(F.array([F.lit(s) for s in bands.spare]), (F.col("band") + 1).cast("int"))
     order = Window.partitionBy("h1", "band").orderBy("m", "g").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("h1", "band")
-    hot = shared.filter(F.col("m") > frequent)
-    hot = hot.withColumn("upto", F.sum("times").over(order)).withColumn("all", F.sum("times").over(whole))
-    hot = hot.filter(F.col("upto") - F.col("times") < F.col("all") - spare).select(*shared.columns)
-    return shared.filter(F.col("m") <= frequent).union(hot)
+    out = hot.withColumn("upto", F.sum("times").over(order)).withColumn("all", F.sum("times").over(whole))
+    return out.filter(F.col("upto") - F.col("times") < F.col("all") - spare).select(*hot.columns)
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """The pairs that sizes and sketches do not rule out."""
+    p, q = alike
+    for end in "ab":
+        pairs = pairs.join(classes.select(F.col("h1").alias(end), F.col("n").alias(f"n{end}"), F.col("cells").alias(f"c{end}")), end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            one, two = (np.frombuffer(b"".join(batch.column(j).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for j in (4, 5))
+            near = np.abs(one - two).sum(1, dtype=np.int64) * (q + p) <= n * (q - p)
+            yield pa.RecordBatch.from_arrays([batch.column(j).filter(pa.array(near)) for j in (0, 1)], names=["a", "b"])
+
+    near = F.greatest("na", "nb") * F.lit(p) <= F.least("na", "nb") * F.lit(q)
+    return pairs.filter(near).select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, shingle: int, alike: tuple[int, int]) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, alike: tuple[int, int]) -> DataFrame:
     """The pairs ``(a, b)`` of classes whose sets are as similar as asked, from
     their texts. Each class's text is looked up once and sent where it is needed;
     within a task it is cut into shingles once for neighbouring pairs."""
+    pairs = materialize(_possible(pairs, classes, alike), "partenum-pairs")
     ends = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    keys = sets.join(ends, "h1", "left_semi").groupBy("h1").agg(F.min(F.struct("_ka", "_kb")).alias("k"))
+    keys = classes.join(ends, "h1", "left_semi")
     keys = materialize(keys.select(F.col("h1"), F.col("k._ka").alias("_ra"), F.col("k._kb").alias("_rb")), "partenum-keys")
     texts = rows.join(_small(keys), (F.col("_ka") == F.col("_ra")) & (F.col("_kb") == F.col("_rb")))
     texts = materialize(texts.select("h1", "_body"), "partenum-texts")

@@ -50,7 +50,7 @@ def run(spark, rows, **how):
 
 @pytest.mark.parametrize("split", [3, 4096])
 def test_against_all_windows(spark, split):
-    rows = corpus(1, 240, 0.4)
+    rows = corpus(1, 140, 0.4)
     got, _ = run(spark, rows, shard_segments=split)
     assert got == brute(rows)
 
