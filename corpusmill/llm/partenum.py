@@ -62,7 +62,8 @@ ALIKE = (75, 100)  # similarity of at least 75 / 100
 RATIO = 1.6  # between the largest sizes of neighbouring bands
 LOAD = 2.7  # features in a partition, for the largest set of a band
 FREQUENT = 6
-BUCKET_SHINGLES = 1_000_000
+GROUP = 32  # neighbouring partitions whose signatures share a bucket
+SPLIT_SHINGLES = 60_000_000  # a bucket is split in two for each so many
 HELD_SIGNATURES = 600_000
 BROADCAST_ROWS = 300_000
 CELLS = 256  # of a set's count sketch
@@ -127,8 +128,8 @@ def sketch(features: np.ndarray) -> bytes:
     return np.minimum(np.bincount((features & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
-def signatures(features: np.ndarray, bands: Bands) -> Iterator[tuple[int, np.ndarray]]:
-    """(band, signatures) of one set given as sorted hashes."""
+def signatures(features: np.ndarray, bands: Bands) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(band, signatures, their partitions) of one set given as sorted hashes."""
     spread = mix(features)
     for band, number in bands.emitted(len(features)):
         seed = np.uint64((band + 1) * 0x632BE59BD9B4E019 % (1 << 64))
@@ -136,9 +137,9 @@ def signatures(features: np.ndarray, bands: Bands) -> Iterator[tuple[int, np.nda
         start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         if len(start) >= number:
             last = start[number] if len(start) > number else len(features)
-            yield band, mix(np.add.reduceat(spread[:last], start[:number]) ^ seed)
+            yield band, mix(np.add.reduceat(spread[:last], start[:number]) ^ seed), part[start[:number]]
         else:
-            yield band, np.r_[mix(np.add.reduceat(spread, start) ^ seed), mix(spread ^ ~seed)]
+            yield band, np.r_[mix(np.add.reduceat(spread, start) ^ seed), mix(spread ^ ~seed)], np.r_[part[start], part]
 
 
 def similarity_components(
@@ -226,10 +227,11 @@ def _sets(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, f"_ka long, _kb long, _id {id_type}, n long, h1 long, h2 long, cells binary")
 
 
-def _payloads(sigs: np.ndarray, entry: np.ndarray, h1: np.ndarray, size: np.ndarray, band: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """Signatures by bucket, each as: number of entries, their class, size, band
-    and number of signatures, then five bytes of each signature."""
-    bucket = (sigs % np.uint64(buckets)).astype(np.int64)
+def _payloads(sigs: np.ndarray, part: np.ndarray, entry: np.ndarray, h1: np.ndarray, size: np.ndarray, band: np.ndarray, splits: int) -> Iterator[tuple[int, bytes]]:
+    """Signatures by bucket (a stretch of a band's partitions, so that a class has
+    many in one), each as: number of entries, their class, size, band and number of
+    signatures, then five bytes of each signature."""
+    bucket = (band[entry].astype(np.int64) << 32 | (part // np.uint64(GROUP)).astype(np.int64)) * splits + (sigs % np.uint64(splits)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, entry, sigs = bucket[order], entry[order], sigs[order]
     edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
@@ -256,19 +258,19 @@ def _unpack(payload: bytes) -> tuple[np.ndarray, ...]:
     return wide.view(np.uint64).ravel(), np.repeat(h1, count), np.repeat(size, count), np.repeat(band, count)
 
 
-def _packed_signatures(rows: DataFrame, shingle: int, bands: Bands, buckets: int) -> DataFrame:
+def _packed_signatures(rows: DataFrame, shingle: int, bands: Bands, splits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, int, int, int]] = []
+        held: list[tuple[np.ndarray, np.ndarray, int, int, int]] = []
         total = 0
 
         def flush() -> pa.RecordBatch:
-            sigs = np.concatenate([x[0] for x in held])
+            sigs, part = (np.concatenate([x[j] for x in held]) for j in (0, 1))
             entry = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
-            h1, size, band = (np.array([x[j] for x in held], kind) for j, kind in ((1, np.int64), (2, np.uint32), (3, np.uint8)))
-            out = list(_payloads(sigs, entry, h1, size, band, buckets))
+            h1, size, band = (np.array([x[j] for x in held], kind) for j, kind in ((2, np.int64), (3, np.uint32), (4, np.uint8)))
+            out = list(_payloads(sigs, part, entry, h1, size, band, splits))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([p for _, p in out], pa.binary())], names=["bucket", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([p for _, p in out], pa.binary())], names=["bucket", "payload"])
 
         for batch in batches:
             data, off = pack(batch.column(0))
@@ -282,8 +284,8 @@ def _packed_signatures(rows: DataFrame, shingle: int, bands: Bands, buckets: int
                     if len(seen) >= 500_000:
                         seen.clear()
                     seen.add(one)
-                    for band, sigs in signatures(features, bands):
-                        held.append((sigs, one, len(features), band))
+                    for band, sigs, part in signatures(features, bands):
+                        held.append((sigs, part, one, len(features), band))
                         total += len(sigs)
                 if total >= HELD_SIGNATURES:
                     yield flush()
@@ -291,13 +293,13 @@ def _packed_signatures(rows: DataFrame, shingle: int, bands: Bands, buckets: int
         if held:
             yield flush()
 
-    return rows.select("_body").mapInArrow(run, "bucket int, payload binary")
+    return rows.select("_body").mapInArrow(run, "bucket long, payload binary")
 
 
 def _groups_of(payloads: list[bytes]) -> pa.Table:
     """The distinct sets of two or more classes that share a signature of a bucket:
-    a row for each member, with the number of signatures they share, the members'
-    number and a pivot, the member that shares most signatures of the bucket."""
+    a row for each member, with the number of signatures they share and the members'
+    number."""
     parts = [_unpack(p) for p in payloads]
     sig, h1, size, band = (np.concatenate([p[j] for p in parts]) for j in range(4))
     key = (sig << np.uint64(8)) | band.astype(np.uint64)
@@ -324,30 +326,28 @@ def _groups_of(payloads: list[bytes]) -> pa.Table:
         rep = lambda x: np.repeat(x, number)
         bound = np.cumsum(np.r_[0, number[:-1]])
         take = rep(start) + np.arange(int(number.sum())) - rep(bound)
-        member = np.unique(h1[take], return_inverse=True)[1]
-        met = np.bincount(member, (rep(number) - 1.0) * rep(times))[member]
-        pivot = h1[take][np.lexsort((h1[take], -met, rep(np.arange(len(start)))))[bound]]
-        columns = [rep(group.view(np.int64)), rep(times), rep(number), h1[take], size[take].astype(np.int64), rep((key[start] & np.uint64(255)).astype(np.int64)), rep(pivot)]
+        columns = [rep(group.view(np.int64)), rep(times), rep(number), h1[take], size[take].astype(np.int64), rep((key[start] & np.uint64(255)).astype(np.int64))]
     else:
-        columns = [np.zeros(0, np.int64)] * 7
-    names = ["g", "times", "m", "h1", "n", "band", "pivot"]
+        columns = [np.zeros(0, np.int64)] * 6
+    names = ["g", "times", "m", "h1", "n", "band"]
     return pa.table({n: pa.array(c.astype(np.int64)) for n, c in zip(names, columns)})
 
 
 def similar_pairs(rows: DataFrame, sets: DataFrame, shingle: int, alike: tuple[int, int], frequent: int) -> DataFrame:
     """Links ``(a, b)`` between classes (``h1`` of ``sets``) that connect exactly
     the components of all similar pairs."""
-    spark = rows.sparkSession
     bands = Bands(alike)
     total = sets.agg(F.sum("n")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET_SHINGLES + 1)
-    schema = "g long, times long, m long, h1 long, n long, band long, pivot long"
-    packed = _packed_signatures(rows, shingle, bands, buckets)
+    schema = "g long, times long, m long, h1 long, n long, band long"
+    packed = _packed_signatures(rows, shingle, bands, int(total) // SPLIT_SHINGLES + 1)
     shared = packed.groupBy("bucket").applyInArrow(lambda t: _groups_of(t.column("payload").to_pylist()), schema)
     shared = materialize(shared, "partenum-shared")
 
-    # each class with the class it shares most signatures with, among pivots of groups
-    first = shared.filter("h1 <> pivot").groupBy("h1", "pivot").agg(F.sum("times").alias("times"))
+    # each class with the class it shares most signatures with, among pivots of groups:
+    # a group's pivot is the member that shares most signatures with any others
+    met = materialize(shared.groupBy("h1").agg(F.sum(F.col("times") * (F.col("m") - 1)).alias("met")), "partenum-met")
+    pivots = shared.join(_small(met), "h1").groupBy("g").agg(F.max(F.struct("met", "h1")).alias("top"))
+    first = shared.join(pivots.select("g", F.col("top.h1").alias("pivot")), "g").filter("h1 <> pivot").groupBy("h1", "pivot").agg(F.sum("times").alias("times"))
     first = first.groupBy("h1").agg(F.max(F.struct("times", "pivot")).alias("best")).filter("best.times > 1")
     first = first.select(F.col("h1").alias("a"), F.col("best.pivot").alias("b"))
     classes = sets.join(shared.select("h1").distinct(), "h1", "left_semi").groupBy("h1").agg(F.first("n").alias("n"), F.first("cells").alias("cells"), F.min(F.struct("_ka", "_kb")).alias("k"))

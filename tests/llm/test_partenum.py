@@ -105,3 +105,20 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {i: 5 for i in [*range(100, 121), *range(300, 500), 5]}
     assert got == want
+
+
+def test_similar_sets_share_more_signatures_than_the_spare_ones():
+    import numpy as np
+
+    rng, bands, met = random.Random(7), partenum.Bands((75, 100)), 0
+    for _ in range(1500):
+        a = {rng.getrandbits(64) for _ in range(rng.choice([3, 4, 5, 8, 15, 40, 120, 400]))}
+        b = set(a) - set(rng.sample(sorted(a), rng.randint(0, len(a) // 4)))
+        b |= {rng.getrandbits(64) for _ in range(rng.randint(0, len(a) // 6 + 1))}
+        if a == b or 100 * len(a & b) < 75 * len(a | b):
+            continue
+        band = bands.band(max(len(a), len(b)))
+        one, two = (dict((t, set(s.tolist())) for t, s, _ in partenum.signatures(np.array(sorted(x), np.uint64), bands)) for x in (a, b))
+        assert len(one[band] & two[band]) > bands.spare[band]
+        met += 1
+    assert met > 400
