@@ -4,10 +4,11 @@ Each host's paths form a tree of segments. Variable segments become wildcards,
 first by form (numbers, long hexadecimal names, with or without an extension),
 then by counts: a node whose children are many and rarely repeated gets one
 wildcard child instead. Sibling branches whose share of rejected labels cannot
-be told apart from that of all siblings are merged. Each resulting template has
-a smoothed purity (labelled rejections over labels, pulled towards the host's
-rate, which is pulled towards the rate of all), and is rejected above a
-threshold. A template without labels is not rejected.
+be told apart from that of all siblings are merged; a branch without labels joins
+them if at least two of its siblings have labels and no labelled one stands out.
+Each resulting template has a smoothed purity (labelled rejections over labels,
+pulled towards the host's rate, which is pulled towards the rate of all), and is
+rejected above a threshold. A template without labels is not rejected.
 
 Labels are a column if there is one; else the URLs that a rule decides teach
 the templates. Rules come first: the longest that fits decides, and the
@@ -95,8 +96,12 @@ def template_tree(shapes: DataFrame) -> DataFrame:
     own = own.withColumn("fn", F.sum("n").over(family)).withColumn("fb", F.sum("b").over(family)).withColumn("members", F.count(F.lit(1)).over(family))
     p = F.when(F.col("fn") > 0, F.col("fb") / F.col("fn")).otherwise(F.lit(0.0))
     error = F.sqrt(p * (1 - p) / F.col("n") + F.lit(0.25) / (F.col("n") * F.col("n")))
-    alike = (F.col("members") > 1) & (F.col("n") > 0) & (F.abs(F.col("b") / F.col("n") - p) <= ALIKE_Z * error)
-    own = own.withColumn("template", F.when(F.col("n") > 0, F.when(alike, F.col("siblings")).otherwise(F.col("own"))).otherwise(F.col("own")))
+    own = own.withColumn("unlike", F.when(F.col("n") > 0, (F.abs(F.col("b") / F.col("n") - p) > ALIKE_Z * error).cast("int")))
+    # a branch without labels joins a family whose labelled branches, two at least, are all alike
+    uniform = (F.count("unlike").over(family) > 1) & (F.max("unlike").over(family) == 0)
+    own = own.withColumn("uniform", uniform)
+    joins = (F.col("members") > 1) & F.when(F.col("n") > 0, F.col("unlike") == 0).otherwise(F.col("uniform"))
+    own = own.withColumn("template", F.when(joins, F.col("siblings")).otherwise(F.col("own")))
     # smoothed purity, level by level: all, host, template
     every = tree.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("n")).first()
     base = F.lit(((every.b or 0) + 0.5) / ((every.n or 0) + 1.0))

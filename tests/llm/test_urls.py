@@ -78,3 +78,33 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
     plan = url_templates.judge_urls(df, URL_RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_branches_without_labels_join_uniform_families(spark):
+    rows = []
+    for i in range(12):
+        rows += [f"http://{h}/{lang}/{i}" for h in ("x.net", "y.net") for lang in ("es", "fr", "en", "de")]
+        rows += [f"http://z.net/{lang}/{i}" for lang in ("es", "en")]  # one labelled branch shows nothing about its siblings
+        rows += [f"http://m.com/{lang}/{i}" for lang in ("bad", "worse", "good", "new")]
+        rows.append(f"http://h.org/en/{i}")
+    rules = [("block", "net/es/"), ("block", "net/fr/"), ("allow", "y.net/fr/"), ("block", "m.com/bad/"), ("block", "m.com/worse/"), ("allow", "m.com/good/")]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    out = [r for r in url_templates.judge_urls(df, rules).collect() if r.rule is None]
+    got = {}
+    for r in out:
+        got.setdefault((r.host, r.path.split("/")[1]), set()).add((r.template, r.labels, r.verdict))
+    assert got == {
+        ("x.net", "en"): {("{~}/{n}", 24, "block")},
+        ("x.net", "de"): {("{~}/{n}", 24, "block")},
+        ("y.net", "en"): {("en/{n}", 0, "allow")},  # its siblings differ
+        ("y.net", "de"): {("de/{n}", 0, "allow")},
+        ("z.net", "en"): {("en/{n}", 0, "allow")},
+        ("m.com", "new"): {("new/{n}", 0, "allow")},
+        ("h.org", "en"): {("en/{n}", 0, "allow")},
+    }
+
+
+def test_templates_decide_pages_without_a_rule(spark):
+    out = op5_url_filter(spark, "/root/testdata/sf0.01").collect()
+    assert any(r.rule is None and r.verdict == "block" for r in out)
+    assert all(r.labels > 0 and "{~}" in r.template for r in out if r.rule is None and r.verdict == "block")
