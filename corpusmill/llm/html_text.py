@@ -5,7 +5,9 @@ paragraph ends before a block, a list item before the next, cells and rows
 before their like, and so on), invisible parts are dropped, and the tree is
 rendered: blocks on lines of their own, paragraphs apart by an empty line, list
 items with bullets or numbers and indented by depth, preformatted text as it is,
-and table cells in columns of equal width. All visible text is given out.
+and table cells in columns of equal width. All visible text is given out: that of
+formulas, of drawings' labels and of options too, but not what a drawing shows a
+second time through ``use``.
 
 Pages are independent of each other, so a task holds one page at a time.
 """
@@ -13,7 +15,8 @@ Pages are independent of each other, so a task holds one page at a time.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,12 +27,23 @@ from pyspark.sql import types as T
 from corpusmill.llm.frames import Shielded
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template head title noscript iframe object svg math datalist audio video canvas select".split())
+HIDDEN = frozenset("script style template head title noscript iframe object datalist audio video canvas".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset".split())
 BLOCK = APART | frozenset(
     "html body div section article aside header footer nav main address form li dt dd tr caption thead tbody tfoot td th "
     "details summary figcaption legend center dir menu".split()
 )
+#: what an open head may hold; anything else ends it
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: drawings and formulas: what of them is not shown, and what ends them as it cannot stand in them
+SVG_HIDDEN = frozenset("defs desc metadata symbol clippath mask pattern marker filter lineargradient radialgradient".split())
+MATH_HIDDEN = frozenset("annotation annotation-xml mphantom".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+SPACED = frozenset("text mtr mlabeledtr mtd".split())  # stand apart from what is beside them in a drawing or formula
 #: tag -> open tags it ends, unless one of the barriers lies between
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -42,6 +56,8 @@ ENDS = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, set()),
+    "option": ({"option"}, {"select", "optgroup", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
 }
 STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -49,64 +65,84 @@ MAX_DEPTH = 150  # deeper elements are laid out as their ancestor's; their text
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "items")
+    """An element; ``kind`` is empty or what it is part of: svg, label (a text of a drawing) or math."""
+
+    __slots__ = ("tag", "attrs", "items", "kind")
 
-    def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.items = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict, kind: str = ""):
+        self.tag, self.attrs, self.items, self.kind = tag, attrs, [], kind
 
 
 class TreeBuilder(HTMLParser):
-    """A page's elements; stray end tags are ignored, open ones end with their parent."""
+    """A page's elements; stray end tags are ignored, open ones end with their parent.
+
+    Visible elements past MAX_DEPTH are open like others, but what they hold goes to
+    their last ancestor above it; hidden ones there are left out with what they hold."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.at = defaultdict(list)  # tag -> where in ``open`` it is
+
+    def push(self, node: Node) -> None:
+        self.at[node.tag].append(len(self.open))
+        self.open.append(node)
 
     def end_to(self, depth: int) -> None:
+        for node in self.open[max(1, depth) :]:
+            self.at[node.tag].pop()
         del self.open[max(1, depth) :]
 
+    def last(self, tags: Iterable[str]) -> int:
+        """Where the innermost open one of ``tags`` is, 0 without one."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
     def imply(self, tag: str) -> None:
+        if tag not in HEAD and self.open[-1].tag == "head":
+            self.end_to(len(self.open) - 1)
+        if tag in BREAKOUT and (foreign := self.last(("svg", "math"))) > self.last(HOLDS_HTML):
+            self.end_to(foreign)
         ends, barriers = ENDS.get(tag, ((), ()))
-        for i in range(len(self.open) - 1, 0, -1):
-            at = self.open[i].tag
-            if at in barriers:
-                break
-            if at in ends:
-                self.end_to(i)
-        if tag in BLOCK:
-            for i in range(len(self.open) - 1, 0, -1):
-                at = self.open[i].tag
-                if at == "p":
-                    self.end_to(i)
-                    break
-                if at in ("td", "th", "table", "li", "div"):
-                    break
+        while (i := self.last(ends)) > self.last(barriers):
+            self.end_to(i)
+        if tag in BLOCK and (i := self.last(("p",))) > self.last(("td", "th", "table", "li", "div")):
+            self.end_to(i)
 
     def handle_starttag(self, tag, attrs):
         self.imply(tag)
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].items.append(node)
-        if tag not in VOID and len(self.open) < MAX_DEPTH:
-            self.open.append(node)
+        parent = self.open[-1]
+        if tag in ("svg", "math"):
+            kind = tag
+        elif parent.kind == "svg" and tag in ("text", "foreignobject"):
+            kind = "label" if tag == "text" else ""
+        else:
+            kind = parent.kind
+        node = Node(tag, {k: v or "" for k, v in attrs}, kind)
+        deep = len(self.open) >= MAX_DEPTH
+        if not deep or visible(node):
+            parent.items.append(node)
+        if tag not in VOID:
+            if deep and visible(node):
+                node = Node(tag, {}, kind)
+                node.items = parent.items
+            self.push(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and len(self.open) > 1 and self.open[-1].tag == tag:
-            self.open.pop()
+        if tag not in VOID:
+            self.end_to(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        if tag == "p" and not any(n.tag == "p" for n in self.open):
-            return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                self.end_to(i)
-                return
-            if self.open[i].tag in ("td", "th", "table") and tag not in ("tr", "table", "td", "th", "thead", "tbody", "tfoot", "body", "html"):
-                return
+        i = self.last((tag,))
+        if i > (0 if tag in ("tr", "table", "td", "th", "thead", "tbody", "tfoot", "body", "html") else self.last(("td", "th", "table"))):
+            self.end_to(i)
 
     def handle_data(self, data):
-        self.open[-1].items.append(data)
+        if self.open[-1].tag == "head" and SPACE.sub("", data):
+            self.end_to(len(self.open) - 1)
+        if self.open[-1].kind != "svg":  # a drawing shows the text of its labels only
+            self.open[-1].items.append(data)
 
 
 def visible(node: Node) -> bool:
@@ -115,6 +151,10 @@ def visible(node: Node) -> bool:
         return False
     if node.tag == "input" and a.get("type", "").lower() == "hidden":
         return False
+    if node.kind == "math" and node.tag in MATH_HIDDEN:
+        return False
+    if node.kind in ("svg", "label") and (node.tag in SVG_HIDDEN or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")):
+        return False
     return not STYLE.search(a.get("style", ""))
 
 
@@ -196,6 +236,18 @@ def _render(node: Node, out: Layout, raw: bool) -> None:
             out.flush()
             out.marker = ""
             out.prefix.pop()
+        elif tag in ("option", "optgroup"):
+            out.flush()
+            out.words(item.attrs.get("label", ""))
+            if tag == "optgroup":
+                out.flush()
+            if tag == "optgroup" or not item.attrs.get("label"):  # an option's label is shown for its text
+                _render(item, out, raw)
+            out.flush()
+        elif item.kind and tag in SPACED:
+            out.words(" ")
+            _render(item, out, raw)
+            out.words(" ")
         elif tag in BLOCK:
             out.flush()
             apart = tag in APART and not (tag in ("ul", "ol") and out.prefix)

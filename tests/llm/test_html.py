@@ -63,3 +63,28 @@ def test_rows(spark):
     assert out.columns == ["page_id", "html", "page_text"]
     assert sorted(((r.page_id, r.page_text) for r in out.collect()), key=repr) == sorted([(1, "a"), (1, "a"), (2, None), (None, "")], key=repr)
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_open_head_ends_at_content():
+    assert page_text("<html><head><title>t</title><p>text<p>more") == "text\n\nmore"
+    assert page_text("<head><meta charset=x><style>s</style>\n<script>no()</script> bare <b>words</b>") == "bare words"
+    assert page_text("<head><title>t</title><noscript><img alt=n></noscript><link></head><p>a") == "a"
+
+
+def test_drawings_formulas_and_options():
+    svg = "<svg> x <title>t</title><defs><text>d</text></defs><g><text x=1>Jan<tspan>uary</tspan></text><text display=none>n</text><text>May</text></g><path/></svg>"
+    assert page_text(f"a{svg}b") == "a January May b"
+    assert page_text("<p>1<svg><path><p>2</svg>3") == "1\n\n23"  # a paragraph cannot stand in a drawing
+    assert page_text("<svg><foreignObject><p>in</p></foreignObject></svg>") == "in"
+    assert page_text("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>tex</annotation></semantics></math>") == "x=1"
+    assert page_text("<p>Pick <select><option>a<option selected>b<optgroup label=G><option label=c>d</select> now") == "Pick\na\nb\nG\nc\nnow"
+    assert page_text("<datalist><option>a</datalist>b") == "b"
+
+
+def test_hidden_parts_past_the_depth_limit():
+    deep = "<div>" * 200
+    assert page_text(deep + "<script>no()</script><style>s</style><div hidden>n<div>o</div></div><i style='display:none'>n<b>z</b></i>yes") == "yes"
+    assert page_text(deep + "<ul><li hidden>a<li>b</ul><svg>n<text>c</text></svg>") == "b c"
+    # the end tags of deep elements are their own
+    assert page_text("<div hidden>" + "<b>" * 200 + "<div>x</div><div>y</div>" + "</b>" * 200 + "z</div>seen") == "seen"
+    assert page_text("<font>" * 20000 + "<p>x</p></b>" * 20000).split() == ["x"] * 20000
