@@ -49,3 +49,24 @@ def test_long_text_is_read_whole(spark):
     a = np.frombuffer(("ab " * 200_000 + "zqx").encode(), np.uint8)
     b = np.frombuffer(("ab " * 200_000).encode(), np.uint8)
     assert langid.presence([a]).sum() > langid.presence([b]).sum()
+
+
+def test_labels_of_long_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("lang is not null and text is not null")
+    model = langid.train(docs.filter(~langid.held_out()))
+    by_lang = {}
+    for r in docs.filter(langid.held_out()).select("lang", "text").collect():
+        by_lang.setdefault(r.lang, []).append(r.text)
+    rows = [(lang, "\n".join(texts * (1 + 3_000_000 // sum(map(len, texts))))[:3_000_000]) for lang, texts in sorted(by_lang.items())]
+    got = langid.predict(spark.createDataFrame(rows, "lang string, text string"), model).collect()
+    assert len(got) >= 4 and all(r.lang_pred == r.lang for r in got)
+    assert all(r.score > 0.6 for r in got), [(r.lang, r.score) for r in got]
+
+
+def test_short_text_is_one_piece():
+    import numpy as np
+
+    text = np.frombuffer(b"a few words of a text " * 20, np.uint8)
+    flags = langid.presence([text])[0]
+    assert np.allclose(langid.vectors([text])[0], flags / np.sqrt(flags.sum()))
+    assert not langid.vectors([np.zeros(0, np.uint8)]).any()
