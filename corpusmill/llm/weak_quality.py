@@ -4,9 +4,9 @@ Overlapping heuristic labellers vote good, bad or nothing on each text. Their
 accuracies are not known; expectation-maximisation finds them together with the
 share of good texts, from how often each combination of votes occurs (a table of
 at most 3 ** labellers rows, counted over all texts). The posterior of each
-combination is the weak label, and a linear scorer over hashed words and letters
-is trained on the weak labels of a bounded sample, so that it can also judge
-texts on which the labellers are silent.
+combination is the weak label, and a linear scorer over hashed words, word ends and
+pairs of byte classes is trained on the weak labels of a bounded sample, so that it
+can also judge texts on which the labellers are silent.
 
 The sample for the scorer is ``SAMPLE_ROWS`` rows at most, chosen by a hash of
 the row; votes, vote counts and scores cover every byte of every text.
@@ -39,6 +39,12 @@ DIGITS = table(bytes(range(0x30, 0x3A)))
 MARKS = table(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 ORDINARY_MARKS = table(b".,;:'\"?()-")
 ENDING = table(b".!?:;\"')")
+#: classes of bytes: other control, newline, blank, small, capital, digit, ordinary mark, odd mark, beyond ASCII
+CLASSES = 9
+CLASS = np.zeros(256, np.uint8)
+for _i, _bytes in enumerate((b"\n\r", b" \t", range(0x61, 0x7B), range(0x41, 0x5B), range(0x30, 0x3A), b".,;:'\"?()-", np.flatnonzero(MARKS & ~ORDINARY_MARKS), range(0x80, 0x100)), 1):
+    CLASS[list(_bytes)] = _i
+PAIRS = CLASSES * CLASSES
 
 #: name -> (bad at least this, good at most this); bad is high for all
 LABELLERS = {
@@ -147,23 +153,34 @@ def estimate(v: np.ndarray, times: np.ndarray, rounds: int = 200) -> WeakLabels:
 
 
 def features(data: np.ndarray, off: np.ndarray, values: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed features of each text as (text, cell, weight): its words' last three
-    bytes, its pairs of byte classes, and the labellers' measures in steps. Each
-    kind sums to one."""
+    """Hashed features of each text as (text, cell, weight): its words, their last
+    three bytes, its pairs of neighbouring byte classes, and the labellers' measures
+    in steps. Each kind sums to one, each measure too."""
     n = len(off) - 1
+    share = 1.0 / np.maximum(np.diff(words.first), 1)[words.doc]
+    whole = (words.hash >> np.uint64(50)).astype(np.int64)  # 14 bits
     tail = np.zeros(len(words.end), np.uint32)
     for back in range(3):
         at = np.maximum(words.end - 1 - back, words.start)
         tail = tail * np.uint32(257) + data[at]
     cell = (tail * np.uint32(0x9E3779B1)) >> np.uint32(18)  # 14 bits
-    parts = [(words.doc, cell.astype(np.int64), 1.0 / np.maximum(np.diff(words.first), 1)[words.doc])]
+    parts = [(words.doc, whole, share), (words.doc, CELLS + cell.astype(np.int64), share)]
+    # pairs of classes are counted a text at once: at most PAIRS of them each
+    kind = CLASS[data]
+    pair = kind[:-1] * np.uint8(CLASSES) + kind[1:]
+    owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(off))
+    inside = owner[:-1] == owner[1:]
+    of = owner[:-1][inside].astype(np.int64) * PAIRS + pair[inside]
+    times = np.bincount(of, minlength=n * PAIRS).reshape(n, PAIRS) if n else np.zeros((0, PAIRS))
+    at, which = np.nonzero(times)
+    parts.append((at, 2 * CELLS + which, times[at, which] / np.maximum(times.sum(1), 1)[at]))
     step = np.minimum((values * 40).astype(np.int64), 39)
-    own = CELLS + np.arange(values.shape[1]) * 40 + step
+    own = 2 * CELLS + PAIRS + np.arange(values.shape[1]) * 40 + step
     parts.append((np.repeat(np.arange(n), values.shape[1]), own.ravel(), np.full(own.size, 1.0)))
     return tuple(np.concatenate([p[i] for p in parts]) for i in range(3))
 
 
-WIDTH = CELLS + 40 * len(LABELLERS)
+WIDTH = 2 * CELLS + PAIRS + 40 * len(LABELLERS)
 
 
 @dataclass

@@ -54,3 +54,25 @@ def test_lines_are_counted_per_text():
     texts = ["a.\nb", "c.", "", "d\n", "\n\n", "e.\n\nf!"]
     values, _ = wq.measures(*pack(pa.array(texts)))
     assert values[:, 4].tolist() == [0.5, 0, 0, 1, 0, 0]
+
+
+def test_features_tell_words_and_byte_classes():
+    import pyarrow as pa
+
+    from corpusmill.llm.packed import pack
+
+    def cells(*texts):
+        data, off = pack(pa.array(texts))
+        rows, cell, amount = wq.features(data, off, *wq.measures(data, off))
+        assert cell.max() < wq.WIDTH
+        return [{int(c): float(amount[(rows == i) & (cell == c)].sum()) for c in cell[rows == i]} for i in range(len(texts))]
+
+    a, b, c, none, one = cells("nation ration", "motion ration", "nation, RATION", "", "x")
+    whole = lambda x: {k for k in x if k < wq.CELLS}
+    ends = lambda x: {k for k in x if wq.CELLS <= k < 2 * wq.CELLS}
+    pairs = lambda x: {k: v for k, v in x.items() if 2 * wq.CELLS <= k < 2 * wq.CELLS + wq.PAIRS}
+    assert len(whole(a)) == 2 and len(whole(a) & whole(b)) == 1  # whole words differ ...
+    assert ends(a) == ends(b) and len(ends(a)) == 1  # ... that end alike
+    assert pairs(a) == pairs(b) != pairs(c)
+    assert abs(sum(pairs(c).values()) - 1) < 1e-9 and pairs(one) == pairs(none) == {}
+    assert pairs(a)[2 * wq.CELLS + 3 * wq.CLASSES + 3] == 10 / 12
