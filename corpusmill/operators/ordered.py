@@ -3,8 +3,8 @@
 A window ``partitionBy(g).orderBy(o)`` sorts every row of a group in one task,
 so one hot group (a log written by thousands of runs, a conversation with
 millions of turns) becomes one huge task. Here a group is cut into contiguous
-*slices* of its order: the slice of a row is where its first order value falls
-among the quantiles of all rows' values, a function of the value alone, so every
+*slices* of its order: the slice of a row is where its order values fall among
+the quantiles of all rows' values, a function of the values alone, so every
 branch of a plan and every retry of a task sees the same slices and nothing is
 written. Each slice is handled on its own, and only one small row per slice (its
 total, or its first row) travels between slices.
@@ -12,10 +12,14 @@ total, or its first row) travels between slices.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_SLICES = 1024
 
@@ -34,29 +38,65 @@ def _keyed(sliced: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def with_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """``_slice``: the number of quantile bounds of the first order column that the
-    row's value has reached (0 for a null, which sorts first). The bounds, at most
-    ``MAX_SLICES``, come from one aggregation that runs here; rows that tie on the
-    first column share a slice. A frame that has ``_slice`` already keeps it."""
+    """``_slice``: the number of bounds that the row has reached in ``order`` (0 for
+    a null in the first column, which sorts first). Bounds are quantiles of the first
+    order column; a value that several of them fall on is cut again at quantiles of
+    the next column among its rows, and so on, so rows that tie on a time are dealt
+    by their tiebreak (numbers and times, in structs too). One aggregation for each
+    column that is looked at runs here. A frame that has ``_slice`` already keeps it."""
     if SLICE in df.columns:
         return df
     spark = df.sparkSession
     n = min(MAX_SLICES, slices or max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    kind = df.schema[order[0]].dataType.simpleString()
-    quantiles = F.percentile_approx(F.col(order[0]), [i / n for i in range(1, n)], 10_000)
-    found = df.agg(quantiles.cast("array<string>").alias("b")).first()["b"] or []
-    bounds = [F.lit(x).cast(kind) for x in dict.fromkeys(found)]  # ascending, each once
+    leaves = [leaf for o in order for leaf in _leaves(F.col(o), df.schema[o].dataType)]
+    grid = [i / n for i in range(1, n)]
+    children: dict[tuple, list[str]] = {}  # bound -> the bounds among the rows that tie on it, ascending
+    parts = {(): n}
+    for level, (column, kind) in enumerate(leaves):
+        if not parts or (level and not isinstance(kind, (T.NumericType, T.DatetimeType))):
+            break
+        same = [F.lit(True)]
+        if level:
+            same = [reduce(and_, [c == F.lit(v).cast(k) for (c, k), v in zip(leaves, tie)]) for tie in parts]
+        keys = [c.cast("string").alias(f"_k{i}") for i, (c, _) in enumerate(leaves[:level])]
+        quantiles = F.percentile_approx(column, grid, 10_000).cast("array<string>").alias("_b")
+        ties, parts = parts, {}
+        for found in df.where(reduce(or_, same)).groupBy(*keys).agg(quantiles).collect():
+            tie, at = tuple(found[:level]), found["_b"]
+            if at and tie in ties:
+                times = Counter(at[round(i * n / ties[tie]) - 1] for i in range(1, ties[tie]))
+                children[tie] = list(times)
+                parts.update({(*tie, v): k + 1 for v, k in times.items() if k > 1})
+
+    def below(tie: tuple) -> list[tuple]:
+        return [x for v in children.get(tie, ()) for x in ((*tie, v), *below((*tie, v)))]
+
+    bounds = below(())
+
+    def at_least(bound: tuple) -> Column:
+        (c, k), v = leaves[len(bound) - 1], bound[-1]
+        cond = c >= F.lit(v).cast(k)
+        for (c, k), v in reversed(list(zip(leaves, bound[:-1]))):
+            cond = (c > F.lit(v).cast(k)) | ((c == F.lit(v).cast(k)) & cond)
+        return cond
 
     def reached(low: int, high: int) -> Column:
         """Binary search among ``bounds[low:high]``, the ones before being reached."""
         if low == high:
             return F.lit(low)
         mid = (low + high) // 2
-        return F.when(F.col(order[0]) >= bounds[mid], reached(mid + 1, high)).otherwise(reached(low, mid))
+        return F.when(at_least(bounds[mid]), reached(mid + 1, high)).otherwise(reached(low, mid))
 
     return df.withColumn(SLICE, reached(0, len(bounds)))
 
 
+def _leaves(column: Column, kind: T.DataType) -> list[tuple[Column, T.DataType]]:
+    """A column, or a struct's fields in turn, which compare as the struct does."""
+    if isinstance(kind, T.StructType):
+        return [leaf for f in kind.fields for leaf in _leaves(column.getField(f.name), f.dataType)]
+    return [(column, kind)]
+
+
 def running_sum(
     df: DataFrame,
     group: Sequence[str],

@@ -141,3 +141,23 @@ def test_null_group_keys_keep_their_rows(spark):
     assert rows(rs, "seq", "n", order=["seq"]) == [(1, 1), (2, 2), (3, 1), (4, 2)]
     nx = next_in_group(df, ["g", "phase"], ["ts", "seq"], ["isfin"], slices=3)
     assert rows(nx, "seq", "next_isfin", order=["seq"]) == [(1, True), (2, None), (3, None), (4, None)]
+
+
+def test_rows_of_one_time_are_cut_by_their_tiebreak(spark):
+    from corpusmill.operators.ordered import with_slices
+
+    df = spark.range(3000).select(
+        F.lit("a").alias("g"),
+        F.when(F.col("id") < 2400, 7.5).otherwise(F.col("id").cast("double")).alias("ts"),
+        F.struct(F.lit(0).alias("block"), F.col("id").alias("row")).alias("seq"),
+        F.lit(1).alias("v"),
+    )
+    sliced = with_slices(df, ["ts", "seq"], slices=10)
+    sizes = rows(sliced.groupBy("_slice").agg(F.count("*").alias("n"), F.min("seq.row"), F.max("seq.row")), order=["_slice"])
+    assert len(sizes) >= 9 and max(n for _, n, _, _ in sizes) <= 700
+    assert all(a[3] < b[2] for a, b in zip(sizes, sizes[1:]))
+    got = running_sum(df, ["g"], ["ts", "seq"], F.col("v"), "n", slices=10)
+    assert got.where(F.col("n") != F.col("seq.row") + 1).count() == 0
+    following = next_in_group(df, ["g"], ["ts", "seq"], ["seq"], slices=10)
+    assert following.where(F.col("next_seq.row") != F.col("seq.row") + 1).count() == 0
+    assert following.where(F.col("next_seq").isNull()).count() == 1
