@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, chat_snapshots, exact, html_text, langid, partenum, suffix, url_templates, weak_quality, winnow
+from corpusmill.llm import bpe, chat_snapshots, conversation_repair, exact, html_text, langid, partenum, suffix, url_templates, weak_quality, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 URL_RULES = (
@@ -76,6 +76,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_snapshots.format_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    damaged = conversation_repair.damage(turns)
+    found = conversation_repair.audits(damaged, all_ids=turns)
+    return conversation_repair.with_digests(damaged, found)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,5 +96,6 @@ QUERIES = {
         op8_jaccard_join,
         op9_quality,
         op10_chat_format,
+        op11_conversation_repair,
     )
 }

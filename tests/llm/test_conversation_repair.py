@@ -1,0 +1,210 @@
+import hashlib
+import heapq
+import random
+import zlib
+
+from corpusmill.llm import conversation_repair as cr
+
+SPACE = " \t\n\x0b\f\r"
+
+
+def cheapest(codes):
+    """Cost and least edits, by a search over whole edit sequences."""
+    heap, seen, goal, out = [(0, "", 0, 0)], set(), None, []
+    while heap:
+        cost, edits, i, state = heapq.heappop(heap)
+        if goal is not None and cost > goal:
+            break
+        if (edits, i, state) in seen:
+            continue
+        seen.add((edits, i, state))
+        if i == len(codes) and state in (0, 3):
+            goal = cost
+            out.append(edits)
+            continue
+        steps = {("s", 0): 1, ("u", 0): 2, ("u", 1): 2, ("u", 3): 2, ("a", 2): 3}
+        for role in "ua":
+            if (role, state) in steps and not edits.endswith("II"):
+                heapq.heappush(heap, (cost + 3, edits + "I", i, steps[role, state]))
+        if i < len(codes):
+            code = codes[i]
+            heapq.heappush(heap, (cost + 4, edits + "D", i + 1, state))
+            if code != "d":
+                more = 3 if code.isupper() else 0
+                if (code.lower(), state) in steps:
+                    heapq.heappush(heap, (cost + more, edits + "K", i + 1, steps[code.lower(), state]))
+                for role in "ua":
+                    if (role, state) in steps:
+                        heapq.heappush(heap, (cost + more + 3, edits + "R", i + 1, steps[role, state]))
+    return goal, min(out)
+
+
+def repaired(audit, rows):
+    """Every way the letters can be read that gives the form; they agree."""
+    out, i = [], 0
+    letters = [e for e in audit if e != "D"]
+    led = bool(letters) and letters[0] == "K" and next(rows[k][0] for k, e in enumerate(x for x in audit if x != "I") if e == "K")[:1] == "s"
+    place = 0
+    for e in audit:
+        if e != "I":
+            role, text = rows[i]
+            i += 1
+        if e == "D":
+            continue
+        place += 1
+        other = "user" if (place - led) % 2 else "assistant"
+        out.append((role, text) if e == "K" else (other, text) if e == "R" else (other, ""))
+    return out
+
+
+def brute(rows, ids, digest=True):
+    convs = {i: [] for i in ids}
+    for r in rows:
+        convs[r[0]].append(tuple(r[1:]))
+    out = []
+    for conv, turns in convs.items():
+        turns = [(t, " " if r is None else r, " " if x is None else x) for t, r, x in turns]
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], hashlib.sha256(t[2].encode()).digest()))
+        numbers = [t for t, _, _ in turns if t is not None]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        blank = duplicate = truncated = 0
+        codes, seen = "", set()
+        for _, role, text in turns:
+            bare = text.strip(SPACE)
+            cut = not bare.endswith((".", "!", "?"))
+            if not bare or (role, text) in seen:
+                blank, duplicate = blank + (not bare), duplicate + bool(bare)
+                codes += "d"
+            else:
+                truncated += cut
+                code = role[:1] if role[:1] in ("s", "u", "a") else "x"
+                codes += code.upper() if cut else code
+            seen.add((role, text))
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        cost, audit = cheapest(codes)
+        said = repaired(audit, [t[1:] for t in turns])
+        sha = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in said).encode()).hexdigest()
+        out.append((conv, gaps, blank, duplicate, truncated, illegal, cost, audit, sha) if digest else (conv, said))
+    return sorted(out, key=repr)
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def run(spark, rows, parts=6):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+    return sorted((tuple(r) for r in cr.with_digests(df, cr.audits(df, all_ids=df)).collect()), key=repr)
+
+
+def test_search_takes_the_cheapest_and_least_edits():
+    rng = random.Random(5)
+    for _ in range(400):
+        codes = "".join(rng.choice("suaxSUAXddua") for _ in range(rng.randint(0, 7)))
+        want = cheapest(codes)
+        for modulus in (cr.MOD, 5):  # five hashes: agreement by chance is the rule
+            found = cr.search(codes, 0, modulus)
+            assert min(found[s] for s in cr.FINAL if s in found) == want
+        chain, i = cr.Chain(), 0
+        while i < len(codes):
+            if codes[i] == "d":
+                chain.delete(1)
+                i += 1
+                continue
+            n = rng.randint(1, 3)
+            chain.add([(p, q, *w) for p in range(4) for q, w in cr.search(codes[i : i + n], p).items()])
+            i += n
+        if codes:
+            assert chain.result() == want
+
+
+def test_edits_compare_at_their_first_difference():
+    rng = random.Random(6)
+    for modulus in (cr.MOD, 3):
+        edits, nodes = cr.Edits(modulus), {}
+        for _ in range(300):
+            word = "".join(rng.choice("DIKR") for _ in range(rng.randint(0, 9)))
+            word = ("K" * rng.randint(0, 20)) + word
+            node = 0
+            for letter in word:
+                node = edits.add(node, letter)
+            nodes[word] = node
+            assert edits.text(node) == word
+        words = rng.sample(sorted(nodes), 60)
+        for a in words:
+            for b in words:
+                assert edits.less(nodes[a], nodes[b]) == (a < b)
+
+
+def test_repair_of_random_conversations(spark):
+    rng = random.Random(7)
+    rows = []
+    for conv in range(120):
+        for turn in range(rng.randint(1, 7)):
+            text = rng.choice(["Yes.", "No!", "and", " ", "", "x\ny?", "Long one. And", "é… ."])
+            rows.append((conv, rng.choice([turn, turn, turn * 2, None]), rng.choice(["user", "assistant", "system", "tool", None, ""]), rng.choice([text, f"{text}{turn}", None])))
+    assert run(spark, rows) == brute(rows, {r[0] for r in rows})
+
+
+def test_odd_rows(spark):
+    rows = [(None, 0, "user", "a."), (None, 0, "user", "a."), (None, None, "assistant", "b."), (1, None, None, None), (2, -9223372036854775807, "user", "q?"), (3, 5, "uuu", "q?"), (3, 9, "a", "r!")]
+    assert run(spark, rows) == brute(rows, {r[0] for r in rows})
+    assert run(spark, []) == []
+    extra = spark.createDataFrame([(1, 0, "user", "a.", "x", 2, True)], SCHEMA + ", audit string, n int, real boolean")
+    assert cr.with_digests(extra, cr.audits(extra)).columns == ["conv_id", *cr.COUNTS, "audit", "repaired_sha256"]
+
+
+def test_an_id_without_rows_left(spark):
+    left = spark.createDataFrame([(1, 0, "user", "a."), (1, 1, "assistant", "b.")], SCHEMA)
+    ids = spark.createDataFrame([(1,), (2,), (None,), (2,)], "conv_id long")
+    got = sorted((tuple(r) for r in cr.with_digests(left, cr.audits(left, all_ids=ids)).collect()), key=repr)
+    none = hashlib.sha256(b"").hexdigest()
+    whole = hashlib.sha256(b"user:a.\nassistant:b.").hexdigest()
+    assert got == sorted([(1, 0, 0, 0, 0, 0, 0, "KK", whole), (2, 0, 0, 0, 0, 0, 0, "", none), (None, 0, 0, 0, 0, 0, 0, "", none)], key=repr)
+
+
+def test_a_long_conversation_is_searched_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(cr, "BLOCK", 5)
+    rng = random.Random(8)
+    rows = [(0, t, rng.choice(["user", "assistant", "assistant", "tool"]), rng.choice(["Yes.", "cut", f"m{t}.", ""])) for t in range(160)]
+    rows += [(c, t, ("user", "assistant")[t % 2], f"m{t}.") for c in (-1, 1) for t in range(4)]
+    rows += [(0, 80, "user", "many.")] * 90 + [(0, None, "user", "")] * 30
+    got = {r[0]: r for r in run(spark, rows, parts=9)}
+    mine = [r for r in rows if r[0] == 0]
+    codes = whole_codes(mine)
+    found = cr.search(codes, 0)
+    cost, audit = min(found[s] for s in cr.FINAL if s in found)
+    assert got[0][6:8] == (cost, audit)
+    assert [got[c][7] for c in (-1, 1)] == ["KKKK"] * 2
+
+
+def whole_codes(rows):
+    turns = sorted(((t, r, x) for _, t, r, x in rows), key=lambda t: (t[0] is not None, t[0] or 0, t[1], hashlib.sha256(t[2].encode()).digest()))
+    seen, codes = set(), ""
+    for _, role, text in turns:
+        if not text.strip(SPACE) or (role, text) in seen:
+            codes += "d"
+        else:
+            code = role[0] if role[0] in "sua" else "x"
+            codes += code if text.endswith(".") else code.upper()
+        seen.add((role, text))
+    return codes
+
+
+def test_repaired_turns(spark):
+    rows = [(1, 0, "assistant", "Hi."), (1, 1, "user", "what?"), (1, 2, "user", "what?"), (1, 3, "user", "so."), (2, 0, "system", "s."), (2, 1, "user", "u."), (2, 2, "assistant", "a.")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for c, k, r, t in sorted(tuple(x) for x in cr.repaired_turns(df, cr.audits(df)).collect()):
+        got.setdefault(c, []).append((r, t))
+    assert got == dict(brute(rows, {1, 2}, digest=False))
+
+
+def test_damage_follows_the_checksum(spark):
+    rows = [(c, t, "assistant", f"One. Two! Three? {c}") for c in (*range(20), None) for t in (*range(8), None)]
+    want = []
+    for c, t, r, x in rows:
+        f = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        x = "" if f == 1 else x.translate(str.maketrans("", "", ".!?")) if f == 2 else x
+        want += [(c, t, "user" if f == 4 else r, x)] * (0 if f == 0 else 2 if f == 3 else 1)
+    got = [tuple(r) for r in cr.damage(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
