@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, chat_snapshots, conversation_repair, exact, html_text, langid, partenum, suffix, url_templates, weak_quality, winnow
+from corpusmill.llm import bpe, chat_snapshots, conversation_repair, exact, html_text, langid, partenum, simhash, suffix, url_templates, weak_quality, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 URL_RULES = (
@@ -83,6 +83,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.with_digests(damaged, found)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +102,6 @@ QUERIES = {
         op9_quality,
         op10_chat_format,
         op11_conversation_repair,
+        op12_simhash,
     )
 }

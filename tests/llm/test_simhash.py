@@ -1,0 +1,141 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+
+from corpusmill.llm import simhash as sh
+
+
+def slow_fingerprint(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode("utf-8"), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(values, distance):
+    """Least member that links reach, by comparing all pairs."""
+    a = np.array(values, np.uint64)
+    label = np.arange(len(a))
+    near = [np.flatnonzero(np.bitwise_count(a ^ x) <= distance) for x in a]
+    while True:
+        now = np.array([label[n].min() for n in near])
+        now = now[now]
+        if (now == label).all():
+            return label
+        label = now
+
+
+def brute(rows, distance=4):
+    prints = [slow_fingerprint(t) for _, t in rows]
+    label = components(prints, distance)
+    least = {}
+    for (i, _), c in zip(rows, label):
+        if i is not None:
+            least[c] = min(least.get(c, i), i)
+    return sorted(((i, f"{p:016x}", least.get(c)) for (i, _), p, c in zip(rows, prints, label)), key=repr)
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    return sorted((tuple(r) for r in sh.near_duplicates(df, **kw).collect()), key=repr)
+
+
+def test_fingerprints_of_odd_texts():
+    texts = ["", " \t\r\n\x0b\x0c", "one", "One two  three", "a b c d", "a b c d e", "É x É a b", "x\x1cy z\x85 w q r", "ÀB " * 50, "w " * 3 + "long" * 100000, None]
+    rng = random.Random(2)
+    texts += [" ".join(rng.choices(["der", "Die", "das\n", "\tund", "é", "日本"], k=rng.randint(1, 400))) for _ in range(40)]
+    for t in texts:
+        assert int.from_bytes(sh.shingle_bits((t or "").encode("utf-8"))) == slow_fingerprint(t)
+
+
+def test_hashes_are_counted_in_steps(monkeypatch):
+    text = " ".join(f"w{i}" for i in range(500))
+    whole = sh.shingle_bits(text.encode())
+    monkeypatch.setattr(sh, "STEP", 7)
+    assert sh.shingle_bits(text.encode()) == whole
+
+
+def test_documents_against_all_pairs(spark):
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(300)]
+    rows, n = [], 0
+    for _ in range(25):
+        base = rng.choices(vocab, k=rng.choice([3, 20, 60, 400]))
+        for _ in range(rng.randint(1, 9)):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(vocab)
+            rows.append((n, " ".join(words)))
+            n += 1
+    rows += [(n, None), (n + 1, ""), (None, "same words here again"), (n + 2, "same words here again"), (n + 2, "same words here again"), (None, "only a null id has this")]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, []) == []
+
+
+def test_links_against_all_pairs(spark, monkeypatch):
+    """Dense groups, chains and strangers; every number of segments; hot values dealt out."""
+    rng = np.random.default_rng(4)
+    values = [int(x) for x in rng.integers(0, 2**64, 300, dtype=np.uint64)]
+    values += [0, 1, 2**64 - 1, 2**63, 2**63 | 1]
+    for start in values[:12]:
+        x = start
+        for _ in range(25):  # a chain of steps of 1 to 6 bits
+            for b in rng.choice(64, rng.integers(1, 7), replace=False):
+                x ^= 1 << int(b)
+            values.append(x)
+        for _ in range(40):  # many within a few bits of one place
+            x = start
+            for b in rng.choice(np.arange(10, 26), rng.integers(1, 9), replace=False):
+                x ^= 1 << int(b)
+            values.append(x)
+    values = sorted(set(values), key=lambda v: v - (v >> 63 << 64))  # as signed longs
+    signed = [v - (v >> 63 << 64) for v in values]
+    want = dict(zip(signed, [signed[c] for c in components(values, 4)]))
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    for m in (2, 3):
+        monkeypatch.setattr(sh, "HOT", 20 if m == 3 else 2048)
+        assert dict(map(tuple, sh.link_groups(df, segments=m).collect())) == want
+
+
+def test_lookups_cover_the_ball(spark):
+    """Pairs at every distance meet in some table, and once from one side."""
+    rng = np.random.default_rng(9)
+    pairs = []
+    for d in range(1, 5):
+        for _ in range(40):
+            a = int(rng.integers(0, 2**64, dtype=np.uint64))
+            b = a
+            for bit in rng.choice(64, d, replace=False):
+                b ^= 1 << int(bit)
+            pairs.append((a, b))
+    signed = [[v - (v >> 63 << 64) for v in p] for p in pairs]
+    df = spark.createDataFrame([(v, v) for p in signed for v in p], "fp long, label long")
+    for m in (2, 3, 4):
+        met = sh._lookups(df, m, 4).join(sh._table(df, m), ["seg", "value"]).filter("fp <> other").select("seg", "fp", "other").collect()
+        found = {frozenset(x[1:]) for x in met}
+        assert all(frozenset(p) in found for p in signed)
+        apart = [x for x in met if frozenset(x[1:]) not in {frozenset(p) for p in signed} or x.seg is None]
+        by_segment = [(x.seg, frozenset(x[1:])) for x in met if x not in apart]
+        mask = [((1 << w) - 1) << shift for shift, w in sh._segments(m)]
+        for seg, pair in set(by_segment):
+            a, b = pair
+            assert by_segment.count((seg, pair)) == (2 if (a ^ b) & mask[seg] == 0 else 1)
+
+
+def test_fewer_segments_for_more_fingerprints():
+    assert sh.cut(1000) >= sh.cut(10**6) >= sh.cut(10**11) == 2
+    for m in (2, 3, 4):
+        assert sum(w for _, w in sh._segments(m)) == 64
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b c d e", "x", 3)], "doc_id long, text string, fingerprint string, fp int")
+    assert sh.near_duplicates(df).columns == ["doc_id", "fingerprint", "component_id"]
+    out = sh.fingerprints(df)
+    assert out.columns == ["doc_id", "text", "fp", "fingerprint"]
+    assert out.first().fingerprint == f"{slow_fingerprint('a b c d e'):016x}"
