@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, chat_snapshots, conversation_repair, exact, html_text, langid, partenum, simhash, suffix, url_templates, weak_quality, winnow
+from corpusmill.llm import bpe, chat_snapshots, conversation_repair, exact, html_text, langid, partenum, simhash, suffix, token_alignment, url_templates, weak_quality, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 URL_RULES = (
@@ -88,6 +88,11 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,5 +108,6 @@ QUERIES = {
         op10_chat_format,
         op11_conversation_repair,
         op12_simhash,
+        op13_token_alignment,
     )
 }
