@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.sources.files import escape_glob, first_byte
+from corpusmill.sources.json_types import Seen, Shape, fold, shape
 from corpusmill.sources.paths import SpecFile, expand_spec, require_files
 
 ORDER_COLS = ("_file_ord", "_block_ord", "_row_ord")
@@ -27,6 +28,7 @@ META_COLS = ("_file_ord", "_spec_ord", "_block_ord", "_row_ord", "_path")
 # size is bounded by this; larger lists are read in several broadcast chunks.
 BROADCAST_FILES = 50_000
 SNIFF_THREADS = 64
+ARRAY_BYTES = 128 << 20  # of an array file that a task's inference holds whole
 
 
 def order_cols(df: DataFrame) -> list[str]:
@@ -41,67 +43,10 @@ def sniff_layout(spark: SparkSession, f: SpecFile) -> str:
     return "array" if first_byte(spark, f.path) == b"[" else "lines"
 
 
-def _widen(a: T.DataType, b: T.DataType, name: str) -> T.DataType:
-    if a == b or isinstance(b, T.NullType):
-        return a
-    if isinstance(a, T.NullType):
-        return b
-    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
-        return merge_schemas(a, b, f"{name}.")
-    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
-        return T.ArrayType(_widen(a.elementType, b.elementType, f"{name}[]"), True)
-    if isinstance(a, _NESTED) or isinstance(b, _NESTED):
-        raise ValueError(
-            f"column {name!r} is {a.simpleString()} in some files and {b.simpleString()} in others; "
-            "a list or object is never read as text: pass schema= or mend the files"
-        )
-    num = (T.LongType, T.IntegerType, T.DoubleType)
-    if isinstance(a, num) and isinstance(b, num):
-        return T.DoubleType()
-    return T.StringType()
-
-
-_NESTED = (T.ArrayType, T.StructType)
-
-
-def merge_schemas(a: T.StructType, b: T.StructType, within: str = "") -> T.StructType:
-    """Superset of two inferred schemas; conflicting scalars widen to string, a
-    null type gives way, and a list or object against a scalar raises."""
-    fields = {f.name: f for f in a.fields}
-    order = [f.name for f in a.fields]
-    for f in b.fields:
-        if f.name in fields:
-            fields[f.name] = T.StructField(f.name, _widen(fields[f.name].dataType, f.dataType, within + f.name), True)
-        else:
-            fields[f.name] = T.StructField(f.name, f.dataType, True)
-            order.append(f.name)
-    return T.StructType([fields[n] for n in order])
-
-
 def _reader(spark: SparkSession, layout: str, mode: str):
     return spark.read.option("mode", mode).option("multiLine", "true" if layout == "array" else "false")
 
 
-def _wire(schema: T.StructType) -> tuple[T.StructType, list[Column]]:
-    """What the parser reads for an inferred schema, and the columns made of it.
-
-    Inference takes ``""`` for null, but the parser rejects it for anything but
-    text, so other columns are read as their JSON text and converted, ``""`` to
-    null."""
-    wire, out = [], []
-    for f in schema.fields:
-        col = F.col(f"`{f.name.replace('`', '``')}`")
-        text = F.nullif(col, F.lit(""))
-        if isinstance(f.dataType, T.StringType):
-            out.append(col)
-        elif isinstance(f.dataType, _NESTED):
-            out.append(F.from_json(text, f.dataType, {"mode": "FAILFAST"}).alias(f.name))
-        else:
-            out.append(text.cast(f.dataType).alias(f.name))
-        wire.append(T.StructField(f.name, T.StringType(), True))
-    return T.StructType(wire), out
-
-
 def path_positions(spark: SparkSession, scanned: DataFrame, items: Sequence[tuple[int, SpecFile]]) -> DataFrame:
     """``scanned`` (with ``_path``) plus ``_file_ord`` and ``_spec_ord``, a row for
     each time its file is listed. A scanned file that the list does not name (its
@@ -134,14 +79,13 @@ def _read_group(
     spark: SparkSession,
     items: list[tuple[int, SpecFile]],
     layout: str,
-    schema: T.StructType | str,
+    schema: T.StructType | str | Shape,
     mode: str,
-    inferred: bool,
 ) -> DataFrame:
     paths = list(dict.fromkeys(escape_glob(f.path) for _, f in items))
     columns: list = ["*"]
-    if inferred:
-        schema, columns = _wire(schema)
+    if isinstance(schema, Shape):
+        schema, columns = schema.wire, schema.columns
     raw = _reader(spark, layout, mode).schema(schema).json(paths)
     scanned = raw.select(
         *columns,
@@ -160,52 +104,35 @@ def _layouts(spark: SparkSession, files: Sequence[SpecFile], layout: str) -> lis
         return list(pool.map(lambda f: sniff_layout(spark, f), files))
 
 
-def _infer_groups(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]]) -> list[tuple[int, T.StructType]]:
-    """(side, schema) of each side's files of one layout. A column that one group
-    has as text and another as a list or object is looked at again: if it holds
-    nothing but nulls and empty lists, it is of null type there."""
-    found = []
+def infer_shapes(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]]) -> list[Shape]:
+    """One shape for each side ((files, layouts)): the columns that its own files
+    have, each with the type it has over all sides. One pass over all files; an
+    array file too long to hold in a task is looked at by the parser's own inference
+    instead (twice: with and without its empty places), and joins in with what that says."""
+    sources, long = [], []
     for k, (files, layouts) in enumerate(sides):
-        for layout in ("lines", "array"):
-            paths = sorted({escape_glob(f.path) for f, lay in zip(files, layouts) if lay == layout})
-            if paths:
-                found.append((k, layout, paths, _reader(spark, layout, "FAILFAST").json(paths).schema))
-    kinds: dict[str, set[str]] = {}
-    for _, _, _, schema in found:
-        for f in schema.fields:
-            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
-    out = []
-    for k, layout, paths, schema in found:
-        doubtful = [f for f in schema.fields if f.dataType.simpleString() in ("string", "array<string>") and len(kinds[f.name]) > 1]
-        nested = [f for f in doubtful if any(x.startswith(("array", "struct")) for x in kinds[f.name])]
-        if nested:
-            held = set(_reader(spark, layout, "FAILFAST").option("dropFieldIfAllNull", "true").json(paths).columns)
-            empty = {f.name for f in nested} - held
-            schema = T.StructType([T.StructField(f.name, T.NullType() if f.name in empty else f.dataType, True) for f in schema.fields])
-        out.append((k, schema))
-    return out
-
-
-def infer_schemas(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]]) -> list[T.StructType]:
-    """One schema for each side ((files, layouts)): the columns that its own files
-    have, each with the type it has over all sides."""
-    groups = _infer_groups(spark, sides)
-    merged = T.StructType([])
-    for _, schema in groups:
-        merged = merge_schemas(merged, schema)
-    types = {f.name: T.StringType() if isinstance(f.dataType, T.NullType) else f.dataType for f in merged.fields}
-    out = []
-    for k in range(len(sides)):
-        own = T.StructType([])
-        for g, schema in groups:
-            if g == k:
-                own = merge_schemas(own, schema)
-        out.append(T.StructType([T.StructField(n, types[n], True) for n in own.fieldNames()]))
-    return out
-
-
-def infer_schema(spark: SparkSession, files: Sequence[SpecFile], layouts: Sequence[str]) -> T.StructType:
-    return infer_schemas(spark, [(files, layouts)])[0]
+        paths: dict[str, set[str]] = {"lines": set(), "array": set(), "long": set()}
+        for f, lay in zip(files, layouts):
+            paths["long" if lay == "array" and not 0 <= f.length <= ARRAY_BYTES else lay].add(escape_glob(f.path))
+        side = F.lit(k).cast("int").alias("side")
+        if paths["lines"]:
+            lines = spark.read.text(sorted(paths["lines"]))
+            sources.append(lines.select(side, F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("content")))
+        if paths["array"]:
+            arrays = spark.read.format("binaryFile").load(sorted(paths["array"]))
+            sources.append(arrays.select(side, F.col("_metadata.file_path").alias("path"), "content"))
+        if paths["long"]:
+            looked = [_reader(spark, "array", "FAILFAST").option("dropFieldIfAllNull", drop).json(sorted(paths["long"])).schema for drop in (False, True)]
+            long.append((k, Seen.of_type(*looked, min(paths["long"]))))
+    seen = fold(spark, sources) if sources else {}
+    for k, found in long:
+        seen.setdefault(k, Seen()).merge(found)
+    merged = Seen()
+    for found in seen.values():
+        merged.merge(found)
+    by_case = spark.conf.get("spark.sql.caseSensitive") == "true"
+    own = [list(seen[k].fields or ()) if k in seen else [] for k in range(len(sides))]
+    return [shape(merged, names, by_case) for names in own]
 
 
 def read_json_files(
@@ -226,20 +153,19 @@ def read_json_files(
     if not files:
         raise FileNotFoundError("no JSON files to read")
     layouts = _layouts(spark, files, layout)
-    inferred = schema is None
-    if inferred:
-        schema = infer_schema(spark, files, layouts)
-    return _read(spark, files, layouts, schema, mode, inferred, ord_offset, ords)
+    if schema is None:
+        schema = infer_shapes(spark, [(files, layouts)])[0]
+    return _read(spark, files, layouts, schema, mode, ord_offset, ords)
 
 
-def _read(spark, files, layouts, schema, mode, inferred, ord_offset=0, ords=None) -> DataFrame:
+def _read(spark, files, layouts, schema, mode, ord_offset=0, ords=None) -> DataFrame:
     if ords is None:
         ords = [ord_offset + i for i in range(len(files))]
     parts = []
     for layout in ("lines", "array"):
         items = [(o, f) for o, f, lay in zip(ords, files, layouts) if lay == layout]
         if items:
-            parts += [_read_group(spark, chunk, layout, schema, mode, inferred) for chunk in listed_in_chunks(items)]
+            parts += [_read_group(spark, chunk, layout, schema, mode) for chunk in listed_in_chunks(items)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -274,9 +200,8 @@ def read_sides(
     """A DataFrame for each file list (``None`` for an empty one), columns of one
     name having one type on all sides."""
     layouts = [_layouts(spark, files, layout) for files in sides]
-    inferred = schema is None
-    schemas = infer_schemas(spark, list(zip(sides, layouts))) if inferred else [schema] * len(sides)
-    return [_read(spark, f, lay, s, mode, inferred) if f else None for f, lay, s in zip(sides, layouts, schemas)]
+    schemas = infer_shapes(spark, list(zip(sides, layouts))) if schema is None else [schema] * len(sides)
+    return [_read(spark, f, lay, s, mode) if f else None for f, lay, s in zip(sides, layouts, schemas)]
 
 
 def read_train_eval(
@@ -311,12 +236,12 @@ def read_prompt_file(
         return read_json_files(spark, exp.files, schema=schema, layout=layout)
     if layout != "lines":
         raise ValueError("lossless prompts are JSON lines")
-    inferred = schema is None
-    if inferred:
-        schema = infer_schema(spark, exp.files, ["lines"] * len(exp.files))
+    columns: list = []
+    if schema is None:
+        found = infer_shapes(spark, [(exp.files, ["lines"] * len(exp.files))])[0]
+        schema, columns = found.wire, found.columns
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    wire, columns = _wire(schema) if inferred else (schema, ["*"])
     parts = []
     for chunk in listed_in_chunks(list(enumerate(exp.files))):
         lines = spark.read.text([escape_glob(f.path) for _, f in chunk]).select(
@@ -325,9 +250,9 @@ def read_prompt_file(
             F.col("_metadata.file_block_start").alias("_block_ord"),
             F.monotonically_increasing_id().alias("_row_ord"),
         )
-        parsed = F.from_json(F.col("_raw"), wire, {"mode": "FAILFAST"}).alias("_row")
+        parsed = F.from_json(F.col("_raw"), schema, {"mode": "FAILFAST"}).alias("_row")
         rows = path_positions(spark, lines.where(F.col("_raw") != ""), chunk)
         parts.append(rows.select(parsed, "_raw", *META_COLS))
     out = reduce(lambda x, y: x.unionByName(y), parts)
     out = out.select("_row.*", "_raw", *META_COLS)
-    return out.select(*columns, "_raw", *META_COLS) if inferred else out
+    return out.select(*columns, "_raw", *META_COLS) if columns else out
