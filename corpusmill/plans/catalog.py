@@ -452,7 +452,7 @@ def q_output_order(spark, sf_dir):
     write_predictions(out, dest)
     back = read_json_corpus(spark, dest).withColumn("key", F.struct("conv_id", "turn"))
     # Each output row is before the next row written from the same source file
-    # (next row found per range slice, so a large output file is not one task).
+    # (next row found in range partitions, so a large output file is not one task).
     nxt = next_in_group(back, ["_file_ord", "src_file"], ["_block_ord", "_row_ord"], ["key"])
     return nxt.select(
         "conv_id",

@@ -27,7 +27,7 @@ def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SFT instruction rows: a user turn answered by the next assistant turn;
     aliases alternate by ``conv_id`` and ``turn`` so both names occur.
 
-    The next turn comes from ``next_in_group`` (range slices, so a very long
+    The next turn comes from ``next_in_group`` (range partitions, so a very long
     conversation is not sorted in one task); the system text is one
     partially aggregated row per conversation, joined back on ``conv_id``."""
     c = table(spark, sf_dir, "conversations")

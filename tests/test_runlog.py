@@ -1,4 +1,4 @@
-"""L1-L4 and the sliced ordered helpers they use."""
+"""L1-L4 and the ordered helpers they use."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -83,8 +84,8 @@ def test_ordered_helpers_equal_windows_with_a_hot_group(spark):
         F.lead("v").over(w).alias("nv"),
         F.lead("o").over(w).alias("no"),
     )
-    got_rs = running_sum(df, ["g"], ["o", "tb"], F.col("v"), "rs", slices=16).select("tb", "rs")
-    got_nx = next_in_group(df, ["g"], ["o", "tb"], ["v", "o"], slices=16).select("tb", "next_v", "next_o")
+    got_rs = running_sum(df, ["g"], ["o", "tb"], F.col("v"), "rs", partitions=16).select("tb", "rs")
+    got_nx = next_in_group(df, ["g"], ["o", "tb"], ["v", "o"], partitions=16).select("tb", "next_v", "next_o")
     joined = want.join(got_rs, "tb").join(got_nx, "tb")
     bad = joined.where(
         (want["rs"] != got_rs["rs"])
@@ -94,15 +95,88 @@ def test_ordered_helpers_equal_windows_with_a_hot_group(spark):
     assert joined.count() == n and bad.count() == 0
 
 
-def test_hot_group_is_cut_into_several_slices(spark):
-    from corpusmill.operators.ordered import with_slices
+def cut(df, group, order, partitions):
+    from pyspark.sql import types as T
 
+    from corpusmill.operators.ordered import _in_order, _Next
+
+    s = _in_order(df, group, order, [T.StructField("_in_o", df.schema["o"].dataType)], lambda: _Next(["o"]), partitions)
+    return s.groupBy("_part").agg(F.count("*").alias("n"), F.min("o").alias("a"), F.max("o").alias("b"))
+
+
+def test_hot_group_is_cut_into_several_partitions(spark):
     df = spark.range(3000).select(F.lit(1).alias("g"), F.col("id").alias("o"))
-    sliced = with_slices(df, ["o"], slices=8)
-    assert sliced.select("_slice").distinct().count() == 8
-    many = with_slices(df, ["o"], slices=300)  
-    assert many.select("_slice").distinct().count() == 300
-    assert many.groupBy("_slice").agg(F.min("o").alias("a"), F.max("o").alias("b")).where("b - a > 20").count() == 0
+    sizes = rows(cut(df, ["g"], ["o"], 8), "n", "a", "b", order=["a"])
+    assert len(sizes) == 8 and max(n for n, _, _ in sizes) < 700
+    assert all(x[2] < y[1] for x, y in zip(sizes, sizes[1:]))
+    many = rows(cut(df, ["g"], ["o"], 300), "n", "a", "b")
+    assert len(many) > 250 and max(b - a for _, a, b in many) <= 30
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    """Ten times the rows make ten times the partitions, not longer tasks."""
+    from corpusmill.operators import ordered
+
+    monkeypatch.setattr(ordered, "ROWS", 500)
+    longest = []
+    for n in (3000, 30_000):
+        df = spark.range(n).select(F.lit("a").alias("g"), F.col("id").alias("o"))
+        sizes = rows(cut(df, ["g"], ["o"], None), "n")
+        assert len(sizes) >= 0.9 * n / 500
+        longest.append(max(s for s, in sizes))
+    assert longest[1] <= 1500 and longest[0] <= 1500
+
+
+def test_string_order_and_ties_are_cut(spark):
+    df = spark.range(3000).select(F.lit("a").alias("g"), F.format_string("%05d", F.col("id")).alias("o"), F.lit(1).alias("v"))
+    assert len(rows(cut(df, ["g"], ["o"], 10), "n")) == 10
+    got = running_sum(df, ["g"], ["o"], F.col("v"), "n", partitions=10)
+    assert got.where(F.col("n") != F.col("o").cast("int") + 1).count() == 0
+    tied = spark.range(3000).select(F.lit("a").alias("g"), F.lit(1.5).alias("o"), "id")  # one time, no tiebreak
+    sizes = rows(cut(tied, ["g"], ["o"], 10), "n")
+    assert len(sizes) == 10 and max(n for n, in sizes) < 700
+    numbered = running_sum(tied, ["g"], ["o"], F.lit(1), "n", partitions=10)
+    assert rows(numbered.agg(F.min("n"), F.max("n"), F.count_distinct("n"))) == [(1, 3000, 3000)]
+    same = spark.range(500).select(F.lit("a").alias("g"), F.lit(1).alias("o"))
+    assert rows(running_sum(same, ["g"], ["o"], F.lit(1), "n", partitions=4).agg(F.min("n"), F.max("n"), F.count_distinct("n"))) == [(1, 500, 500)]
+
+
+def test_groups_that_end_at_a_cut_and_groups_over_many(spark):
+    """Sums and next rows across every kind of border, batches included."""
+    data = [(g, o, (g * 7 + o) % 5) for g, n in enumerate([1, 1, 400, 1, 2, 37, 300, 1, 1, 90]) for o in range(n)]
+    df = spark.createDataFrame(data, "g int, o int, v int")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, total = {}, {}
+    for g, o, v in data:
+        total[g] = total.get(g, 0) + v
+        want[g, o] = total[g]
+    try:
+        for batch in ("10000", "7", "1"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            for parts in (1, 13, 200):
+                rs = running_sum(df, ["g"], ["o"], F.col("v"), "s", partitions=parts)
+                assert {(g, o): s for g, o, s in rows(rs, "g", "o", "s")} == want
+                nx = next_in_group(df, ["g"], ["o"], ["o", "v"], partitions=parts)
+                assert all(n == (o + 1 if (g, o + 1) in want else None) for g, o, n in rows(nx, "g", "o", "next_o"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_one_shuffle_serves_rows_and_borders(spark):
+    """Without the reuse of a shuffle the rows may be cut twice: the job fails, or both cuts agree."""
+    df = spark.range(3000).select(F.lit(1).alias("g"), F.col("id").alias("o"))
+    out = running_sum(df, ["g"], ["o"], F.lit(1), "n", partitions=8)
+    assert sorted(r.n for r in out.collect()) == list(range(1, 3001))
+    plan = out._jdf.queryExecution().executedPlan().toString().lower()
+    assert "reusedexchange" in plan and "rangepartitioning" in plan
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = sorted(r.n for r in out.select("*").collect())
+        assert got == list(range(1, 3001))
+    except PySparkException as e:
+        assert "exchange.reuse" in str(e)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
 
 
 def test_phase_durations_write_nothing(spark, log_dir):
@@ -137,27 +211,23 @@ def test_null_group_keys_keep_their_rows(spark):
         [(None, 1, 0.0, None, False), (None, 2, 1.0, None, True), ("a", 3, 0.0, None, False), ("a", 4, 2.0, "p", False)],
         "g string, seq int, ts double, phase string, isfin boolean",
     )
-    rs = running_sum(df, ["g"], ["ts", "seq"], F.lit(1), "n", slices=3)
+    rs = running_sum(df, ["g"], ["ts", "seq"], F.lit(1), "n", partitions=3)
     assert rows(rs, "seq", "n", order=["seq"]) == [(1, 1), (2, 2), (3, 1), (4, 2)]
-    nx = next_in_group(df, ["g", "phase"], ["ts", "seq"], ["isfin"], slices=3)
+    nx = next_in_group(df, ["g", "phase"], ["ts", "seq"], ["isfin"], partitions=3)
     assert rows(nx, "seq", "next_isfin", order=["seq"]) == [(1, True), (2, None), (3, None), (4, None)]
 
 
 def test_rows_of_one_time_are_cut_by_their_tiebreak(spark):
-    from corpusmill.operators.ordered import with_slices
-
     df = spark.range(3000).select(
         F.lit("a").alias("g"),
-        F.when(F.col("id") < 2400, 7.5).otherwise(F.col("id").cast("double")).alias("ts"),
+        F.when(F.col("id") < 2400, 7.5).otherwise(F.col("id").cast("double")).alias("o"),
         F.struct(F.lit(0).alias("block"), F.col("id").alias("row")).alias("seq"),
         F.lit(1).alias("v"),
     )
-    sliced = with_slices(df, ["ts", "seq"], slices=10)
-    sizes = rows(sliced.groupBy("_slice").agg(F.count("*").alias("n"), F.min("seq.row"), F.max("seq.row")), order=["_slice"])
-    assert len(sizes) >= 9 and max(n for _, n, _, _ in sizes) <= 700
-    assert all(a[3] < b[2] for a, b in zip(sizes, sizes[1:]))
-    got = running_sum(df, ["g"], ["ts", "seq"], F.col("v"), "n", slices=10)
+    sizes = rows(cut(df, ["g"], ["o", "seq"], 10), "n")
+    assert len(sizes) >= 9 and max(n for n, in sizes) <= 700
+    got = running_sum(df, ["g"], ["o", "seq"], F.col("v"), "n", partitions=10)
     assert got.where(F.col("n") != F.col("seq.row") + 1).count() == 0
-    following = next_in_group(df, ["g"], ["ts", "seq"], ["seq"], slices=10)
+    following = next_in_group(df, ["g"], ["o", "seq"], ["seq"], partitions=10)
     assert following.where(F.col("next_seq.row") != F.col("seq.row") + 1).count() == 0
     assert following.where(F.col("next_seq").isNull()).count() == 1
