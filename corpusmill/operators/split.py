@@ -7,18 +7,22 @@ row's content (without a key the content alone). A sort key depends on the row's
 values only, so the split does not move when Spark cuts the files differently.
 Only ``0 < rate < 1`` splits; any other rate gives train only.
 
+Finding the k-th smallest key is a selection in two passes over the rows, not a
+sort. The first counts them and keeps a KLL sketch of the keys' first 60 bits (of
+fixed size, merged in two levels); its quantiles on either side of the rate bracket
+the boundary. The second counts the keys below the bracket and writes down those in
+it, about ``2 * SLACK`` of all. What is left runs on that small table: a histogram of
+the next 4 hex digits after the prefix its keys share, until a bucket holds at most
+``exact_limit`` rows or one key, and a bounded top-k. If the sketch missed (it says
+within ``SLACK`` far more than 99 times in 100), the bracket is opened and the second
+pass repeated, so the result never depends on it. The labels are then a plain
+projection, ``sk <= boundary``: no sort, no window, and a hot key only makes one bucket
+bigger, never a task.
+
 Rows with one sort key are identical. If the boundary falls among them, they are
-counted off inside the plan that labels them (in salted groups, whose sizes give
-each group its share), so the number is exact however they are read.
-
-Finding the k-th smallest key is a distributed selection, not a sort: a
-histogram of the first 4 hex digits (at most 65,536 groups, partial
-aggregation before the shuffle) locates the bucket holding rank k; only that
-bucket is refined (past the prefix all its keys share, then 4 more digits)
-until it holds at most ``exact_limit`` rows or one key, and of few rows the top
-ranks are taken with a bounded top-k. The labels are then a plain projection,
-``sk <= boundary``: no global sort, no single-partition window, and a hot key
-only makes one bucket bigger, never a task.
+written down once, and as many as are wanted are counted off that table: its
+partitions' sizes say in which one the count ends, and the rows' own numbers where.
+So the number is exact however the plan is cut, retried or read again.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import math
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusmill.session import materialize
@@ -35,7 +39,10 @@ from corpusmill.sources.json_corpus import META_COLS
 
 HEX_STEP = 4
 EXACT_LIMIT = 50_000
-TIE_GROUP = 100_000
+SKETCH = 4096  # KLL parameter: ranks to about 0.13 % at 99 % confidence, some 100 KB
+SLACK = 0.005  # bracketed on either side of the rate
+SALTS = 64  # sketches of the first level
+TOP = (1 << 60) - 1
 
 
 def eval_count(rate: float | str | Decimal, n: int) -> int:
@@ -123,53 +130,80 @@ def assign_split(
     keyed = df.select(sk.alias("_sk"))
     if materialize_keys:
         keyed = materialize(keyed, "split-keys")
-    width = HEX_STEP
-    hist = _histogram(keyed, width)
-    n = sum(c for _, c, _, _ in hist)
+    n, low, high = _bracket(keyed, r)
     k = eval_count(r, n)
     if k == 0:
         return df.withColumn(column, F.lit("train"))
-    bucket, need, size, lo, hi = _locate(hist, k)
+    near, below, size, lo, hi = _between(keyed, low, high)
+    if not below < k <= below + size:
+        near, below, size, lo, hi = _between(keyed, 0, TOP)
+    need = k - below
+    bucket = ""
     while size > exact_limit and lo != hi:
         # Every row of the bucket shares the common prefix of its smallest and
         # largest key, so a hot key value is passed in one step, not 4 digits
         # at a time.
         bucket = _common_prefix(lo, hi)
-        width = len(bucket) + HEX_STEP
-        hist = _histogram(keyed.where(F.startswith(F.col("_sk"), F.lit(bucket))), width)
+        hist = _histogram(near.where(F.startswith(F.col("_sk"), F.lit(bucket))), len(bucket) + HEX_STEP)
         bucket, need, size, lo, hi = _locate(hist, need)
-    inside = keyed.where(F.startswith(F.col("_sk"), F.lit(bucket)))
     if lo == hi:
-        top, below, tied = lo, 0, size
+        top, wanted, tied = lo, need, size
     else:
-        # at most exact_limit rows
-        top = inside.orderBy("_sk").limit(need).agg(F.max("_sk")).collect()[0][0]
-        counts = inside.agg(
-            F.count(F.when(F.col("_sk") < top, 1)).alias("below"), F.count(F.when(F.col("_sk") == top, 1)).alias("tied")
-        ).collect()[0]
-        below, tied = counts["below"], counts["tied"]
-    wanted = need - below  # of the rows with the boundary key
+        inside = near.where(F.startswith(F.col("_sk"), F.lit(bucket)))
+        held = inside.groupBy("_sk").agg(F.count("*").alias("n")).collect()  # at most exact_limit
+        top, wanted, tied = _locate([(r["_sk"], r["n"], None, None) for r in held], need)[:3]
     if key and unique and tied > 1:
         raise ValueError(f"key {key} is declared unique, but {tied} rows share the boundary key")
     if wanted == tied:
         return df.withColumn(column, F.when(sk <= F.lit(top), F.lit("eval")).otherwise(F.lit("train")))
-    return _count_off(df.withColumn("_sk", sk), top, wanted, tied, column)
-
-
-def _count_off(df: DataFrame, top: str, wanted: int, tied: int, column: str) -> DataFrame:
-    """Labels rows by ``_sk``, exactly ``wanted`` of the ``tied`` identical rows at
-    ``top`` as eval. The rows are numbered in salted groups of about ``TIE_GROUP``;
-    how many come before a group is summed from the groups' sizes in the same plan."""
-    plain = df.where(F.col("_sk") != top).withColumn(column, F.when(F.col("_sk") < top, F.lit("eval")).otherwise(F.lit("train")))
-    ties = df.where(F.col("_sk") == top).withColumn("_place", F.monotonically_increasing_id())
-    ties = ties.withColumn("_salt", F.pmod(F.xxhash64("_place"), F.lit(tied // TIE_GROUP + 1)))
-    before = Window.orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)  # a row for each group
-    sizes = ties.groupBy("_salt").agg(F.count("*").alias("_n"))
-    sizes = sizes.select("_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ties = ties.withColumn("_rn", F.row_number().over(Window.partitionBy("_salt").orderBy("_place")))
-    ties = ties.join(sizes, "_salt")
-    label = F.when(F.col("_before") + F.col("_rn") <= wanted, F.lit("eval")).otherwise(F.lit("train"))
-    return plain.unionByName(ties.withColumn(column, label).select(plain.columns)).drop("_sk")
+    return _count_off(df, sk, top, wanted, column)
+
+
+def _head(key: Column) -> Column:
+    """A sort key's first 60 bits."""
+    return F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint")
+
+
+def _bracket(keyed: DataFrame, rate: Decimal) -> tuple[int, int, int]:
+    """The number of rows, and heads between which the key at ``rate`` lies, by the sketch."""
+    part = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("part")
+    sketches = keyed.groupBy(part).agg(F.count("*").alias("n"), F.kll_sketch_agg_bigint(_head(F.col("_sk")), SKETCH).alias("s"))
+    whole = sketches.agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("s", SKETCH).alias("s"))
+    low, high = float(rate) - SLACK, float(rate) + SLACK
+    at = [F.kll_sketch_get_quantile_bigint("s", F.lit(min(max(q, 0.0), 1.0))) for q in (low, high)]
+    n, a, b = whole.select("n", *[F.when(F.col("n") > 0, q) for q in at]).first()
+    return n or 0, a if low > 0 else 0, b if high < 1 else TOP
+
+
+def _between(keyed: DataFrame, low: int, high: int) -> tuple[DataFrame, int, int, str, str]:
+    """The keys with heads from ``low`` to ``high``, written down in one pass that also
+    tells how many are below, and of these their number, the least and the greatest."""
+    seen = Observation()
+    inside = F.col("_head").between(low, high)
+    held = F.when(inside, F.col("_sk"))
+    facts = F.count(F.when(F.col("_head") < low, 1)).alias("below"), F.count(held).alias("n"), F.min(held).alias("lo"), F.max(held).alias("hi")
+    head = keyed.withColumn("_head", _head(F.col("_sk"))).observe(seen, *facts)
+    near = materialize(head.where(inside).select("_sk"), "split-near")
+    told = seen.get
+    return near, told["below"], told["n"], told["lo"], told["hi"]
+
+
+def _count_off(df: DataFrame, sk: Column, top: str, wanted: int, column: str) -> DataFrame:
+    """Labels rows by their sort key, exactly ``wanted`` of those at ``top`` as eval. They
+    are written once with their numbers: a partition's start where its own begin, and
+    count up by one."""
+    plain = df.where(sk != top).withColumn(column, F.when(sk < F.lit(top), F.lit("eval")).otherwise(F.lit("train")))
+    ties = materialize(df.where(sk == top).withColumn("_number", F.monotonically_increasing_id()), "split-ties")
+    sizes = ties.groupBy(F.shiftright("_number", 33).alias("part")).agg(F.min("_number").alias("first"), F.count("*").alias("n"), F.max("_number").alias("last"))
+    before, end = 0, 0
+    for part in sizes.orderBy("part").collect():  # a row for each written partition
+        if part["last"] - part["first"] + 1 != part["n"]:
+            raise AssertionError("row numbers of a partition have gaps")
+        if before < wanted:
+            end = part["first"] + min(part["n"], wanted - before)
+        before += part["n"]
+    label = F.when(F.col("_number") < end, F.lit("eval")).otherwise(F.lit("train"))
+    return plain.unionByName(ties.withColumn(column, label).drop("_number"))
 
 
 def with_eval_source(train: DataFrame, eval_df: DataFrame, column: str = "split") -> DataFrame:

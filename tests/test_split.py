@@ -97,16 +97,58 @@ def test_same_rows_of_one_frame_however_the_files_are_cut(spark, write):
         assert seen[0] == seen[1] == seen[2] and sum(seen[0].values()) == math.ceil(Decimal(str(rate)) * 6000)
 
 
-def test_a_boundary_among_identical_rows_is_exact(spark, monkeypatch):
-    from corpusmill.operators import split
-
-    monkeypatch.setattr(split, "TIE_GROUP", 50)
+def test_a_boundary_among_identical_rows_is_exact(spark):
     df = spark.range(1000).selectExpr("'same' text")
     for limit in (10, 100_000):
         out = assign_split(df, 0.123, exact_limit=limit)
         assert dict(rows(out.groupBy("split").count())) == {"eval": 123, "train": 877}
 
 
+@pytest.mark.parametrize("parts", [1, 5, 16])
+def test_ties_after_a_shuffle_are_exact_each_time_they_are_read(spark, parts):
+    """Rows of one content, dealt by a shuffle: whichever are picked, their number holds."""
+    df = spark.range(900).selectExpr("if(id < 600, 0, id) v").repartition(parts).sortWithinPartitions(F.rand())
+    out = assign_split(df, 0.37, key="v")
+    for again in (out, out.repartition(3), out.select("*").where("v >= 0")):
+        assert dict(rows(again.groupBy("split").count())) == {"eval": 333, "train": 567}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_a_sketch_that_misses_does_not_change_the_split(spark, monkeypatch):
+    from corpusmill.operators import split
+
+    df = spark.range(4000).withColumnRenamed("id", "k").repartition(7)
+    want = md5_rank_eval(list(range(4000)), 0.31)
+    passes = []
+    whole = split._between
+    monkeypatch.setattr(split, "_between", lambda keyed, low, high: passes.append((low, high)) or whole(keyed, low, high))
+    for slack, sketch in ((0.005, 4096), (-0.1, 4096), (0.0, 8), (2.0, 8)):
+        monkeypatch.setattr(split, "SLACK", slack)
+        monkeypatch.setattr(split, "SKETCH", sketch)
+        out = assign_split(df, 0.31, key="k", unique=True)
+        assert {r[0] for r in rows(out.where(F.col("split") == "eval"), "k")} == want
+    assert (0, split.TOP) in passes and passes[0] != (0, split.TOP) == passes[-1]
+
+
+def test_two_passes_whatever_the_size(spark, monkeypatch):
+    """The source is read for the sketch and for the bracket; the rest runs on what was written."""
+    from corpusmill.operators import split
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    for n, limit in ((500, 10), (20_000, 10)):
+        df = spark.range(n).withColumnRenamed("id", "k").mapInArrow(count, "k long")
+        before = seen.value
+        assign_split(df, 0.2, key="k", unique=True, exact_limit=limit)
+        assert seen.value - before == 2 * n
+
+
 def test_a_key_that_is_not_unique_raises(spark):
     df = spark.range(1000).selectExpr("1 k", "id")
     with pytest.raises(ValueError, match="declared unique"):
