@@ -3,20 +3,26 @@
 - ``batch_map``: a function over pandas batches (``mapInPandas``), for maps the
   built-in expressions cannot state. It is an optimizer barrier, so the input
   is projected to the needed columns first.
-- ``encode_with``: a plug-in tokenizer as an iterator ``pandas_udf``; the
+- ``encode_with``: a plug-in tokenizer as an iterator ``arrow_udf``; the
   factory runs once per worker process, then every batch reuses the object.
 - ``custom_chat``: a user chat renderer as a scalar ``pandas_udf``.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
+import itertools
+import resource
 import sys
 import types
+from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,14 +30,18 @@ from pyspark.sql import types as T
 _CACHE_MODULE = "corpusmill_worker_cache"
 
 
-def _cache() -> dict:
+#: bytes that resources other than the one in use may hold in a worker process
+CACHE_BYTES = 64 << 20
+
+
+def _cache() -> OrderedDict:
     """Per-process cache. This module is pickled by value into UDFs, so its
     own globals are fresh for every task; the cache lives in a module kept in
     ``sys.modules`` instead, which lasts as long as the worker process."""
     mod = sys.modules.get(_CACHE_MODULE)
     if mod is None:
         mod = types.ModuleType(_CACHE_MODULE)
-        mod.objects = {}
+        mod.objects = OrderedDict()
         sys.modules[_CACHE_MODULE] = mod
     return mod.objects
 
@@ -43,17 +53,61 @@ def resource_key(factory: Callable[[], object]) -> str:
     return hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
 
 
-def worker_resource(factory: Callable[[], object], key: str):
+def _resident() -> int:
+    """Bytes of memory this process holds (its peak, where that is all there is)."""
+    try:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * resource.getpagesize()
+    except OSError:
+        return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss << 10
+
+
+def _give_back() -> None:
+    """Returns freed memory to the system, as far as the platform can."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def worker_resource(factory: Callable[[], object], key: str, limit: int | None = None):
     """The object ``factory()`` builds, created once per Python worker process
-    (workers are reused across tasks, so later tasks find it built)."""
+    (workers are reused across tasks, so later tasks find it built).
+
+    A worker outlives the job that built a resource. Those of earlier jobs stay, the
+    last used first, while they hold at most ``limit`` bytes together (``CACHE_BYTES``),
+    measured by what the process grew when each was built or, if the object has it, by
+    its ``cache_bytes()``; the others are dropped and their memory given back. The one
+    asked for always stays."""
     cache = _cache()
-    obj = cache.get(key)
-    if obj is None:
+    held = cache.pop(key, None)
+    if held is None:
+        before = _resident()
         obj = factory()
-        cache[key] = obj
+        held = (obj, max(0, _resident() - before))
+    room = CACHE_BYTES if limit is None else limit
+    for other in reversed(list(cache)):
+        obj, size = cache[other]
+        room -= obj.cache_bytes() if hasattr(obj, "cache_bytes") else size
+        if room < 0:
+            del cache[other]
+    dropped = room < 0
+    obj = held[0]
+    cache[key] = held
+    if dropped:
+        _give_back()
     return obj
 
 
+def release_resources() -> None:
+    """Drops all that this worker process holds (for a caller's own tasks that need the
+    memory; the next user builds its resource anew)."""
+    if _cache():
+        _cache().clear()
+        _give_back()
+
+
 def batch_map(
     df: DataFrame,
     fn: Callable[[pd.DataFrame], pd.DataFrame],
@@ -89,27 +143,43 @@ def encode_with(factory: Callable[[], Callable[[list[str]], object]]) -> Callabl
 
     key = resource_key(factory)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tok = worker_resource(factory, key)
         for s in batches:
-            texts = s.fillna("").astype(str).tolist()
-            ids = _ids_of(tok(texts), len(texts))
-            yield pd.Series([np.asarray(x, dtype=np.int32) for x in ids])
+            texts = s.to_pylist()
+            yield _lists(_ids_of(tok(texts), len(texts)))
+
+    return lambda col: _encode(F.coalesce(col.cast("string"), F.lit("")))
+
+
+def _lists(ids: list) -> pa.ListArray:
+    """Id lists as one array of values and their offsets, with no object for each."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    total = int(lengths.sum())
+    if any(isinstance(x, np.ndarray) for x in ids):
+        values = np.concatenate([np.asarray(x, np.int32) for x in ids])
+    else:
+        values = np.fromiter(itertools.chain.from_iterable(ids), np.int32, total)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(values))
+
 
-    return lambda col: _encode(F.coalesce(col, F.lit("")))
+def _plain(value):
+    """Rows, arrays and dicts of a column as plain dicts and lists, nulls left out."""
+    if hasattr(value, "asDict"):
+        value = value.asDict()
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items() if v is not None}
+    if isinstance(value, (list, tuple, np.ndarray)):
+        return [_plain(v) for v in value]
+    return value
 
 
 def _as_messages(value) -> list[dict]:
+    """Messages with every field that they have; role and content in any case."""
     if value is None:
         return []
-    out = []
-    for m in value:
-        if m is None:
-            continue
-        get = m.get if hasattr(m, "get") else (lambda k, _m=m: getattr(_m, k, None))
-        out.append({"role": get("role"), "content": get("content")})
-    return out
+    return [{"role": None, "content": None, **_plain(m)} for m in value if m is not None]
 
 
 def custom_chat(fn: Callable[[list[dict], bool], str], add_generation_prompt: bool, on_error: str = "plain"):

@@ -45,3 +45,68 @@ def test_udf_queries_run_from_another_directory(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=600)
     assert res.returncode == 0 and "ok" in res.stdout, res.stderr[-3000:]
+
+
+def test_resources_of_earlier_jobs_do_not_add_up(spark):
+    """Each job's tokenizer is dropped when the next one's is built, beyond the bound."""
+    import pyarrow as pa
+
+    from corpusmill.functions import udf
+
+    size, bound = 40 << 20, 30 << 20
+
+    def held(name, factory):
+        key = udf.resource_key(factory)
+
+        def run(batches):
+            for b in batches:
+                obj = udf.worker_resource(factory, key, bound)
+                cache = udf._cache()
+                assert list(cache)[-1] == key
+                big = sum(isinstance(o, bytearray) and len(o) > size for o, _ in cache.values())
+                yield pa.RecordBatch.from_pydict({"name": [name], "n": [len(cache)], "big": [big], "len": [len(obj)]})
+
+        return spark.range(16, numPartitions=16).mapInArrow(run, "name string, n long, big long, len long").collect()
+
+    def big(i):
+        return lambda: bytearray(b"x" * size) + bytes([i])
+
+    for i in range(4):
+        got = held(str(i), big(i))
+        assert all(r["len"] == size + 1 for r in got)
+        assert max(r["big"] for r in got) == 1  # one alone is over the bound
+    small = [held(f"s{i}", lambda i=i: bytearray(1000 + i)) for i in range(3)]
+    assert max(r["n"] for r in small[-1]) > 1  # those fit beside each other
+
+
+def test_growing_resources_tell_their_size():
+    from corpusmill.functions import udf
+
+    class Grows:
+        def __init__(self):
+            self.n = 0
+
+        def cache_bytes(self):
+            return self.n
+
+    udf._cache().clear()
+    a = udf.worker_resource(Grows, "a", 100)
+    assert udf.worker_resource(Grows, "b", 100) is not a and udf.worker_resource(Grows, "a", 100) is a
+    a.n = 1000
+    udf.worker_resource(Grows, "b", 100)
+    assert list(udf._cache()) == ["b"]
+    udf.release_resources()
+    assert not udf._cache()
+
+
+def test_plug_in_ids_are_arrow_lists(spark):
+    import numpy as np
+
+    from corpusmill.functions.udf import _lists, encode_with
+
+    for ids in ([], [[]], [[1, 2], [], [3]], [np.array([1, 2]), np.zeros(0, int)], [(7,), [8, 9]]):
+        assert _lists(ids).to_pylist() == [list(map(int, x)) for x in ids]
+    df = spark.createDataFrame([("ab",), (None,), ("",), ("é",)], "t string")
+    out = df.select("t", encode_with(lambda: lambda texts: {"input_ids": [list(t.encode()) for t in texts]})(F.col("t")).alias("ids"))
+    assert [r.ids for r in out.collect()] == [[97, 98], [], [], [195, 169]]
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
