@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions.chat_templates import ROLE_AND_CONTENT, CompiledTemplate, message_fields
 from corpusmill.functions.schema import has_messages, truthy_string, with_optional_columns
 
 # These texts must be byte-identical to the reference's output.
@@ -129,12 +130,13 @@ def render_column(
     df: DataFrame,
     prompt_type: str = "chatml",
     mode: str = "train",
-    template: ChatTemplate | None = CHATML,
+    template: ChatTemplate | CompiledTemplate | None = CHATML,
     custom: Callable | None = None,
 ) -> tuple[DataFrame, Column]:
     """The rendering expression for ``df`` (after adding absent alias columns).
 
-    ``custom`` is a user chat renderer ``(messages, add_generation_prompt) ->
+    ``template`` is a marker template or a tokenizer's own one
+    (``chat_templates.compile_template``). ``custom`` is a user chat renderer ``(messages, add_generation_prompt) ->
     str`` run as an Arrow-batched UDF (see ``functions.udf.custom_chat``); it
     replaces ``template`` for both branches."""
     if mode not in ("train", "prompt"):
@@ -146,9 +148,13 @@ def render_column(
     if custom is not None:
         from corpusmill.functions.udf import custom_chat
 
-        chat = lambda msgs, fallback: custom_chat(custom, gen)(msgs, fallback)
+        chat = lambda msgs, fallback, fields: custom_chat(custom, gen)(msgs, fallback)
+    elif isinstance(template, CompiledTemplate):
+        # null where the template raises: the fallback, and without one the row fails
+        failed = F.raise_error(F.lit("the chat template raises on this conversation")).cast("string")
+        chat = lambda msgs, fallback, fields: F.coalesce(template.text(msgs, fields, gen), fallback, failed)
     elif template is not None:
-        chat = lambda msgs, fallback: chat_text(msgs, template, gen)
+        chat = lambda msgs, fallback, fields: chat_text(msgs, template, gen)
     else:
         chat = None
     if prompt_type == "alpaca":
@@ -156,7 +162,7 @@ def render_column(
     elif chat is None:
         instr_branch = plain_text(user_turn(inst, inp), answer)
     else:
-        instr_branch = chat(instruction_messages(inst, inp, answer), plain_text(user_turn(inst, inp), answer))
+        instr_branch = chat(instruction_messages(inst, inp, answer), plain_text(user_turn(inst, inp), answer), ROLE_AND_CONTENT)
     # A ``messages`` column that is not a list (e.g. all-null, inferred as a
     # string) holds no usable chat: empty values are absent, others fail. A list whose items
     # are not {role, content} objects (only ``[]`` seen: inferred as strings)
@@ -174,7 +180,7 @@ def render_column(
         return df, F.when(cond, fail).otherwise(instr_branch)
     if chat_rows:
         # Template failures on messages rows are not caught: no fallback text.
-        msg_branch = chat(F.col("messages"), F.lit(None).cast("string"))
+        msg_branch = chat(F.col("messages"), F.lit(None).cast("string"), message_fields(mtype.elementType))
         return df, F.when(cond, msg_branch).otherwise(instr_branch)
     if mtype is not None:
         return df, F.when(cond, F.lit(None).cast("string")).otherwise(instr_branch)
@@ -185,7 +191,7 @@ def render(
     df: DataFrame,
     prompt_type: str = "chatml",
     mode: str = "train",
-    template: ChatTemplate | None = CHATML,
+    template: ChatTemplate | CompiledTemplate | None = CHATML,
     custom: Callable | None = None,
     column: str = "text",
     keep: tuple[str, ...] | None = None,
