@@ -19,6 +19,7 @@ from corpusmill.functions.prompts import CHATML, ChatTemplate, render_column
 from corpusmill.functions.tokens import effective_max_length, tokenize
 from corpusmill.operators.generate import GenerationConfig, first_words_generator, generate
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
+from corpusmill.operators.resume import generate_resumable, in_tasks
 from corpusmill.operators.split import split_dataset
 from corpusmill.sinks.writers import file_row_counts, write_dataset, write_manifest, write_predictions, write_sidecar
 from corpusmill.sources.corpus import read_pretrain_corpus
@@ -68,6 +69,7 @@ class TestSpec:
     rows_per_task: int | None = None  # or prompts for each of them
     schema: str | None = None  # DDL of the prompt rows; skips schema inference
     json_layout: str = "lines"  # of the prompt file
+    resume_path: str | None = None  # a folder of the job's own: a restart goes on there
     extra: dict = field(default_factory=dict)
 
 
@@ -136,8 +138,13 @@ def run_job(
     custom=None,
 ) -> DataFrame:
     """``encoder`` is the plug-in tokenizer (``functions.udf.encode_with``),
-    ``generator`` the model; chats are rendered with ``template``, or by a
-    function ``(messages, add_generation_prompt) -> text`` given as ``custom``."""
+    ``generator`` the model; chats are rendered with ``template`` (a marker template or
+    ``chat_templates.compile_template(text)``), or by a function ``(messages,
+    add_generation_prompt) -> text`` given as ``custom``.
+
+    A test job without ``test_output_file`` and ``resume_path`` is lazy: every use of its
+    result runs the model, and a sampling model gives other texts. With ``resume_path`` it
+    commits predictions as it goes and a restart goes on from there."""
     parsed = parse_spec(spec)
     kind, backend, manifest = TASKS[parsed.task]
     if kind != "sft" and not isinstance(parsed, TestSpec) and custom is not None:
@@ -175,17 +182,24 @@ def run_job(
 def _test_job(spark: SparkSession, s: TestSpec, generator: Callable, template, custom) -> DataFrame:
     rows = read_prompt_file(spark, s.test_file, lossless=s.lossless, schema=s.schema, layout=s.json_layout)
     config = GenerationConfig.parse(s.generate_configs)
-    out = generate(
-        rows,
-        generator,
-        config,
-        s.prompt_type,
-        template,
-        custom,
-        partitions=s.partitions,
-        # contiguous stretches of the input: the output files read back in its order
-        rows_per_task=s.rows_per_task or PROMPTS_PER_TASK,
-    )
+    per_task = s.rows_per_task or PROMPTS_PER_TASK
+    if s.resume_path:
+        done = generate_resumable(
+            rows, s.resume_path, generator, config, s.prompt_type, per_task, s.partitions, template=template, custom=custom
+        )
+        out = in_tasks(done, per_task)
+    else:
+        out = generate(
+            rows,
+            generator,
+            config,
+            s.prompt_type,
+            template,
+            custom,
+            partitions=s.partitions,
+            # contiguous stretches of the input: the output files read back in its order
+            rows_per_task=per_task,
+        )
     if not s.test_output_file:
         return out
     write_predictions(out, s.test_output_file, lossless=s.lossless)
