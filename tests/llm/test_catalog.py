@@ -1,0 +1,25 @@
+"""Queries without SQL, and what holds their results against another implementation."""
+
+import importlib
+
+import corpus_pipeline
+from corpusmill.llm import catalog, oracle
+
+#: query -> (module, test): a plain version, a real library, or written-out results
+CHECKED = {
+    "op3_html_extraction": ("test_html", "test_query_has_every_visible_word"),
+    "op4_byte_bpe": ("test_bpe", "test_query"),
+    "op5_url_filter": ("test_urls", "test_query_against_plain_python"),
+    "op7_language_id": ("test_langid", "test_held_out_accuracy"),
+    "op9_quality": ("test_quality", "test_scores_agree_with_labels_never_seen"),
+    "op12_simhash": ("test_simhash", "test_documents_against_all_pairs"),
+    "op13_token_alignment": ("test_token_alignment", "test_documents"),
+    "pipeline": ("test_pipeline", "test_run_against_plain_python"),
+}
+
+
+def test_every_query_is_checked():
+    sql = set(oracle.ORACLE) | ({"pipeline"} if corpus_pipeline.ORACLE_SQL else set())
+    assert sql | set(CHECKED) == set(catalog.QUERIES) | {"pipeline"} and not sql & set(CHECKED)
+    for module, test in CHECKED.values():
+        assert callable(getattr(importlib.import_module(module), test))
