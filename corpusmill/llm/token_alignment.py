@@ -7,8 +7,8 @@ links each of its ids on one side with each on the other.
 
 Texts are cut before single spaces between two visible characters. No token of
 either side reaches over such a place (``Aligner`` checks it on the vocabulary of the
-second), so what lies between is aligned once and remembered, ``REMEMBERED`` pieces
-at a time, as prose repeats them.
+second), so what lies between is aligned once and remembered, as prose repeats it: when
+``REMEMBERED`` pieces are held, those of one bucket alone make room.
 
 How many documents hold a pair linked is a count over the corpus that every link
 needs back. Texts are taken in buckets of ``BUCKET`` bytes in the task that reads
@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from corpusmill.functions.udf import worker_resource
 from corpusmill.session import materialize
 
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 BUCKET = 2 << 20  # bytes of text in a bucket; a longer text is one of its own
 JOINED = 1 << 17  # bytes of new pieces encoded at once
 SQUARE = 4096  # a group of more links is counted from its different ids
@@ -105,6 +105,36 @@ class Aligner:
         self.first = array("q", [0])  # where each piece's pairs begin in the two below
         self.pairs = array("q")
         self.times = array("q")
+        self.met = array("q")  # how many buckets held each piece
+
+    def make_room(self) -> None:
+        """Forgets the pieces that one bucket alone held."""
+        stay = np.flatnonzero(np.array(self.met, np.int64) > 1)
+        if len(stay) > REMEMBERED // 2:
+            self.forget()
+            return
+        names = [""] * len(self.said)
+        for piece, k in self.known.items():
+            if k >= 0:
+                names[k] = piece
+        first = np.array(self.first, np.int64)
+        n = np.diff(first)[stay]
+        inner = _ranges(first[stay], n)
+        said, sizes, pairs, times = self.said, self.sizes, self.pairs, self.times
+        self.forget()
+        self.said = [said[k] for k in stay]
+        self.known = {names[k]: i for i, k in enumerate(stay) if names[k]}
+        for new, old in ((self.sizes, np.array(sizes, np.int64).reshape(-1, 4)[stay]), (self.pairs, np.array(pairs, np.int64)[inner]), (self.times, np.array(times, np.int64)[inner])):
+            new.frombytes(np.ascontiguousarray(old).tobytes())
+        self.first.frombytes(np.cumsum(n).astype(np.int64).tobytes())
+        self.met.frombytes(np.ones(len(stay), np.int64).tobytes())
+
+    def note(self, used: np.ndarray) -> None:
+        """Counts a bucket for its pieces."""
+        met = np.zeros(len(self.said), np.int64)
+        met[: len(self.met)] = self.met
+        met[used] += 1
+        self.met = array("q", met.tobytes())
 
     def encode(self, said: str) -> tuple[list[int], list[int], bool]:
         """Ids on both sides of a space and a text, and whether their bytes are those of ``said``."""
@@ -190,8 +220,8 @@ class Aligner:
         cut = [([" " + t] if self.whole else cut_text(" " + t)) if t else [] for t in texts]
         new = set().union(*cut) - self.known.keys() if cut else set()
         if len(self.said) + len(new) > REMEMBERED:
-            self.forget()
-            new = set().union(*cut)
+            self.make_room()
+            new = set().union(*cut) - self.known.keys()
         self.learn(sorted(new))
         out = []
         for text, parts in zip(texts, cut):
@@ -238,6 +268,7 @@ def bucket(aligner: Aligner, texts: list[str], said: bool) -> dict:
     begin = np.cumsum([0, *map(len, at)])
     doc = np.repeat(np.arange(len(at)), np.diff(begin))
     used, piece = np.unique(np.concatenate(at) if at else np.zeros(0, np.int64), return_inverse=True)
+    aligner.note(used)
     facts = _sums(np.array(aligner.sizes, np.int64).reshape(-1, 4)[used][piece], begin)
     whole = np.array(aligner.first, np.int64)
     n = whole[used + 1] - whole[used]

@@ -111,6 +111,21 @@ def test_buckets_memory_and_large_groups_change_nothing(spark, monkeypatch):
     assert run(spark, rows, parts=3) == want
 
 
+def test_pieces_of_several_buckets_stay():
+    with open(A, "rb") as f, open(B, "rb") as g:
+        aligner = ta.Aligner(f.read(), g.read())
+    ta.bucket(aligner, ["one two", "two three  four"], False)
+    ta.bucket(aligner, ["two five a▁b"], False)
+    before = ta.bucket(aligner, ["one two"], True)
+    aligner.make_room()
+    assert set(aligner.known) == {" one", " two"}
+    after = ta.bucket(aligner, ["one two"], True)
+    for name, value in before.items():
+        assert (after[name] == value).all() if hasattr(value, "all") else after[name] == value
+    aligner.make_room()
+    assert ta.bucket(aligner, ["six two"], True)["said"] == [";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in SLOW.groups("six two"))]
+
+
 def test_cut_places_are_ends_of_both_sides():
     for text in [*filter(None, ODD), "one two  three\nfour five"]:
         pieces = ta.cut_text(" " + text)
