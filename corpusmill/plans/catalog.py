@@ -27,7 +27,7 @@ from corpusmill.functions.schema import has_messages
 from corpusmill.functions.tokens import encode_codepoints, tokenize, truncate
 from corpusmill.functions.udf import batch_map, custom_chat, encode_with
 from corpusmill.operators.generate import GenerationConfig, first_words_generator, generate
-from corpusmill.operators.ordered import next_in_group
+from corpusmill.operators.ordered import next_in_group, running_sum
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
 from corpusmill.operators.runlog import number_runs, phase_durations, read_run_logs, run_outcomes
 from corpusmill.operators.split import assign_split, split_dataset
@@ -44,8 +44,8 @@ from corpusmill.sinks.writers import (
     write_predictions,
 )
 from corpusmill.sources.corpus import read_pretrain_corpus
-from corpusmill.sources.files import list_files_recursive, rename
-from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file, read_train_eval
+from corpusmill.sources.files import list_files_recursive
+from corpusmill.sources.json_corpus import ORDER_COLS, read_json_corpus, read_json_files, read_prompt_file, read_train_eval
 from corpusmill.sources.paths import expand_spec
 from corpusmill.sources.text_corpus import read_text_files
 
@@ -118,7 +118,7 @@ def _write_array_files(spark: SparkSession, df: DataFrame, key: str, per_file: i
     arrays.write.partitionBy("bucket").text(out)
     for f in list_files_recursive(spark, out):
         if f.name.endswith(".txt") and not f.name.startswith("."):
-            rename(spark, f.path, f.path[: -len(".txt")] + ".json")
+            fx.rename(spark, f.path, f.path[: -len(".txt")] + ".json")
     return out
 
 
@@ -137,10 +137,12 @@ def _lang_shards(spark, sf_dir) -> str:
 
 
 def q_mixture(spark, sf_dir):
-    root = _lang_shards(spark, sf_dir)
+    root = fx.fixture_dir(spark, "docs-in-order")
+    _docs(spark, sf_dir).repartition("lang").sortWithinPartitions("lang", "doc_id").write.partitionBy("lang").json(root)
     spec = ";".join([f"{root}/lang={x}" for x in LANG_SHARDS] + [f"{root}/lang={LANG_SHARDS[0]}"])
-    df = read_json_corpus(spark, spec)
-    return df.select("doc_id", F.length("text").cast("bigint").alias("n"), F.col("_spec_ord").alias("spec_ord"))
+    # the place of each row in its part of the mixture, as the files have them
+    df = running_sum(read_json_corpus(spark, spec), ["_spec_ord"], list(ORDER_COLS), F.lit(1).cast("bigint"), "place")
+    return df.select("doc_id", F.length("text").cast("bigint").alias("n"), F.col("_spec_ord").alias("spec_ord"), "place")
 
 
 def _text_files(spark, sf_dir) -> list:
@@ -576,7 +578,7 @@ def q_mixed_layouts(spark, sf_dir):
     empty.select(F.to_json(F.struct("item_id", "instruction", "messages"), {"ignoreNullFields": "false"}).alias("value")).write.text(lines)
     for f in list_files_recursive(spark, lines):
         if f.name.endswith(".txt") and not f.name.startswith("."):
-            rename(spark, f.path, f.path[: -len(".txt")] + ".jsonl")
+            fx.rename(spark, f.path, f.path[: -len(".txt")] + ".jsonl")
     nulls = bench.withColumn("messages", F.array().cast("array<string>"))
     arrays = _write_array_files(spark, nulls, "item_id", 64, "null-messages")
     dirs = sorted({f.path.rsplit("/", 1)[0] for f in list_files_recursive(spark, arrays) if f.name.endswith(".json")})
@@ -585,6 +587,47 @@ def q_mixed_layouts(spark, sf_dir):
     return text.select("conv_id", F.col("item_id").cast("bigint").alias("item_id"), F.least("_spec_ord", F.lit(2).cast("bigint")).alias("part"), F.md5("text").alias("h"))
 
 
+def q_nested_empty(spark, sf_dir):
+    """``""`` and ``[]`` at any depth, in line files and array files; whole numbers beyond
+    64 bits in the latter; every value comes back as its type, the empty ones null."""
+    n = F.col("doc_id")
+    number = n.cast("string")
+
+    def field(name, *when):
+        value = when[-1]
+        for every, other in reversed(when[:-1]):
+            value = F.when(n % every == 0, other).otherwise(value)
+        return F.concat(F.lit(f'"{name}":'), value)
+
+    empty = F.lit('""')
+    inner = F.concat(F.lit("{"), field("n", (3, empty), F.length("text").cast("string")), F.lit(","), field("t", (2, empty), F.lit('"x"')), F.lit("}"))
+    items = F.concat(F.lit('[{"k":'), number, F.lit("},"), F.when(n % 4 == 0, empty).otherwise(F.concat(F.lit('{"k":'), (n * 2).cast("string"), F.lit("}"))), F.lit(',{"k":""}]'))
+    wide = F.when(n % 2 == 0, number).otherwise(F.concat(F.lit("1234567890123456789"), F.lpad(number, 9, "0")))
+    row = F.concat(
+        F.lit("{"), field("id", number), F.lit(","), field("m", (5, empty), (7, F.lit("[]")), inner), F.lit(","),
+        field("l", (6, empty), (11, F.lit("[]")), items), F.lit(","), field("w", wide), F.lit("}"),
+    )
+    docs = _docs(spark, sf_dir)
+    lines, arrays = fx.fixture_dir(spark, "nested-lines"), fx.fixture_dir(spark, "nested-arrays")
+    docs.where(n % 2 == 0).select(row.alias("value")).write.text(lines)
+    whole = docs.where(n % 2 == 1).groupBy(F.floor(n / 64).alias("bucket")).agg(F.array_join(F.collect_list(row), ",\n").alias("rows"))
+    whole.select("bucket", F.concat(F.lit(" [ "), "rows", F.lit(" ]\n")).alias("value")).write.partitionBy("bucket").text(arrays)
+    for folder, suffix in ((lines, ".jsonl"), (arrays, ".json")):
+        for f in list_files_recursive(spark, folder):
+            fx.rename(spark, f.path, f.path[: -len(".txt")] + suffix)
+    dirs = sorted({f.path.rsplit("/", 1)[0] for f in list_files_recursive(spark, arrays)})
+    df = read_json_corpus(spark, [lines, *dirs])
+    return df.select(
+        F.col("id").alias("doc_id"),
+        F.col("m.n").alias("n"),
+        F.col("m.t").alias("t"),
+        F.col("m").isNull().alias("no_m"),
+        F.when(F.col("l").isNotNull(), F.size("l")).cast("bigint").alias("n_items"),
+        F.array_join(F.transform("l", lambda x: F.coalesce(x["k"].cast("string"), F.when(x.isNull(), "gone").otherwise("null"))), ",").alias("items"),
+        F.col("w").cast("string").alias("w"),
+    )
+
+
 def q_run_job_dpo(spark, sf_dir):
     tr = _jsonl(spark, fx.preference_rows(spark, sf_dir), "pref")
     schema = "conv_id bigint, prompt string, chosen string, rejected string"
@@ -711,6 +754,7 @@ QUERIES = {
     "run_job": q_run_job,
     "run_job_custom": q_run_job_custom,
     "mixed_layouts": q_mixed_layouts,
+    "nested_empty": q_nested_empty,
     "run_job_dpo": q_run_job_dpo,
     "run_job_pretrain": q_run_job_pretrain,
     "run_job_test": q_run_job_test,

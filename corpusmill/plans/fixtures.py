@@ -93,6 +93,14 @@ def run_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Gives a written file another suffix (fixtures only: Spark itself renames nothing)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(src)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(path, jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
 def write_jsonl(df: DataFrame, path: str) -> str:
     """Write JSON Lines (absent/null fields omitted, like hand-written rows)."""
     df.write.mode("overwrite").json(path)

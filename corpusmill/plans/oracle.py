@@ -141,9 +141,10 @@ ORACLE: dict[str, str] = {
     "jsonl_scan": "select doc_id, length(text)::bigint as n, md5(text) as h, n_chars from documents",
     "json_dataset": "select item_id, md5(text) as h from benchmark",
     "mixture": f"""
-select doc_id, length(text)::bigint as n, {LANG_ORD} as spec_ord from documents
+with d as (select doc_id, text, lang, row_number() over (partition by lang order by doc_id) as place from documents)
+select doc_id, length(text)::bigint as n, {LANG_ORD} as spec_ord, place from d
 union all
-select doc_id, length(text)::bigint as n, 4::bigint as spec_ord from documents where lang = 'de'
+select doc_id, length(text)::bigint as n, 4::bigint as spec_ord, place from d where lang = 'de'
 """,
     "whole_text": f"select item_id, md5(regexp_replace(text || {N}, chr(13) || {N} || '?', {N}, 'g')) as h from benchmark",
     "prompt_file": f"""
@@ -284,6 +285,17 @@ select conv_id, null::bigint as item_id, 0::bigint as part, md5(txt) as h from c
 union all
 select null::bigint as conv_id, item_id, part, md5({alpaca('text', "''", "''")}) as h
 from benchmark, (select unnest([1, 2])::bigint as part)
+""",
+    "nested_empty": """
+select doc_id,
+       case when doc_id % 5 = 0 or doc_id % 7 = 0 or doc_id % 3 = 0 then null else length(text)::bigint end as n,
+       case when doc_id % 5 = 0 or doc_id % 7 = 0 then null when doc_id % 2 = 0 then '' else 'x' end as t,
+       doc_id % 5 = 0 or doc_id % 7 = 0 as no_m,
+       case when doc_id % 6 = 0 then null when doc_id % 11 = 0 then 0 else 3 end::bigint as n_items,
+       case when doc_id % 6 = 0 then null when doc_id % 11 = 0 then ''
+            else doc_id || ',' || case when doc_id % 4 = 0 then 'gone' else (doc_id * 2)::varchar end || ',null' end as items,
+       case when doc_id % 2 = 0 then doc_id::varchar else '1234567890123456789' || lpad(doc_id::varchar, 9, '0') end as w
+from documents
 """,
     "run_job_dpo": f"with {D_CTE} select conv_id, 'train' as split, {pref_ids(1024, 512, 1536)} from d",
     "run_job_pretrain": f"select doc_id, 'train' as split, {cut_ids('text', '512')} from documents",

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.operators.generate import drop_positions, in_input_order, lossless_lines
-from corpusmill.sources.files import stat
+from corpusmill.sources.files import exists
+from corpusmill.sources.paths import SpecFile
 
 META_NAME = "_meta"  # Spark readers skip '_' names, so metadata sits beside the data
 SIDECAR_FIELDS = ("task", "tokenizer", "model_type", "prompt_type", "truncation_side")
@@ -65,6 +66,15 @@ def file_row_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("_file_ord", "_spec_ord", "_path").agg(F.count("*").cast("bigint").alias("rows"))
 
 
+def known_row_counts(spark: SparkSession, files: Sequence[SpecFile], rows: dict[str, int], texts: Sequence[SpecFile] = ()) -> DataFrame:
+    """As ``file_row_counts``, from counts that a pass over the files has left (by URI):
+    ``files`` in reading order, then text files of one row each. The table is as long as
+    the file list, which the driver holds."""
+    out = [(k, f.spec_ord, f.uri, rows[f.uri]) for k, f in enumerate(files) if rows.get(f.uri)]
+    out += [(len(files) + k, f.spec_ord, None, 1) for k, f in enumerate(texts)]
+    return spark.createDataFrame(out, "_file_ord bigint, _spec_ord bigint, _path string, rows bigint")
+
+
 def write_manifest(
     spark: SparkSession,
     path: str,
@@ -95,6 +105,6 @@ def write_manifest(
 def read_manifest(spark: SparkSession, path: str) -> tuple[dict, DataFrame | None]:
     head = spark.read.json(path).collect()[0].asDict()
     counts = f"{path.rstrip('/')}/_files"
-    if stat(spark, counts) is None:  # no per-file counts were written
+    if not exists(spark, counts):  # no per-file counts were written
         return head, None
     return head, spark.read.schema("file_ord bigint, spec_ord bigint, path string, rows bigint").json(counts)

@@ -1,20 +1,32 @@
-"""File-system access through the Hadoop FileSystem API of the session, so the
-same code lists local folders, HDFS and object stores."""
+"""Files of a path, listed by Spark's own readers.
+
+``binaryFile`` gives a row for each file (path, URI, length) without reading its
+content, so a listing is a small table made by tasks: it works wherever the session
+reads (local folders, HDFS, object stores), over Spark Connect as well, and comes to
+the driver in one transfer. Names are matched by patterns, many at a time: those that
+do not exist are simply not there.
+
+Spark's scans pass over files without a byte; named files of that kind are found by
+``inputFiles``, in a listed folder they have no rows to miss.
+"""
 
 from __future__ import annotations
 
 import re
-import string
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Characters Spark treats as glob syntax in a read path.
 GLOB_CHARS = "\\[]{}*?"
-# Characters java.net.URI leaves as they are in a path (the rest is quoted).
-URI_PLAIN = frozenset(string.ascii_letters + string.digits + "-_.!~*'();&=+$,@")
-_STATUS = re.compile(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?")
+NAMES = 32  # in one pattern: Spark lists more roots than that by a job with a task for each
+PATTERNS = 32  # in one job
+_ROOT = re.compile(r"^[A-Za-z][\w+.-]*:(//[^/]*)?")
 
 
 @dataclass(frozen=True)
@@ -24,176 +36,182 @@ class FileInfo:
     name: str
     is_dir: bool
     length: int
+    children: tuple[FileInfo, ...] = ()  # of a folder: its files with a wanted suffix
 
 
-_CLASSES: dict[tuple[int, str], object] = {}
-
-
-def _jclass(spark: SparkSession, name: str):
-    """A JVM class handle, looked up once: py4j resolves ``jvm.a.b.C`` one
-    package segment per driver round trip on every use."""
-    sc = spark.sparkContext
-    key = (id(sc), name)
-    cls = _CLASSES.get(key)
-    if cls is None:
-        cls = sc._jvm
-        for part in name.split("."):
-            cls = getattr(cls, part)
-        _CLASSES[key] = cls
-    return cls
-
-
-def _jpath(spark: SparkSession, p: str):
-    path = _jclass(spark, "org.apache.hadoop.fs.Path")(p)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, fs.makeQualified(path)
-
-
-def _local_uri(u: str) -> str:
-    """``file:///x`` as Spark reports it in ``_metadata.file_path``: ``file:/x``."""
-    if u.startswith("file:///"):
-        return "file:/" + u[len("file:///") :]
-    return u
+def escape_glob(path: str) -> str:
+    """A literal path for ``spark.read``: glob characters lose their meaning."""
+    return "".join("\\" + c if c in GLOB_CHARS else c for c in path)
 
 
-def _uri(path) -> str:
-    """Percent-encoded URI as Spark reports it (``file:/x``, not ``file:///x``)."""
-    return _local_uri(path.toUri().toString())
+def _name_pattern(names: Iterable[str]) -> str:
+    return "{" + ",".join(escape_glob(n).replace(",", "\\,") for n in names) + "}"
 
 
-def _info(status) -> FileInfo:
-    path = status.getPath()
-    return FileInfo(
-        path=path.toString(),
-        uri=_uri(path),
-        name=path.getName(),
-        is_dir=bool(status.isDirectory()),
-        length=int(status.getLen()),
-    )
+def _files(spark: SparkSession, pattern: str, suffixes: str | None = None) -> DataFrame:
+    """The files that a pattern matches, or that folders it matches hold at any depth;
+    of all, those whose names match ``suffixes``."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    df = (reader.option("pathGlobFilter", suffixes) if suffixes else reader).load(pattern)
+    df.schema  # noqa: B018  (where a Connect session looks at the path)
+    return df
 
 
-def stat(spark: SparkSession, p: str) -> FileInfo | None:
-    """Status of one path, ``None`` when it does not exist."""
-    fs, path = _jpath(spark, p)
+def _found(spark: SparkSession, pattern: str, suffixes: str | None = None) -> DataFrame | None:
+    """As ``_files``, ``None`` if the pattern matches nothing."""
     try:
-        status = fs.getFileStatus(path)
-    except Py4JJavaError as e:
-        if "java.io.FileNotFoundException" in str(e.java_exception.getClass().getName()):
+        return _files(spark, pattern, suffixes)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return _info(status)
 
 
-def stat_many(spark: SparkSession, parts: list[str], min_group: int = 8) -> list[FileInfo | None]:
-    """``stat`` of every part (``None`` when missing), in order. Parts that
-    share a parent directory with at least ``min_group`` others are resolved
-    from one listing of that directory instead of one round trip each; any
-    part the listing does not answer plainly falls back to ``stat``."""
-    groups: dict[str, list[tuple[int, str]]] = {}
-    for i, part in enumerate(parts):
-        parent, _, name = part.rstrip("/").rpartition("/")
-        odd = not parent or name in ("", ".", "..") or "/./" in f"{parent}/" or "/../" in f"{parent}/"
-        groups.setdefault("" if odd else parent, []).append((i, name))
-    out: list[FileInfo | None] = [None] * len(parts)
-    for parent, items in groups.items():
-        listing = None
-        if parent and len(items) >= min_group:
-            info = stat(spark, parent)
-            if info is not None and info.is_dir:
-                listing = {f.name: f for f in list_children(spark, parent)}
-        for i, name in items:
-            out[i] = listing.get(name) if listing is not None else None
-            if out[i] is None:  # not listed plainly (or missing): ask for it by name
-                out[i] = stat(spark, parts[i])
+def _collect(frames: Sequence[DataFrame]) -> list[list[FileInfo]]:
+    """Non-empty files of each frame: one job for ``PATTERNS`` of them."""
+    out: list[list[FileInfo]] = [[] for _ in frames]
+    for a in range(0, len(frames), PATTERNS):
+        part = [
+            df.select(F.lit(a + k).alias("k"), "path", F.col("_metadata.file_path").alias("uri"), "length")
+            for k, df in enumerate(frames[a : a + PATTERNS])
+        ]
+        table = reduce(DataFrame.union, part).toArrow()
+        for k, path, uri, length in zip(*(c.to_pylist() for c in table.columns)):
+            out[k].append(FileInfo(path, uri, path.rsplit("/", 1)[-1], False, length))
     return out
 
 
-def list_children(spark: SparkSession, p: str) -> list[FileInfo]:
-    """Entries of one directory (one listing call to the file system).
-
-    The statuses come back to Python as one string, not through several
-    driver round trips per entry (which cost about 1 ms each, minutes for a
-    directory of a million files). A child's URI is the parent's URI plus its
-    name when the name has no character a URI would quote; for any other
-    name, or if the text cannot be read back, the JVM is asked per entry."""
-    fs, path = _jpath(spark, p)
-    statuses = fs.listStatus(path)
-    n = len(statuses)
-    text = _jclass(spark, "scala.collection.mutable.ArraySeq").make(statuses).mkString("\n")
-    lines = text.split("\n") if n else []
-    parsed = [_STATUS.search(line) for line in lines]
-    if len(lines) != n or not all(parsed):
-        return [_info(s) for s in statuses]
-    parent_uri = _uri(path).rstrip("/")
-    out = []
-    for i, m in enumerate(parsed):
-        full = m.group(1)
-        name = full.rsplit("/", 1)[-1]
-        if name and set(name) <= URI_PLAIN and (m.group(2) == "true" or m.group(3) is not None):
-            length = int(m.group(3)) if m.group(3) is not None else 0
-            out.append(FileInfo(full, f"{parent_uri}/{name}", name, m.group(2) == "true", length))
-        else:
-            out.append(_info(statuses[i]))
-    return out
-
+def _tail(path: str) -> str:
+    """A path without scheme and authority, single slashes throughout."""
+    return re.sub("/+", "/", _ROOT.sub("", path)).rstrip("/")
 
-def list_files_recursive(spark: SparkSession, p: str) -> list[FileInfo]:
-    fs, path = _jpath(spark, p)
-    it = fs.listFiles(path, True)
-    out = []
-    while it.hasNext():
-        out.append(_info(it.next()))
-    return sorted(out, key=lambda f: f.path)
 
+def _below(info: FileInfo, parent: str) -> list[str]:
+    """The steps from ``parent`` to a listed file."""
+    return _tail(info.path)[len(_tail(parent)) + 1 :].split("/")
 
-_BLANK = b" \t\r\n\xef\xbb\xbf"  # whitespace and the UTF-8 byte order mark
-_FS: dict[tuple[int, str], object] = {}
 
+def _empty_file(uri: str) -> FileInfo:
+    """A file that ``inputFiles`` names and no scan shows."""
+    if uri.startswith("file:///"):  # as a scan's rows have it
+        uri = "file:/" + uri[len("file:///") :]
+    path = unquote(uri)
+    return FileInfo(path, uri, path.rsplit("/", 1)[-1], False, 0)
 
-def _fs_root(p: str) -> str:
-    """``scheme://authority`` (or ``scheme:``) of a qualified path string."""
-    if "://" in p:
-        scheme, rest = p.split("://", 1)
-        return f"{scheme}://{rest.split('/', 1)[0]}"
-    head = p.split("/", 1)[0]
-    return head if head.endswith(":") else ""
 
+def _folder(path: str, children: Iterable[FileInfo] = ()) -> FileInfo:
+    return FileInfo(path, path, path.rstrip("/").rsplit("/", 1)[-1], True, 0, tuple(sorted(children, key=lambda f: f.path)))
 
-def _open(spark: SparkSession, p: str):
-    """Open a qualified path, reusing the FileSystem of its scheme/authority
-    (two driver round trips per file instead of five)."""
-    sc = spark.sparkContext
-    key = (id(sc), _fs_root(p))
-    fs = _FS.get(key)
-    path = _jclass(spark, "org.apache.hadoop.fs.Path")(p)
-    if fs is None:
-        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-        _FS[key] = fs
-    return fs.open(path)
 
+def look_up(spark: SparkSession, parts: Sequence[str], extensions: Sequence[str]) -> list[FileInfo | None]:
+    """What each path is: a file, a folder with its files of the given suffixes
+    (without descending), or nothing. Parts of one parent folder are asked for together.
 
-def first_byte(spark: SparkSession, p: str, chunk: int = 256) -> bytes:
-    """The file's first byte that is not blank, empty if there is none (layout
-    sniffing only). Reads on in growing pieces past any number of blanks."""
-    stream = _open(spark, p)
+    A name that starts with ``_`` or ``.`` is invisible to Spark's readers; such a file is
+    reported with its name and nothing else."""
+    groups: dict[str, dict[str, None]] = {}
+    alone: list[str] = []
+    for part in dict.fromkeys(parts):
+        parent, _, name = part.rstrip("/").rpartition("/")
+        steps = _tail(part).split("/")
+        absolute = part.startswith("/") or _ROOT.match(part)
+        if absolute and name and ":" not in name and not {".", ".."} & set(steps) and _tail(part):
+            groups.setdefault(parent, {})[name] = None
+        else:
+            alone.append(part)
+    found: dict[str, FileInfo | None] = {}
+    chunks = []
+    for parent, names in groups.items():
+        listed = list(names)
+        chunks += [(parent, listed[a : a + NAMES]) for a in range(0, len(listed), NAMES)]
+    suffixes = "*" + _name_pattern(extensions)
+    # files of a wanted suffix, named or one level down in a named folder
+    wanted = [_among(spark, parent, names, suffixes) for parent, names in chunks]
+    held = [k for k, df in enumerate(wanted) if df is not None]
+    for k, files in zip(held, _collect([wanted[k] for k in held])):
+        parent = chunks[k][0]
+        children: dict[str, list[FileInfo]] = {}
+        for f in files:
+            steps = _below(f, parent)
+            if len(steps) == 1:
+                found[f"{parent}/{f.name}"] = f
+            else:
+                children.setdefault(steps[0], []).extend([f] if len(steps) == 2 else [])
+        for name, own in children.items():
+            found[f"{parent}/{name}"] = _folder(f"{parent}/{name}", own)
+    chunks = [chunks[k] for k in held]
+    # then other files, and folders without such files
+    rest = [(parent, [n for n in names if f"{parent}/{n}" not in found]) for parent, names in chunks]
+    rest = [(parent, names, _among(spark, parent, names)) for parent, names in rest if names]
+    rest = [r for r in rest if r[2] is not None]
+    for (parent, names, _), files in zip(rest, _collect([r[2] for r in rest])):
+        for f in files:
+            steps = _below(f, parent)
+            key = f"{parent}/{steps[0]}"
+            found[key] = f if len(steps) == 1 else found.get(key) or _folder(key)
+    for parent, names, df in rest:
+        left = {n for n in names if f"{parent}/{n}" not in found}
+        if not left:
+            continue
+        for uri in df.inputFiles():
+            f = _empty_file(uri)
+            steps = _below(f, parent)
+            if steps[0] in left:
+                found[f"{parent}/{steps[0]}"] = f if len(steps) == 1 else _folder(f"{parent}/{steps[0]}")
+        alone += [f"{parent}/{n}" for n in sorted(left) if f"{parent}/{n}" not in found]
+    for part in alone:
+        found[part] = _look_up_one(spark, part, extensions)
+    return [found[p] if p in found else found.get(p.rstrip("/")) for p in parts]
+
+
+def _among(spark: SparkSession, parent: str, names: Sequence[str], suffixes: str | None = None) -> DataFrame | None:
+    """Files of these names in a folder, and in folders of these names. Where some name
+    of the folder holds a colon, no pattern works, and the names are asked for one by one."""
+    at = escape_glob(parent)
     try:
-        while True:
-            part = bytes(stream.readNBytes(chunk))
-            rest = part.lstrip(_BLANK)
-            if rest or len(part) < chunk:
-                return rest[:1]
-            chunk = min(2 * chunk, 1 << 20)
-    finally:
-        stream.close()
-
-
-def rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _jpath(spark, src)
-    _, d = _jpath(spark, dst)
-    if not fs.rename(s, d):
-        raise OSError(f"could not rename {src} to {dst}")
-
-
-def escape_glob(path: str) -> str:
-    """A literal path for ``spark.read``: glob characters lose their meaning."""
-    return "".join("\\" + c if c in GLOB_CHARS else c for c in path)
+        return _found(spark, f"{at}/{_name_pattern(names) if len(names) > 1 else escape_glob(names[0])}", suffixes)
+    except PySparkException as e:
+        if "URISyntaxException" not in str(e):
+            raise
+    frames = [df for n in names if (df := _found(spark, f"{at}/{n}", suffixes)) is not None]
+    return reduce(DataFrame.union, frames) if frames else None
+
+
+def _look_up_one(spark: SparkSession, part: str, extensions: Sequence[str]) -> FileInfo | None:
+    """One path that is relative, has odd steps, or was not found among others."""
+    path = escape_glob(part.rstrip("/") or "/")
+    df = _found(spark, path)
+    if df is None:
+        return None
+    name = part.rstrip("/").rsplit("/", 1)[-1]
+    (inside,) = _collect([_files(spark, path, "*" + _name_pattern(extensions))])
+    depth = min((f.path.count("/") for f in inside), default=0)
+    inside = [f for f in inside if f.path.count("/") == depth]
+    if len(inside) == 1 and inside[0].name == name:
+        return inside[0]
+    if inside:
+        return _folder(part, inside)
+    (files,) = _collect([df])
+    files = files or [_empty_file(u) for u in df.inputFiles()]
+    if len(files) == 1 and files[0].name == name:
+        return files[0]
+    if not files and name.startswith(("_", ".")) and name not in (".", ".."):
+        return FileInfo(part, part, name, False, 0)
+    return _folder(part)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return _found(spark, escape_glob(path)) is not None
+
+
+def list_files_recursive(spark: SparkSession, path: str) -> list[FileInfo]:
+    """The non-empty files under a folder, at any depth, sorted by path."""
+    (files,) = _collect([_files(spark, escape_glob(path))])
+    return sorted(files, key=lambda f: f.path)
+
+
+def starts_array(spark: SparkSession, path: str) -> bool:
+    """Whether the first character of a JSON file that is not blank is ``[``: what comes
+    before its first ``{`` is one short record of a scan that ends there."""
+    head = spark.read.option("lineSep", "{").text(escape_glob(path)).limit(1).collect()
+    return bool(head) and head[0][0].lstrip("﻿ \t\r\n").startswith("[")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.sources.files import escape_glob, first_byte
+from corpusmill.sources.files import escape_glob, starts_array
 from corpusmill.sources.json_types import Seen, Shape, fold, shape
 from corpusmill.sources.paths import SpecFile, expand_spec, require_files
 
@@ -27,7 +27,7 @@ META_COLS = ("_file_ord", "_spec_ord", "_block_ord", "_row_ord", "_path")
 # Files per read: the (path -> file_ord) table of one read is broadcast, so its
 # size is bounded by this; larger lists are read in several broadcast chunks.
 BROADCAST_FILES = 50_000
-SNIFF_THREADS = 64
+SNIFF_THREADS = 32
 ARRAY_BYTES = 128 << 20  # of an array file that a task's inference holds whole
 
 
@@ -40,7 +40,7 @@ def sniff_layout(spark: SparkSession, f: SpecFile) -> str:
     ``[``, else ``lines``. ``.jsonl`` files are always line-delimited."""
     if not f.name.lower().endswith(".json"):
         return "lines"
-    return "array" if first_byte(spark, f.path) == b"[" else "lines"
+    return "array" if starts_array(spark, f.path) else "lines"
 
 
 def _reader(spark: SparkSession, layout: str, mode: str):
@@ -99,16 +99,17 @@ def _read_group(
 def _layouts(spark: SparkSession, files: Sequence[SpecFile], layout: str) -> list[str]:
     if layout != "auto":
         return [layout] * len(files)
-    # First bytes of each .json file only; I/O bound, so a wide pool.
+    # The head of each .json file only, in a small job of its own.
     with ThreadPoolExecutor(max_workers=SNIFF_THREADS) as pool:
         return list(pool.map(lambda f: sniff_layout(spark, f), files))
 
 
-def infer_shapes(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]]) -> list[Shape]:
+def infer_shapes(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]], counts: dict | None = None) -> list[Shape]:
     """One shape for each side ((files, layouts)): the columns that its own files
     have, each with the type it has over all sides. One pass over all files; an
     array file too long to hold in a task is looked at by the parser's own inference
-    instead (twice: with and without its empty places), and joins in with what that says."""
+    instead (twice: with and without its empty places), and joins in with what that says.
+    ``counts`` gets the rows of each file (by side and URI), unless such a long file is there."""
     sources, long = [], []
     for k, (files, layouts) in enumerate(sides):
         paths: dict[str, set[str]] = {"lines": set(), "array": set(), "long": set()}
@@ -124,7 +125,9 @@ def infer_shapes(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile],
         if paths["long"]:
             looked = [_reader(spark, "array", "FAILFAST").option("dropFieldIfAllNull", drop).json(sorted(paths["long"])).schema for drop in (False, True)]
             long.append((k, Seen.of_type(*looked, min(paths["long"]))))
-    seen = fold(spark, sources) if sources else {}
+    seen, rows = fold(spark, sources) if sources else ({}, {})
+    if counts is not None and not long:
+        counts.update(rows)
     for k, found in long:
         seen.setdefault(k, Seen()).merge(found)
     merged = Seen()
@@ -196,11 +199,13 @@ def read_sides(
     schema: T.StructType | str | None = None,
     layout: str = "auto",
     mode: str = "FAILFAST",
+    counts: dict | None = None,
 ) -> list[DataFrame | None]:
     """A DataFrame for each file list (``None`` for an empty one), columns of one
-    name having one type on all sides."""
+    name having one type on all sides. Where types are inferred, ``counts`` gets the
+    number of rows of each file, by (side, URI)."""
     layouts = [_layouts(spark, files, layout) for files in sides]
-    schemas = infer_shapes(spark, list(zip(sides, layouts))) if schema is None else [schema] * len(sides)
+    schemas = infer_shapes(spark, list(zip(sides, layouts)), counts) if schema is None else [schema] * len(sides)
     return [_read(spark, f, lay, s, mode) if f else None for f, lay, s in zip(sides, layouts, schemas)]
 
 

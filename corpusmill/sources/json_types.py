@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONG_MIN, LONG_MAX = -(1 << 63), (1 << 63) - 1
-MERGERS = 16  # tasks that merge the scanning tasks' results, and rows that the driver gets
+MERGERS = 16  # tasks that merge the scanning tasks' results
 BLANK = " \t\r\n"
 
 #: flags of a Seen
@@ -264,9 +264,16 @@ def _elements(text: str) -> Iterator:
         raise ValueError(f"something follows the value at character {blank(i)}")
 
 
+def _dumped(sides: dict[int, Seen], rows: dict[tuple[int, str], int]) -> pa.RecordBatch:
+    """A row for each side with what was seen, and one for each file with its rows."""
+    seen = [(k, json.dumps(s.dump()), None, None) for k, s in sides.items()] + [(k, None, path, n) for (k, path), n in rows.items()]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*seen), _FOLDED)], schema=_FOLDED)
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (side, path, bytes) to one dumped ``Seen`` for each side."""
+    """Rows (side, path, bytes) to what each side and each file held."""
     sides: dict[int, Seen] = {}
+    rows: dict[tuple[int, str], int] = {}
     for batch in batches:
         for side, path, content in zip(*(c.to_pylist() for c in batch.columns)):
             try:
@@ -281,32 +288,43 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if side not in sides:
                         sides[side] = Seen(path)
                     sides[side].add(row, path)
+                    rows[side, path] = rows.get((side, path), 0) + 1
             except ValueError as e:
                 raise ValueError(f"malformed JSON in {path}: {e}") from e
     if sides:
-        yield pa.RecordBatch.from_pydict({"side": list(sides), "seen": [json.dumps(s.dump()) for s in sides.values()]}, schema=_FOLDED)
+        yield _dumped(sides, rows)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sides: dict[int, Seen] = {}
+    rows: dict[tuple[int, str], int] = {}
     for batch in batches:
-        for side, dumped in zip(*(c.to_pylist() for c in batch.columns)):
+        _take_in(zip(*(c.to_pylist() for c in batch.columns)), sides, rows)
+    if sides or rows:
+        yield _dumped(sides, rows)
+
+
+def _take_in(folded, sides: dict[int, Seen], rows: dict[tuple[int, str], int]) -> None:
+    for side, dumped, path, n in folded:
+        if dumped is None:
+            rows[side, path] = rows.get((side, path), 0) + n
+        else:
             sides.setdefault(side, Seen()).merge(Seen.load(json.loads(dumped)))
-    if sides:
-        yield pa.RecordBatch.from_pydict({"side": list(sides), "seen": [json.dumps(s.dump()) for s in sides.values()]}, schema=_FOLDED)
 
 
-_FOLDED = pa.schema([pa.field("side", pa.int32()), pa.field("seen", pa.string())])
+_FOLDED = pa.schema([pa.field("side", pa.int32()), pa.field("seen", pa.string()), pa.field("path", pa.string()), pa.field("n", pa.int64())])
 
 
-def fold(spark: SparkSession, sources: Sequence[DataFrame]) -> dict[int, Seen]:
-    """What the rows of each side hold; ``sources`` have ``side``, ``path`` and ``content``,
-    the bytes of a line or of a whole file. One job; the driver gets ``MERGERS`` rows."""
-    rows = sources[0]
+def fold(spark: SparkSession, sources: Sequence[DataFrame]) -> tuple[dict[int, Seen], dict[tuple[int, str], int]]:
+    """What the rows of each side hold, and the number of each file's rows (by side and
+    path); ``sources`` have ``side``, ``path`` and ``content``, the bytes of a line or of a
+    whole file. One job; ``MERGERS`` tasks hand the driver one row for a side and one for
+    a file each."""
+    table = sources[0]
     for more in sources[1:]:
-        rows = rows.union(more)
-    folded = rows.mapInArrow(_fold, "side int, seen string").repartition(MERGERS).mapInArrow(_merge, "side int, seen string")
-    out: dict[int, Seen] = {}
-    for side, dumped in folded.collect():
-        out.setdefault(side, Seen()).merge(Seen.load(json.loads(dumped)))
-    return out
+        table = table.union(more)
+    out = "side int, seen string, path string, n long"
+    sides: dict[int, Seen] = {}
+    rows: dict[tuple[int, str], int] = {}
+    _take_in(table.mapInArrow(_fold, out).repartition(MERGERS).mapInArrow(_merge, out).collect(), sides, rows)
+    return sides, rows

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from corpusmill.sources.files import FileInfo, list_children, stat_many
+from corpusmill.sources.files import FileInfo, look_up
 
 JSON_SUFFIXES = (".json", ".jsonl")
 TEXT_SUFFIXES = (".txt",)
@@ -88,7 +88,8 @@ def expand_spec(
     else:
         parts = split_spec(spec, separators)
     out = Expansion(spec=join_spec(spec) or "")
-    infos = stat_many(spark, parts)
+    extensions = tuple(extensions)
+    infos = look_up(spark, parts, extensions)
     for i, (part, info) in enumerate(zip(parts, infos)):
         if info is None:
             if missing == "error":
@@ -104,10 +105,8 @@ def expand_spec(
             continue
         if not directories:
             raise ValueError(f"{part} is a directory; list its files")
-        children = [c for c in list_children(spark, info.path) if not c.is_dir and not _is_hidden(c.name)]
         for ext in extensions:
-            picked = sorted((c for c in children if c.name.endswith(ext)), key=lambda c: c.path)
-            out.files.extend(_from_info(c, i) for c in picked)
+            out.files.extend(_from_info(c, i) for c in info.children if c.name.endswith(ext))
     return out
 
 

@@ -21,6 +21,9 @@ from corpusmill.sources.json_corpus import listed_in_chunks, path_positions
 from corpusmill.sources.paths import SpecFile
 
 
+LONGEST = (1 << 31) - 1  # bytes of a file, which is one value
+
+
 @F.pandas_udf(T.StringType())
 def decode_utf8_ignore(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
@@ -45,6 +48,8 @@ def read_text_files(
 ) -> DataFrame:
     if not files:
         raise FileNotFoundError("no text files to read")
+    if over := [f for f in files if f.length > LONGEST]:
+        raise ValueError(f"{over[0].path}: {over[0].length} bytes are more than one row holds ({LONGEST}); split the file ({len(over)} such)")
     if ords is None:
         ords = list(range(len(files)))
     parts = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -149,6 +150,14 @@ def test_whole_text_drops_bad_bytes_and_translates_newlines(spark, write):
     assert rows(read_text_files(spark, exp.files), "text") == [("hi\nx",)]
 
 
+def test_a_text_file_too_long_for_a_row_is_refused_by_name(spark, write):
+    from dataclasses import replace
+
+    exp = expand_spec(spark, [write("big.txt", "x")], literal=True)
+    with pytest.raises(ValueError, match=r"big.txt: 2147483648 bytes"):
+        read_text_files(spark, [replace(f, length=1 << 31) for f in exp.files])
+
+
 def test_whole_text_one_row_per_file(spark, write):
     p = write("two_lines.txt", "line one\nline two\n")
     exp = expand_spec(spark, [p], literal=True)
@@ -301,16 +310,85 @@ def test_layout_behind_a_megabyte_of_blanks(spark, write):
     assert rows(read_json_corpus(spark, p), "x", order=["x"]) == [(1,), (2,)]
 
 
-def test_part_missing_from_a_listing_is_asked_for_by_name(spark, write, tmp_path, monkeypatch):
+def test_named_files_are_found_many_at_a_time(spark, write, tmp_path, monkeypatch):
+    """Existing, missing, empty and hidden names, folders of every kind, odd steps, relative paths."""
     from corpusmill.sources import files
 
-    names = [f"f{i}.jsonl" for i in range(12)]
+    names = [f"f{i:02d}.jsonl" for i in range(12)] + ["a b.jsonl", "x[1].jsonl", "ü.json", "c,d.json", "{e}.json", "p%20q.jsonl"]
     for n in names:
-        write(f"list/{n}", "{}\n")
-    whole = files.list_children
-    monkeypatch.setattr(files, "list_children", lambda spark, p: whole(spark, p)[:-3])
-    found = files.stat_many(spark, [f"{tmp_path}/list/{n}" for n in names])
-    assert [f.name for f in found] == names
+        write(f"many/{n}", "{}\n")
+    for n in ("many/empty.json", "other/void.txt"):
+        write(n, "")
+    write("many/sub/in.jsonl", "{}\n")
+    write("many/sub/deep/er.jsonl", "{}\n")
+    write("many/texts/t.txt", "x")
+    write("many/texts/k=1/t.txt", "x")
+    write("other/lone.jsonl", "{}\n")
+    (tmp_path / "many" / "bare").mkdir()
+    d = str(tmp_path / "many")
+    parts = [f"{d}/{n}" for n in reversed(names)] + [
+        f"{d}/missing.jsonl", f"{d}/sub", f"{d}/sub/", f"{d}/f03.jsonl", f"{d}/./f01.jsonl", f"{d}/../other/lone.jsonl",
+        str(tmp_path / "other/lone.jsonl"), f"{d}/empty.json", f"{d}/bare", f"{d}/texts", f"{tmp_path}/none/at.json", f"file://{d}/f02.jsonl",
+        os.path.relpath(f"{d}/f04.jsonl"), os.path.relpath(f"{d}/sub"), str(tmp_path / "other/void.txt"),
+    ]
+    for size in (32, 3):
+        monkeypatch.setattr(files, "NAMES", size)
+        found = files.look_up(spark, parts, (".jsonl", ".json"))
+        for part, f in zip(parts, found):
+            local = part.removeprefix("file://")
+            if not os.path.exists(local):
+                assert f is None, part
+                continue
+            assert f.is_dir == os.path.isdir(local), part
+            if f.is_dir:
+                want = sorted(n for n in os.listdir(local) if n.endswith((".json", ".jsonl")) and os.path.isfile(f"{local}/{n}"))
+                assert [c.name for c in f.children] == want, part
+            else:
+                assert f.name == os.path.basename(local) and f.length == os.path.getsize(local)
+                assert os.path.samefile(f.path.removeprefix("file:"), local)
+
+
+def test_a_large_folder_is_listed_without_a_loop_over_the_driver(spark, tmp_path):
+    """20,000 names: one job and one transfer; nothing is asked for by name."""
+    import time
+
+    d = tmp_path / "large"
+    d.mkdir()
+    for i in range(20_000):
+        (d / f"{i:05d}.jsonl").write_bytes(b"{}\n")
+    from py4j.java_gateway import GatewayClient
+
+    calls = []
+    whole = GatewayClient.send_command
+    GatewayClient.send_command = lambda self, *a, **k: calls.append(1) or whole(self, *a, **k)
+    try:
+        t = time.time()
+        exp = expand_spec(spark, str(d))
+        took = time.time() - t
+    finally:
+        GatewayClient.send_command = whole
+    assert names(exp) == [f"{i:05d}.jsonl" for i in range(20_000)]
+    assert len(calls) < 1000 and took < 120
+
+
+def test_sources_hold_no_java_objects():
+    import corpusmill.sources as package
+
+    folder = os.path.dirname(package.__file__)
+    for name in os.listdir(folder):
+        if name.endswith(".py"):
+            with open(os.path.join(folder, name)) as f:
+                text = f.read()
+            assert not any(x in text for x in ("_jvm", "_jsc", "_jdf", "py4j", "sparkContext")), name
+
+
+def test_a_colon_in_a_name_beside(spark, write, tmp_path):
+    """No pattern works in such a folder: its files are still found."""
+    write("col/a.jsonl", jl({"x": 1}))
+    write("col/b:c.txt", "x")
+    write("top/col2/a.jsonl", jl({"x": 2}))
+    write("top/d:e", "x")
+    assert names(expand_spec(spark, f"{tmp_path}/col;{tmp_path}/col/a.jsonl;{tmp_path}/top/col2;{tmp_path}/top/nope")) == ["a.jsonl"] * 3
 
 
 def test_valid_text_is_decoded_without_python(spark, write):
@@ -318,18 +396,15 @@ def test_valid_text_is_decoded_without_python(spark, write):
     assert rows(read_text_files(spark, exp.files), "text", order=["_file_ord"]) == [("ünï\nx",), ("ab",)]
 
 
-def test_bulk_listing_equals_per_entry_answers(spark, write, tmp_path):
-    from corpusmill.sources.files import _info, _jpath, list_children
-
-    names = ["a b.jsonl", "x[1].jsonl", "p%20q.jsonl", "ü.json", "e f.json", "emoji🙂.jsonl", "semi;c,p+e=.jsonl",
-             "hash#q.jsonl", "q'uote(1).jsonl", "tab\tx.jsonl", "plain.jsonl", "_h.jsonl", "sub.jsonl/in.jsonl"]
-    for n in names:
+def test_names_of_every_kind_in_a_folder(spark, write, tmp_path):
+    listed = ["a b.jsonl", "x[1].jsonl", "p%20q.jsonl", "ü.json", "e f.json", "emoji🙂.jsonl", "semi;c,p+e=.jsonl",
+              "hash#q.jsonl", "q'uote(1).jsonl", "tab\tx.jsonl", "plain.jsonl", "_h.jsonl", "sub.jsonl/in.jsonl", "k=1/in.jsonl"]
+    for n in listed:
         write(f"t/{n}", "{}\n")
     d = str(tmp_path / "t")
-    fast = sorted((f.path, f.uri, f.name, f.is_dir) for f in list_children(spark, d))
-    fs, path = _jpath(spark, d)
-    slow = sorted((f.path, f.uri, f.name, f.is_dir) for f in (_info(s) for s in fs.listStatus(path)))
-    assert fast == slow and len(fast) == len(names)
+    exp = expand_spec(spark, d)
+    plain = [n for n in listed if "/" not in n and not n.startswith("_")]
+    assert names(exp) == sorted(n for n in plain if n.endswith(".jsonl")) + sorted(n for n in plain if n.endswith(".json"))
     df = read_json_corpus(spark, d)  # every listed file is read and joined to its position
     assert df.count() == 11 and df.select("_file_ord").distinct().count() == 11
 
@@ -358,21 +433,3 @@ def test_empty_text_file_is_one_empty_row(spark, write):
     assert rows(read_text_files(spark, exp.files), "_file_ord", "text", order=["_file_ord"]) == [(0, ""), (1, "x"), (2, "")]
     df, _ = read_pretrain_corpus(spark, f"{a};{b}")
     assert rows(df, "text", order=["_file_ord"]) == [("",), ("x",)]
-
-
-def test_stat_many_equals_stat_per_part(spark, write, tmp_path):
-    from corpusmill.sources.files import stat, stat_many
-
-    names = [f"f{i:02d}.jsonl" for i in range(12)] + ["a b.jsonl", "x[1].jsonl", "ü.json"]
-    for n in names:
-        write(f"many/{n}", "{}\n")
-    write("many/sub/in.jsonl", "{}\n")
-    write("other/lone.jsonl", "{}\n")
-    d = str(tmp_path / "many")
-    parts = [f"{d}/{n}" for n in reversed(names)] + [f"{d}/missing.jsonl", f"{d}/sub", f"{d}/sub/", f"{d}/f03.jsonl",
-             f"{d}/./f01.jsonl", f"{d}/../other/lone.jsonl", str(tmp_path / "other/lone.jsonl")]
-    fast = stat_many(spark, parts)
-    slow = [stat(spark, p) for p in parts]
-    key = lambda f: None if f is None else (f.path, f.uri, f.name, f.is_dir)
-    assert [key(f) for f in fast] == [key(f) for f in slow]
-    assert fast[len(names)] is None and fast[len(names) + 1].is_dir
