@@ -48,11 +48,12 @@ def load_preference(
     key: Sequence[str] | None = None,
     schema: str | None = None,
     layout: str = "auto",
+    counts: dict | None = None,
 ) -> DataFrame:
     """Train (and eval) triples with a ``split`` column; all columns pass
     through untouched, no prompt formatting is applied. Both sides are read with
     one schema (``schema``, or the one inferred over both) and gated."""
-    train, eval_df = read_train_eval(spark, train_spec, eval_spec, schema=schema, layout=layout, what="DPO training")
+    train, eval_df = read_train_eval(spark, train_spec, eval_spec, schema=schema, layout=layout, counts=counts, what="DPO training")
     require_preference(train)
     if eval_df is not None:
         require_preference(eval_df)

@@ -21,10 +21,10 @@ from corpusmill.operators.generate import GenerationConfig, first_words_generato
 from corpusmill.operators.preference import PreferenceBudget, load_preference, preference_tokens
 from corpusmill.operators.resume import generate_resumable, in_tasks
 from corpusmill.operators.split import split_dataset
-from corpusmill.sinks.writers import file_row_counts, write_dataset, write_manifest, write_predictions, write_sidecar
+from corpusmill.sinks.writers import file_row_counts, known_row_counts, write_dataset, write_manifest, write_predictions, write_sidecar
 from corpusmill.sources.corpus import read_pretrain_corpus
 from corpusmill.sources.json_corpus import META_COLS, read_json_corpus, read_json_files, read_prompt_file, read_train_eval
-from corpusmill.sources.paths import expand_spec, join_spec, offline_file_list
+from corpusmill.sources.paths import expand_spec, join_spec, offline_file_list, route_by_suffix
 
 # Task names, their manifest backends and manifest file names.
 TASKS = {
@@ -53,7 +53,7 @@ class TrainSpec:
     work_path: str | None = None
     schema: str | None = None  # DDL of the JSON rows; skips schema inference
     json_layout: str = "auto"  # "lines" or "array" for every .json file; skips sniffing
-    manifest_counts: bool = False  # per-file row counts in the manifest (one more scan)
+    manifest_counts: bool = False  # per-file row counts in the manifest (one more scan with a declared schema)
     extra: dict = field(default_factory=dict)
 
 
@@ -105,8 +105,8 @@ def parse_spec(spec: dict) -> TrainSpec | TestSpec:
     return _build(TrainSpec, spec)
 
 
-def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML, custom=None) -> DataFrame:
-    train, held_out = read_train_eval(spark, s.train_data_path, s.dev_data_path, schema=s.schema, layout=s.json_layout)
+def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML, custom=None, counts: dict | None = None) -> DataFrame:
+    train, held_out = read_train_eval(spark, s.train_data_path, s.dev_data_path, schema=s.schema, layout=s.json_layout, counts=counts)
     data = split_dataset(train, held_out, s.dev_split_rate, seed=s.seed, materialize_keys=True)
     data2, text = render_column(data, s.prompt_type, "train", template, custom)
     keep = ["split"] + [c for c in ("_file_ord", "_block_ord", "_row_ord") if c in data.columns]
@@ -114,16 +114,16 @@ def sft_dataset(spark: SparkSession, s: TrainSpec, encoder=None, template=CHATML
     return tokenize(rendered, "text", s.max_seq_len, encoder=encoder)
 
 
-def dpo_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
+def dpo_dataset(spark: SparkSession, s: TrainSpec, encoder=None, counts: dict | None = None) -> DataFrame:
     data = load_preference(
-        spark, s.train_data_path, s.dev_data_path, s.dev_split_rate, seed=s.seed, schema=s.schema, layout=s.json_layout
+        spark, s.train_data_path, s.dev_data_path, s.dev_split_rate, seed=s.seed, schema=s.schema, layout=s.json_layout, counts=counts
     )
     budget = PreferenceBudget.job_defaults(s.max_seq_len, s.max_prompt_length, s.max_target_length)
     return preference_tokens(data, budget, encoder)
 
 
-def pretrain_dataset(spark: SparkSession, s: TrainSpec, encoder=None) -> DataFrame:
-    json_kw = {"schema": s.schema, "layout": s.json_layout}
+def pretrain_dataset(spark: SparkSession, s: TrainSpec, encoder=None, counts: dict | None = None) -> DataFrame:
+    json_kw = {"schema": s.schema, "layout": s.json_layout, "counts": counts}
     train, held_out = read_pretrain_corpus(spark, s.train_data_path, s.dev_data_path, json_kw=json_kw)
     data = split_dataset(train, held_out, s.dev_split_rate, seed=s.seed, materialize_keys=True)
     return tokenize(data, "text", s.max_seq_len, encoder=encoder, drop_text=True)
@@ -151,16 +151,20 @@ def run_job(
         raise ValueError(f"task {parsed.task!r} renders no chats: custom= cannot be used")
     if isinstance(parsed, TestSpec):
         return _test_job(spark, parsed, generator, template, custom)
+    seen: dict | None = {} if parsed.manifest_counts else None  # rows of each file, where inference passes over them
     if kind == "sft":
-        out = sft_dataset(spark, parsed, encoder, template, custom)
+        out = sft_dataset(spark, parsed, encoder, template, custom, seen)
     elif kind == "dpo":
-        out = dpo_dataset(spark, parsed, encoder)
+        out = dpo_dataset(spark, parsed, encoder, seen)
     else:
-        out = pretrain_dataset(spark, parsed, encoder)
+        out = pretrain_dataset(spark, parsed, encoder, seen)
     if parsed.work_path:
         exp = expand_spec(spark, parsed.train_data_path)
         counts = None
-        if parsed.manifest_counts:
+        if seen:
+            js, tx, _ = route_by_suffix(exp.files) if kind == "pretrain" else (exp.files, [], [])
+            counts = known_row_counts(spark, js, {uri: n for (side, uri), n in seen.items() if side == 0}, tx)
+        elif parsed.manifest_counts:
             how = {"schema": parsed.schema, "layout": parsed.json_layout}
             if kind == "pretrain":
                 scanned = read_pretrain_corpus(spark, parsed.train_data_path, json_kw=how)[0]

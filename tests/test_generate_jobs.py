@@ -213,6 +213,26 @@ def test_manifest_with_per_file_counts(spark, write, tmp_path):
     assert rows(files.select("file_ord", "rows"), order=["file_ord"]) == [(0, 7), (1, 3), (2, 1)]
 
 
+@pytest.mark.parametrize("declared", [None, "text string"])
+def test_manifest_counts_come_from_the_inference_pass(spark, write, tmp_path, monkeypatch, declared):
+    from corpusmill.plans import jobs
+
+    a = write("c/a.jsonl", jl(*[{"text": f"a{i}"} for i in range(7)]))
+    b = write("c/b.json", json.dumps([{"text": f"b{i}"} for i in range(3)]))
+    e = write("c/none.jsonl", "\n")
+    t = write("c/t.txt", "whole file")
+    scans = []
+    whole = jobs.file_row_counts
+    monkeypatch.setattr(jobs, "file_row_counts", lambda df: scans.append(1) or whole(df))
+    work = str(tmp_path / "w")
+    spec = {"task": "pretrain", "train_data_path": f"{b};{t};{a};{e};{a}", "work_path": work, "manifest_counts": True, "dev_data_path": b}
+    run_job(spark, spec | ({"schema": declared} if declared else {}))
+    _, files = read_manifest(spark, f"{work}/process_data/pretrain_manifest.json")
+    got = [(o, s, None if p is None else p.rsplit("/", 1)[-1], n) for o, s, p, n in rows(files, "file_ord", "spec_ord", "path", "rows", order=["file_ord"])]
+    assert got == [(0, 0, "b.json", 3), (1, 2, "a.jsonl", 7), (3, 4, "a.jsonl", 7), (4, 1, None, 1)]
+    assert len(scans) == (1 if declared else 0)
+
+
 def test_declared_json_layout_skips_sniffing(spark, write):
     a = write("lay/a.json", json.dumps([{"text": "x"}, {"text": "y"}]))
     out = run_job(spark, {"task": "pretrain", "train_data_path": a, "json_layout": "array"})
