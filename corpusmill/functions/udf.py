@@ -62,7 +62,7 @@ def _resident() -> int:
         return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss << 10
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Returns freed memory to the system, as far as the platform can."""
     gc.collect()
     try:
@@ -96,7 +96,7 @@ def worker_resource(factory: Callable[[], object], key: str, limit: int | None =
     obj = held[0]
     cache[key] = held
     if dropped:
-        _give_back()
+        give_back()
     return obj
 
 
@@ -105,7 +105,7 @@ def release_resources() -> None:
     memory; the next user builds its resource anew)."""
     if _cache():
         _cache().clear()
-        _give_back()
+        give_back()
 
 
 def batch_map(
