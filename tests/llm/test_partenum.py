@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from corpusmill.llm import partenum
@@ -122,3 +123,20 @@ def test_similar_sets_share_more_signatures_than_the_spare_ones():
         assert len(one[band] & two[band]) > bands.spare[band]
         met += 1
     assert met > 400
+
+
+def test_fine_sketches_never_rule_out_a_near_pair():
+    rng = np.random.default_rng(11)
+    for _ in range(200):
+        one = rng.integers(0, 2**64, rng.integers(1, 3000), dtype=np.uint64)
+        two = np.r_[one[rng.random(len(one)) < rng.random()], rng.integers(0, 2**64, rng.integers(1, 500), dtype=np.uint64)]
+        one, two = np.unique(one), np.unique(two)
+        differ = len(np.setxor1d(one, two))
+        assert partenum.apart(partenum.fine_sketch(one), partenum.fine_sketch(two)) <= differ
+    same = np.arange(1, 400, dtype=np.uint64) << np.uint64(32)  # one cell, over its bound
+    more = np.arange(1, 900, dtype=np.uint64) << np.uint64(32)
+    assert partenum.apart(partenum.fine_sketch(same), partenum.fine_sketch(more)) <= 500
+    other = np.unique(rng.integers(0, 2**64, 900, dtype=np.uint64))
+    assert partenum.apart(partenum.fine_sketch(more), partenum.fine_sketch(other)) <= 900 + 899
+    far = np.unique(rng.integers(0, 2**64, 1000, dtype=np.uint64))
+    assert partenum.apart(partenum.fine_sketch(far), partenum.fine_sketch(other)) > 500  # strangers are told apart
