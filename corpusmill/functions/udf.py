@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,29 +76,31 @@ def worker_resource(factory: Callable[[], object], key: str, limit: int | None =
     """The object ``factory()`` builds, created once per Python worker process
     (workers are reused across tasks, so later tasks find it built).
 
-    A worker outlives the job that built a resource. Those of earlier jobs stay, the
+    A worker outlives the job that built a resource. Those of earlier stages stay, the
     last used first, while they hold at most ``limit`` bytes together (``CACHE_BYTES``),
     measured by what the process grew when each was built or, if the object has it, by
-    its ``cache_bytes()``; the others are dropped and their memory given back. The one
-    asked for always stays."""
+    its ``cache_bytes()``; the others are dropped and their memory given back. What the
+    running stage uses always stays."""
     cache = _cache()
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
     held = cache.pop(key, None)
     if held is None:
         before = _resident()
         obj = factory()
-        held = (obj, max(0, _resident() - before))
+        held = (obj, max(0, _resident() - before), stage)
     room = CACHE_BYTES if limit is None else limit
     for other in reversed(list(cache)):
-        obj, size = cache[other]
+        obj, size, used = cache[other]
+        if stage is not None and used == stage:
+            continue
         room -= obj.cache_bytes() if hasattr(obj, "cache_bytes") else size
         if room < 0:
             del cache[other]
-    dropped = room < 0
-    obj = held[0]
-    cache[key] = held
-    if dropped:
+    cache[key] = (held[0], held[1], stage)
+    if room < 0:
         give_back()
-    return obj
+    return held[0]
 
 
 def release_resources() -> None:

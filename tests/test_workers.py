@@ -63,7 +63,7 @@ def test_resources_of_earlier_jobs_do_not_add_up(spark):
                 obj = udf.worker_resource(factory, key, bound)
                 cache = udf._cache()
                 assert list(cache)[-1] == key
-                big = sum(isinstance(o, bytearray) and len(o) > size for o, _ in cache.values())
+                big = sum(isinstance(o, bytearray) and len(o) > size for o, *_ in cache.values())
                 yield pa.RecordBatch.from_pydict({"name": [name], "n": [len(cache)], "big": [big], "len": [len(obj)]})
 
         return spark.range(16, numPartitions=16).mapInArrow(run, "name string, n long, big long, len long").collect()
@@ -79,6 +79,30 @@ def test_resources_of_earlier_jobs_do_not_add_up(spark):
     assert max(r["n"] for r in small[-1]) > 1  # those fit beside each other
 
 
+def test_two_resources_of_one_stage_stay(spark):
+    """Each is asked for in every task; neither drops the other."""
+    import pyarrow as pa
+
+    from corpusmill.functions import udf
+
+    def make(i):
+        return lambda: bytearray(b"y" * (20 << 20)) + bytes([i])
+
+    keys = ["pair-a", "pair-b"]
+
+    def run(batches):
+        for b in batches:
+            built = []
+            for k, key in enumerate(keys):
+                udf.worker_resource(lambda k=k, key=key: built.append(key) or make(k)(), key, 1 << 20)
+            import os
+
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "built": [len(built)]})
+
+    got = spark.range(64, numPartitions=64).mapInArrow(run, "pid long, built long").collect()
+    assert sum(r["built"] for r in got) == 2 * len({r["pid"] for r in got})
+
+
 def test_growing_resources_tell_their_size():
     from corpusmill.functions import udf
 
