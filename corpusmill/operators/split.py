@@ -130,10 +130,42 @@ def assign_split(
     keyed = df.select(sk.alias("_sk"))
     if materialize_keys:
         keyed = materialize(keyed, "split-keys")
-    n, low, high = _bracket(keyed, r)
-    k = eval_count(r, n)
-    if k == 0:
+    found = _boundary(keyed, r, exact_limit)
+    if found is None:
         return df.withColumn(column, F.lit("train"))
+    top, wanted, tied = found
+    if key and unique and tied > 1:
+        raise ValueError(f"key {key} is declared unique, but {tied} rows share the boundary key")
+    if wanted == tied:
+        return df.withColumn(column, F.when(sk <= F.lit(top), F.lit("eval")).otherwise(F.lit("train")))
+    return _count_off(df, sk, top, wanted, column)
+
+
+def split_label(keys: DataFrame, rate: float | str | Decimal, *, key: Sequence[str] | str, seed: int = 42, exact_limit: int = EXACT_LIMIT) -> Column:
+    """The label of ``assign_split`` for a unique key as an expression over the key's
+    columns: ``keys`` (a row for each key) is looked at when this is called, and any
+    table with those columns is labelled by a projection, without a join."""
+    key = [key] if isinstance(key, str) else list(key)
+    r = Decimal(str(rate))
+    if not (Decimal(0) < r < Decimal(1)):
+        return F.lit("train")
+    sk = sort_key(keys, key, seed, unique=True)
+    found = _boundary(keys.select(sk.alias("_sk")), r, exact_limit)
+    if found is None:
+        return F.lit("train")
+    top, _, tied = found
+    if tied > 1:
+        raise ValueError(f"key {key} is declared unique, but {tied} rows share the boundary key")
+    return F.when(sk <= F.lit(top), F.lit("eval")).otherwise(F.lit("train"))
+
+
+def _boundary(keyed: DataFrame, rate: Decimal, exact_limit: int) -> tuple[str, int, int] | None:
+    """The sort key at the end of the eval rows, how many rows with that key are eval,
+    and how many there are; ``None`` if no row is eval."""
+    n, low, high = _bracket(keyed, rate)
+    k = eval_count(rate, n)
+    if k == 0:
+        return None
     near, below, size, lo, hi = _between(keyed, low, high)
     if not below < k <= below + size:
         near, below, size, lo, hi = _between(keyed, 0, TOP)
@@ -147,16 +179,10 @@ def assign_split(
         hist = _histogram(near.where(F.startswith(F.col("_sk"), F.lit(bucket))), len(bucket) + HEX_STEP)
         bucket, need, size, lo, hi = _locate(hist, need)
     if lo == hi:
-        top, wanted, tied = lo, need, size
-    else:
-        inside = near.where(F.startswith(F.col("_sk"), F.lit(bucket)))
-        held = inside.groupBy("_sk").agg(F.count("*").alias("n")).collect()  # at most exact_limit
-        top, wanted, tied = _locate([(r["_sk"], r["n"], None, None) for r in held], need)[:3]
-    if key and unique and tied > 1:
-        raise ValueError(f"key {key} is declared unique, but {tied} rows share the boundary key")
-    if wanted == tied:
-        return df.withColumn(column, F.when(sk <= F.lit(top), F.lit("eval")).otherwise(F.lit("train")))
-    return _count_off(df, sk, top, wanted, column)
+        return lo, need, size
+    inside = near.where(F.startswith(F.col("_sk"), F.lit(bucket)))
+    held = inside.groupBy("_sk").agg(F.count("*").alias("n")).collect()  # at most exact_limit
+    return _locate([(r["_sk"], r["n"], None, None) for r in held], need)[:3]
 
 
 def _head(key: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.tokens import encode_truncated
 from corpusmill.operators.conversations import render_turns
-from corpusmill.operators.split import assign_split
+from corpusmill.operators.split import split_label
 from corpusmill.plans.fixtures import table
 
 
@@ -18,7 +18,6 @@ def chat_training_set(
     turns = table(spark, sf_dir, "conversations")
     ids = encode_truncated(F.col("text"), max_len)
     prepared = render_turns(turns).select("conv_id", "text", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
-    # the split needs the ids of the conversations only, not their texts
-    split = assign_split(turns.select("conv_id").distinct(), rate, key="conv_id", seed=seed, unique=True)
-    out = prepared.join(split.withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv")))
-    return out.select("conv_id", "split", F.size("input_ids").cast("bigint").alias("n_tokens"), "text")
+    # the split looks at the ids of the conversations only, and labels them by a projection
+    label = split_label(turns.select("conv_id").distinct(), rate, key="conv_id", seed=seed)
+    return prepared.select("conv_id", label.alias("split"), F.size("input_ids").cast("bigint").alias("n_tokens"), "text")

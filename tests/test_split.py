@@ -149,6 +149,20 @@ def test_two_passes_whatever_the_size(spark, monkeypatch):
         assert seen.value - before == 2 * n
 
 
+def test_a_label_for_any_table_with_the_key(spark):
+    from corpusmill.operators.split import split_label
+
+    keys = spark.range(500).withColumnRenamed("id", "k")
+    rows_of = spark.range(2000).selectExpr("id % 500 k", "id v")
+    out = rows_of.withColumn("split", split_label(keys, 0.13, key="k"))
+    want = md5_rank_eval(list(range(500)), 0.13)
+    assert {r[0] for r in rows(out.where("split = 'eval'"), "k")} == want and out.where("split = 'eval'").count() == 4 * len(want)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(keys.limit(3).withColumn("s", split_label(keys, 0, key="k")), "s") == [("train",)] * 3
+    with pytest.raises(ValueError, match="declared unique"):
+        split_label(spark.range(100).selectExpr("1 k"), 0.5, key="k")
+
+
 def test_a_key_that_is_not_unique_raises(spark):
     df = spark.range(1000).selectExpr("1 k", "id")
     with pytest.raises(ValueError, match="declared unique"):
