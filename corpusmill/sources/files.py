@@ -13,7 +13,8 @@ Spark's scans pass over files without a byte; named files of that kind are found
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
@@ -24,8 +25,12 @@ from pyspark.sql import functions as F
 
 # Characters Spark treats as glob syntax in a read path.
 GLOB_CHARS = "\\[]{}*?"
-NAMES = 32  # in one pattern: Spark lists more roots than that by a job with a task for each
+NAMES = 1024  # in one pattern
+LISTED = 50_000  # names asked for at once
 PATTERNS = 32  # in one job
+LISTING_TASKS = 256  # at most, of a job that lists paths; Spark starts one for each of the first 10,000
+HEAD_BYTES = 4 << 20  # a file up to this is read whole to see how it starts: as much as opening one costs
+BLANK = "\ufeff \t\r\n"  # before the first character that says something
 _ROOT = re.compile(r"^[A-Za-z][\w+.-]*:(//[^/]*)?")
 
 
@@ -48,16 +53,41 @@ def _name_pattern(names: Iterable[str]) -> str:
     return "{" + ",".join(escape_glob(n).replace(",", "\\,") for n in names) + "}"
 
 
-def _files(spark: SparkSession, pattern: str, suffixes: str | None = None) -> DataFrame:
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """Readers made in here list many paths by ``LISTING_TASKS`` tasks: of one for each path,
+    nearly all the time goes into starting it."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    was = spark.conf.get(name)
+    if int(was) <= LISTING_TASKS:
+        yield
+        return
+    spark.conf.set(name, LISTING_TASKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
+def _step_pattern(parent: str, names: Sequence[str]) -> str:
+    """Things of these names in a folder. With a slash in it, each alternative is looked up
+    by itself, where one without would be matched against a listing of the whole folder."""
+    if len(names) == 1:
+        return f"{parent}/{escape_glob(names[0])}"
+    return parent + "/{" + ",".join(escape_glob(n).replace(",", "\\,") + "/" for n in names) + "}"
+
+
+def _files(spark: SparkSession, pattern: str | list[str], suffixes: str | None = None) -> DataFrame:
     """The files that a pattern matches, or that folders it matches hold at any depth;
     of all, those whose names match ``suffixes``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    df = (reader.option("pathGlobFilter", suffixes) if suffixes else reader).load(pattern)
-    df.schema  # noqa: B018  (where a Connect session looks at the path)
+    with listing(spark):
+        df = (reader.option("pathGlobFilter", suffixes) if suffixes else reader).load(pattern)
+        df.schema  # noqa: B018  (where a Connect session looks at the path)
     return df
 
 
-def _found(spark: SparkSession, pattern: str, suffixes: str | None = None) -> DataFrame | None:
+def _found(spark: SparkSession, pattern: str | list[str], suffixes: str | None = None) -> DataFrame | None:
     """As ``_files``, ``None`` if the pattern matches nothing."""
     try:
         return _files(spark, pattern, suffixes)
@@ -123,7 +153,7 @@ def look_up(spark: SparkSession, parts: Sequence[str], extensions: Sequence[str]
     chunks = []
     for parent, names in groups.items():
         listed = list(names)
-        chunks += [(parent, listed[a : a + NAMES]) for a in range(0, len(listed), NAMES)]
+        chunks += [(parent, listed[a : a + LISTED]) for a in range(0, len(listed), LISTED)]
     suffixes = "*" + _name_pattern(extensions)
     # files of a wanted suffix, named or one level down in a named folder
     wanted = [_among(spark, parent, names, suffixes) for parent, names in chunks]
@@ -168,8 +198,13 @@ def _among(spark: SparkSession, parent: str, names: Sequence[str], suffixes: str
     """Files of these names in a folder, and in folders of these names. Where some name
     of the folder holds a colon, no pattern works, and the names are asked for one by one."""
     at = escape_glob(parent)
+    patterns = [_step_pattern(at, names[a : a + NAMES]) for a in range(0, len(names), NAMES)]
     try:
-        return _found(spark, f"{at}/{_name_pattern(names) if len(names) > 1 else escape_glob(names[0])}", suffixes)
+        df = _found(spark, patterns, suffixes)
+        if df is None and len(patterns) > 1:  # some pattern matches nothing
+            patterns = [p for p in patterns if exists(spark, p, pattern=True)]
+            df = _found(spark, patterns, suffixes) if patterns else None
+        return df
     except PySparkException as e:
         if "URISyntaxException" not in str(e):
             raise
@@ -200,8 +235,8 @@ def _look_up_one(spark: SparkSession, part: str, extensions: Sequence[str]) -> F
     return _folder(part)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    return _found(spark, escape_glob(path)) is not None
+def exists(spark: SparkSession, path: str, pattern: bool = False) -> bool:
+    return _found(spark, path if pattern else escape_glob(path)) is not None
 
 
 def list_files_recursive(spark: SparkSession, path: str) -> list[FileInfo]:
@@ -214,4 +249,12 @@ def starts_array(spark: SparkSession, path: str) -> bool:
     """Whether the first character of a JSON file that is not blank is ``[``: what comes
     before its first ``{`` is one short record of a scan that ends there."""
     head = spark.read.option("lineSep", "{").text(escape_glob(path)).limit(1).collect()
-    return bool(head) and head[0][0].lstrip("﻿ \t\r\n").startswith("[")
+    return bool(head) and head[0][0].lstrip(BLANK).startswith("[")
+
+
+def small_arrays(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """URIs of those of many small files that ``starts_array`` is true of, by one job."""
+    with listing(spark):
+        files = spark.read.format("binaryFile").load([escape_glob(p) for p in paths])
+    first = F.ltrim(F.col("content").cast("string"), F.lit(BLANK))
+    return set(files.where(first.startswith("[")).select(F.col("_metadata.file_path").alias("uri")).toArrow()["uri"].to_pylist())

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.sources.files import escape_glob, starts_array
+from corpusmill.sources.files import HEAD_BYTES, escape_glob, listing, small_arrays, starts_array
 from corpusmill.sources.json_types import Seen, Shape, fold, shape
 from corpusmill.sources.paths import SpecFile, expand_spec, require_files
 
@@ -86,7 +86,8 @@ def _read_group(
     columns: list = ["*"]
     if isinstance(schema, Shape):
         schema, columns = schema.wire, schema.columns
-    raw = _reader(spark, layout, mode).schema(schema).json(paths)
+    with listing(spark):
+        raw = _reader(spark, layout, mode).schema(schema).json(paths)
     scanned = raw.select(
         *columns,
         F.col("_metadata.file_path").alias("_path"),
@@ -99,9 +100,14 @@ def _read_group(
 def _layouts(spark: SparkSession, files: Sequence[SpecFile], layout: str) -> list[str]:
     if layout != "auto":
         return [layout] * len(files)
-    # The head of each .json file only, in a small job of its own.
+    # Small .json files in one job; the head only of each large one, in a small job of its own.
+    unsure = {f.uri: f for f in files if f.name.lower().endswith(".json")}
+    small = [f.path for f in unsure.values() if 0 <= f.length <= HEAD_BYTES]
+    arrays = small_arrays(spark, small) if len(small) > 1 else set()
+    large = [f for f in unsure.values() if len(small) == 1 or not 0 <= f.length <= HEAD_BYTES]
     with ThreadPoolExecutor(max_workers=SNIFF_THREADS) as pool:
-        return list(pool.map(lambda f: sniff_layout(spark, f), files))
+        arrays |= {f.uri for f, lay in zip(large, pool.map(lambda f: sniff_layout(spark, f), large)) if lay == "array"}
+    return ["array" if f.uri in arrays else "lines" for f in files]
 
 
 def infer_shapes(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile], Sequence[str]]], counts: dict | None = None) -> list[Shape]:
@@ -117,10 +123,12 @@ def infer_shapes(spark: SparkSession, sides: Sequence[tuple[Sequence[SpecFile],
             paths["long" if lay == "array" and not 0 <= f.length <= ARRAY_BYTES else lay].add(escape_glob(f.path))
         side = F.lit(k).cast("int").alias("side")
         if paths["lines"]:
-            lines = spark.read.text(sorted(paths["lines"]))
+            with listing(spark):
+                lines = spark.read.text(sorted(paths["lines"]))
             sources.append(lines.select(side, F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("content")))
         if paths["array"]:
-            arrays = spark.read.format("binaryFile").load(sorted(paths["array"]))
+            with listing(spark):
+                arrays = spark.read.format("binaryFile").load(sorted(paths["array"]))
             sources.append(arrays.select(side, F.col("_metadata.file_path").alias("path"), "content"))
         if paths["long"]:
             looked = [_reader(spark, "array", "FAILFAST").option("dropFieldIfAllNull", drop).json(sorted(paths["long"])).schema for drop in (False, True)]
@@ -249,7 +257,9 @@ def read_prompt_file(
         schema = T.StructType.fromDDL(schema)
     parts = []
     for chunk in listed_in_chunks(list(enumerate(exp.files))):
-        lines = spark.read.text([escape_glob(f.path) for _, f in chunk]).select(
+        with listing(spark):
+            texts = spark.read.text([escape_glob(f.path) for _, f in chunk])
+        lines = texts.select(
             F.btrim(F.col("value"), F.lit(" \t\r\n")).alias("_raw"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_block_ord"),

@@ -11,6 +11,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from corpusmill.sources import files as files_mod
+from corpusmill.sources import json_corpus as corpus_mod
 from corpusmill.sources.corpus import read_pretrain_corpus
 from corpusmill.sources.json_corpus import read_json_corpus, read_json_files, read_prompt_file
 from corpusmill.sources.paths import (
@@ -433,3 +435,38 @@ def test_empty_text_file_is_one_empty_row(spark, write):
     assert rows(read_text_files(spark, exp.files), "_file_ord", "text", order=["_file_ord"]) == [(0, ""), (1, "x"), (2, "")]
     df, _ = read_pretrain_corpus(spark, f"{a};{b}")
     assert rows(df, "text", order=["_file_ord"]) == [("",), ("x",)]
+
+
+# ------------------------------------------------------- many small files
+
+
+def test_many_files_are_looked_up_and_sniffed_together(spark, write, monkeypatch):
+    n = 1100
+    root = None
+    for i in range(n):
+        row = json.dumps({"i": i, "s": "{["})
+        text = f" \n[ {row} ]" if i % 3 == 0 else f"\n {row}\n{row}"
+        root = write(f"many/d{i}, x/part.json", text).rsplit("/", 2)[0]
+    write("many/other/unasked.json", '{"i": -1}')
+    asked = []
+    find, sniff = files_mod._files, corpus_mod.starts_array
+    monkeypatch.setattr(files_mod, "_files", lambda *a: asked.append(a) or find(*a))
+    monkeypatch.setattr(corpus_mod, "starts_array", lambda *a: asked.append(a) or sniff(*a))
+    how = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(how)
+    spec = [f"{root}/d{i}, x" for i in range(n)]
+    got = read_json_corpus(spark, [*spec[:600], f"{root}/none", *spec[600:]], literal=True)
+    assert len(asked) < 10  # not one for each file, nor for each few names
+    assert spark.conf.get(how) == before
+    counted = {r["i"]: (r["n"], r["o"]) for r in got.groupBy("i").agg(F.count("*").alias("n"), F.min("_spec_ord").alias("o")).collect()}
+    assert counted == {i: (1 if i % 3 == 0 else 2, i + (i >= 600)) for i in range(n)}
+
+
+def test_patterns_of_names_none_of_which_exists(spark, write, monkeypatch):
+    monkeypatch.setattr(files_mod, "NAMES", 2)
+    root = write("few/a.jsonl", '{"i": 1}').rsplit("/", 1)[0]
+    write("few/z/b.jsonl", '{"i": 2}')
+    names = ["n1", "n2", "a.jsonl", "n3", "n4", "n5", "z"]
+    exp = expand_spec(spark, [f"{root}/{n}" for n in names], literal=True)
+    assert [f.name for f in exp.files] == ["a.jsonl", "b.jsonl"]
+    assert [m.rsplit("/", 1)[1] for m in exp.missing] == ["n1", "n2", "n3", "n4", "n5"]
