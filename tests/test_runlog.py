@@ -231,3 +231,19 @@ def test_rows_of_one_time_are_cut_by_their_tiebreak(spark):
     following = next_in_group(df, ["g"], ["o", "seq"], ["seq"], partitions=10)
     assert following.where(F.col("next_seq.row") != F.col("seq.row") + 1).count() == 0
     assert following.where(F.col("next_seq").isNull()).count() == 1
+
+
+def test_a_log_of_the_fixture_has_a_file_or_a_few(spark, tmp_path):
+    from collections import Counter
+
+    from corpusmill.plans.catalog import _log_fixture
+    from corpusmill.sources.files import list_files_recursive
+
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    events.union(events.where("user_id = 7").crossJoin(spark.range(400)).withColumn("event_id", F.col("id") + 100_000).drop("id")).write.parquet(f"{tmp_path}/events.parquet")
+    files = list_files_recursive(spark, _log_fixture(spark, str(tmp_path)))
+    held = Counter(f.path.rsplit("/", 2)[1] for f in files)
+    logs = events.select("user_id").distinct().count()
+    assert len(held) == logs
+    assert len(files) < 2 * logs  # was one for each of eight parts of a log
+    assert max(held.values()) == held["log_id=7"] > 1  # the long log does not fill one task
