@@ -138,7 +138,9 @@ def _lang_shards(spark, sf_dir) -> str:
 
 def q_mixture(spark, sf_dir):
     root = fx.fixture_dir(spark, "docs-in-order")
-    _docs(spark, sf_dir).repartition("lang").sortWithinPartitions("lang", "doc_id").write.partitionBy("lang").json(root)
+    docs = _docs(spark, sf_dir)
+    # a language's files follow each other by doc_id, one for each task that its rows need
+    docs.repartitionByRange(range_partitions(docs), "lang", "doc_id").sortWithinPartitions("lang", "doc_id").write.partitionBy("lang").json(root)
     spec = ";".join([f"{root}/lang={x}" for x in LANG_SHARDS] + [f"{root}/lang={LANG_SHARDS[0]}"])
     # the place of each row in its part of the mixture, as the files have them
     df = running_sum(read_json_corpus(spark, spec), ["_spec_ord"], list(ORDER_COLS), F.lit(1).cast("bigint"), "place")

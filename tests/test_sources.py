@@ -470,3 +470,25 @@ def test_patterns_of_names_none_of_which_exists(spark, write, monkeypatch):
     exp = expand_spec(spark, [f"{root}/{n}" for n in names], literal=True)
     assert [f.name for f in exp.files] == ["a.jsonl", "b.jsonl"]
     assert [m.rsplit("/", 1)[1] for m in exp.missing] == ["n1", "n2", "n3", "n4", "n5"]
+
+
+def test_mixture_fixture_fills_no_task_with_a_language(spark, monkeypatch):
+    from collections import defaultdict
+
+    from corpusmill.operators import ordered
+    from corpusmill.plans import catalog
+
+    monkeypatch.setattr(ordered, "BYTES", 200_000)
+    seen = []
+    read = catalog.read_json_corpus
+    monkeypatch.setattr(catalog, "read_json_corpus", lambda s, spec: seen.append(spec) or read(s, spec))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = catalog.q_mixture(spark, "/root/testdata/sf0.01").collect()
+    english = next(p for p in seen[0].split(";") if p.endswith("lang=en"))
+    sizes = [f.length for f in expand_spec(spark, english).files]
+    assert len(sizes) > 3 and max(sizes) < 600_000  # one file of 1.5 MB before
+    ids = defaultdict(list)
+    for lang, i in sorted(rows(docs, "lang", "doc_id")):
+        ids[lang].append(i)
+    want = [(i, k, place) for k, lang in enumerate([*catalog.LANG_SHARDS, catalog.LANG_SHARDS[0]]) for place, i in enumerate(ids[lang], 1)]
+    assert sorted((r["doc_id"], r["spec_ord"], r["place"]) for r in got) == sorted(want)
