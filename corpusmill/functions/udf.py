@@ -5,12 +5,14 @@
   is projected to the needed columns first.
 - ``encode_with``: a plug-in tokenizer as an iterator ``arrow_udf``; the
   factory runs once per worker process, then every batch reuses the object.
-- ``custom_chat``: a user chat renderer as a scalar ``pandas_udf``.
+- ``custom_chat``: a user chat renderer as a scalar ``arrow_udf``, a few rows at a
+  time as Python objects.
 """
 
 from __future__ import annotations
 
 import ctypes
+import datetime as dt
 import gc
 import hashlib
 import itertools
@@ -28,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CHATS = 64  # held as Python objects at once; an Arrow batch has thousands
+
 _CACHE_MODULE = "corpusmill_worker_cache"
 
 
@@ -175,6 +179,8 @@ def _plain(value):
         return {k: _plain(v) for k, v in value.items() if v is not None}
     if isinstance(value, (list, tuple, np.ndarray)):
         return [_plain(v) for v in value]
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None)  # in the session's zone, as Spark's own conversions have it
     return value
 
 
@@ -185,6 +191,10 @@ def _as_messages(value) -> list[dict]:
     return [{"role": None, "content": None, **_plain(m)} for m in value if m is not None]
 
 
+def _values(array: pa.Array) -> list:
+    return array.to_pylist(maps_as_pydicts="strict")
+
+
 def custom_chat(fn: Callable[[list[dict], bool], str], add_generation_prompt: bool, on_error: str = "plain"):
     """``(messages, fallback) -> text`` with ``fn(messages, add_generation_prompt)``.
 
@@ -192,16 +202,19 @@ def custom_chat(fn: Callable[[list[dict], bool], str], add_generation_prompt: bo
     ``on_error == 'plain'``; otherwise the error propagates (messages rows
     pass a null fallback, so their failures always raise)."""
 
-    @F.pandas_udf(T.StringType())
-    def _render(msgs: pd.Series, fallback: pd.Series) -> pd.Series:
-        out = []
-        for m, fb in zip(msgs, fallback):
-            try:
-                out.append(fn(_as_messages(m), add_generation_prompt))
-            except Exception:
-                if fb is None or on_error != "plain":
-                    raise
-                out.append(fb)
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf(T.StringType())
+    def _render(msgs: pa.Array, fallback: pa.Array) -> pa.Array:
+        done = []
+        for a in range(0, len(msgs), CHATS):
+            out = []
+            for m, fb in zip(_values(msgs.slice(a, CHATS)), _values(fallback.slice(a, CHATS))):
+                try:
+                    out.append(fn(_as_messages(m), add_generation_prompt))
+                except Exception:
+                    if fb is None or on_error != "plain":
+                        raise
+                    out.append(fb)
+            done.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return lambda msgs, fallback: _render(msgs, fallback)

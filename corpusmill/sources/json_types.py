@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 LONG_MIN, LONG_MAX = -(1 << 63), (1 << 63) - 1
 MERGERS = 16  # tasks that merge the scanning tasks' results
 BLANK = " \t\r\n"
+HELD = 256  # rows of a batch held as Python objects at once
 
 #: flags of a Seen
 EMPTY, HOLLOW, BOOL, LONG, FRACTION, TEXT = 1, 2, 4, 8, 16, 32
@@ -274,7 +275,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (side, path, bytes) to what each side and each file held."""
     sides: dict[int, Seen] = {}
     rows: dict[tuple[int, str], int] = {}
-    for batch in batches:
+    for batch in (b.slice(a, HELD) for b in batches for a in range(0, b.num_rows, HELD)):
         for side, path, content in zip(*(c.to_pylist() for c in batch.columns)):
             try:
                 text = content.decode("utf-8-sig", "replace")

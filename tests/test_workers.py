@@ -134,3 +134,29 @@ def test_plug_in_ids_are_arrow_lists(spark):
     out = df.select("t", encode_with(lambda: lambda texts: {"input_ids": [list(t.encode()) for t in texts]})(F.col("t")).alias("ids"))
     assert [r.ids for r in out.collect()] == [[97, 98], [], [], [195, 169]]
     assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_custom_renderer_holds_a_few_chats_at_a_time(spark):
+    """Python objects in a worker while a batch of chats is rendered."""
+    from corpusmill.functions.udf import custom_chat
+
+    def message(k):
+        content = F.concat(F.lit(f"{k} "), F.col("id").cast("string"))
+        return F.struct(F.lit("user").alias("role"), content.alias("content"), (F.col("id") + 1000).alias("no"))
+
+    def most(n):
+        df = spark.range(0, n, 1, 1).select("id", F.array(*map(message, range(4))).alias("messages"))
+        text = custom_chat(lambda ms, add: f"{ms[3]['no']} {sys.getallocatedblocks()}", False)(F.col("messages"), F.lit(None).cast("string"))
+        got = [(r["id"], *map(int, r["t"].split())) for r in df.select("id", text.alias("t")).collect()]
+        assert len(got) == n and all(no == i + 1000 for i, no, _ in got)
+        return max(blocks for _, _, blocks in got)
+
+    assert most(9000) - most(64) < 100_000  # 36,000 messages take 200,000 blocks and more
+
+
+def test_custom_renderer_gets_maps_and_times_as_plain_values(spark):
+    from corpusmill.functions.udf import custom_chat
+
+    df = spark.sql("select array(struct('user' as role, 'x' as content, map('a', 1) as m, timestamp'2024-01-02 03:04:05' as t)) as messages")
+    text = custom_chat(lambda ms, add: f"{ms[0]['m']} {ms[0]['t']} {ms[0]['t'].tzinfo}", False)(F.col("messages"), F.lit(None).cast("string"))
+    assert df.select(text).first()[0] == "{'a': 1} 2024-01-02 03:04:05 None"
