@@ -12,7 +12,7 @@ pairs, since each round of a matrix shortens a row by one.
 
 Texts are cut at single spaces between two visible characters, where no match
 of the pattern can reach across; the encoding of such a chunk is remembered
-(``REMEMBERED`` chunks at a time), as prose repeats them.
+(``REMEMBERED`` chunks at a time, those met last), as prose repeats them.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -99,7 +100,9 @@ class ByteBpe:
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
+        self.said = list(map(str, range(len(self.token))))
         self.known: dict[str, tuple[str, int, bytes]] = {}  # chunk -> ids as text, their number, their bytes
+        self.older: dict[str, tuple[str, int, bytes]] = {}  # those before them
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""
@@ -166,26 +169,35 @@ class ByteBpe:
     def learn(self, chunks: set[str]) -> None:
         """Encodes chunks that are not known."""
         split = {c: self.split(c) for c in chunks}
-        pieces = list({p for ps in split.values() for p in ps})
-        ids = dict(zip(pieces, self.merge([p.encode("utf-8") for p in pieces])))
+        pieces = list(set(itertools.chain.from_iterable(split.values())))
+        ids = {p: got.tolist() for p, got in zip(pieces, self.merge([p.encode("utf-8") for p in pieces]))}
+        said, token = self.said, self.token
         for c, ps in split.items():
-            got = [x for p in ps for x in ids[p].tolist()]
-            self.known[c] = (" ".join(map(str, got)), len(got), b"".join(map(self.token.__getitem__, got)))
+            got = ids[ps[0]] if len(ps) == 1 else [x for p in ps for x in ids[p]]
+            self.known[c] = (" ".join([said[x] for x in got]), len(got), b"".join([token[x] for x in got]))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, int, bytes]]:
         """For each text its ids as decimal numbers joined by spaces, their
         number, and the bytes they decode to."""
         for a in range(0, len(texts), 64):
             cut = [chunked(t) for t in texts[a : a + 64]]
-            new = set().union(*cut) - self.known.keys() if cut else set()
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = set().union(*cut)
+            needed = set().union(*cut)
+            new = needed - self.known.keys()
+            if len(self.known) + len(new) > REMEMBERED // 2:
+                # what was met since the last time stays, at hand until it is met again
+                self.older, self.known = self.known, {c: self.known[c] for c in needed - new}
+            for c in new & self.older.keys():
+                self.known[c] = self.older[c]
+                new.remove(c)
             if new:
                 self.learn(new)
+            known = self.known.__getitem__
             for parts in cut:
-                got = [self.known[p] for p in parts]
-                yield " ".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got])
+                if parts:
+                    said, n, decoded = zip(*map(known, parts))
+                    yield " ".join(said), sum(n), b"".join(decoded)
+                else:
+                    yield "", 0, b""
 
 
 #: Before a single space between two characters that are not white space.

@@ -79,3 +79,21 @@ def test_rows(spark):
 @pytest.mark.parametrize("text", ["a b\nc", "x\ny z"])
 def test_chunks_join_to_the_text(text):
     assert "".join(bpe.chunked(text)) == text
+
+
+def test_chunks_met_again_and_again_stay_known(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "REMEMBERED", 400)
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    one = bpe.ByteBpe(ranks, public_tokenizers.PATTERN)
+    texts = [f"the old house {'x' * (i % 300)} w{i}" for i in range(1280)] + ["", "y" * 700 + " the\n\n end "]
+    learned = []
+    learn = one.learn
+    monkeypatch.setattr(one, "learn", lambda chunks: learned.extend(chunks) or learn(chunks))
+    got = list(one.encode(texts))
+    assert learned.count(" house") == 1  # with all forgotten at once: several times
+    assert len(one.known) + len(one.older) <= 400
+    for text, (said, n, decoded) in zip(texts, got):
+        want = [x for piece in one.split(text) for x in one.merge([piece.encode()])[0]]
+        assert (said, n, decoded) == (" ".join(map(str, want)), len(want), text.encode())
