@@ -18,11 +18,13 @@ of the pattern can reach across; the encoding of such a chunk is remembered
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 import itertools
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,18 @@ CELLS = 1 << 19  # of the pair table; probing is linear
 NO_RANK = np.int32(2**31 - 1)
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles among the many small objects made in here, which have none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class PairTable:
     """(left id, right id) -> id of the joined token, by open addressing."""
 
@@ -190,7 +204,8 @@ class ByteBpe:
                 self.known[c] = self.older[c]
                 new.remove(c)
             if new:
-                self.learn(new)
+                with uncollected():
+                    self.learn(new)
             known = self.known.__getitem__
             for parts in cut:
                 if parts:
