@@ -247,3 +247,33 @@ def test_a_log_of_the_fixture_has_a_file_or_a_few(spark, tmp_path):
     assert len(held) == logs
     assert len(files) < 2 * logs  # was one for each of eight parts of a log
     assert max(held.values()) == held["log_id=7"] > 1  # the long log does not fill one task
+
+
+def test_logs_are_written_without_a_process_for_each(spark, tmp_path):
+    """The tasks write local files themselves: none of Hadoop's checksum files, for each of
+    which it starts a process, nothing unfinished, and the rows that Spark's writer gives."""
+    import os
+
+    from corpusmill.plans import fixtures as fx
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id") % 50 - 2).alias("log_id"),
+        F.col("id").alias("event_id"),
+        (F.col("id") / 3).alias("ts"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit('ü"\n\u2028'), F.col("id").cast("string"))).alias("phase"),
+        (F.col("id") % 2 == 1).alias("isfin"),
+    )
+    df = df.union(df.where("log_id = 7").crossJoin(spark.range(400)).select("log_id", F.col("id") + 10_000, "ts", "phase", "isfin"))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.logs.link./in", f"file://{tmp_path}")
+    by_spark, by_tasks = "viewfs://logs/in/spark", str(tmp_path / "tasks")
+    for root in (by_spark, by_tasks):
+        fx.write_by_key(df, "log_id", "event_id", root, 8)
+    left = [f for _, _, files in os.walk(by_tasks) for f in files]
+    assert left and all(f.startswith("part-") and f.endswith(".json") for f in left)
+    assert {d for d in os.listdir(by_tasks)} == {d for d in os.listdir(tmp_path / "spark") if "=" in d}
+    assert len(os.listdir(f"{by_tasks}/log_id=7")) > 1
+    a, b = (rows(spark.read.json(root), "log_id", "event_id", "ts", "phase", "isfin") for root in (by_spark, by_tasks))
+    assert len(a) == df.count() and sorted(a, key=repr) == sorted(b, key=repr)
+    held = [e for d in sorted(os.listdir(f"{by_tasks}/log_id=7")) for e in map(json.loads, open(f"{by_tasks}/log_id=7/{d}", encoding="utf-8"))]
+    assert [e["event_id"] for e in held] == sorted(e["event_id"] for e in held)

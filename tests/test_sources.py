@@ -462,6 +462,32 @@ def test_many_files_are_looked_up_and_sniffed_together(spark, write, monkeypatch
     assert counted == {i: (1 if i % 3 == 0 else 2, i + (i >= 600)) for i in range(n)}
 
 
+def test_many_small_files_are_read_by_few_tasks(spark, write, monkeypatch):
+    monkeypatch.setattr(files_mod, "LISTING_TASKS", 16)
+    n = 2400
+    texts = [b'{"i": %d}\r\n\n{"i": %d, "s": "[\xc3\xbc"}', b' \n[{"i": %d}, {"i": %d, "s": ""}]\n', b'\xef\xbb\xbf{"i": %d}\r{"i": %d}\r']
+    for i in range(n):
+        root = write(f"few/d{i}/part.json", texts[i % 3] % (i, i + n)).rsplit("/", 2)[0]
+    write("few/blank/part.json", b" \n\n")
+    write("few/none/part.json", b"[ ]")
+    large = write("few/large.json", jl(*[{"i": -1, "pad": "x" * 1000} for _ in range(400)]))
+    spec = [f"{root}/{d}" for d in ["blank", *(f"d{i}" for i in range(n)), "none"]] + [large]
+    context = spark.sparkContext
+    context.setJobGroup("few-tasks", "")
+    try:
+        got = read_json_corpus(spark, spec).select("i", "s", "pad", "_spec_ord", "_path").collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [s.numTasks for s in stages if s is not None and s.name.startswith(("collect", "toArrow", "hasNext"))]
+    assert tasks and max(tasks) < 60  # 75, one for each 32 files, before
+    small = sorted((r["i"], r["s"], r["_spec_ord"]) for r in got if r["i"] >= 0 and r["s"] is not None)
+    assert small == sorted([(i + n, "[ü", i + 1) for i in range(0, n, 3)] + [(i + n, "", i + 1) for i in range(1, n, 3)])
+    assert sorted(r["i"] for r in got if r["i"] >= 0) == list(range(2 * n))
+    assert [r["_spec_ord"] for r in got if r["pad"]] == [n + 2] * 400
+
+
 def test_patterns_of_names_none_of_which_exists(spark, write, monkeypatch):
     monkeypatch.setattr(files_mod, "NAMES", 2)
     root = write("few/a.jsonl", '{"i": 1}').rsplit("/", 1)[0]
